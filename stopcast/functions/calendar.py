@@ -74,9 +74,9 @@ def period_flags(h: str | Column) -> dict[str, Column]:
     """SC9: morning 6-9, evening 17-19, lunch 11-14 (inclusive), night >=22 or <=5."""
     x = col(h)
     return {
-        "is_morning_rush": x.between(6, 9).cast("int"),
-        "is_evening_rush": x.between(17, 19).cast("int"),
-        "is_lunch": x.between(11, 14).cast("int"),
+        "is_morning_peak": x.between(6, 9).cast("int"),
+        "is_evening_peak": x.between(17, 19).cast("int"),
+        "is_lunch_time": x.between(11, 14).cast("int"),
         "is_night": ((x >= 22) | (x <= 5)).cast("int"),
     }
 

@@ -29,4 +29,5 @@ def load_all() -> None:
     # Import for side effects: each module registers its queries.
     from stopcast.queries import (  # noqa: F401
         q_history,
+        q_etl,
     )

@@ -31,6 +31,57 @@ scores AS (
 )"""
 
 
+_K = "(SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)"
+_SLATLON = ("(SELECT *, -23.60::DOUBLE + floor(k / 10) * 0.01::DOUBLE AS slat, "
+            "-46.70::DOUBLE + (k % 10) * 0.01::DOUBLE AS slon FROM " + _K + ")")
+
+RAW_EVENTS = """
+raw_events AS (
+  SELECT event_id,
+         CAST(ts AS TIMESTAMP) AS event_timestamp,
+         CASE WHEN event_type = 'error' THEN 'app_error' ELSE 'bstop_open' END AS event_name,
+         CAST(user_id AS VARCHAR) AS user_pseudo_id,
+         CASE WHEN event_id % 41 = 0 THEN NULL WHEN event_id % 89 = 0 THEN 'POINT(garbage)'
+              ELSE 'POINT(' || printf('%.6f', dlon) || ' ' || printf('%.6f', dlat) || ')' END AS device_point,
+         CASE WHEN event_id % 67 = 0 THEN NULL
+              ELSE 'POINT (' || printf('%.6f', slon) || ' ' || printf('%.6f', slat) || ')' END AS ctm_stop_point,
+         'android' AS platform,
+         props AS ga_session_id
+  FROM (SELECT *, slat + ((event_id * 37) % 100 - 50) / 20000.0::DOUBLE AS dlat,
+                  slon + ((event_id * 53) % 100 - 50) / 20000.0::DOUBLE AS dlon
+        FROM """ + _SLATLON + """)
+)"""
+
+STOPS = """
+stops AS (
+  SELECT CAST(k AS VARCHAR) AS stop_id, printf('%.6f', slat) AS stop_lat, printf('%.6f', slon) AS stop_lon
+  FROM (SELECT DISTINCT k, -23.60::DOUBLE + floor(k / 10) * 0.01::DOUBLE AS slat,
+                        -46.70::DOUBLE + (k % 10) * 0.01::DOUBLE AS slon FROM """ + _K + """ WHERE k IS NOT NULL)
+)"""
+
+STOP_TIMES = """
+stop_times AS (
+  SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS trip_id, CAST(l_partkey % 100 AS VARCHAR) AS stop_id FROM lineitem
+)"""
+
+FREQUENCIES = """
+frequencies AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS trip_id, lpad(CAST(h AS VARCHAR), 2, '0') || ':00:00' AS start_time,
+         CAST(300 + (s_suppkey * 7 + h * 13) % 3300 AS VARCHAR) AS headway_secs
+  FROM (SELECT s_suppkey, unnest(range(0, 24)) AS h FROM supplier)
+)"""
+
+POINT_RE = r"POINT\s*\(\s*(-?\d+\.?\d*)\s+(-?\d+\.?\d*)\s*\)"
+
+
+def point_lat(c: str) -> str:
+    return f"CAST(nullif(regexp_extract({c}, '{POINT_RE}', 2), '') AS DOUBLE)"
+
+
+def point_lon(c: str) -> str:
+    return f"CAST(nullif(regexp_extract({c}, '{POINT_RE}', 1), '') AS DOUBLE)"
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes)
 
