@@ -15,7 +15,7 @@ ORDER = "event_timestamp, event_id"
 FRAME = f"ORDER BY {ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
-def _hist_sql(specs: list[tuple[str, str, bool]], warmup: int) -> str:
+def _hist_sql(specs: list[tuple[str, str, bool]], warmup: int, raw: bool = False) -> str:
     """Oracle for ``history_features``: plain SQL windows per key."""
     wins, sel, outs = [], [], []
     for p, key, rec in specs:
@@ -23,7 +23,8 @@ def _hist_sql(specs: list[tuple[str, str, bool]], warmup: int) -> str:
         sel.append(f"count(*) OVER w_{p} AS {p}_n, sum(target) OVER w_{p} AS {p}_pos, "
                    f"count(target) OVER w_{p} AS {p}_lab, max(event_timestamp) OVER w_{p} AS {p}_last")
         none = f"(rn <= {warmup} OR {key} IS NULL OR {p}_n = 0)"
-        outs.append(snap(f"CASE WHEN {none} THEN 0.0::DOUBLE ELSE coalesce({p}_pos / nullif({p}_lab, 0), 0.0::DOUBLE) END")
+        rate = f"CASE WHEN {none} THEN 0.0::DOUBLE ELSE coalesce({p}_pos / nullif({p}_lab, 0), 0.0::DOUBLE) END"
+        outs.append((rate if raw else snap(rate))
                     + f" AS {p}_hist_conversion_rate")
         outs.append(f"CAST(CASE WHEN rn <= {warmup} OR {key} IS NULL THEN 0 ELSE {p}_n END AS BIGINT) AS {p}_hist_count")
         if rec:

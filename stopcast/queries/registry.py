@@ -30,4 +30,5 @@ def load_all() -> None:
     from stopcast.queries import (  # noqa: F401
         q_history,
         q_etl,
+        q_prep,
     )

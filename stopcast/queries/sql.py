@@ -6,9 +6,9 @@ model_events AS (
   SELECT event_id,
          CAST(ts AS TIMESTAMP) AS event_timestamp,
          user_id AS user_pseudo_id,
-         k AS gtfs_stop_id,
-         k % 10 AS gtfs_route_id,
-         CAST(event_type = 'purchase' AS INTEGER) AS target,
+         CAST(k AS BIGINT) AS gtfs_stop_id,
+         CAST(k % 10 AS BIGINT) AS gtfs_route_id,
+         CAST(event_type = 'purchase' AS BIGINT) AS target,
          CASE WHEN event_id % 53 = 0 THEN NULL ELSE value END AS dist_device_stop,
          CASE WHEN event_id % 41 = 0 THEN NULL WHEN event_id % 97 = 0 THEN 0.0::DOUBLE
               ELSE slat + ((event_id * 37) % 100 - 50) / 20000.0::DOUBLE END AS device_lat,
