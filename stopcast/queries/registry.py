@@ -31,4 +31,5 @@ def load_all() -> None:
         q_history,
         q_etl,
         q_prep,
+        q_eda,
     )
