@@ -88,3 +88,28 @@ def expanding_folds(df: DataFrame, k: int = 5, order: Sequence[str] = ORDER_COLS
     """Fold column for expanding-window CV (VS3): fold i in 0..k-1 is a test
     block; ``fold = -1`` rows are only ever train."""
     return time_series_split(df, k, order, idx_col)
+
+
+def prefix_before(df: DataFrame, order_col: str, cols: Sequence[str], *, descending: bool = False,
+                  n_buckets: int | None = None) -> DataFrame:
+    """G2: add ``{c}_before`` = sum of ``c`` over the rows strictly before
+    each row in ``order_col`` order (values of ``order_col`` unique, e.g. an
+    aggregated score table).  Same bucketed plan as ``global_row_index``:
+    no single-partition window over the whole table."""
+    B = n_buckets or default_buckets(df)
+    key = _numeric_key(df, order_col)
+    if descending:
+        key = -key
+    keyed = df.withColumn("__key", key)
+    bounds = keyed.agg(F.percentile_approx("__key", [i / B for i in range(1, B)], 10 * B)).first()[0] or []
+    splits = [float("-inf")] + sorted({float(b) for b in bounds if b is not None}) + [float("inf")]
+    b = Bucketizer(splits=splits, inputCol="__key", outputCol="__bkt", handleInvalid="keep").transform(keyed)
+    b = b.withColumn("__bkt", F.coalesce(F.col("__bkt"), F.lit(float(len(splits)))).cast("int"))
+    w = Window.partitionBy("__bkt").orderBy("__key").rowsBetween(Window.unboundedPreceding, -1)
+    local = b.withColumns({f"__l_{c}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in cols})
+    tot = b.groupBy("__bkt").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
+    wb = Window.orderBy("__bkt").rowsBetween(Window.unboundedPreceding, -1)    # B rows
+    offs = tot.select("__bkt", *[F.coalesce(F.sum(f"__t_{c}").over(wb), F.lit(0)).alias(f"__o_{c}") for c in cols])
+    j = local.join(F.broadcast(offs), on="__bkt", how="left")
+    return j.withColumns({f"{c}_before": F.col(f"__o_{c}") + F.col(f"__l_{c}") for c in cols}).drop(
+        "__key", "__bkt", *[f"__l_{c}" for c in cols], *[f"__o_{c}" for c in cols])

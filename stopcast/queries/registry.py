@@ -32,4 +32,5 @@ def load_all() -> None:
         q_etl,
         q_prep,
         q_eda,
+        q_eval,
     )
