@@ -33,4 +33,5 @@ def load_all() -> None:
         q_prep,
         q_eda,
         q_eval,
+        q_ml,
     )

@@ -52,3 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="stopcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
+
+    Used where an operator reads the same input several times (k-NN pivots,
+    cells and queries; SMOTE minority rows): the upstream plan runs once and
+    survives executor loss, instead of being recomputed per reference."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
