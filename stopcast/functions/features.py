@@ -52,7 +52,7 @@ def with_poly_terms(df: DataFrame) -> DataFrame:
     geo x rate, recency x rate."""
     out: dict[str, Column] = {}
     if _has(df, "stop_event_rate"):
-        out["stop_rate_squared"] = F.pow(F.col("stop_event_rate"), 2)
+        out["stop_rate_squared"] = F.col("stop_event_rate") * F.col("stop_event_rate")
         out["stop_rate_log"] = F.log1p(F.col("stop_event_rate"))
     if _has(df, "stop_event_rate", "stop_event_count"):
         out["stop_rate_x_count"] = F.col("stop_event_rate") * F.col("stop_event_count")

@@ -23,14 +23,15 @@ def _join_back(df: DataFrame, agg: DataFrame, key: str) -> DataFrame:
 
 
 def stop_label_stats_agg(df: DataFrame, *, stop: str = "gtfs_stop_id", label: str = "lotacao_proxy_binaria",
-                         dist: str = "dist_device_stop", headway: str = "headway_avg_stop_hour") -> DataFrame:
+                         dist: str = "dist_device_stop", headway: str = "headway_avg_stop_hour",
+                         event_value=BINARY_NOT_LOW) -> DataFrame:
     """AG2 + AG3 + AG4 as one aggregate per stop.
 
     ``stop_event_rate`` = share of rows labelled Nao_Baixa among *all* rows
     (NULL label counts as "not event"), ``stop_event_count`` = Nao_Baixa
     rows, ``stop_total_samples`` = non-NULL labels; mean and sample std of
     distance and headway (std of one row is NULL, filled with 0 later)."""
-    ev = (F.col(label) == F.lit(BINARY_NOT_LOW))
+    ev = (F.col(label) == F.lit(event_value))
     aggs = [
         (F.sum(F.coalesce(ev, F.lit(False)).cast("long")) / F.count(F.lit(1))).alias("stop_event_rate"),
         F.sum(F.coalesce(ev, F.lit(False)).cast("long")).alias("stop_event_count"),

@@ -34,4 +34,5 @@ def load_all() -> None:
         q_eda,
         q_eval,
         q_ml,
+        q_features,
     )
