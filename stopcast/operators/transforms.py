@@ -106,7 +106,7 @@ def qcut_expr(x: str | Column, edges: Column, q: int = 5) -> Column:
     xc = col(x)
     # number of distinct edges strictly below x = tier + 1, except x == min edge -> tier 0;
     # unrolled over the at most q+1 edges (no higher-order function: edges may be a subquery)
-    below = sum((F.coalesce((e[i] < xc).cast("int"), F.lit(0)) for i in range(q + 1)), F.lit(0))
+    below = sum((F.coalesce((F.get(e, F.lit(i)) < xc).cast("int"), F.lit(0)) for i in range(q + 1)), F.lit(0))
     return (F.when(xc.isNull() | (xc < e[0]) | (xc > F.array_max(e)), F.lit(None))
              .when(xc == e[0], F.lit(0.0))
              .otherwise((below - 1).cast("double")))

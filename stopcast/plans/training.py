@@ -55,10 +55,13 @@ def clean_knn(df: DataFrame) -> DataFrame:
 def training_table(events: DataFrame, *, k: int = 3, extra: bool = False) -> DataFrame:
     """History features -> clean -> positions taken after cleaning ->
     ``fold`` / ``is_train`` / ``is_test`` of TimeSeriesSplit(k)."""
+    from stopcast.session import materialize
     df = rf_frame(events)
     if extra:
         df = with_scores(with_poly_terms(df))
-    df = clean_rf(df)
+    # the cleaning quantiles and the split's count / boundaries each read the
+    # frame again: compute the history once and the cleaned table once
+    df = materialize(clean_rf(materialize(df)))
     return time_series_split(df, k)
 
 

@@ -15,7 +15,7 @@ ORDER = "event_timestamp, event_id"
 FRAME = f"ORDER BY {ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
-def _hist_sql(specs: list[tuple[str, str, bool]], warmup: int, raw: bool = False) -> str:
+def _hist_sql(specs: list[tuple[str, str, bool]], warmup: int, raw: bool = False, extra: str = "") -> str:
     """Oracle for ``history_features``: plain SQL windows per key."""
     wins, sel, outs = [], [], []
     for p, key, rec in specs:
@@ -33,7 +33,7 @@ def _hist_sql(specs: list[tuple[str, str, bool]], warmup: int, raw: bool = False
     return (with_(MODEL_EVENTS,
                   f"o AS (SELECT *, row_number() OVER (ORDER BY {ORDER}) AS rn FROM model_events)",
                   f"h AS (SELECT *, {', '.join(sel)} FROM o WINDOW {', '.join(wins)})")
-            + f"\nSELECT event_id, {', '.join(outs)} FROM h")
+            + f"\nSELECT event_id, {extra}{', '.join(outs)} FROM h")
 
 
 def _hist_query(specs, warmup):

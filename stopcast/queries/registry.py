@@ -35,4 +35,6 @@ def load_all() -> None:
         q_eval,
         q_ml,
         q_features,
+        q_models,
+        q_stream,
     )

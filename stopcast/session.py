@@ -20,6 +20,12 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
+# Only used when this process launches the JVM (local runs); a cluster
+# deployment sizes its own driver / executors.
+LOCAL_DEFAULTS = {
+    "spark.driver.memory": "16g",
+    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+}
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -29,6 +35,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.master(master)
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
+    if master and master.startswith("local"):
+        for k, v in LOCAL_DEFAULTS.items():
+            builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
