@@ -46,9 +46,19 @@ def haversine_m(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
+# Fixed iteration count: the solver converges to machine precision in a few
+# steps for any pair that is not nearly antipodal; a fixed count makes the
+# result independent of a tolerance test (and reproducible in SQL).
+VINCENTY_ITERS = 20
+
+
 def _vincenty(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray,
-              iters: int = 200, tol: float = 1e-12) -> np.ndarray:
-    """Inverse geodesic distance on WGS-84 (Vincenty 1975), vectorised."""
+              iters: int = VINCENTY_ITERS) -> np.ndarray:
+    """Inverse geodesic distance on WGS-84 (Vincenty 1975), vectorised.
+
+    Each pass computes the auxiliary quantities from the current longitude
+    difference on the auxiliary sphere and then updates it; the distance
+    uses the quantities of the last pass."""
     a, f = WGS84_A, WGS84_F
     b = a * (1 - f)
     L = np.radians(lon2 - lon1)
@@ -56,30 +66,23 @@ def _vincenty(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.nda
     U2 = np.arctan((1 - f) * np.tan(np.radians(lat2)))
     sinU1, cosU1, sinU2, cosU2 = np.sin(U1), np.cos(U1), np.sin(U2), np.cos(U2)
     lam = L.copy()
-    sin_sigma = cos_sigma = sigma = cos2a = cos2sm = np.zeros_like(L)
-    active = np.ones_like(L, dtype=bool)
-    for _ in range(iters):
-        sl, cl = np.sin(lam), np.cos(lam)
-        sin_sigma = np.sqrt((cosU2 * sl) ** 2 + (cosU1 * sinU2 - sinU1 * cosU2 * cl) ** 2)
-        cos_sigma = sinU1 * sinU2 + cosU1 * cosU2 * cl
-        sigma = np.arctan2(sin_sigma, cos_sigma)
-        with np.errstate(invalid="ignore", divide="ignore"):
+    with np.errstate(invalid="ignore", divide="ignore"):
+        for _ in range(iters):
+            sl, cl = np.sin(lam), np.cos(lam)
+            sin_sigma = np.sqrt((cosU2 * sl) * (cosU2 * sl) + (cosU1 * sinU2 - sinU1 * cosU2 * cl) * (cosU1 * sinU2 - sinU1 * cosU2 * cl))
+            cos_sigma = sinU1 * sinU2 + cosU1 * cosU2 * cl
+            sigma = np.arctan2(sin_sigma, cos_sigma)
             sin_a = np.where(sin_sigma == 0, 0.0, cosU1 * cosU2 * sl / sin_sigma)
-            cos2a = 1 - sin_a ** 2
+            cos2a = 1 - sin_a * sin_a
             cos2sm = np.where(cos2a == 0, 0.0, cos_sigma - 2 * sinU1 * sinU2 / cos2a)
-        C = f / 16 * cos2a * (4 + f * (4 - 3 * cos2a))
-        lam_new = L + (1 - C) * f * sin_a * (sigma + C * sin_sigma * (cos2sm + C * cos_sigma * (-1 + 2 * cos2sm ** 2)))
-        done = np.abs(lam_new - lam) < tol
-        lam = np.where(active, lam_new, lam)
-        active &= ~done
-        if not active.any():
-            break
-    u2 = cos2a * (a * a - b * b) / (b * b)
-    A = 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2)))
-    B = u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))
-    ds = B * sin_sigma * (cos2sm + B / 4 * (cos_sigma * (-1 + 2 * cos2sm ** 2)
-                                            - B / 6 * cos2sm * (-3 + 4 * sin_sigma ** 2) * (-3 + 4 * cos2sm ** 2)))
-    return b * A * (sigma - ds)
+            C = f / 16 * cos2a * (4 + f * (4 - 3 * cos2a))
+            lam = L + (1 - C) * f * sin_a * (sigma + C * sin_sigma * (cos2sm + C * cos_sigma * (-1 + 2 * cos2sm * cos2sm)))
+        u2 = cos2a * (a * a - b * b) / (b * b)
+        A = 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2)))
+        B = u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))
+        ds = B * sin_sigma * (cos2sm + B / 4 * (cos_sigma * (-1 + 2 * cos2sm * cos2sm)
+                                                - B / 6 * cos2sm * (-3 + 4 * sin_sigma * sin_sigma) * (-3 + 4 * cos2sm * cos2sm)))
+        return b * A * (sigma - ds)
 
 
 @F.pandas_udf(DoubleType())

@@ -70,7 +70,8 @@ def _depth(d):
 def random_forest(numTrees=100, maxDepth=None, minInstancesPerNode=1, balanced=False, seed=42, **_):
     """MD1."""
     rf = RandomForestClassifier(numTrees=numTrees, maxDepth=_depth(maxDepth), minInstancesPerNode=minInstancesPerNode,
-                                featureSubsetStrategy="sqrt", impurity="gini", seed=seed, maxBins=64)
+                                featureSubsetStrategy="sqrt", impurity="gini", seed=seed, maxBins=64,
+                                maxMemoryInMB=1024, cacheNodeIds=True)
     return rf.setWeightCol("weight") if balanced else rf
 
 
@@ -78,9 +79,10 @@ def decision_tree(maxDepth=None, minInstancesPerNode=1, balanced=False, sqrt=Fal
     """MD2 (``max_features='sqrt'`` = a one-tree forest without bootstrap)."""
     if sqrt:
         m = RandomForestClassifier(numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt", maxDepth=_depth(maxDepth),
-                                   minInstancesPerNode=minInstancesPerNode, seed=seed, maxBins=64)
+                                   minInstancesPerNode=minInstancesPerNode, seed=seed, maxBins=64, maxMemoryInMB=1024)
     else:
-        m = DecisionTreeClassifier(maxDepth=_depth(maxDepth), minInstancesPerNode=minInstancesPerNode, seed=seed, maxBins=64)
+        m = DecisionTreeClassifier(maxDepth=_depth(maxDepth), minInstancesPerNode=minInstancesPerNode, seed=seed, maxBins=64,
+                                   maxMemoryInMB=1024)
     return m.setWeightCol("weight") if balanced else m
 
 
@@ -88,7 +90,7 @@ def gbt(maxIter=50, stepSize=0.05, maxDepth=6, subsamplingRate=1.0, features=1.0
         validation: bool = False, **_):
     """MD3: boosted trees (early stopping via ``validationIndicatorCol``)."""
     g = GBTClassifier(maxIter=maxIter, stepSize=stepSize, maxDepth=_depth(maxDepth), subsamplingRate=subsamplingRate,
-                      featureSubsetStrategy=str(features), seed=seed, maxBins=64)
+                      featureSubsetStrategy=str(features), seed=seed, maxBins=64, maxMemoryInMB=1024, cacheNodeIds=True)
     if validation:
         g = g.setValidationIndicatorCol("is_valid")
     return g.setWeightCol("weight") if balanced else g

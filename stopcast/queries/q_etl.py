@@ -16,8 +16,8 @@ from stopcast.operators import profiles as P
 from stopcast.operators.nearest import nearest_join
 from stopcast.plans.etl import build_features, calendar_features, parse_points
 from stopcast.queries.registry import query
-from stopcast.queries.sql import (FREQUENCIES, MODEL_EVENTS, RAW_EVENTS, STOP_TIMES, STOPS, point_lat, point_lon,
-                                  snap, with_)
+from stopcast.queries.sql import (FREQUENCIES, MODEL_EVENTS, RAW_EVENTS, STOP_TIMES, STOPS, geodesic_sql, point_lat,
+                                  point_lon, snap, with_)
 from stopcast.semantics import rounded
 from stopcast.sources import adapters as A
 
@@ -121,9 +121,15 @@ def q_haversine(spark, sf):
                          .alias("dist_haversine")))
 
 
-@query("geodesic_m")
+_PTS = ("(SELECT event_id, " + point_lat("device_point") + " AS dlat, " + point_lon("device_point") + " AS dlon, "
+        + point_lat("ctm_stop_point") + " AS slat, " + point_lon("ctm_stop_point") + " AS slon FROM raw_events)")
+
+
+@query("geodesic_m", with_(RAW_EVENTS) + f"""
+SELECT p.event_id, {snap('g.dist')} AS dist_device_stop FROM {_PTS} p
+LEFT JOIN {geodesic_sql(_PTS, 'event_id', 'dlat', 'dlon', 'slat', 'slon')} g ON p.event_id = g.gid""")
 def q_geodesic(spark, sf):
-    """SC2: WGS-84 ellipsoidal metres (vectorised Arrow UDF); rows-only."""
+    """SC2: WGS-84 ellipsoidal metres (vectorised Arrow UDF, fixed-pass Vincenty)."""
     df = parse_points(_raw(spark, sf))
     return out(df.select("event_id", geodesic_m("device_lat", "device_lon", "stop_lat_event", "stop_lon_event")
                          .alias("dist_device_stop")))
@@ -493,11 +499,66 @@ def q_profile_interactions(spark, sf):
 
 
 # ------------------------------------------------------------------ the ETL
-@query("build_features")
+_EV = ("(SELECT event_id, timezone('America/Sao_Paulo', timezone('UTC', event_timestamp)) AS event_timestamp, event_name, "
+       "user_pseudo_id, " + point_lat("device_point") + " AS device_lat, " + point_lon("device_point") + " AS device_lon, "
+       + point_lat("ctm_stop_point") + " AS stop_lat_event, " + point_lon("ctm_stop_point") + " AS stop_lon_event "
+       "FROM raw_events WHERE event_name = 'bstop_open')")
+_ETL_SQL = _HB.replace("WITH ", "WITH " + RAW_EVENTS.strip() + ",\n" + STOPS.strip() + ",\n", 1) + f""",
+ev AS {_EV},
+gd AS {geodesic_sql('ev', 'event_id', 'device_lat', 'device_lon', 'stop_lat_event', 'stop_lon_event')},
+st AS (SELECT stop_id, CAST(stop_lat AS DOUBLE) AS slat, CAST(stop_lon AS DOUBLE) AS slon FROM stops),
+nn AS (SELECT e.event_id, s.stop_id, row_number() OVER (PARTITION BY e.event_id ORDER BY
+         (s.slat - e.stop_lat_event) * (s.slat - e.stop_lat_event) + (s.slon - e.stop_lon_event) * (s.slon - e.stop_lon_event), s.stop_id) AS r
+       FROM ev e, st s WHERE e.stop_lat_event IS NOT NULL AND e.stop_lon_event IS NOT NULL),
+e2 AS (SELECT ev.*, gd.dist AS dist_device_stop, nn.stop_id AS gtfs_stop_id FROM ev LEFT JOIN gd ON ev.event_id = gd.gid
+       LEFT JOIN nn ON ev.event_id = nn.event_id AND nn.r = 1),
+cnt AS (SELECT gtfs_stop_id, floor(epoch(event_timestamp) / 21600) AS b, count(DISTINCT user_pseudo_id) AS uc
+        FROM e2 WHERE gtfs_stop_id IS NOT NULL GROUP BY ALL),
+e3 AS (SELECT e2.*, CASE WHEN c.uc = 1 THEN 'Baixa' WHEN c.uc > 1 THEN 'Nao_Baixa' END AS lotacao_proxy_binaria
+       FROM e2 LEFT JOIN cnt c ON e2.gtfs_stop_id = c.gtfs_stop_id AND floor(epoch(e2.event_timestamp) / 21600) = c.b),
+yrs AS (SELECT DISTINCT year(event_timestamp) AS y FROM e3),
+fixed AS (SELECT * FROM (VALUES (1, 1, 0), (4, 21, 0), (5, 1, 0), (7, 9, 0), (9, 7, 0), (10, 12, 0), (11, 2, 0),
+                                (11, 15, 0), (11, 20, 2024), (12, 25, 0)) t(m, d, y0)),
+ea AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM yrs),
+eb AS (SELECT *, b // 4 AS d, b % 4 AS e, (b + 8) // 25 AS f, c // 4 AS i, c % 4 AS k FROM ea),
+ec AS (SELECT *, (19 * a + b - d - (b - f + 1) // 3 + 15) % 30 AS h FROM eb),
+ed AS (SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS l FROM ec),
+ee AS (SELECT *, (a + 11 * h + 22 * l) // 451 AS mm FROM ed),
+hol AS (SELECT make_date(CAST(y AS INTEGER), CAST(m AS INTEGER), CAST(d AS INTEGER)) AS hd FROM yrs, fixed WHERE y >= y0
+        UNION SELECT CAST(make_date(CAST(y AS INTEGER), CAST((h + l - 7 * mm + 114) // 31 AS INTEGER),
+                               CAST((h + l - 7 * mm + 114) % 31 + 1 AS INTEGER)) - INTERVAL 2 DAY AS DATE) FROM ee),
+e4 AS (SELECT *, hour(event_timestamp) AS th, CAST(isodow(event_timestamp) - 1 AS BIGINT) AS tdw,
+              CAST(CAST(event_timestamp AS DATE) IN (SELECT hd FROM hol) AS BIGINT) AS is_holiday FROM e3),
+e5 AS (SELECT e4.*, CAST(tdw >= 5 AS BIGINT) AS is_weekend,
+              CAST((th >= 6 AND th < 9) OR (th >= 17 AND th < 19) AS BIGINT) AS is_peak_hour,
+              coalesce(ha.headway_avg_stop_hour, 3600.0) AS hw
+       FROM e4 LEFT JOIN ha ON e4.gtfs_stop_id = ha.stop_id AND e4.th = ha.start_hour),
+sa AS (SELECT gtfs_stop_id, sum(CASE WHEN lotacao_proxy_binaria = 'Nao_Baixa' THEN 1 ELSE 0 END) / count(*) AS ser,
+              sum(CASE WHEN lotacao_proxy_binaria = 'Nao_Baixa' THEN 1 ELSE 0 END) AS sec, count(lotacao_proxy_binaria) AS sts,
+              avg(dist_device_stop) AS sdm, stddev_samp(dist_device_stop) AS sds, avg(hw) AS shm, stddev_samp(hw) AS shs
+       FROM e5 WHERE gtfs_stop_id IS NOT NULL GROUP BY gtfs_stop_id),
+e6 AS (SELECT e5.*, sa.ser, sa.sec, sa.sts, sa.sdm, coalesce(sa.sds, 0.0) AS sds, sa.shm, coalesce(sa.shs, 0.0) AS shs
+       FROM e5 LEFT JOIN sa ON e5.gtfs_stop_id = sa.gtfs_stop_id WHERE lotacao_proxy_binaria IS NOT NULL)
+SELECT CAST(dense_rank() OVER (ORDER BY coalesce(CAST(gtfs_stop_id AS VARCHAR), 'nan')) - 1 AS BIGINT) AS gtfs_stop_id,
+  event_id, event_name, user_pseudo_id, {snap('device_lat')} AS device_lat, {snap('device_lon')} AS device_lon,
+  {snap('stop_lat_event')} AS stop_lat_event, {snap('stop_lon_event')} AS stop_lon_event,
+  {snap('dist_device_stop')} AS dist_device_stop, lotacao_proxy_binaria,
+  CAST(dense_rank() OVER (ORDER BY coalesce(CAST(th AS VARCHAR), 'nan')) - 1 AS BIGINT) AS time_hour,
+  CAST(dense_rank() OVER (ORDER BY coalesce(CAST(tdw AS VARCHAR), 'nan')) - 1 AS BIGINT) AS time_day_of_week,
+  day(event_timestamp) AS time_day_of_month, month(event_timestamp) AS time_month, is_holiday, is_weekend, is_peak_hour,
+  {snap('hw')} AS headway_avg_stop_hour, {snap('sin(2 * pi() * th / 24)')} AS hour_sin, {snap('cos(2 * pi() * th / 24)')} AS hour_cos,
+  {snap('sin(2 * pi() * tdw / 7)')} AS day_sin, {snap('cos(2 * pi() * tdw / 7)')} AS day_cos,
+  {snap('hw * th')} AS headway_x_hour, {snap('hw * is_weekend')} AS headway_x_weekend,
+  {snap('dist_device_stop * is_peak_hour')} AS dist_x_peak, {snap('dist_device_stop * is_weekend')} AS dist_x_weekend,
+  {snap('ser')} AS stop_event_rate, CAST(sec AS BIGINT) AS stop_event_count, sts AS stop_total_samples,
+  {snap('sdm')} AS stop_dist_mean, {snap('sds')} AS stop_dist_std, {snap('shm')} AS stop_headway_mean, {snap('shs')} AS stop_headway_std,
+  CAST(CASE WHEN lotacao_proxy_binaria = 'Baixa' THEN 0 ELSE 1 END AS BIGINT) AS target
+FROM e6"""
+
+
+@query("build_features", _ETL_SQL)
 def q_build_features(spark, sf):
-    """Whole ETL (entry 1): raw events + GTFS -> labelled, encoded features.
-    Geodesic distance is a vectorised UDF, so this one is rows-only; every
-    step has its own oracle-checked query above."""
+    """Whole ETL (entry 1): raw events + GTFS -> labelled, encoded features."""
     st, sti, fr = _gtfs(spark, sf)
     return out(build_features(_raw(spark, sf), st, sti, fr, bin_width=LABEL_WIDTH).drop("event_timestamp"))
 

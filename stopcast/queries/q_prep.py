@@ -197,12 +197,13 @@ def q_null_report(spark, sf):
 
 
 # ------------------------------------------------------------ projections
-@query("sanitize_names")
+@query("sanitize_names", with_(MODEL_EVENTS) + f"\nSELECT event_id AS id0, CAST(target AS BIGINT) AS y_label, "
+       f"{snap('dist_device_stop')} AS dist_m FROM model_events")
 def q_sanitize_names(spark, sf):
     """PRJ4: column names cleaned for the boosting libraries."""
     df = _me(spark, sf).select(F.col("event_id").alias("id[0]"), F.col("target").alias("y:label"),
                                F.col("dist_device_stop").alias('dist,"m"'))
-    return C.sanitize_names(df)
+    return out(C.sanitize_names(df))
 
 
 @query("select_numeric")

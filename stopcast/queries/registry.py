@@ -37,4 +37,5 @@ def load_all() -> None:
         q_features,
         q_models,
         q_stream,
+        q_more,
     )

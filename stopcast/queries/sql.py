@@ -89,3 +89,30 @@ def with_(*ctes: str) -> str:
 def snap(expr: str) -> str:
     """SQL twin of ``stopcast.semantics.snap`` (multiples of 2^-24)."""
     return f"(floor(({expr}) * 16777216.0::DOUBLE + 0.5::DOUBLE) / 16777216.0::DOUBLE)"
+
+
+def geodesic_sql(src: str, id_col: str, lat1: str, lon1: str, lat2: str, lon2: str, iters: int = 20) -> str:
+    """DuckDB twin of ``stopcast.functions.geo._vincenty`` (same fixed number
+    of passes, same operation order).  Returns a query with (id, dist)."""
+    a, f = "6378137.0::DOUBLE", "(1 / 298.257223563::DOUBLE)"
+    b = f"({a} * (1 - {f}))"
+    base = f"""SELECT {id_col} AS gid, radians({lon2} - {lon1}) AS L,
+        sin(atan((1 - {f}) * tan(radians({lat1})))) AS sU1, cos(atan((1 - {f}) * tan(radians({lat1})))) AS cU1,
+        sin(atan((1 - {f}) * tan(radians({lat2})))) AS sU2, cos(atan((1 - {f}) * tan(radians({lat2})))) AS cU2
+      FROM {src} WHERE {lat1} IS NOT NULL AND {lon1} IS NOT NULL AND {lat2} IS NOT NULL AND {lon2} IS NOT NULL"""
+    aux = """SELECT *, CASE WHEN ss = 0 THEN 0.0 ELSE cU1 * cU2 * sl / ss END AS sa FROM (
+          SELECT *, sqrt((cU2 * sl) * (cU2 * sl) + (cU1 * sU2 - sU1 * cU2 * cl) * (cU1 * sU2 - sU1 * cU2 * cl)) AS ss,
+                 sU1 * sU2 + cU1 * cU2 * cl AS cs FROM (SELECT *, sin(lam) AS sl, cos(lam) AS cl FROM {t}))"""
+    aux2 = """SELECT *, CASE WHEN c2a = 0 THEN 0.0 ELSE cs - 2 * sU1 * sU2 / c2a END AS c2m FROM (
+          SELECT *, atan2(ss, cs) AS sg, 1 - sa * sa AS c2a FROM ({inner}))"""
+    step = ("SELECT gid, L, sU1, cU1, sU2, cU2, L + (1 - C) * " + f + " * sa * (sg + C * ss * (c2m + C * cs * (-1 + 2 * c2m * c2m)))"
+            " AS lam, i + 1 AS i FROM (SELECT *, " + f + " / 16 * c2a * (4 + " + f + " * (4 - 3 * c2a)) AS C FROM ("
+            + aux2.format(inner=aux.format(t="v")) + ")) WHERE i < " + str(iters - 1))
+    last = aux2.format(inner=aux.format(t=f"(SELECT * FROM v WHERE i = {iters - 1})"))
+    dist = (f"SELECT gid, {b} * (1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2)))) * (sg - "
+            f"(u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))) * ss * (c2m + (u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))) / 4 * "
+            f"(cs * (-1 + 2 * c2m * c2m) - (u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))) / 6 * c2m * (-3 + 4 * ss * ss) * "
+            f"(-3 + 4 * c2m * c2m)))) AS dist FROM (SELECT *, c2a * ({a} * {a} - {b} * {b}) / ({b} * {b}) AS u2 FROM ({last}))")
+    return f"""(WITH RECURSIVE v AS (SELECT gid, L, sU1, cU1, sU2, cU2, L AS lam, 0 AS i FROM ({base})
+      UNION ALL {step})
+    {dist})"""
