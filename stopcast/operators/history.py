@@ -58,9 +58,14 @@ def expanding_history(
     std_cols: Sequence[str] = (),
     recency: bool = True,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    totals_from: DataFrame | None = None,
 ) -> DataFrame:
     """Append raw history aggregates for ``key``.
 
+    ``totals_from``: the table the per-(key, bucket) totals are aggregated
+    from (default ``df``).  Chained calls pass the original input so that each
+    step reads its own input once (no re-execution of earlier windows).
+
     Adds ``{prefix}_n`` (rows before), and when ``target`` is given
     ``{prefix}_pos`` (sum of target, NULL if no labelled row) and
     ``{prefix}_lab`` (non-null targets); ``{prefix}_last_ts`` and
@@ -95,7 +100,9 @@ def expanding_history(
     w_in = Window.partitionBy(k, b).orderBy(*[F.col(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
     inner = base.withColumns({f"__i_{n}": agg_of(kind, e).over(w_in) for n, e, kind in parts})
 
-    totals = (base.where(F.col(k).isNotNull())
+    src = base if totals_from is None else totals_from.withColumns({
+        k: F.col(key), b: F.floor(F.unix_micros(F.col(ts)) / F.lit(bucket_seconds * 1_000_000))})
+    totals = (src.where(F.col(k).isNotNull())
               .groupBy(k, b)
               .agg(*[agg_of(kind, e).alias(f"__t_{n}") for n, e, kind in parts]))
     w_pre = Window.partitionBy(k).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
@@ -170,7 +177,8 @@ def history_features(df: DataFrame, specs: Sequence[tuple[str, str, bool]], *, w
     warm = warmup_flag(df, warmup)
     cur = df
     for p, key, rec in specs:
-        cur = expanding_history(cur, key, f"__h{p}", target=target, recency=rec, bucket_seconds=bucket_seconds)
+        cur = expanding_history(cur, key, f"__h{p}", target=target, recency=rec, bucket_seconds=bucket_seconds,
+                                totals_from=df)
     out: dict[str, Column] = {}
     for p, key, rec in specs:
         h = f"__h{p}"
@@ -225,7 +233,7 @@ def knn_history(df: DataFrame, *, user_key: str = "user_pseudo_id", stop_key: st
                           mean_cols=[hour_col] + ([dist_col] if has_dist else []),
                           std_cols=[dist_col] if has_dist else [], bucket_seconds=bucket_seconds)
     s = expanding_history(u, stop_key, "__ks", target=target, recency=False,
-                          mean_cols=[freq_col] if has_freq else [], bucket_seconds=bucket_seconds)
+                          mean_cols=[freq_col] if has_freq else [], bucket_seconds=bucket_seconds, totals_from=df)
     warm = warmup_flag(df, 1)
     zero = F.lit(0.0)
 

@@ -43,7 +43,13 @@ def build_features(raw: DataFrame, stops: DataFrame, stop_times: DataFrame, freq
                    tz: str | None = "America/Sao_Paulo", bin_width: str = "2 minutes", distance: str = "geodesic",
                    stop_aggs_fit: DataFrame | None = None, encode: bool = True) -> DataFrame:
     """Full ETL.  ``distance``: 'geodesic' (WGS-84, as the reference) or
-    'haversine' (sphere, pure column expression)."""
+    'haversine' (sphere, pure column expression).
+
+    Two lineage cuts (reliable checkpoints in the shared folder): after the
+    per-event stage (parse, distance UDF, nearest stop) and after the labelled
+    features, because the label counts, holiday years, per-stop statistics
+    and label codes each read the frame again."""
+    from stopcast.session import materialize
     df = C.filter_event(raw)
     if tz:
         df = df.withColumn("event_timestamp", cal.tz_convert("event_timestamp", tz))
@@ -51,12 +57,12 @@ def build_features(raw: DataFrame, stops: DataFrame, stop_times: DataFrame, freq
     df = parse_points(df)
     dist = geodesic_m if distance == "geodesic" else haversine_m
     df = df.withColumn("dist_device_stop", dist("device_lat", "device_lon", "stop_lat_event", "stop_lon_event"))
-    df = nearest_join(df, stops, lat="stop_lat_event", lon="stop_lon_event", out="gtfs_stop_id")
+    df = materialize(nearest_join(df, stops, lat="stop_lat_event", lon="stop_lon_event", out="gtfs_stop_id"))
     df = join_window_label(df, width=bin_width).drop("lotacao_proxy")
     df = calendar_features(df)
     df = join_headway(df, stop_times, frequencies)
     df = cal.with_cyclic(df, {"hour": ("time_hour", 24), "day": ("time_day_of_week", 7)})
-    df = with_etl_interactions(df)
+    df = materialize(with_etl_interactions(df))
     df = join_stop_aggs(df, fit_on=stop_aggs_fit)
     df = C.dropna_label(df)
     df = df.withColumn("target", binary_target("lotacao_proxy_binaria"))

@@ -220,12 +220,6 @@ def q_feature_variance(spark, sf):
     return out(E.feature_variance(_base(spark, sf), VAR_FEATS, 3))
 
 
-def _hist_sql(src: str, c: str) -> str:
-    return (f"""SELECT CAST(least(floor(50.0 * ({c} - lo) / (CASE WHEN hi = lo THEN 1.0 ELSE hi - lo END)), 49) AS INTEGER) AS bin,
-        count(*) AS n, {snap('any_value(lo) + least(floor(50.0 * (' + c + ' - lo) / (CASE WHEN hi = lo THEN 1.0 ELSE hi - lo END)), 49) * (CASE WHEN any_value(hi) = any_value(lo) THEN 1.0 ELSE any_value(hi) - any_value(lo) END) / 50.0')} AS bin_lo
-      FROM {src}, (SELECT min({c}) AS lo, max({c}) AS hi FROM {src}) WHERE {c} IS NOT NULL GROUP BY ALL""")
-
-
 @query("histogram", W + f"""
 , h AS (SELECT CAST(least(floor(50.0 * (user_frequency - lo) / (CASE WHEN hi = lo THEN 1.0 ELSE hi - lo END)), 49) AS BIGINT) AS bin, lo, hi
         FROM base, (SELECT min(user_frequency) AS lo, max(user_frequency) AS hi FROM base) WHERE user_frequency IS NOT NULL)

@@ -182,7 +182,8 @@ def q_soft_vote(spark, sf):
         "id", "mean_vote", "weighted_vote", "blend"))
 
 
-_DRIFT = with_(SCORES) + """, tr AS (SELECT * FROM scores WHERE id % 2 = 0), nw AS (SELECT * FROM scores WHERE id % 2 = 1),
+_DRIFT = with_(SCORES) + """, ix AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS r, count(*) OVER () AS n FROM scores),
+tr AS (SELECT * FROM ix WHERE r < floor(0.5 * n)), nw AS (SELECT * FROM ix WHERE r >= floor(0.5 * n)),
 e AS (SELECT min(score) AS lo, max(score) AS hi FROM tr),
 bt AS (SELECT CAST(least(greatest(floor(50.0 * (score - lo) / (CASE WHEN hi = lo THEN 1.0 ELSE hi - lo END)), 0), 49) AS BIGINT) AS bin
        FROM tr, e WHERE score IS NOT NULL),
@@ -200,9 +201,10 @@ SELECT bin, n_train, n_new, {snap('pct_train')} AS pct_train, {snap('pct_new')}
 FROM p""")
 def q_drift_histogram(spark, sf):
     """PR3: train vs new score histogram on shared train edges + PSI terms
-    (train = even ids, new = odd ids)."""
-    s = _sc(spark, sf)
-    return out(S.drift_histogram(s.where(F.col("id") % 2 == 0), s.where(F.col("id") % 2 == 1), "score"))
+    (train = first half of the events in id/time order, new = second half)."""
+    from stopcast.operators.rowindex import holdout_split
+    s = holdout_split(_sc(spark, sf), 0.5, order=("id",))
+    return out(S.drift_histogram(s.where("is_train = 1"), s.where("is_train = 0"), "score"))
 
 
 @query("retrain_rule", with_(SCORES, _SC, "pre AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED "
