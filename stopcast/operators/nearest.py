@@ -43,11 +43,14 @@ def _best(lat: Column, lon: Column) -> Column:
 
 def nearest_join(left: DataFrame, stops: DataFrame, *, lat: str, lon: str, stop_id: str = "stop_id",
                  stop_lat: str = "stop_lat", stop_lon: str = "stop_lon", out: str = "nearest_stop_id",
-                 out_dist: str | None = None, cell: float = 0.01, growth: float = 16.0) -> DataFrame:
+                 out_dist: str | None = None, cell: float = 0.01, growth: float = 16.0,
+                 max_final_stops: int = 5_000_000) -> DataFrame:
     """Add ``out`` (and optionally ``out_dist``, Euclidean degrees) to every
     row of ``left``: the stop with the smallest Euclidean lat/lon distance.
     Rows with a NULL coordinate get NULL.  Stops with NULL coordinates are
-    ignored."""
+    ignored.  The last (whole-globe) level holds every stop in one candidate
+    array, so the stop count is checked against ``max_final_stops`` before
+    that level is planned."""
     s = (stops.select(F.col(stop_id).alias("__sid"), F.col(stop_lat).cast("double").alias("__slat"),
                       F.col(stop_lon).cast("double").alias("__slon"))
          .where(F.col("__slat").isNotNull() & F.col("__slon").isNotNull()))
@@ -90,12 +93,27 @@ def nearest_join(left: DataFrame, stops: DataFrame, *, lat: str, lon: str, stop_
     no_coord = left.where(~has).select(*nulls)
     if len(levels) == 1:
         return no_coord.unionByName(emit(level(left.where(has), 0, levels[0], True), F.col("__best0")))
-    # fine level over every point with coordinates
+    # fine level over every point with coordinates (map side, no shuffle)
     lv0 = level(left.where(has), 0, levels[0], False)
     resolved = emit(lv0.where(F.col("__ok0")), F.col("__best0"))
-    # the (rare) rest goes through the coarser levels in one chained pass
+    # The (rare) rest goes through the coarser levels in one chained pass on
+    # its DISTINCT coordinates: the answer depends on (lat, lon) only, so a
+    # hot bad coordinate held by many rows is solved once.
     rest = lv0.where(~F.col("__ok0")).select(*cols)
+    pts = rest.select(la.alias("__plat"), lo.alias("__plon")).distinct()
+    la_p, lo_p = F.col("__plat"), F.col("__plon")
     for i, c in enumerate(levels[1:], start=1):
-        rest = level(rest, i, c, i == len(levels) - 1)
+        final = i == len(levels) - 1
+        if final:
+            n_stops = s.count()          # the final level holds every stop: check the bound
+            if n_stops > max_final_stops:
+                raise ValueError(f"nearest_join: {n_stops} stops exceed max_final_stops={max_final_stops}")
+        ci, cj = _cells(c, la_p, lo_p) if not final else (F.lit(0).cast("long"), F.lit(0).cast("long"))
+        j = pts.withColumns({"__ci": ci, "__cj": cj}).join(cand_table(c, final), on=["__ci", "__cj"], how="left")
+        best = _best(la_p, lo_p)
+        ok = F.lit(True) if final else F.coalesce(best["d2"] <= F.lit(c * c * (1 - 1e-9)), F.lit(False))
+        pts = j.withColumns({f"__best{i}": best, f"__ok{i}": ok}).drop("__ci", "__cj", "__cands")
     pick = F.coalesce(*[F.when(F.col(f"__ok{i}"), F.col(f"__best{i}")) for i in range(1, len(levels))])
-    return no_coord.unionByName(resolved).unionByName(emit(rest, pick))
+    sol = pts.select("__plat", "__plon", pick.alias("__pick"))
+    back = rest.join(sol, (la == F.col("__plat")) & (lo == F.col("__plon")), "left")
+    return no_coord.unionByName(resolved).unionByName(emit(back, F.col("__pick")))
