@@ -19,6 +19,7 @@ ALIASES = {
     "tier_cluster_cross": ["tier_cluster_cross", "tier_cross"],
     "geodesic_m": ["geodesic_m", "haversine_m"],
     "save_model": ["save_model"],
+    "roc_points": ["roc_points", "roc_curve"],
 }
 
 

@@ -103,7 +103,8 @@ def roc_auc(scores: DataFrame, **kw) -> DataFrame:
     pre = prefix_before(sc, s, ["neg"])
     t = _totals(sc)
     num = pre.agg(F.sum(F.col("pos") * (F.col("neg_before") * 2 + F.col("neg"))).alias("num"))
-    return num.select((F.col("num") / (t["P"] * t["N"] * F.lit(2.0))).alias("roc_auc"))
+    # one-class input: AUC undefined -> NULL (no division error)
+    return num.select(F.try_divide(F.col("num"), t["P"] * t["N"] * F.lit(2.0)).alias("roc_auc"))
 
 
 def curve_points(scores: DataFrame, **kw) -> DataFrame:
@@ -117,11 +118,31 @@ def curve_points(scores: DataFrame, **kw) -> DataFrame:
                       (F.col("neg_before") + F.col("neg")).alias("fp"), t["P"].alias("P"), t["N"].alias("N"))
 
 
-def roc_points(scores: DataFrame, **kw) -> DataFrame:
-    """EV5: (threshold, fpr, tpr) at every distinct score (no
-    ``drop_intermediate``)."""
+def roc_points(scores: DataFrame, drop_intermediate: bool = False, **kw) -> DataFrame:
+    """EV5: (threshold, fpr, tpr) at every distinct score, highest first.
+
+    ``drop_intermediate=True`` follows scikit-learn's ``roc_curve``: a point
+    is kept when the counts at the next lower score differ from its own (the
+    curve bends there) and at both ends; the (0, 0) start point is added with
+    a NULL threshold (scikit-learn uses +inf).  The neighbour counts come from
+    the global position of each distinct score (``global_row_index``) and an
+    equi-join on ``position + 1`` -- no one-partition window."""
     c = curve_points(scores, **kw)
-    return c.select("threshold", _div0(F.col("fp"), F.col("N")).alias("fpr"), _div0(F.col("tp"), F.col("P")).alias("tpr"))
+    pts = c.select("threshold", _div0(F.col("fp"), F.col("N")).alias("fpr"), _div0(F.col("tp"), F.col("P")).alias("tpr"))
+    if not drop_intermediate:
+        return pts
+    from stopcast.operators.rowindex import global_row_index
+    s = kw.get("score", "score")
+    sc = score_counts(scores, **kw).withColumn("__neg_s", -F.col(s))
+    ix = global_row_index(sc, order=("__neg_s",), idx_col="__i")
+    nxt = ix.select((F.col("__i") - 1).alias("__i"), F.col("pos").alias("__npos"), F.col("neg").alias("__nneg"))
+    n = ix.agg(F.count(F.lit(1))).scalar()
+    j = ix.join(nxt, "__i", "left")
+    keep = ((F.col("__i") == 0) | (F.col("__i") == n - 1) | (F.col("__npos") != F.col("pos")) | (F.col("__nneg") != F.col("neg")))
+    kept = j.where(keep).select(F.col(s).alias("__t"))
+    out = pts.join(kept, pts["threshold"] == kept["__t"], "left_semi")
+    start = scores.agg(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return start.unionByName(out)
 
 
 def pr_points(scores: DataFrame, **kw) -> DataFrame:

@@ -89,6 +89,20 @@ def q_roc_points(spark, sf):
     return out(M.roc_points(_sc(spark, sf)))
 
 
+@query("roc_curve", _CURVE + f""",
+k AS (SELECT *, row_number() OVER (ORDER BY threshold DESC) AS i, count(*) OVER () AS cnt,
+             lead(tp) OVER (ORDER BY threshold DESC) - tp AS dtp_next, lead(fp) OVER (ORDER BY threshold DESC) - fp AS dfp_next,
+             tp - coalesce(lag(tp) OVER (ORDER BY threshold DESC), 0) AS dtp, fp - coalesce(lag(fp) OVER (ORDER BY threshold DESC), 0) AS dfp
+      FROM cp)
+SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+UNION ALL SELECT {snap('threshold')}, {snap(_div0('fp', 'N'))}, {snap(_div0('tp', 'P'))} FROM k
+WHERE i = 1 OR i = cnt OR dtp_next <> dtp OR dfp_next <> dfp""")
+def q_roc_curve(spark, sf):
+    """EV5 with scikit-learn's drop_intermediate (collinear points removed,
+    (0, 0) start point with a NULL threshold)."""
+    return out(M.roc_points(_sc(spark, sf), drop_intermediate=True))
+
+
 _PR = _CURVE + f""",
 pr AS (SELECT threshold, {_div0('tp', 'tp + fp')} AS precision, CASE WHEN P = 0 THEN 1.0 ELSE tp / P END AS recall FROM cp)"""
 

@@ -134,3 +134,24 @@ def test_qcut_duplicate_edges(spark):
     df = spark.createDataFrame([(float(x),) for x in [0, 0, 0, 0, 0, 0, 1, 2, 3, 4]], "stop_event_rate double")
     r = [x["stop_tier"] for x in stop_tier(df).collect()]
     assert r[:6] == [0.0] * 6 and max(r) <= 4.0 and None not in r
+
+
+def test_edge_fixtures(spark):
+    """SURVEY §5 edge cases: GTFS hour >= 24, malformed POINT, NaN / inf,
+    one-class AUC, undefined precision."""
+    from stopcast.functions.geo import parse_point
+    from stopcast.operators.headway import split_hour
+    from stopcast.semantics import normalize_nulls
+    df = spark.createDataFrame([("25:10:00",), ("07:00:00",)], "t string")
+    assert [r["h"] for r in df.select(split_hour("t").alias("h")).collect()] == [25, 7]
+    pts = spark.createDataFrame([("POINT(-46.6 -23.5)",), ("POINT (x y)",), (None,), ("POINT(  -46.61   -23.52 )",)], "p string")
+    lat, lon = parse_point("p")
+    r = pts.select(lat.alias("lat"), lon.alias("lon")).collect()
+    assert (r[0]["lat"], r[0]["lon"]) == (-23.5, -46.6) and r[1]["lat"] is None and r[2]["lat"] is None
+    assert (r[3]["lat"], r[3]["lon"]) == (-23.52, -46.61)
+    x = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (1.5,)], "x double")
+    assert [v["x"] for v in normalize_nulls(x).collect()] == [None, None, None, 1.5]
+    one = spark.createDataFrame([(1, 0, 0.2), (2, 0, 0.7)], "id long, label int, score double")
+    assert M.roc_auc(one).first()["roc_auc"] is None
+    pm = M.point_metrics(one, 0.9).first()
+    assert pm["precision"] == 0.0 and pm["recall"] == 0.0 and pm["f1"] == 0.0 and pm["accuracy"] == 1.0
