@@ -28,6 +28,10 @@ from pyspark.sql import functions as F
 from stopcast.semantics import ORDER_COLS, whole_days
 
 DEFAULT_BUCKET_SECONDS = 3600
+# Hot keys (more than HOT_FRACTION of all rows: at most 1/HOT_FRACTION keys)
+# get finer buckets so that one (key, bucket) slice stays small.
+HOT_FRACTION = 0.001
+HOT_BUCKET_SECONDS = 60
 # Fixed values of the reference: recency default and warm-up length.
 RECENCY_DEFAULT = 999
 WARMUP_ROWS = 100
@@ -59,6 +63,8 @@ def expanding_history(
     recency: bool = True,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     totals_from: DataFrame | None = None,
+    hot_fraction: float | None = HOT_FRACTION,
+    hot_bucket_seconds: int = HOT_BUCKET_SECONDS,
 ) -> DataFrame:
     """Append raw history aggregates for ``key``.
 
@@ -73,12 +79,22 @@ def expanding_history(
     ``{prefix}_mean_{c}`` / ``{prefix}_std_{c}`` (NULL when undefined).
     """
     ts = order[0]
-    k, b = f"__{prefix}_k", f"__{prefix}_b"
-    kcol = F.col(key)
-    base = df.withColumns({
-        k: kcol,
-        b: F.floor(F.unix_micros(F.col(ts)) / F.lit(bucket_seconds * 1_000_000)),
-    })
+    k, b, hot = f"__{prefix}_k", f"__{prefix}_b", f"__{prefix}_hot"
+    source = df if totals_from is None else totals_from
+
+    def bucketed(d: DataFrame) -> DataFrame:
+        d = d.withColumn(k, F.col(key))
+        width = F.lit(bucket_seconds * 1_000_000)
+        if hot_fraction:
+            # keys above hot_fraction of all rows: a bounded list (<= 1/hot_fraction), broadcast
+            cnt = source.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(k)).agg(F.count(F.lit(1)).alias("__c"))
+            total = source.agg(F.count(F.lit(1))).scalar()
+            hot_keys = cnt.where(F.col("__c") > total * F.lit(hot_fraction)).select(k, F.lit(True).alias(hot))
+            d = d.join(F.broadcast(hot_keys), k, "left")
+            width = F.when(F.col(hot), F.lit(hot_bucket_seconds * 1_000_000)).otherwise(width)
+        return d.withColumn(b, F.floor(F.unix_micros(F.col(ts)) / width))
+
+    base = bucketed(df)
 
     # (name, within-bucket frame expr builder, bucket total expr, combine kind)
     parts: list[tuple[str, Column, str]] = [("n", F.lit(1), "sum")]
@@ -100,8 +116,7 @@ def expanding_history(
     w_in = Window.partitionBy(k, b).orderBy(*[F.col(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
     inner = base.withColumns({f"__i_{n}": agg_of(kind, e).over(w_in) for n, e, kind in parts})
 
-    src = base if totals_from is None else totals_from.withColumns({
-        k: F.col(key), b: F.floor(F.unix_micros(F.col(ts)) / F.lit(bucket_seconds * 1_000_000))})
+    src = base if totals_from is None else bucketed(totals_from)
     totals = (src.where(F.col(k).isNotNull())
               .groupBy(k, b)
               .agg(*[agg_of(kind, e).alias(f"__t_{n}") for n, e, kind in parts]))
@@ -139,7 +154,7 @@ def expanding_history(
             var = (s2 - s1 * s1 / cnt) / (cnt - 1)
             out[f"{prefix}_std_{c}"] = F.when(has_key & (cnt > 1), F.sqrt(F.greatest(var, F.lit(0.0))))
     res = j.withColumns(out)
-    drop = [k, b] + [f"__i_{n}" for n, _, _ in parts] + [f"__p_{n}" for n, _, _ in parts]
+    drop = [k, b, hot] + [f"__i_{n}" for n, _, _ in parts] + [f"__p_{n}" for n, _, _ in parts]
     return res.drop(*drop)
 
 

@@ -96,3 +96,18 @@ def test_knn_std_semantics(spark):
     assert math.isclose(r.loc[4, "user_avg_dist_hist"], 15.0)                           # NULL skipped
     assert math.isclose(r.loc[4, "user_hist_conversion_rate"], 2 / 3)
     assert r.loc[4, "stop_hist_events"] == 0.0
+
+
+def test_hot_key_buckets_equal_plain(spark):
+    """A key holding 40 % of the rows takes the fine-bucket path; results
+    must equal the single-width path exactly."""
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(minutes=7 * i), "hot" if i % 5 < 2 else f"u{i % 13}", i % 3, None if i % 11 == 0 else i % 2)
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "event_id long, event_timestamp timestamp, user_pseudo_id string, "
+                                     "gtfs_stop_id int, target int")
+    a = expanding_history(df, "user_pseudo_id", "h", hot_fraction=0.3, hot_bucket_seconds=60).toPandas()
+    b = expanding_history(df, "user_pseudo_id", "h", hot_fraction=None).toPandas()
+    cols = ["event_id", "h_n", "h_pos", "h_lab", "h_recency"]
+    pd.testing.assert_frame_equal(a[cols].sort_values("event_id").reset_index(drop=True),
+                                  b[cols].sort_values("event_id").reset_index(drop=True))
