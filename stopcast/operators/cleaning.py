@@ -85,10 +85,11 @@ def leak_guard(df: DataFrame, leaky: Iterable[str] = LEAKY_COLUMNS) -> DataFrame
 
 
 def quantile_scalar(df: DataFrame, c: str, p: float, exact: bool = True) -> Column:
-    """Linear-interpolated quantile of ``c`` (pandas ``quantile``) as a lazy
-    scalar subquery; ``exact=False`` uses ``percentile_approx``."""
-    agg = F.percentile(F.col(c), F.lit(p)) if exact else F.percentile_approx(F.col(c), F.lit(p), F.lit(10000))
-    return df.agg(agg).scalar()
+    """Linear-interpolated quantile of ``c`` (pandas ``quantile``) as a
+    scalar subquery, computed by ranking (no single-task value buffer);
+    ``exact=False`` uses the ``percentile_approx`` sketch."""
+    from stopcast.operators.quantiles import quantile
+    return quantile(df, c, p, approx=not exact)
 
 
 def freq_quantile(df: DataFrame, p: float = 0.10, c: str = "user_frequency", exact: bool = True) -> DataFrame:

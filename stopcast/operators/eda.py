@@ -78,12 +78,12 @@ def time_span(df: DataFrame, ts: str = "event_timestamp") -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """AG15: count, mean, std, min, 25/50/75 %, max, missing, missing_pct per
     feature (one aggregate pass, long form)."""
+    from stopcast.operators.quantiles import quantiles
     stats = ["count", "mean", "std", "min", "q25", "q50", "q75", "max", "missing"]
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-             else F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10000)).cast("array<double>"))
+        q = quantiles(df, c, [0.25, 0.5, 0.75], approx=not exact)
         aggs.append(F.struct(F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
                              F.min(x).alias("min"), q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"),
                              F.max(x).alias("max"), F.sum(x.isNull().cast("long")).cast("double").alias("missing")).alias(f"s{i}"))
@@ -99,8 +99,9 @@ def entity_stats(df: DataFrame, keys: dict[str, str]) -> DataFrame:
     parts = []
     for name, k in keys.items():
         per = df.where(F.col(k).isNotNull()).groupBy(k).agg(F.count(F.lit(1)).alias("n"))
+        from stopcast.operators.quantiles import quantile
         parts.append(per.agg(F.lit(name).alias("entity"), F.count(F.lit(1)).alias("n_entities"),
-                             F.percentile(F.col("n").cast("double"), F.lit(0.5)).alias("median_events"),
+                             quantile(per, "n", 0.5).alias("median_events"),
                              F.avg("n").alias("mean_events"), F.max("n").alias("max_events")))
     out = parts[0]
     for p in parts[1:]:
@@ -110,20 +111,20 @@ def entity_stats(df: DataFrame, keys: dict[str, str]) -> DataFrame:
 
 def quantile_points(df: DataFrame, c: str) -> DataFrame:
     """AG17: P95, P99, mean, median."""
-    q = F.percentile(F.col(c), F.array(F.lit(0.95), F.lit(0.99), F.lit(0.5)))
-    return df.agg(q.alias("q"), F.avg(c).alias("mean")).select(
-        F.col("q")[0].alias("p95"), F.col("q")[1].alias("p99"), "mean", F.col("q")[2].alias("median"))
+    from stopcast.operators.quantiles import quantiles
+    q = quantiles(df, c, [0.95, 0.99, 0.5])
+    return df.agg(F.avg(c).alias("mean")).select(q[0].alias("p95"), q[1].alias("p99"), "mean", q[2].alias("median"))
 
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """AG18: Q1, Q3, fences at 1.5 IQR, outlier count and % per feature.
-    Quartiles come from one aggregate (scalar struct), the counts from a
-    second pass: no join, no cross product."""
-    qs = df.agg(F.struct(*[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias(f"q{i}")
-                           for i, c in enumerate(cols)]).alias("s")).scalar()
+    Quartiles are scalar subqueries (ranked, ``quantiles``), the counts one
+    aggregate pass: no join, no cross product."""
+    from stopcast.operators.quantiles import quantiles
     aggs = []
     for i, c in enumerate(cols):
-        q1, q3 = qs[f"q{i}"][0], qs[f"q{i}"][1]
+        qs = quantiles(df, c, [0.25, 0.75])
+        q1, q3 = qs[0], qs[1]
         iqr = q3 - q1
         lo, hi = q1 - F.lit(IQR_K) * iqr, q3 + F.lit(IQR_K) * iqr
         x = F.col(c)
@@ -210,7 +211,8 @@ def histogram(df: DataFrame, c: str, bins: int = HIST_BINS, below_quantile: floa
     last bin); optionally only values below the given quantile."""
     base = df.where(F.col(c).isNotNull())
     if below_quantile is not None:
-        base = base.where(F.col(c) < base.agg(F.percentile(F.col(c), F.lit(below_quantile))).scalar())
+        from stopcast.operators.quantiles import quantile
+        base = base.where(F.col(c) < quantile(base, c, below_quantile))
     mm = base.agg(F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias("s")).scalar()
     lo, hi = mm["lo"], mm["hi"]
     width = F.when(hi == lo, F.lit(1.0)).otherwise(hi - lo)

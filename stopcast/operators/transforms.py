@@ -75,27 +75,27 @@ def minmax_x100(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
 
 def binarize_median(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """FT4: x > train median -> 1 else 0."""
+    from stopcast.operators.quantiles import quantile
     src = fit_on if fit_on is not None else df
-    st = fit_stats(src, {f"q{i}": F.percentile(F.col(c), F.lit(0.5)) for i, c in enumerate(cols)})
-    return df.withColumns({c: (F.col(c) > st[f"q{i}"]).cast("int") for i, c in enumerate(cols)})
+    return df.withColumns({c: (F.col(c) > quantile(src, c, 0.5)).cast("int") for c in cols})
 
 
 def robust_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """FT8: (x - median) / IQR (IQR 0 -> 1)."""
+    from stopcast.operators.quantiles import quantiles
     src = fit_on if fit_on is not None else df
-    st = fit_stats(src, {f"q{i}": F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-                         for i, c in enumerate(cols)})
     out = {}
-    for i, c in enumerate(cols):
-        qs = st[f"q{i}"]
+    for c in cols:
+        qs = quantiles(src, c, [0.25, 0.5, 0.75])
         iqr = qs[2] - qs[0]
         out[c] = (F.col(c) - qs[1]) / F.when(iqr == 0, F.lit(1.0)).otherwise(iqr)
     return df.withColumns(out)
 
 
-def qcut_edges(df: DataFrame, c: str, q: int = 5) -> DataFrame:
-    """Interpolated quantile edges 0, 1/q, ..., 1 of ``c`` as one array row."""
-    return df.agg(F.percentile(F.col(c), F.array(*[F.lit(i / q) for i in range(q + 1)])).alias("edges"))
+def qcut_edges(df: DataFrame, c: str, q: int = 5) -> Column:
+    """Interpolated quantile edges 0, 1/q, ..., 1 of ``c`` (scalar array)."""
+    from stopcast.operators.quantiles import quantiles
+    return quantiles(df, c, [i / q for i in range(q + 1)])
 
 
 def qcut_expr(x: str | Column, edges: Column, q: int = 5) -> Column:
@@ -115,7 +115,7 @@ def qcut_expr(x: str | Column, edges: Column, q: int = 5) -> Column:
 def stop_tier(df: DataFrame, c: str = "stop_event_rate", q: int = 5, fit_on: DataFrame | None = None,
               out: str = "stop_tier") -> DataFrame:
     """FT5: 5 quantile tiers of the stop rate (qcut semantics)."""
-    edges = qcut_edges(fit_on if fit_on is not None else df, c, q).scalar()
+    edges = qcut_edges(fit_on if fit_on is not None else df, c, q)
     return df.withColumn(out, qcut_expr(c, edges, q))
 
 

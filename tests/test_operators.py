@@ -155,3 +155,18 @@ def test_edge_fixtures(spark):
     assert M.roc_auc(one).first()["roc_auc"] is None
     pm = M.point_metrics(one, 0.9).first()
     assert pm["precision"] == 0.0 and pm["recall"] == 0.0 and pm["f1"] == 0.0 and pm["accuracy"] == 1.0
+
+
+def test_ranked_quantiles_match_numpy(spark):
+    from stopcast.operators.quantiles import quantiles
+    rng = np.random.default_rng(5)
+    vals = list(np.round(rng.normal(size=301), 1)) + [None, None]        # ties + NULLs
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in vals], "x double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.98, 0.99, 1.0]
+    got = df.select(quantiles(df, "x", probs).alias("q")).first()["q"]
+    exp = np.quantile(np.array([v for v in vals if v is not None]), probs)
+    assert np.allclose(got, exp, rtol=0, atol=1e-12)
+    one = spark.createDataFrame([(3.5,)], "x double")
+    assert one.select(quantiles(one, "x", [0.5]).alias("q")).first()["q"] == [3.5]
+    empty = one.where("x > 10")
+    assert one.select(quantiles(empty, "x", [0.5]).alias("q")).first()["q"] == [None]
