@@ -19,7 +19,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def pin_utc(spark: SparkSession) -> None:
+    """Event times are UTC instants; every time expression (bins, day parts,
+    zone conversion) assumes a UTC session zone (SURVEY §1.4.17)."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with ``ts`` (timestamp_ntz on disk) as a session-zone timestamp."""
+    """``events`` with ``ts`` (timestamp_ntz on disk) as a UTC timestamp."""
+    pin_utc(spark)
     df = read_table(spark, sf_dir, "events")
     return df.withColumn("ts", F.col("ts").cast("timestamp"))

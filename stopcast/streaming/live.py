@@ -35,6 +35,8 @@ EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type strin
 def read_events_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
     """Stream the ``events`` parquet folder/file and shape it like the model
     events (stop from the JSON props, binary target)."""
+    from stopcast.sources.tables import pin_utc
+    pin_utc(spark)
     r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
