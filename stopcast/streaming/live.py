@@ -40,7 +40,8 @@ def read_events_stream(spark: SparkSession, sf_dir: str, max_files: int | None =
     r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    ev = r.parquet(f"{sf_dir}/events.parquet")
+    # the file stream source watches a directory; only the events file is read
+    ev = r.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return ev.select(
         "event_id", F.col("ts").cast("timestamp").alias("event_timestamp"), F.col("user_id").alias("user_pseudo_id"),
         F.get_json_object("props", "$.k").cast("int").alias("gtfs_stop_id"),
