@@ -188,12 +188,29 @@ _NR_COLS = ["event_id", "user_pseudo_id", "gtfs_stop_id", "target", "dist_device
             "stop_lat_event", "stop_lon_event", "user_frequency"]
 
 
-@query("null_report", with_(MODEL_EVENTS, "c AS (SELECT count(*) AS n, " + ", ".join(
-    f"sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n_{c}" for c in _NR_COLS) + " FROM model_events)") + "\n" + "\nUNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", CAST(n_{c} AS BIGINT) AS nulls, {snap(f'100.0 * n_{c} / n')} AS null_pct FROM c" for c in _NR_COLS))
+_NR_NUM = {"event_id", "user_pseudo_id", "gtfs_stop_id", "target", "dist_device_stop", "device_lat", "device_lon",
+           "stop_lat_event", "stop_lon_event", "user_frequency"}
+
+
+def _nr_sql(stage: str, filled: bool) -> str:
+    def isnull(c):
+        return "FALSE" if (filled and c in _NR_NUM) else f"{c} IS NULL"
+    cnt = "c AS (SELECT count(*) AS n, " + ", ".join(
+        f"sum(CASE WHEN {isnull(c)} THEN 1 ELSE 0 END) AS n_{c}" for c in _NR_COLS) + " FROM model_events)"
+    body = "\nUNION ALL ".join(
+        f"SELECT '{stage}' AS stage, '{c}' AS \"column\", CAST(n_{c} AS BIGINT) AS nulls, {snap(f'100.0 * n_{c} / n')} AS null_pct FROM c"
+        for c in _NR_COLS)
+    return f"SELECT * FROM (WITH {cnt} {body})"
+
+
+@query("null_report", with_(MODEL_EVENTS) + "\n" + _nr_sql("before_fill", False) + "\nUNION ALL " + _nr_sql("after_fill", True))
 def q_null_report(spark, sf):
-    """FLT10: nulls and % per column, one pass + stack."""
-    return out(C.null_report(_me(spark, sf).select(*_NR_COLS)))
+    """FLT10: nulls and % per column before and after ``fillna(0)``, one
+    aggregate pass each + stack."""
+    d = _me(spark, sf).select(*_NR_COLS)
+    before = C.null_report(d).withColumn("stage", F.lit("before_fill"))
+    after = C.null_report(C.fill_null(d, {}, numeric_zero=True)).withColumn("stage", F.lit("after_fill"))
+    return out(before.unionByName(after))
 
 
 # ------------------------------------------------------------ projections
