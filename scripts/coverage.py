@@ -20,6 +20,9 @@ ALIASES = {
     "geodesic_m": ["geodesic_m", "haversine_m"],
     "save_model": ["save_model"],
     "roc_points": ["roc_points", "roc_curve"],
+    "rate_by_hour": ["rate_by_hour", "best_rate_hour"],
+    "histogram": ["histogram", "histogram_below_q99", "histogram_marks"],
+    "events_by_hour": ["events_by_hour", "peak_hour"],
 }
 
 

@@ -285,3 +285,21 @@ def q_set_difference(spark, sf):
     allf = E.names_table(spark, CORR_FEATS)
     sel = _corr(spark, sf).where(F.abs("corr") >= 0.01)
     return E.set_difference(allf, sel)
+
+
+@query("best_rate_hour", W + f"\nSELECT arg_max(hour, (r, -hour)) AS best_hour, {snap('max(r)')} AS best_rate_pct FROM "
+       "(SELECT hour, avg(target) * 100.0 AS r FROM base GROUP BY hour)")
+def q_best_rate_hour(spark, sf):
+    """AG12: hour with the highest positive rate (ties -> earliest)."""
+    r = E.rate_by(_base(spark, sf), F.col("hour"), "hour")
+    return out(r.agg(F.max_by("hour", F.struct(F.col("rate_pct"), (-F.col("hour")).alias("h"))).alias("best_hour"),
+                     F.max("rate_pct").alias("best_rate_pct")))
+
+
+@query("histogram_marks", W + f"\nSELECT {snap('avg(user_frequency)')} AS mean, "
+       f"{snap('quantile_cont(user_frequency, 0.5)')} AS median FROM base WHERE user_frequency IS NOT NULL")
+def q_histogram_marks(spark, sf):
+    """AG26: the mean and median marks drawn on the histogram."""
+    from stopcast.operators.quantiles import quantile
+    b = _base(spark, sf).where(F.col("user_frequency").isNotNull())
+    return out(b.agg(F.avg("user_frequency").alias("mean")).select("mean", quantile(b, "user_frequency", 0.5).alias("median")))
