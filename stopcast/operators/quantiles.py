@@ -8,7 +8,9 @@ column, buckets of ~n/B rows), and the interpolated quantile (pandas /
 ``quantile_cont``: position h = (n-1) p, value x[floor h] + (h - floor h)
 (x[ceil h] - x[floor h])) is read from the two rows at those positions.
 ``approx=True`` uses the ``percentile_approx`` sketch instead (no shuffle,
-bounded memory, returns a data value).
+bounded memory, returns a data value).  Columns with at most
+``BUFFER_MAX_VALUES`` non-NULL values (counted first) use the exact
+``percentile`` aggregate, whose buffer that count bounds.
 """
 
 from __future__ import annotations
@@ -22,6 +24,9 @@ from pyspark.sql import functions as F
 from stopcast.operators.rowindex import global_row_index
 
 APPROX_ACCURACY = 10000
+# Up to this many values the exact ``percentile`` aggregate's value buffer is
+# a checked, bounded size and it is cheaper than ranking (no shuffle).
+BUFFER_MAX_VALUES = 2_000_000
 
 
 def quantiles(df: DataFrame, c: str | Column, probs: Sequence[float], approx: bool = False) -> Column:
@@ -34,6 +39,8 @@ def quantiles(df: DataFrame, c: str | Column, probs: Sequence[float], approx: bo
     n = d.count()                       # one number reaches the driver
     if n == 0:
         return F.array(*[F.lit(None).cast("double") for _ in probs])
+    if n <= BUFFER_MAX_VALUES:          # size checked: the aggregate's buffer is bounded by n
+        return d.agg(F.percentile(F.col("__x"), F.array(*[F.lit(float(p)) for p in probs]))).scalar()
     ix = global_row_index(d, order=("__x",), idx_col="__i")
     pos = []
     for p in probs:

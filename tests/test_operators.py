@@ -163,9 +163,15 @@ def test_ranked_quantiles_match_numpy(spark):
     vals = list(np.round(rng.normal(size=301), 1)) + [None, None]        # ties + NULLs
     df = spark.createDataFrame([(None if v is None else float(v),) for v in vals], "x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.98, 0.99, 1.0]
-    got = df.select(quantiles(df, "x", probs).alias("q")).first()["q"]
     exp = np.quantile(np.array([v for v in vals if v is not None]), probs)
-    assert np.allclose(got, exp, rtol=0, atol=1e-12)
+    import stopcast.operators.quantiles as Q
+    for buf in (Q.BUFFER_MAX_VALUES, 0):                   # aggregate path and ranked path
+        old, Q.BUFFER_MAX_VALUES = Q.BUFFER_MAX_VALUES, buf
+        try:
+            got = df.select(quantiles(df, "x", probs).alias("q")).first()["q"]
+        finally:
+            Q.BUFFER_MAX_VALUES = old
+        assert np.allclose(got, exp, rtol=0, atol=1e-12)
     one = spark.createDataFrame([(3.5,)], "x double")
     assert one.select(quantiles(one, "x", [0.5]).alias("q")).first()["q"] == [3.5]
     empty = one.where("x > 10")
