@@ -28,15 +28,25 @@ def _numeric_key(df: DataFrame, c: str) -> Column:
     return F.col(c).cast("double")
 
 
-def default_buckets(df: DataFrame) -> int:
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 200_000
+
+
+def default_buckets(df: DataFrame, n_rows: int | None = None) -> int:
+    """Enough buckets for the shuffle width, and for ~ROWS_PER_BUCKET rows
+    per bucket when the row count is known (so one bucket -- one window
+    task -- stays bounded as the data grows)."""
     sp = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    return max(8, sp * 4)
+    b = max(8, sp * 4)
+    if n_rows:
+        b = max(b, -(-n_rows // ROWS_PER_BUCKET))
+    return min(b, MAX_BUCKETS)
 
 
 def global_row_index(df: DataFrame, order: Sequence[str] = ORDER_COLS, idx_col: str = "row_idx",
                      n_buckets: int | None = None) -> DataFrame:
     """Add ``idx_col`` = 0-based position of the row in ``order``."""
-    B = n_buckets or default_buckets(df)
+    B = n_buckets or default_buckets(df, df.count())
     key = _numeric_key(df, order[0])
     probs = [i / B for i in range(1, B)]
     # B-1 boundaries (bounded by B), the only values that reach the driver
@@ -96,7 +106,7 @@ def prefix_before(df: DataFrame, order_col: str, cols: Sequence[str], *, descend
     each row in ``order_col`` order (values of ``order_col`` unique, e.g. an
     aggregated score table).  Same bucketed plan as ``global_row_index``:
     no single-partition window over the whole table."""
-    B = n_buckets or default_buckets(df)
+    B = n_buckets or default_buckets(df, df.count())
     key = _numeric_key(df, order_col)
     if descending:
         key = -key
