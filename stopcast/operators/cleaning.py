@@ -1,9 +1,9 @@
 """Projections, filters and cleaning.
 
-Quantile thresholds are lazy scalar subqueries (``DataFrame.scalar()``):
-computed by one distributed aggregate, no cross join, nothing collected.
-Filters run in sequence and every quantile is taken on what is left, as in
-the reference.
+Quantile thresholds are scalar subqueries (``DataFrame.scalar()``) from
+``stopcast.operators.quantiles`` (the column is counted first; only that
+count reaches the driver): no cross join.  Filters run in sequence and every
+quantile is taken on what is left, as in the reference.
 """
 
 from __future__ import annotations

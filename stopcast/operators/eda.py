@@ -1,11 +1,12 @@
 """Exploratory aggregates, top-k and set operators (SURVEY §2.4 AG9-AG28,
 §2.6, §2.7).
 
-Every statistic is one distributed aggregate; wide results are unpivoted
-with ``stack`` into tidy long tables.  Quantiles are exact interpolated
-``percentile`` (pandas ``quantile``), with ``percentile_approx`` available
-for very large inputs.  Top-k uses a total order (value desc, then key) so
-ties are deterministic.
+Statistics are distributed aggregates; wide results are unpivoted with
+``stack`` into tidy long tables.  Quantiles are exact and interpolated
+(pandas ``quantile``) via ``stopcast.operators.quantiles`` (size-checked
+aggregate or ranked positions), with the ``percentile_approx`` sketch as an
+option.  Top-k uses a total order (value desc, then key) so ties are
+deterministic.
 """
 
 from __future__ import annotations
