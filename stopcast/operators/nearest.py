@@ -44,13 +44,12 @@ def _best(lat: Column, lon: Column) -> Column:
 def nearest_join(left: DataFrame, stops: DataFrame, *, lat: str, lon: str, stop_id: str = "stop_id",
                  stop_lat: str = "stop_lat", stop_lon: str = "stop_lon", out: str = "nearest_stop_id",
                  out_dist: str | None = None, cell: float = 0.01, growth: float = 16.0,
-                 max_final_stops: int = 5_000_000) -> DataFrame:
+                 final_chunk: int = 100_000) -> DataFrame:
     """Add ``out`` (and optionally ``out_dist``, Euclidean degrees) to every
     row of ``left``: the stop with the smallest Euclidean lat/lon distance.
     Rows with a NULL coordinate get NULL.  Stops with NULL coordinates are
-    ignored.  The last (whole-globe) level holds every stop in one candidate
-    array, so the stop count is checked against ``max_final_stops`` before
-    that level is planned."""
+    ignored.  On the last (whole-globe) level the stops are split into
+    candidate arrays of at most ``final_chunk`` entries."""
     s = (stops.select(F.col(stop_id).alias("__sid"), F.col(stop_lat).cast("double").alias("__slat"),
                       F.col(stop_lon).cast("double").alias("__slon"))
          .where(F.col("__slat").isNotNull() & F.col("__slon").isNotNull()))
@@ -103,15 +102,30 @@ def nearest_join(left: DataFrame, stops: DataFrame, *, lat: str, lon: str, stop_
     pts = rest.select(la.alias("__plat"), lo.alias("__plon")).distinct()
     la_p, lo_p = F.col("__plat"), F.col("__plon")
     for i, c in enumerate(levels[1:], start=1):
-        final = i == len(levels) - 1
-        if final:
-            n_stops = s.count()          # the final level holds every stop: check the bound
-            if n_stops > max_final_stops:
-                raise ValueError(f"nearest_join: {n_stops} stops exceed max_final_stops={max_final_stops}")
-        ci, cj = _cells(c, la_p, lo_p) if not final else (F.lit(0).cast("long"), F.lit(0).cast("long"))
-        j = pts.withColumns({"__ci": ci, "__cj": cj}).join(cand_table(c, final), on=["__ci", "__cj"], how="left")
+        if i == len(levels) - 1:
+            # Whole-globe level: every stop is a candidate.  Stops are cut into
+            # chunks of at most ``final_chunk`` (exact positions in hash order),
+            # each point meets every chunk through an equi-join on the exploded
+            # chunk id, and the minimum (d2, id) over the chunks is exact.
+            from stopcast.operators.resample import hash_key
+            from stopcast.operators.rowindex import global_row_index
+            n_stops = s.count()
+            n_chunks = max(1, -(-n_stops // final_chunk))
+            ix = global_row_index(s.withColumn("__hk", hash_key(0, "__sid")), order=("__hk", "__sid"), idx_col="__r")
+            chunks = (ix.select(F.floor(F.col("__r") / F.lit(final_chunk)).alias("__chunk"),
+                                F.struct(F.col("__slat").alias("lat"), F.col("__slon").alias("lon"),
+                                         F.col("__sid").alias("id")).alias("__s"))
+                        .groupBy("__chunk").agg(F.collect_list("__s").alias("__cands")))
+            fin = (pts.select("__plat", "__plon", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                       F.lit(n_chunks - 1).cast("long"))).alias("__chunk"))
+                      .join(chunks, "__chunk", "left")
+                      .groupBy("__plat", "__plon").agg(F.min(_best(la_p, lo_p)).alias(f"__best{i}")))
+            pts = pts.join(fin, ["__plat", "__plon"], "left").withColumn(f"__ok{i}", F.lit(True))
+            continue
+        ci, cj = _cells(c, la_p, lo_p)
+        j = pts.withColumns({"__ci": ci, "__cj": cj}).join(cand_table(c, False), on=["__ci", "__cj"], how="left")
         best = _best(la_p, lo_p)
-        ok = F.lit(True) if final else F.coalesce(best["d2"] <= F.lit(c * c * (1 - 1e-9)), F.lit(False))
+        ok = F.coalesce(best["d2"] <= F.lit(c * c * (1 - 1e-9)), F.lit(False))
         pts = j.withColumns({f"__best{i}": best, f"__ok{i}": ok}).drop("__ci", "__cj", "__cands")
     pick = F.coalesce(*[F.when(F.col(f"__ok{i}"), F.col(f"__best{i}")) for i in range(1, len(levels))])
     sol = pts.select("__plat", "__plon", pick.alias("__pick"))

@@ -34,6 +34,10 @@ def test_nearest_join_matches_bruteforce_incl_far_points(spark):
         best = min(stops, key=lambda s: ((s[1] - la) * (s[1] - la) + (s[2] - lo) * (s[2] - lo), s[0]))
         assert got[i] == best[0], i
     assert len(got) == len(pts)
+    # many small candidate chunks on the whole-globe level give the same answer
+    small = {r["id"]: r["nearest_stop_id"] for r in
+             nearest_join(pdf, sdf, lat="lat", lon="lon", final_chunk=7).select("id", "nearest_stop_id").collect()}
+    assert small == got
 
 
 def test_global_row_index_and_split(spark):
