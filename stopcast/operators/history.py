@@ -13,6 +13,10 @@ partitioned by the key, the frame is split in two parts that add up exactly
 * rows of the same key earlier in the *same bucket*: a window partitioned by
   ``(key, bucket)``, so a hot key is spread over all of its buckets.
 
+Keys that hold more than ``HOT_FRACTION`` of all rows (a list of at most
+1/HOT_FRACTION keys, broadcast) use ``HOT_BUCKET_SECONDS`` buckets instead of
+``DEFAULT_BUCKET_SECONDS``, so one (hot key, bucket) slice stays small.
+
 Count, sum, non-null count, max(ts), sums of x and x^2 are all decomposable,
 so mean, rate, sample std and recency are exact.  Null keys get no history
 (pandas ``==`` never matches NaN).
