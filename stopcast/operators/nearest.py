@@ -111,7 +111,10 @@ def nearest_join(left: DataFrame, stops: DataFrame, *, lat: str, lon: str, stop_
             from stopcast.operators.rowindex import global_row_index
             n_stops = s.count()
             n_chunks = max(1, -(-n_stops // final_chunk))
-            ix = global_row_index(s.withColumn("__hk", hash_key(0, "__sid")), order=("__hk", "__sid"), idx_col="__r")
+            if n_chunks == 1:            # one chunk: no positions needed
+                ix = s.withColumn("__r", F.lit(0).cast("long"))
+            else:
+                ix = global_row_index(s.withColumn("__hk", hash_key(0, "__sid")), order=("__hk", "__sid"), idx_col="__r")
             chunks = (ix.select(F.floor(F.col("__r") / F.lit(final_chunk)).alias("__chunk"),
                                 F.struct(F.col("__slat").alias("lat"), F.col("__slon").alias("lon"),
                                          F.col("__sid").alias("id")).alias("__s"))
