@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopcast.semantics import col
+from stopcast.semantics import col, require
 
 # Fixed value of the reference: headway when a stop/hour has no service.
 HEADWAY_DEFAULT = 3600.0
@@ -45,6 +45,9 @@ def join_headway(df: DataFrame, stop_times: DataFrame, frequencies: DataFrame, *
 
     The (stop, hour) table is bounded by stops x hours; AQE broadcasts it at
     runtime when it fits, otherwise it is a shuffle join."""
+    require(df, [stop, hour], "join_headway")
+    require(stop_times, ["trip_id", "stop_id"], "join_headway (stop_times)")
+    require(frequencies, ["trip_id", "start_time", "headway_secs"], "join_headway (frequencies)")
     h = headway_avg(stop_times, frequencies)
     cond = [F.col(stop).cast("string") == F.col("__hs"), F.col(hour) == F.col("__hh")]
     j = df.join(h.select(F.col("stop_id").alias("__hs"), F.col("start_hour").alias("__hh"), "headway_avg_stop_hour"),

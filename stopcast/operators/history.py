@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stopcast.semantics import ORDER_COLS, whole_days
+from stopcast.semantics import ORDER_COLS, require, whole_days
 
 DEFAULT_BUCKET_SECONDS = 3600
 # Hot keys (more than HOT_FRACTION of all rows: at most 1/HOT_FRACTION keys)
@@ -82,6 +82,7 @@ def expanding_history(
     ``{prefix}_recency`` (whole days, NULL when no history) if ``recency``;
     ``{prefix}_mean_{c}`` / ``{prefix}_std_{c}`` (NULL when undefined).
     """
+    require(df, [key, *order, *([target] if target else []), *mean_cols, *std_cols], "expanding_history")
     ts = order[0]
     k, b, hot = f"__{prefix}_k", f"__{prefix}_b", f"__{prefix}_hot"
     source = df if totals_from is None else totals_from

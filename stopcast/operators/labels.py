@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopcast.semantics import col
+from stopcast.semantics import col, require
 
 # Fixed values of the reference: class names and the binary map.
 CLASS_LOW, CLASS_MID, CLASS_HIGH = "Baixa", "Média", "Alta"
@@ -67,6 +67,7 @@ def join_window_label(df: DataFrame, *, stop: str = "gtfs_stop_id", user: str =
     Left equi-join of events with the (stop, bin) counts.  The count table
     is co-partitioned on (stop, bin) by its aggregate; AQE broadcasts it when
     small.  Events without stop get NULL labels."""
+    require(df, [stop, user, ts], "join_window_label")
     counts = users_per_bin(df, stop=stop, user=user, ts=ts, width=width, approx=approx)
     ev = df.withColumn("time_bin", time_floor(ts, width))
     j = ev.join(counts, on=[stop, "time_bin"], how="left")

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stopcast.semantics import require
+
 OFFSETS = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
 
 
@@ -50,6 +52,8 @@ def nearest_join(left: DataFrame, stops: DataFrame, *, lat: str, lon: str, stop_
     Rows with a NULL coordinate get NULL.  Stops with NULL coordinates are
     ignored.  On the last (whole-globe) level the stops are split into
     candidate arrays of at most ``final_chunk`` entries."""
+    require(left, [lat, lon], "nearest_join")
+    require(stops, [stop_id, stop_lat, stop_lon], "nearest_join (stops)")
     s = (stops.select(F.col(stop_id).alias("__sid"), F.col(stop_lat).cast("double").alias("__slat"),
                       F.col(stop_lon).cast("double").alias("__slon"))
          .where(F.col("__slat").isNotNull() & F.col("__slon").isNotNull()))

@@ -49,7 +49,10 @@ def build_features(raw: DataFrame, stops: DataFrame, stop_times: DataFrame, freq
     per-event stage (parse, distance UDF, nearest stop) and after the labelled
     features, because the label counts, holiday years, per-stop statistics
     and label codes each read the frame again."""
+    from stopcast.semantics import require
     from stopcast.session import materialize
+    require(raw, ["event_id", "event_timestamp", "event_name", "user_pseudo_id", "device_point", "ctm_stop_point"],
+            "build_features")
     df = C.filter_event(raw)
     if tz:
         df = df.withColumn("event_timestamp", cal.tz_convert("event_timestamp", tz))
