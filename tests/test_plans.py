@@ -92,3 +92,15 @@ def test_streaming_history_matches_batch(spark):
     exp = history_features(A.model_events(spark, SF001), [("user", "user_pseudo_id", True)]).collect()
     for r in exp:
         assert got[r["event_id"]] == (r["user_hist_count"], r["user_recency_days"])
+
+
+def test_streaming_users_per_bin_matches_batch(spark):
+    from stopcast.operators.labels import users_per_bin
+    from stopcast.streaming import live as L
+    s = L.users_per_bin_stream(L.read_events_stream(spark, SF001))
+    path = L.run_to_table(s, spark, "test-st1")
+    got = {(r["gtfs_stop_id"], r["time_bin"]): r["user_count"]
+           for r in L.latest(spark, path, ["gtfs_stop_id", "time_bin"]).collect()}
+    exp = {(r["gtfs_stop_id"], r["time_bin"]): r["user_count"]
+           for r in users_per_bin(A.model_events(spark, SF001), width="2 minutes").collect()}
+    assert got == exp
