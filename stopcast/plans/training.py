@@ -25,10 +25,11 @@ def rf_frame(df: DataFrame, *, warmup: int = WARMUP_ROWS) -> DataFrame:
     return with_rf_features(df)
 
 
-def clean_rf(df: DataFrame, *, coord_nulls: str = "zero_fill") -> DataFrame:
+def clean_rf(df: DataFrame, *, coord_nulls: str = "zero_fill", approx: bool = False) -> DataFrame:
     """RF cleaning: fillna(0) on numerics, ``user_frequency >= 2``, coords
     (after the fill only exact (0,0) rows go: 'zero_fill'; 'drop' filters
-    real NULLs first), ``dist < Q99`` on what is left."""
+    real NULLs first), ``dist < Q99`` on what is left (``approx``: sketch
+    quantile instead of the exact one)."""
     if coord_nulls == "drop":
         df = C.coords_valid(df)
     df = C.fill_null(df, {}, numeric_zero=True)
@@ -37,18 +38,19 @@ def clean_rf(df: DataFrame, *, coord_nulls: str = "zero_fill") -> DataFrame:
     if "device_lat" in df.columns:
         df = C.coords_valid(df)
     if "dist_device_stop" in df.columns:
-        df = C.dist_quantile(df, 0.99, inclusive=False)
+        df = C.dist_quantile(df, 0.99, inclusive=False, exact=not approx)
     return df
 
 
-def clean_knn(df: DataFrame) -> DataFrame:
-    """k-NN cleaning: user_frequency >= Q10, coords on real NULLs, dist <= Q98."""
+def clean_knn(df: DataFrame, *, approx: bool = False) -> DataFrame:
+    """k-NN cleaning: user_frequency >= Q10, coords on real NULLs, dist <= Q98
+    (``approx``: sketch quantiles instead of exact ones)."""
     if "user_frequency" in df.columns:
-        df = C.freq_quantile(df, 0.10)
+        df = C.freq_quantile(df, 0.10, exact=not approx)
     if "device_lat" in df.columns:
         df = C.coords_valid(df)
     if "dist_device_stop" in df.columns:
-        df = C.dist_quantile(df, 0.98, inclusive=True)
+        df = C.dist_quantile(df, 0.98, inclusive=True, exact=not approx)
     return df
 
 
