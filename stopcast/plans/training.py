@@ -54,16 +54,17 @@ def clean_knn(df: DataFrame, *, approx: bool = False) -> DataFrame:
     return df
 
 
-def training_table(events: DataFrame, *, k: int = 3, extra: bool = False) -> DataFrame:
+def training_table(events: DataFrame, *, k: int = 3, extra: bool = False, approx: bool = False) -> DataFrame:
     """History features -> clean -> positions taken after cleaning ->
-    ``fold`` / ``is_train`` / ``is_test`` of TimeSeriesSplit(k)."""
+    ``fold`` / ``is_train`` / ``is_test`` of TimeSeriesSplit(k).  ``approx``
+    uses sketch quantiles in the cleaning filters."""
     from stopcast.session import materialize
     df = rf_frame(events)
     if extra:
         df = with_scores(with_poly_terms(df))
     # the cleaning quantiles and the split's count / boundaries each read the
     # frame again: compute the history once and the cleaned table once
-    df = materialize(clean_rf(materialize(df)))
+    df = materialize(clean_rf(materialize(df), approx=approx))
     return time_series_split(df, k)
 
 
