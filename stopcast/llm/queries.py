@@ -9,8 +9,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stopcast.llm import bpe_sql, token_counts
+from stopcast.llm import bpe_sql, simhash_bk, token_counts, topk
 from stopcast.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,27 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every 20th embedding."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+ORACLES["op3_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+
 @query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text under word_bpe_49k.json."""
@@ -33,3 +55,9 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every whole text and back."""
     return bpe_sql.bpe_round_trip(read(spark, sf_dir, "documents"),
                                   public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash classes of all documents: 3-word shingles, 3 bits."""
+    return simhash_bk.near_duplicates(read(spark, sf_dir, "documents"), words=3, radius=3)
