@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopcast.llm import bpe_sql, simhash_bk, token_counts, topk
+from stopcast.llm import bpe_sql, simhash_bk, token_counts, topk, warc
 from stopcast.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,32 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back."""
+    return warc.archive_round_trip(read(spark, sf_dir, "pages"))
+
+
+ORACLES["op2_warc"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex,
+         min(page_id) OVER (PARTITION BY sha1(payload)) AS first
+  FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + CAST(substr(bits, 1 + 5 * CAST(i AS INTEGER), 5)::BIT::INTEGER AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM (SELECT *, array_to_string(list_transform(range(40), lambda i:
+        ['0000', '0001', '0010', '0011', '0100', '0101', '0110', '0111', '1000', '1001', '1010', '1011',
+         '1100', '1101', '1110', '1111'][instr('0123456789abcdef', substr(hex, 1 + CAST(i AS INTEGER), 1))]), '') AS bits
+      FROM d)
+"""
+
+
 @query
 def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best inner products of every 20th embedding."""
