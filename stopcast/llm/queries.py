@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopcast.llm import bpe_sql, decontam, simhash_bk, token_counts, topk, warc, wavelet
+from stopcast.llm import bpe_sql, decontam, simhash_bk, token_counts, topk, toxicity, warc, wavelet
 from stopcast.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    return toxicity.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query
 def op6_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text written as wavelet matrices and read back."""
