@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopcast.llm import bpe_sql, decontam, simhash_bk, token_counts, topk, toxicity, warc, wavelet
+from stopcast.llm import bpe_sql, decontam, simhash_bk, suffix_dedup, token_counts, topk, toxicity, warc, wavelet
 from stopcast.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of each document without 100-byte strings seen earlier."""
+    return suffix_dedup.duplicate_substrings(read(spark, sf_dir, "documents"))
+
+
 @query
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record and read back."""
