@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopcast.llm import bpe_sql, decontam, simhash_bk, suffix_dedup, token_counts, topk, toxicity, warc, wavelet
+from stopcast.llm import bpe_sql, decontam, pii_crf, simhash_bk, suffix_dedup, token_counts, topk, toxicity, warc, wavelet
 from stopcast.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,12 @@ def op6_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_file_round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text."""
+    return pii_crf.personal_data(read(spark, sf_dir, "documents"))
+
+
 @query
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every whole text and back."""
