@@ -189,3 +189,20 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3,
     classes = nodes.join(roots, "node", "left").select("print", F.coalesce("root", "node").alias("component_id"))
     return prints.join(classes, "print", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns, one of each class: that with the smallest
+    id (rows without an id last, equal ids as they are read).
+
+    ``docs`` must be a table, so that its rows come in the same order when it
+    is read again.  Every row takes part, with or without an id, and repeated
+    rows are copies like others.
+    """
+    row = "row of the table"
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    classes = near_duplicates(rows, words, radius, row, text_col).select(F.col("doc_id").alias(row), "component_id")
+    order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row))
+    kept = classes.join(rows.select(id_col, row), row).groupBy("component_id").agg(F.min(order).alias("first")) \
+        .select(F.col("first").getField(row).alias(row))
+    return rows.join(stored(kept, "kept"), row, "left_semi").drop(row)
