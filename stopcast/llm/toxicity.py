@@ -13,8 +13,8 @@ over the whole text and in its most toxic windows; a logistic curve, fitted on
 labelled rows that these counts have not seen, turns it into a probability.
 
 Counts are gathered by one pass over all documents, combined per task and then
-by Spark.  What scoring needs is folded into tables of a fixed number of slots
-(SLOTS, CONTEXTS), so that the broadcast has a bound whatever the corpus.
+by Spark.  What scoring needs is folded into tables of a fixed number of slots, so
+that the broadcast has a bound whatever the corpus.
 """
 
 from __future__ import annotations
@@ -32,26 +32,32 @@ from stopcast.llm.common import stored
 
 ORDER = 5                   # symbols of an expression
 BITS = 12                   # bits of a symbol
-SLOTS, CONTEXTS = 4_194_301, 1_048_573      # primes; a slot is the packed expression modulo them
+#: Slots of the tables of class expressions, their contexts, and the shared
+#: expressions and contexts of each length: primes, a slot is the packed
+#: expression modulo them.
+TOP, AFTER = 2_097_143, 524_287
+LOW = {4: 1_048_573, 3: 262_139, 2: 65_521, 1: 4_093}
+LOW_AFTER = {4: 524_287, 3: 131_071, 2: 32_749, 1: 1_021}
 DISCOUNT = 0.75
 WINDOWS = (4, 16, 64)       # words
 BEST = (1, 3, 8)            # words of most evidence, each counted once
 FEATURES = 2 + len(WINDOWS) + len(BEST)
 LABELS_SENT = 1_000_000     # labelled rows up to which they are broadcast for the join
 CURVE_ROWS = 200_000        # labelled rows, at most, that fit the logistic curve
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 COUNTS = ("n_all", "toxic_fit", "plain_fit", "toxic_cal", "plain_cal")
-PUNCTUATION = str.maketrans({c: " " for c in "\t\n\r\x0b\x0c.,;:!?\"'()[]{}<>|/\\*&%$#@=+~^`_-"})
+PUNCTUATION = ".,;:!?\"'()[]{}<>|/\\*&%$#@=+~^`_-"
 
 
 def words_of(text: str) -> list[str]:
-    return text.lower().translate(PUNCTUATION).split()
+    return text.lower().split()
 
 
 def symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Expressions of every word, one per symbol and one for its end, as
-    packed integers; and the word each belongs to.  Code points below 3,500
+    """Expressions of every word (punctuation at its ends left out), one per
+    symbol and one for its end, as packed integers; and the word each belongs to.  Code points below 3,500
     are symbols of their own, the others share what is left."""
+    words = [w.strip(PUNCTUATION) for w in words]
     lens = np.fromiter(map(len, words), np.int64, len(words)) + 1
     raw = np.frombuffer("\x01".join(words).encode("utf-32-le") + "\x01".encode("utf-32-le"), "<u4").astype(np.int64)
     raw = np.where(raw < 3500, raw, 3500 + raw % ((1 << BITS) - 3500))
@@ -109,20 +115,20 @@ def slot(key: Column, size: int) -> Column:
 
 
 def model_tables(grams: DataFrame, toxic: list[str], plain: list[str]) -> dict[str, tuple[int, pa.Table]]:
-    """The tables that scoring needs, each of at most SLOTS or CONTEXTS rows;
+    """The tables that scoring needs, each of at most as many rows as its slots;
     the class counts are the sums of the named columns."""
     low = (1 << BITS * (ORDER - 1)) - 1
     t, o = sum((F.col(c) for c in toxic), F.lit(0)), sum((F.col(c) for c in plain), F.lit(0))
     top = grams.select("gram", t.alias("t"), o.alias("o"))
     seen = top.where("t + o > 0")
-    out = {"top": (SLOTS, seen.groupBy(slot(F.col("gram"), SLOTS)).agg(F.sum("t").alias("t"), F.sum("o").alias("o"))),
-           "after": (CONTEXTS, seen.groupBy(slot(F.shiftright("gram", BITS), CONTEXTS)).agg(
+    out = {"top": (TOP, seen.groupBy(slot(F.col("gram"), TOP)).agg(F.sum("t").alias("t"), F.sum("o").alias("o"))),
+           "after": (AFTER, seen.groupBy(slot(F.shiftright("gram", BITS), AFTER)).agg(
                F.sum("t").alias("t"), F.sum("o").alias("o"),
                F.sum((F.col("t") > 0).cast("int")).alias("kinds_t"), F.sum((F.col("o") > 0).cast("int")).alias("kinds_o")))}
     below = grams.groupBy(F.col("gram").bitwiseAND(F.lit(low)).alias("gram")).agg(F.count("*").alias("n"))
     for k in range(ORDER - 1, 0, -1):
-        out[f"low{k}"] = (SLOTS, below.groupBy(slot(F.col("gram"), SLOTS)).agg(F.sum("n").alias("n")))
-        out[f"after{k}"] = (CONTEXTS, below.groupBy(slot(F.shiftright("gram", BITS), CONTEXTS)).agg(
+        out[f"low{k}"] = (LOW[k], below.groupBy(slot(F.col("gram"), LOW[k])).agg(F.sum("n").alias("n")))
+        out[f"after{k}"] = (LOW_AFTER[k], below.groupBy(slot(F.shiftright("gram", BITS), LOW_AFTER[k])).agg(
             F.sum("n").alias("n"), F.count("*").alias("kinds")))
         if k > 1:
             below = below.groupBy(F.col("gram").bitwiseAND(F.lit((1 << BITS * (k - 1)) - 1)).alias("gram")) \
