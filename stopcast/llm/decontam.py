@@ -190,8 +190,9 @@ class Index:
             row, block = np.nonzero(bound >= threshold - 1e-9)
             which, start = np.unique(row, return_index=True)
             low, high = np.searchsorted(passage, [which + a, which + a + 1])
-            for p, i, j, b, e in zip((which + a).tolist(), start.tolist(), [*start[1:].tolist(), len(row)], low.tolist(),
-                                     high.tolist(), strict=True):
+            stop = np.r_[start, len(row)][1:]
+            for p, i, j, b, e in zip((which + a).tolist(), start.tolist(), stop.tolist(), low.tolist(), high.tolist(),
+                                     strict=True):
                 yield int(owner[p]), int(p - base[owner[p]]) * self.stride, term[b:e].tolist(), block[i:j].tolist()
 
     def verify(self, words: list[str], at: int, item: int) -> tuple[float, float, bool]:

@@ -277,7 +277,9 @@ class WarcReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return list_stretches(self.path)
 
-    def read(self, partition: Stretch) -> Iterator[tuple]:
+    def read(self, partition: Stretch | None) -> Iterator[tuple]:
+        if partition is None:       # an archive without files
+            return
         system, _ = pafs.FileSystem.from_uri(self.path)
         with system.open_input_file(partition.path) as raw, io.BufferedReader(raw, 1 << 20) as f:
             for row in read_records(f, partition.start, partition.end, self.tests, "payload" in self.columns,
