@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Callable, Hashable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,3 +87,18 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components: no fixpoint after {max_rounds} rounds")
     roots = cur.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(roots.select("root", "root").distinct())
+
+
+T = TypeVar("T")
+_STATE: dict = {}
+
+
+def worker_state(key: Hashable, make: Callable[[], T]) -> T:
+    """What an operator keeps in a Python worker from task to task (a model,
+    a coder, a cache).  A worker keeps that of one operator only: Spark reuses
+    workers, and a pipeline's stages would add up in their memory."""
+    if key not in _STATE:
+        _STATE.clear()
+        gc.collect()
+        _STATE[key] = make()
+    return _STATE[key]

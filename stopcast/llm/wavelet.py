@@ -19,6 +19,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import zstandard
 from pyarrow import fs as pafs
@@ -26,12 +27,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stopcast.llm.bpe_sql import units_of
-from stopcast.llm.common import shared_folder, stored
+from stopcast.llm.common import shared_folder, stored, worker_state
 from stopcast.llm.token_counts import text_groups
+from stopcast.llm.units import Rows, UnitCoder
 
 SHARD_TOKENS = 2_000_000    # ids after which a shard file is closed
 CACHE_UNITS = 1_000_000     # units whose ids a worker keeps; emptied beyond
+RUN_WORDS = 20_000          # pre-tokens that the library is given as one text
 MAGIC = b"WVM1"
 BLOCK = 512                 # bits between stored counts
 
@@ -168,10 +170,10 @@ class TokenShard:
         return cls(WaveletMatrix(planes, n), json.loads(parts[0]), np.frombuffer(parts[1], "<i8"))
 
 
-class UnitEncoder:
-    """Ids of whole texts by a byte-level tokenizer file, with a bounded cache
-    of units between spaces (see ``units_of``).  A text that holds the string
-    of a special token is given to the library whole."""
+class ByteEncoder:
+    """Ids of whole texts by a byte-level tokenizer file (see ``UnitCoder``).
+    A text that holds the string of a special token is given to the library
+    whole."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -183,30 +185,50 @@ class UnitEncoder:
         self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self.kind = np.uint16 if self.bits <= 16 else np.uint32
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.cache: dict[str, bytes] = {}
+        # a byte-level token has a character for each of its bytes
+        self.size = np.zeros(1 << self.bits, np.int64)
+        for token, i in spec["model"]["vocab"].items():
+            self.size[i] = len(token)
+        self.coder = UnitCoder(public_tokenizers.PATTERN, self.words, [self.kind], CACHE_UNITS)
+
+    def words(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of pre-tokens, by the library in long runs: a word after a space
+        is a pre-token of its own, so ids are told apart by their bytes."""
+        run = [i for i, w in enumerate(words) if w[0] == " " and w[1:].isalnum()]
+        known = set(run)
+        apart = [i for i in range(len(words)) if i not in known]
+        place = run + apart
+        ids, lens = [], []
+        for a in range(0, len(run), RUN_WORDS):
+            some = [words[i] for i in run[a:a + RUN_WORDS]]
+            got, = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)
+            ids.append(np.array(got.ids, self.kind))
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, some)), np.int64, len(some)))
+            done = np.cumsum(self.size[ids[-1]])
+            last = np.minimum(np.searchsorted(done, ends), len(done) - 1)
+            if not np.array_equal(done[last], ends):
+                raise ValueError("a token crosses two pre-tokens")
+            lens.append(np.diff(last, prepend=-1))
+        if apart:
+            got = self.tokenizer.encode([words[i] for i in apart], is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(got.ids, self.kind))
+            lens.append(np.bincount(np.array(got.word_ids, np.int64), minlength=len(apart)))
+        rows = Rows(self.kind)
+        rows.add(np.concatenate(ids), np.concatenate(lens))
+        back = np.empty(len(words), np.int64)
+        back[place] = np.arange(len(words))
+        flat, starts = rows.gather(back)
+        return [(flat, np.diff(starts))]
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of every text."""
+        whole = [any(s in t for s in self.special) for t in texts]
+        (ids, starts), = self.coder(["" if w else t for t, w in zip(texts, whole, strict=True)])
+        cut = starts.tolist()
+        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.kind) if w else ids[a:b]
+                for t, w, a, b in zip(texts, whole, cut, cut[1:], strict=False)]
 
-    def learn(self, units: list[str]) -> None:
-        got = self.tokenizer.encode(units, is_pretokenized=True, add_special_tokens=False)
-        flat = np.array(got.ids, self.kind).tobytes()
-        words = np.array([w for w in got.word_ids], np.int64)
-        ends = (np.cumsum(np.bincount(words, minlength=len(units))) * self.kind().itemsize).tolist()
-        self.cache.update((u, flat[a:b]) for u, a, b in zip(units, [0, *ends[:-1]], ends, strict=True))
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        whole = [any(s in t for s in self.special) for t in texts]
-        cut = [[] if w else units_of(t) for t, w in zip(texts, whole, strict=True)]
-        new = set().union(*cut).difference(self.cache, ("",))
-        if len(self.cache) + len(new) > CACHE_UNITS:
-            self.cache.clear()
-            new = set().union(*cut).difference(("",))
-        self.cache[""] = b""
-        if new:
-            self.learn(list(new))
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.kind).tobytes() if w
-                else b"".join(map(self.cache.__getitem__, c)) for t, w, c in zip(texts, whole, cut, strict=True)]
-
-
-_ENCODERS: dict[str, UnitEncoder] = {}
 FILES = "file string, first_id bigint, first_row bigint, n_tokens bigint"
 
 
@@ -226,20 +248,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     ranged = rows.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _ENCODERS:
-            _ENCODERS[tokenizer] = UnitEncoder(tokenizer)
-        encode = _ENCODERS[tokenizer]
-        end = np.array([end_id], encode.kind).tobytes()
+        encode = worker_state(("wavelet", tokenizer), lambda: ByteEncoder(tokenizer))
+        end = np.array([end_id], encode.kind)
         system, root = pafs.FileSystem.from_uri(path)
         system.create_dir(root, recursive=True)
         ids: list[int | None] = []
-        parts: list[bytes] = []
+        parts: list[np.ndarray] = []
         size, first = 0, None
 
         def close() -> pa.RecordBatch:
             nonlocal ids, parts, size, first
-            ends = np.cumsum([len(p) // encode.kind().itemsize for p in parts])
-            flat = np.frombuffer(b"".join(parts), encode.kind)
+            ends = np.cumsum([len(p) + 1 for p in parts])
+            flat = np.concatenate([x for p in parts for x in (p, end)])
             name = f"{uuid.uuid4().hex}.wvm"
             with system.open_output_stream(posixpath.join(root, name), compression=None) as f:
                 f.write(TokenShard(WaveletMatrix.build(flat, encode.bits), ids, ends).to_bytes())
@@ -256,8 +276,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 for i, got in zip(range(s.start, s.stop), encode(texts[s]), strict=True):
                     first = first or (doc_ids[i], numbers[i])
                     ids.append(doc_ids[i])
-                    parts.append(got + end)
-                    size += len(parts[-1]) // encode.kind().itemsize
+                    parts.append(got)
+                    size += len(got) + 1
                     if size >= SHARD_TOKENS:
                         yield close()
         if ids:
