@@ -7,8 +7,8 @@ word's leftmost minimum-rank pair until no word has one left.  Decoding joins
 token ids to their bytes and puts them together by an ordered aggregation.
 
 Documents are map-only work: nothing is shuffled.  A text is cut at spaces
-that a non-space follows, where the split pattern always starts a new match,
-so the units between are encoded once per worker and reused (bounded cache).
+that a non-space follows, where the split pattern always starts a new match;
+units and pre-tokens are encoded once per worker and reused (``UnitCoder``).
 """
 
 from __future__ import annotations
@@ -21,17 +21,15 @@ from collections.abc import Iterator
 import duckdb
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
+from stopcast.llm.common import worker_state
 from stopcast.llm.token_counts import text_groups
+from stopcast.llm.units import Rows, UnitCoder
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-CACHE_UNITS = 400_000       # units kept by a worker; the cache is emptied beyond
+CACHE_UNITS = 800_000       # units kept by a worker; the cache is emptied beyond
 CHUNK_BYTES = 1_000_000     # bytes of distinct pre-tokens in one recursive query
-#: A space that starts a pre-token: the next character is no white space.
-UNIT_CUT = regex.compile(r" (?=[^\s\x1c-\x1f\x85])")
-ODD_SPACE = regex.compile(r" [\s\x1c-\x1f\x85]| $")
 
 #: place = word << 24 | position; every word ends with a row of token -1, which
 #: pairs with nothing.  The inner ORDER BY gives the windows their order.
@@ -71,17 +69,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def units_of(text: str) -> list[str]:
-    """``text`` cut before each space that starts a pre-token; joined, the
-    units are the text.  No match of the split pattern crosses a cut: white
-    space matches stop before the last space when something follows it."""
-    if ODD_SPACE.search(text):
-        parts = UNIT_CUT.split(text)
-    else:
-        parts = text.split(" ")
-    return [parts[0], *[" " + p for p in parts[1:]]]
-
-
 def positions(lens: np.ndarray) -> np.ndarray:
     """row << 24 | position for rows of the given lengths."""
     if len(lens) and int(lens.max()) > 1 << 24:
@@ -94,7 +81,7 @@ class SqlBPE:
     """Encoder and decoder of one rank file."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks, self.split = ranks, regex.compile(pattern)
+        self.ranks = ranks
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         both, rank = [], []
         for token, r in ranks.items():
@@ -107,8 +94,7 @@ class SqlBPE:
         self._table("merges", both=pa.array(both, pa.int64()), rank=pa.array(rank, pa.int64()))
         self._table("tokens", id=pa.array(list(ranks.values()), pa.int64()),
                     hex=pa.array([t.hex() for t in ranks], pa.string()))
-        self.encoded: dict[str, bytes] = {}      # unit -> ids as little-endian uint32
-        self.decoded: dict[bytes, bytes] = {}    # those ids -> bytes
+        self.coder = UnitCoder(pattern, self.words, [np.dtype("<u4"), np.uint8], CACHE_UNITS)
 
     def _table(self, name: str, **columns: pa.Array) -> None:
         self.con.register("given", pa.table(columns))
@@ -123,9 +109,9 @@ class SqlBPE:
         self.con.unregister(name)
         return out
 
-    def encode_words(self, words: list[bytes]) -> list[bytes]:
-        """Ids of every word (bytes of little-endian uint32), by the recursive query."""
-        out: list[bytes] = []
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all (non-empty) words, and how many each has, by the recursive query."""
+        ids, sizes = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
         a = 0
         while a < len(words):
             b, size = a + 1, len(words[a])
@@ -133,51 +119,45 @@ class SqlBPE:
                 size += len(words[b])
                 b += 1
             lens = np.fromiter(map(len, words[a:b]), np.int64, b - a)
-            ends = np.cumsum(lens)
-            tok = np.insert(self.byte_id[np.frombuffer(b"".join(words[a:b]), np.uint8)], ends, -1)
+            tok = np.insert(self.byte_id[np.frombuffer(b"".join(words[a:b]), np.uint8)], np.cumsum(lens), -1)
             got = self._run(ENCODE, "word_rows", place=positions(lens + 1), tok=tok)
-            ids = got["tok"].to_numpy().astype("<u4").tobytes()
-            cut = (4 * np.cumsum(np.bincount(got["w"].to_numpy(), minlength=b - a))).tolist()
-            out += [ids[i:j] for i, j in zip([0, *cut[:-1]], cut, strict=True)]
+            ids.append(got["tok"].to_numpy().astype("<u4"))
+            sizes.append(np.bincount(got["w"].to_numpy(), minlength=b - a))
             a = b
-        return out
+        return np.concatenate(ids), np.concatenate(sizes)
 
-    def decode_ids(self, sequences: list[bytes]) -> list[bytes]:
-        """Bytes of every (non-empty) id sequence, by the ordered aggregation."""
+    def decode_ids(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        """Bytes of each (non-empty) run of ids, by the ordered aggregation."""
         out: list[bytes] = []
-        for a in range(0, len(sequences), 100_000):
-            part = sequences[a:a + 100_000]
-            lens = np.fromiter((len(s) // 4 for s in part), np.int64, len(part))
-            got = self._run(DECODE, "id_rows", place=positions(lens),
-                            tok=np.frombuffer(b"".join(part), "<u4").astype(np.int64))
+        ends = np.cumsum(sizes)
+        for a in range(0, len(sizes), 100_000):
+            some = sizes[a:a + 100_000]
+            got = self._run(DECODE, "id_rows", place=positions(some),
+                            tok=ids[ends[a] - sizes[a]:ends[a + len(some) - 1]].astype(np.int64))
             out += map(bytes.fromhex, got["hex"].to_pylist())
         return out
 
-    def learn(self, units: set[str]) -> None:
-        cut = {u: [p.encode() for p in self.split.findall(u)] for u in units}
-        distinct = {p for ps in cut.values() for p in ps}
-        one = {p: self.ranks[p].to_bytes(4, "little") for p in distinct if p in self.ranks}
-        rest = [p for p in distinct if p not in one]
-        one.update(zip(rest, self.encode_words(rest), strict=True))
-        new = {u: b"".join(map(one.__getitem__, ps)) for u, ps in cut.items()}
-        self.encoded.update(new)
-        ids = list({i for i in new.values() if i and i not in self.decoded})
-        self.decoded.update(zip(ids, self.decode_ids(ids), strict=True))
-        self.decoded[b""] = b""
-
-    def encode(self, texts: list[str]) -> list[list[bytes]]:
-        """The ids of every text, unit by unit."""
-        cut = [units_of(t) for t in texts]
-        new = set().union(*cut).difference(self.encoded)
-        if len(self.encoded) + len(new) > CACHE_UNITS:
-            self.encoded.clear()
-            self.decoded.clear()
-            new = set().union(*cut)
-        self.learn(new)
-        return [list(map(self.encoded.__getitem__, c)) for c in cut]
-
-
-_CODERS: dict[tuple[str, str], SqlBPE] = {}
+    def words(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of pre-tokens, and the bytes that these ids decode to."""
+        raw = [w.encode() for w in words]
+        rank = np.fromiter((self.ranks.get(w, -1) for w in raw), np.int64, len(raw))
+        one = np.flatnonzero(rank >= 0)         # a pre-token that is a token
+        rest = np.flatnonzero(rank < 0)
+        ids, sizes = self.encode_words([raw[i] for i in rest.tolist()])
+        rows = Rows(np.dtype("<u4"))
+        rows.add(rank[one].astype("<u4"), np.ones(len(one), np.int64))
+        rows.add(ids, sizes)
+        back = np.empty(len(raw), np.int64)
+        back[np.concatenate([one, rest])] = np.arange(len(raw))
+        ids, starts = rows.gather(back)
+        sizes = np.diff(starts)
+        decoded = self.decode_ids(ids, sizes)
+        return [(ids, sizes), (np.frombuffer(b"".join(decoded), np.uint8), np.fromiter(map(len, decoded), np.int64, len(decoded)))]
+
+
+def digests(values: np.ndarray, starts: np.ndarray) -> list[str]:
+    cut = starts.tolist()
+    return [hashlib.sha256(values[a:b]).hexdigest() for a, b in zip(cut, cut[1:], strict=False)]
 
 
 def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -193,25 +173,16 @@ def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str =
     A pre-token of n bytes takes up to n rounds over its rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (rank_file, pattern) not in _CODERS:
-            _CODERS[rank_file, pattern] = SqlBPE(read_ranks(rank_file), pattern)
-        coder = _CODERS[rank_file, pattern]
+        coder = worker_state(("bpe_sql", rank_file, pattern), lambda: SqlBPE(read_ranks(rank_file), pattern))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for s in text_groups(texts):
-                n, sha, back, kept = [], [], [], []
-                for units in coder.encode(texts[s]):
-                    ids = b"".join(units)
-                    n.append(len(ids) // 4)
-                    sha.append(hashlib.sha256(ids).hexdigest())
-                    back.append(hashlib.sha256(b"".join(map(coder.decoded.__getitem__, units))).hexdigest())
-                    if keep_ids:
-                        kept.append(np.frombuffer(ids, "<i4"))
-                columns = [batch.column(0).slice(s.start, s.stop - s.start), pa.array(n, pa.int64()),
-                           pa.array(sha, pa.string()), pa.array(back, pa.string())]
+                (ids, starts), (decoded, ends) = coder.coder(texts[s])
+                columns = [batch.column(0).slice(s.start, s.stop - s.start), pa.array(np.diff(starts)),
+                           pa.array(digests(ids, starts), pa.string()), pa.array(digests(decoded, ends), pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:
-                    columns.append(pa.array(kept, pa.list_(pa.int32())))
+                    columns.append(pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
