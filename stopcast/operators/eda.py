@@ -79,12 +79,13 @@ def time_span(df: DataFrame, ts: str = "event_timestamp") -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """AG15: count, mean, std, min, 25/50/75 %, max, missing, missing_pct per
     feature (one aggregate pass, long form)."""
-    from stopcast.operators.quantiles import quantiles
+    from stopcast.operators.quantiles import many_quantiles
     stats = ["count", "mean", "std", "min", "q25", "q50", "q75", "max", "missing"]
     aggs = []
+    quartiles = many_quantiles(df, {c: c for c in cols}, [0.25, 0.5, 0.75], approx=not exact)
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = quantiles(df, c, [0.25, 0.5, 0.75], approx=not exact)
+        q = quartiles[c]
         aggs.append(F.struct(F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
                              F.min(x).alias("min"), q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"),
                              F.max(x).alias("max"), F.sum(x.isNull().cast("long")).cast("double").alias("missing")).alias(f"s{i}"))
@@ -121,10 +122,11 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """AG18: Q1, Q3, fences at 1.5 IQR, outlier count and % per feature.
     Quartiles are scalar subqueries (ranked, ``quantiles``), the counts one
     aggregate pass: no join, no cross product."""
-    from stopcast.operators.quantiles import quantiles
+    from stopcast.operators.quantiles import many_quantiles
     aggs = []
+    quartiles = many_quantiles(df, {c: c for c in cols}, [0.25, 0.75])
     for i, c in enumerate(cols):
-        qs = quantiles(df, c, [0.25, 0.75])
+        qs = quartiles[c]
         q1, q3 = qs[0], qs[1]
         iqr = q3 - q1
         lo, hi = q1 - F.lit(IQR_K) * iqr, q3 + F.lit(IQR_K) * iqr

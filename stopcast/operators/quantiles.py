@@ -2,58 +2,65 @@
 
 Spark's exact ``percentile`` aggregate keeps a value -> count map of every
 distinct value and merges it in one final task: unbounded on a continuous
-column of a very large table.  Here the column is ranked with the bucketed
-global row index (``rowindex.global_row_index``: one shuffle of a single
-column, buckets of ~n/B rows), and the interpolated quantile (pandas /
-``quantile_cont``: position h = (n-1) p, value x[floor h] + (h - floor h)
-(x[ceil h] - x[floor h])) is read from the two rows at those positions.
-``approx=True`` uses the ``percentile_approx`` sketch instead (no shuffle,
-bounded memory, returns a data value).  Columns with at most
-``BUFFER_MAX_VALUES`` non-NULL values (counted first) use the exact
-``percentile`` aggregate, whose buffer that count bounds.
+column of a very large table.  Here the (column, value) pairs of all asked
+columns are counted in one pass (map-side combined, so a value that a third of
+all rows share is one row), running sums over them in range order
+(``rowindex.prefix_before``) give every value's positions, and the interpolated
+quantile (pandas / ``quantile_cont``: position h = (n-1) p, value x[floor h] +
+(h - floor h) (x[ceil h] - x[floor h])) is read from the two values at those
+positions.  One plan at every size.  ``approx=True`` uses the
+``percentile_approx`` sketch instead (bounded memory, returns a data value).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopcast.operators.rowindex import global_row_index
+from stopcast.operators.rowindex import prefix_before
 
 APPROX_ACCURACY = 10000
-# Up to this many values the exact ``percentile`` aggregate's value buffer is
-# a checked, bounded size and it is cheaper than ranking (no shuffle).
-BUFFER_MAX_VALUES = 2_000_000
+
+
+def quantile_table(df: DataFrame, columns: dict[str, str | Column], probs: Sequence[float]) -> DataFrame:
+    """(name, q array<double>): the quantiles of all ``columns`` in one pass
+    (NULLs ignored; a column without values has no row)."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), (F.col(c) if isinstance(c, str) else c).cast("double").alias("x"))
+                      for n, c in columns.items()])
+    counts = (df.select(F.explode(pairs).alias("p")).select("p.name", "p.x").where(F.col("x").isNotNull())
+              .groupBy("name", "x").agg(F.count(F.lit(1)).alias("n")))
+    ranks = prefix_before(counts, ["name", "x"], ["n"])
+    # where each column's values begin in the common order, and how many there are
+    span = F.broadcast(ranks.groupBy("name").agg(F.min("n_before").alias("__first"), F.sum("n").alias("__n")))   # a row a column
+    j = ranks.join(span, "name").withColumn("__at", F.col("n_before") - F.col("__first"))
+    aggs, vals = [], []
+    for i, p in enumerate(probs):
+        h = (F.col("__n") - 1).cast("double") * F.lit(float(p))
+        for side, pos in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            here = (F.col("__at") <= pos) & (pos < F.col("__at") + F.col("n"))
+            aggs.append(F.max(F.when(here, F.col("x"))).alias(f"__{side}{i}"))
+        vals.append(F.col(f"__lo{i}") + ((F.col("__n") - 1).cast("double") * F.lit(float(p))
+                                         - F.floor((F.col("__n") - 1).cast("double") * F.lit(float(p))))
+                    * (F.col(f"__hi{i}") - F.col(f"__lo{i}")))
+    return j.groupBy("name", "__n").agg(*aggs).select("name", F.array(*vals).alias("q"))
+
+
+def many_quantiles(df: DataFrame, columns: dict[str, str | Column], probs: Sequence[float],
+                   approx: bool = False) -> dict[str, Column]:
+    """Scalar ``array<double>`` of the quantiles of every column, from one pass."""
+    if approx:
+        return {n: df.agg(F.percentile_approx((F.col(c) if isinstance(c, str) else c).cast("double"), list(probs),
+                                              APPROX_ACCURACY).cast("array<double>")).scalar() for n, c in columns.items()}
+    table = quantile_table(df, columns, probs)
+    return {n: table.where(F.col("name") == n).select("q").scalar() for n in columns}
 
 
 def quantiles(df: DataFrame, c: str | Column, probs: Sequence[float], approx: bool = False) -> Column:
     """Scalar ``array<double>`` of the quantiles of ``c`` (NULLs ignored;
-    NULL entries when the column is empty)."""
-    x = (F.col(c) if isinstance(c, str) else c).cast("double")
-    if approx:
-        return df.agg(F.percentile_approx(x, list(probs), APPROX_ACCURACY).cast("array<double>")).scalar()
-    d = df.select(x.alias("__x")).where(F.col("__x").isNotNull())
-    n = d.count()                       # one number reaches the driver
-    if n == 0:
-        return F.array(*[F.lit(None).cast("double") for _ in probs])
-    if n <= BUFFER_MAX_VALUES:          # size checked: the aggregate's buffer is bounded by n
-        return d.agg(F.percentile(F.col("__x"), F.array(*[F.lit(float(p)) for p in probs]))).scalar()
-    ix = global_row_index(d, order=("__x",), idx_col="__i")
-    pos = []
-    for p in probs:
-        h = (n - 1) * float(p)
-        pos.append((h, int(math.floor(h)), int(math.ceil(h))))
-    wanted = sorted({i for _, lo, hi in pos for i in (lo, hi)})
-    picked = ix.where(F.col("__i").isin(wanted))
-    vals = []
-    for h, lo, hi in pos:
-        xlo = F.max(F.when(F.col("__i") == lo, F.col("__x")))
-        xhi = F.max(F.when(F.col("__i") == hi, F.col("__x")))
-        vals.append(xlo + F.lit(h - lo) * (xhi - xlo))
-    return picked.agg(F.array(*vals).alias("q")).scalar()
+    NULL when the column is empty)."""
+    return many_quantiles(df, {"x": c}, probs, approx)["x"]
 
 
 def quantile(df: DataFrame, c: str | Column, p: float, approx: bool = False) -> Column:

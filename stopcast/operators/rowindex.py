@@ -1,69 +1,57 @@
 """Global positional index without a one-partition window (G1, WN12) and
 the temporal splits built on it (VS1, VS2).
 
-Plan: ``B`` range buckets of the first order column from approximate
-quantiles (B-1 boundaries: a bounded array), per-row bucket by binary
-search (``Bucketizer``), ``row_number`` inside each bucket (one shuffle,
-buckets are ~n/B rows), and bucket offsets from a prefix sum over the B
-bucket counts (a B-row table, broadcast).  The result is the exact global
-0-based position in (ts, id) order, deterministic under task retries.
+Plan: a range partition on ALL order columns (and the row's place in the
+input, so that rows that tie in all of them still split), a sort inside each
+partition, and the position inside it; then the row counts of the partitions
+(one row each), whose running sum is every partition's offset.  Spark samples
+the ranges and splits them by rows, so no value, tied or not, and no burst of
+equal timestamps makes a partition large.  The ranged rows are written once in
+the shared folder: the counts and the positions must see the same ranges, and
+the input is computed once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType, TimestampNTZType
 
 from stopcast.semantics import ORDER_COLS
+from stopcast.session import materialize
 
+#: monotonically_increasing_id() = partition << 33 | row of the partition.
+ROW_BITS = 33
 
-def _numeric_key(df: DataFrame, c: str) -> Column:
-    t = df.schema[c].dataType
-    if isinstance(t, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-    return F.col(c).cast("double")
 
+def ranged_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` in ``order``, with ``__pos`` = range << 33 | row of the range."""
+    keys = [f"__o{i}" for i in range(len(order))]
+    d = df.withColumns({**dict(zip(keys, order, strict=True)), "__tie": F.monotonically_increasing_id()})
+    d = d.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], F.col("__tie"))
+    d = d.sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys], "__tie")
+    return materialize(d.drop(*keys, "__tie").withColumn("__pos", F.monotonically_increasing_id()))
 
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 200_000
 
+def _range(c: str = "__pos") -> Column:
+    return F.shiftright(c, ROW_BITS)
 
-def default_buckets(df: DataFrame, n_rows: int | None = None) -> int:
-    """Enough buckets for the shuffle width, and for ~ROWS_PER_BUCKET rows
-    per bucket when the row count is known (so one bucket -- one window
-    task -- stays bounded as the data grows)."""
-    sp = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    b = max(8, sp * 4)
-    if n_rows:
-        b = max(b, -(-n_rows // ROWS_PER_BUCKET))
-    return min(b, MAX_BUCKETS)
 
+def _offsets(ranged: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """(__range, sums over all earlier ranges): one row a range, broadcast."""
+    per = ranged.groupBy(_range().alias("__range")).agg(*[e.alias(f"__t_{n}") for n, e in sums.items()])
+    w = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(per.select("__range", *[F.coalesce(F.sum(f"__t_{n}").over(w), F.lit(0)).alias(n) for n in sums]))
 
-def global_row_index(df: DataFrame, order: Sequence[str] = ORDER_COLS, idx_col: str = "row_idx",
-                     n_buckets: int | None = None) -> DataFrame:
+
+def global_row_index(df: DataFrame, order: Sequence[str] = ORDER_COLS, idx_col: str = "row_idx") -> DataFrame:
     """Add ``idx_col`` = 0-based position of the row in ``order``."""
-    B = n_buckets or default_buckets(df, df.count())
-    key = _numeric_key(df, order[0])
-    probs = [i / B for i in range(1, B)]
-    # B-1 boundaries (bounded by B), the only values that reach the driver
-    bounds = df.agg(F.percentile_approx(key, probs, 10 * B)).first()[0] or []
-    splits = [float("-inf")] + sorted({float(b) for b in bounds if b is not None}) + [float("inf")]
-    keyed = df.withColumn("__key", key)
-    bucketed = Bucketizer(splits=splits, inputCol="__key", outputCol="__bkt", handleInvalid="keep").transform(
-        keyed)
-    bucketed = bucketed.withColumn("__bkt", F.coalesce(F.col("__bkt"), F.lit(float(len(splits)))).cast("int"))
-    w = Window.partitionBy("__bkt").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    local = bucketed.withColumn("__rn", F.row_number().over(w) - 1)
-    counts = bucketed.groupBy("__bkt").agg(F.count(F.lit(1)).alias("__n"))
-    offs = counts.select("__bkt", (F.sum("__n").over(Window.orderBy("__bkt").rowsBetween(Window.unboundedPreceding, -1)))
-                         .alias("__off"))
-    j = local.join(F.broadcast(offs), on="__bkt", how="left")
-    return j.withColumn(idx_col, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__rn")).cast("long")).drop(
-        "__key", "__bkt", "__rn", "__off")
+    ranged = ranged_rows(df, [F.col(c) for c in order])
+    offs = _offsets(ranged, {"__off": F.count(F.lit(1))})
+    row = F.col("__pos").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return (ranged.withColumn("__range", _range()).join(offs, "__range")
+            .withColumn(idx_col, (F.col("__off") + row).cast("long")).drop("__pos", "__range", "__off"))
 
 
 def row_count(df: DataFrame) -> Column:
@@ -100,26 +88,16 @@ def expanding_folds(df: DataFrame, k: int = 5, order: Sequence[str] = ORDER_COLS
     return time_series_split(df, k, order, idx_col)
 
 
-def prefix_before(df: DataFrame, order_col: str, cols: Sequence[str], *, descending: bool = False,
-                  n_buckets: int | None = None) -> DataFrame:
+def prefix_before(df: DataFrame, order_col: str | Sequence[str], cols: Sequence[str], *, descending: bool = False) -> DataFrame:
     """G2: add ``{c}_before`` = sum of ``c`` over the rows strictly before
-    each row in ``order_col`` order (values of ``order_col`` unique, e.g. an
-    aggregated score table).  Same bucketed plan as ``global_row_index``:
-    no single-partition window over the whole table."""
-    B = n_buckets or default_buckets(df, df.count())
-    key = _numeric_key(df, order_col)
-    if descending:
-        key = -key
-    keyed = df.withColumn("__key", key)
-    bounds = keyed.agg(F.percentile_approx("__key", [i / B for i in range(1, B)], 10 * B)).first()[0] or []
-    splits = [float("-inf")] + sorted({float(b) for b in bounds if b is not None}) + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="__key", outputCol="__bkt", handleInvalid="keep").transform(keyed)
-    b = b.withColumn("__bkt", F.coalesce(F.col("__bkt"), F.lit(float(len(splits)))).cast("int"))
-    w = Window.partitionBy("__bkt").orderBy("__key").rowsBetween(Window.unboundedPreceding, -1)
-    local = b.withColumns({f"__l_{c}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in cols})
-    tot = b.groupBy("__bkt").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
-    wb = Window.orderBy("__bkt").rowsBetween(Window.unboundedPreceding, -1)    # B rows
-    offs = tot.select("__bkt", *[F.coalesce(F.sum(f"__t_{c}").over(wb), F.lit(0)).alias(f"__o_{c}") for c in cols])
-    j = local.join(F.broadcast(offs), on="__bkt", how="left")
+    each row in the order of ``order_col`` (one row per value, e.g. an
+    aggregated score table).  Sums inside each range plus the sums of the
+    ranges before it."""
+    names = [order_col] if isinstance(order_col, str) else list(order_col)
+    ranged = ranged_rows(df, [-F.col(c) if descending else F.col(c) for c in names])
+    offs = _offsets(ranged, {f"__o_{c}": F.sum(c) for c in cols})
+    w = Window.partitionBy("__range").orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("__range", _range()).withColumns({f"__l_{c}": F.coalesce(F.sum(c).over(w), F.lit(0)) for c in cols})
+    j = local.join(offs, "__range")
     return j.withColumns({f"{c}_before": F.col(f"__o_{c}") + F.col(f"__l_{c}") for c in cols}).drop(
-        "__key", "__bkt", *[f"__l_{c}" for c in cols], *[f"__o_{c}" for c in cols])
+        "__pos", "__range", *[f"__l_{c}" for c in cols], *[f"__o_{c}" for c in cols])

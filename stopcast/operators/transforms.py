@@ -75,18 +75,18 @@ def minmax_x100(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
 
 def binarize_median(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """FT4: x > train median -> 1 else 0."""
-    from stopcast.operators.quantiles import quantile
-    src = fit_on if fit_on is not None else df
-    return df.withColumns({c: (F.col(c) > quantile(src, c, 0.5)).cast("int") for c in cols})
+    from stopcast.operators.quantiles import many_quantiles
+    medians = many_quantiles(fit_on if fit_on is not None else df, {c: c for c in cols}, [0.5])
+    return df.withColumns({c: (F.col(c) > medians[c][0]).cast("int") for c in cols})
 
 
 def robust_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """FT8: (x - median) / IQR (IQR 0 -> 1)."""
-    from stopcast.operators.quantiles import quantiles
-    src = fit_on if fit_on is not None else df
+    from stopcast.operators.quantiles import many_quantiles
+    quartiles = many_quantiles(fit_on if fit_on is not None else df, {c: c for c in cols}, [0.25, 0.5, 0.75])
     out = {}
     for c in cols:
-        qs = quantiles(src, c, [0.25, 0.5, 0.75])
+        qs = quartiles[c]
         iqr = qs[2] - qs[0]
         out[c] = (F.col(c) - qs[1]) / F.when(iqr == 0, F.lit(1.0)).otherwise(iqr)
     return df.withColumns(out)
@@ -128,10 +128,11 @@ def class_counts(df: DataFrame, label: str = "target") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def class_weight_balanced(df: DataFrame, label: str = "target", out: str = "weight") -> DataFrame:
-    """FT10: w_c = n / (n_classes * n_c).  The class-count table has one
-    row per class (a proven bound), so it is broadcast."""
-    cc = class_counts(df, label)
+def class_weight_balanced(df: DataFrame, label: str = "target", out: str = "weight", fit_on: str | None = None) -> DataFrame:
+    """FT10: w_c = n / (n_classes * n_c), counted on the rows where ``fit_on``
+    holds (all, if None).  The class-count table has one row per class (a
+    proven bound), so it is broadcast."""
+    cc = class_counts(df if fit_on is None else df.where(fit_on), label)
     tot = fit_stats(cc, {"N": F.sum("n"), "K": F.count(F.lit(1))})
     w = cc.select(label, (tot["N"] / (tot["K"] * F.col("n"))).alias(out))
     return df.join(F.broadcast(w), on=label, how="left")

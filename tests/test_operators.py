@@ -44,7 +44,7 @@ def test_global_row_index_and_split(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [(i, t0 + dt.timedelta(seconds=(i * 7919) % 1000)) for i in range(1000)]
     df = spark.createDataFrame(rows, "event_id long, event_timestamp timestamp")
-    ix = global_row_index(df, n_buckets=16).toPandas()
+    ix = global_row_index(df).toPandas()
     exp = sorted(rows, key=lambda r: (r[1], r[0]))
     assert [r[0] for r in exp] == list(ix.sort_values("row_idx")["event_id"])
     assert sorted(ix["row_idx"]) == list(range(1000))
@@ -57,12 +57,12 @@ def test_global_row_index_and_split(spark):
 def test_prefix_before(spark):
     vals = [(float(x), x % 3) for x in range(200)]
     df = spark.createDataFrame(vals, "s double, v long")
-    got = {r["s"]: r["v_before"] for r in prefix_before(df, "s", ["v"], n_buckets=8).collect()}
+    got = {r["s"]: r["v_before"] for r in prefix_before(df, "s", ["v"]).collect()}
     acc = 0
     for s, v in vals:
         assert got[s] == acc
         acc += v
-    down = {r["s"]: r["v_before"] for r in prefix_before(df, "s", ["v"], descending=True, n_buckets=8).collect()}
+    down = {r["s"]: r["v_before"] for r in prefix_before(df, "s", ["v"], descending=True).collect()}
     assert down[199.0] == 0 and down[0.0] == sum(v for _, v in vals[1:])
 
 
@@ -168,15 +168,88 @@ def test_ranked_quantiles_match_numpy(spark):
     df = spark.createDataFrame([(None if v is None else float(v),) for v in vals], "x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.98, 0.99, 1.0]
     exp = np.quantile(np.array([v for v in vals if v is not None]), probs)
-    import stopcast.operators.quantiles as Q
-    for buf in (Q.BUFFER_MAX_VALUES, 0):                   # aggregate path and ranked path
-        old, Q.BUFFER_MAX_VALUES = Q.BUFFER_MAX_VALUES, buf
-        try:
-            got = df.select(quantiles(df, "x", probs).alias("q")).first()["q"]
-        finally:
-            Q.BUFFER_MAX_VALUES = old
-        assert np.allclose(got, exp, rtol=0, atol=1e-12)
+    got = df.select(quantiles(df, "x", probs).alias("q")).first()["q"]
+    assert np.allclose(got, exp, rtol=0, atol=1e-12)
     one = spark.createDataFrame([(3.5,)], "x double")
     assert one.select(quantiles(one, "x", [0.5]).alias("q")).first()["q"] == [3.5]
     empty = one.where("x > 10")
-    assert one.select(quantiles(empty, "x", [0.5]).alias("q")).first()["q"] == [None]
+    assert one.select(quantiles(empty, "x", [0.5]).alias("q")).first()["q"] is None
+    assert one.select(quantiles(empty, "x", [0.5])[0].alias("q")).first()["q"] is None
+
+
+def test_many_quantiles_in_one_pass(spark):
+    from stopcast.operators.quantiles import many_quantiles
+    rows = [(float(i % 17), -float(i) if i % 3 else None, 5.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    q = many_quantiles(df, {c: c for c in df.columns}, [0.1, 0.5, 0.9])
+    got = df.limit(1).select(*[q[c].alias(c) for c in df.columns]).first()
+    for k, c in enumerate(df.columns):
+        exp = np.quantile([r[k] for r in rows if r[k] is not None], [0.1, 0.5, 0.9])
+        assert np.allclose(got[c], exp, rtol=0, atol=1e-9)
+
+
+def test_tied_rows_spread_over_ranges(spark):
+    """A million rows that tie in every order column: no range holds more
+    than twice the mean, and the positions are still 0 to n - 1."""
+    from pyspark.sql import functions as F
+    from stopcast.operators.rowindex import ranged_rows
+    df = spark.range(1_000_000).repartition(8).select(F.lit(7.0).alias("x"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ranged_rows(df, [F.col("x")]).groupBy(F.shiftright("__pos", 33)).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) > 1 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    r = global_row_index(df, order=("x",)).agg(F.min("row_idx"), F.max("row_idx"), F.countDistinct("row_idx")).first()
+    assert tuple(r) == (0, 999_999, 1_000_000)
+
+
+def test_geodesic_converges_or_is_null(spark):
+    from stopcast.functions.geo import geodesic_m
+    rows = [(0.0, 0.0, 0.5, 179.5), (0.0, 0.0, 0.5, 179.9), (10.0, 20.0, 10.0, 20.0), (0.0, 0.0, 0.0, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = [r[0] for r in df.select(geodesic_m("a", "b", "c", "d")).collect()]
+    assert abs(got[0] - 19_936_288.579) < 0.01          # published result of the exact solution
+    assert got[1] is None and got[2] == 0.0 and abs(got[3] - 111_319.491) < 0.01
+
+
+def test_shared_folder_is_required_off_local(monkeypatch):
+    import pytest
+    from stopcast import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_gtfs_reader_only_forgives_a_missing_file(spark, tmp_path):
+    import pytest
+    from stopcast.sources.files import read_gtfs
+    (tmp_path / "stops.txt").write_text("stop_id\n1\n")
+    got = read_gtfs(spark, f"file://{tmp_path}", {"stops": ["stop_id"], "trips": ["trip_id"]})
+    assert got["stops"].count() == 1 and got["trips"].count() == 0
+    with pytest.raises(Exception):
+        read_gtfs(spark, "nosuchscheme://x", {"stops": ["stop_id"]})["stops"].count()
+
+
+def test_headway_is_the_mean_of_deduplicated_rows(spark):
+    from stopcast.operators import headway as H
+    st_ = spark.createDataFrame([("t1", "a"), ("t1", "a"), ("t1", "b"), ("t2", "a"), (None, "a")], "trip_id string, stop_id string")
+    fr = spark.createDataFrame([("t1", "08:30:00", 600.0), ("t1", "08:00:00", 300.0), ("t2", "08:10:00", 900.0),
+                                ("t2", "25:10:00", 60.0)], "trip_id string, start_time string, headway_secs double")
+    want = {(r[0], r[1]): r[2] for r in H.dedupe(H.headway_base(st_, fr)).groupBy("stop_id", "start_hour")
+            .avg("headway_secs").collect()}
+    got = {(r[0], r[1]): r[2] for r in H.headway_avg(st_, fr).collect()}
+    assert got == want and got["a", 8] == 600.0
