@@ -17,9 +17,10 @@ Keys that hold more than ``HOT_FRACTION`` of all rows (a list of at most
 1/HOT_FRACTION keys, broadcast) use ``HOT_BUCKET_SECONDS`` buckets instead of
 ``DEFAULT_BUCKET_SECONDS``, so one (hot key, bucket) slice stays small.
 
-Count, sum, non-null count, max(ts), sums of x and x^2 are all decomposable,
-so mean, rate, sample std and recency are exact.  Null keys get no history
-(pandas ``==`` never matches NaN).
+Count, sum, non-null count and max(ts) add up; the sample std merges counts,
+means and sums of square deviations, so large values with a small spread keep
+their digits.  Null keys get no history (pandas ``==`` never matches NaN) and
+take part in no window.
 """
 
 from __future__ import annotations
@@ -87,14 +88,17 @@ def expanding_history(
     k, b, hot = f"__{prefix}_k", f"__{prefix}_b", f"__{prefix}_hot"
     source = df if totals_from is None else totals_from
 
+    hot_keys = None
+    if hot_fraction:
+        # keys above hot_fraction of all rows: a bounded list (<= 1/hot_fraction), broadcast
+        cnt = source.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(k)).agg(F.count(F.lit(1)).alias("__c"))
+        total = source.agg(F.count(F.lit(1))).scalar()
+        hot_keys = cnt.where(F.col("__c") > total * F.lit(hot_fraction)).select(k, F.lit(True).alias(hot))
+
     def bucketed(d: DataFrame) -> DataFrame:
         d = d.withColumn(k, F.col(key))
         width = F.lit(bucket_seconds * 1_000_000)
-        if hot_fraction:
-            # keys above hot_fraction of all rows: a bounded list (<= 1/hot_fraction), broadcast
-            cnt = source.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(k)).agg(F.count(F.lit(1)).alias("__c"))
-            total = source.agg(F.count(F.lit(1))).scalar()
-            hot_keys = cnt.where(F.col("__c") > total * F.lit(hot_fraction)).select(k, F.lit(True).alias(hot))
+        if hot_keys is not None:
             d = d.join(F.broadcast(hot_keys), k, "left")
             width = F.when(F.col(hot), F.lit(hot_bucket_seconds * 1_000_000)).otherwise(width)
         return d.withColumn(b, F.floor(F.unix_micros(F.col(ts)) / width))
@@ -113,12 +117,16 @@ def expanding_history(
         x = F.col(c).cast("double")
         parts += [(f"s1_{c}", x, "sum"), (f"c_{c}", x.isNotNull().cast("long"), "sum")]
         if c in std_cols:
-            parts += [(f"s2_{c}", x * x, "sum")]
+            # mean and mean square deviation of the non-null values (a numerically stable aggregate)
+            parts += [(f"m_{c}", x, "avg"), (f"v_{c}", x, "var_pop")]
 
     def agg_of(kind: str, e: Column) -> Column:
-        return F.sum(e) if kind == "sum" else F.max(e)
+        return {"sum": F.sum, "max": F.max, "avg": F.avg, "var_pop": F.var_pop}[kind](e)
 
-    w_in = Window.partitionBy(k, b).orderBy(*[F.col(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    # rows without a key share no history: each is a window partition of its own
+    alone = F.when(F.col(k).isNull(), F.monotonically_increasing_id())
+    base = base.withColumn(f"__{prefix}_a", alone)
+    w_in = Window.partitionBy(k, b, f"__{prefix}_a").orderBy(*[F.col(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
     inner = base.withColumns({f"__i_{n}": agg_of(kind, e).over(w_in) for n, e, kind in parts})
 
     src = base if totals_from is None else bucketed(totals_from)
@@ -126,8 +134,19 @@ def expanding_history(
               .groupBy(k, b)
               .agg(*[agg_of(kind, e).alias(f"__t_{n}") for n, e, kind in parts]))
     w_pre = Window.partitionBy(k).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    prefix_tbl = totals.select(k, b, *[agg_of(kind, F.col(f"__t_{n}")).over(w_pre).alias(f"__p_{n}")
-                                       for n, _, kind in parts])
+    # Deviations of earlier buckets are taken about the mean of the key's first
+    # bucket with a value, so that large values with a small spread lose nothing.
+    w_key = Window.partitionBy(k).orderBy(b).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    for c in std_cols:
+        shift = F.col(f"__t_m_{c}") - F.first(f"__t_m_{c}", ignorenulls=True).over(w_key)
+        totals = totals.withColumns({
+            f"__t_r_{c}": F.first(f"__t_m_{c}", ignorenulls=True).over(w_key),
+            f"__t_d1_{c}": F.col(f"__t_c_{c}") * shift,
+            f"__t_d2_{c}": F.col(f"__t_c_{c}") * (F.col(f"__t_v_{c}") + shift * shift)})
+    over = [(n, kind) for n, _, kind in parts if kind in ("sum", "max")] + \
+        [(f"{d}_{c}", "sum") for c in std_cols for d in ("d1", "d2")]
+    prefix_tbl = totals.select(k, b, *[agg_of(kind, F.col(f"__t_{n}")).over(w_pre).alias(f"__p_{n}") for n, kind in over],
+                               *[F.col(f"__t_r_{c}").alias(f"__p_r_{c}") for c in std_cols])
 
     j = inner.join(prefix_tbl, on=[k, b], how="left")
 
@@ -155,11 +174,18 @@ def expanding_history(
         if c in mean_cols:
             out[f"{prefix}_mean_{c}"] = F.when(has_key & (cnt > 0), s1 / cnt)
         if c in std_cols:
-            s2 = comb(f"s2_{c}", "sum")
-            var = (s2 - s1 * s1 / cnt) / (cnt - 1)
-            out[f"{prefix}_std_{c}"] = F.when(has_key & (cnt > 1), F.sqrt(F.greatest(var, F.lit(0.0))))
+            # merge of the two parts' (count, mean, sum of square deviations)
+            zero = F.lit(0.0)
+            n_in, n_pre = F.coalesce(F.col(f"__i_c_{c}"), F.lit(0)), F.coalesce(F.col(f"__p_c_{c}"), F.lit(0))
+            d1 = F.col(f"__p_d1_{c}")
+            m_pre = F.col(f"__p_r_{c}") + F.try_divide(d1, n_pre)
+            q_pre = F.coalesce(F.col(f"__p_d2_{c}") - F.try_divide(d1 * d1, n_pre), zero)
+            q_in = F.coalesce(F.col(f"__i_v_{c}") * n_in, zero)
+            gap = F.coalesce(F.col(f"__i_m_{c}") - m_pre, zero)
+            var = (q_in + q_pre + gap * gap * F.try_divide(n_in * n_pre, cnt)) / (cnt - 1)
+            out[f"{prefix}_std_{c}"] = F.when(has_key & (cnt > 1), F.sqrt(F.greatest(var, zero)))
     res = j.withColumns(out)
-    drop = [k, b, hot] + [f"__i_{n}" for n, _, _ in parts] + [f"__p_{n}" for n, _, _ in parts]
+    drop = [k, b, hot, f"__{prefix}_a"] + [f"__i_{n}" for n, _, _ in parts] + [f"__p_{n}" for n, _ in over] + [f"__p_r_{c}" for c in std_cols]
     return res.drop(*drop)
 
 

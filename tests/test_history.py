@@ -111,3 +111,26 @@ def test_hot_key_buckets_equal_plain(spark):
     cols = ["event_id", "h_n", "h_pos", "h_lab", "h_recency"]
     pd.testing.assert_frame_equal(a[cols].sort_values("event_id").reset_index(drop=True),
                                   b[cols].sort_values("event_id").reset_index(drop=True))
+
+
+def test_std_of_large_values_keeps_its_digits(spark):
+    """Values near 1e9 with a spread of 0.2, over several buckets and with nulls."""
+    import datetime as dt
+    import numpy as np
+    from stopcast.operators.history import expanding_history
+    rng = np.random.default_rng(0)
+    rows, t0 = [], dt.datetime(2024, 1, 1)
+    for i in range(400):
+        key = None if i % 50 == 49 else f"k{i % 3}"
+        x = None if i % 11 == 10 else 1e9 * (i % 3) + float(rng.normal(0, 0.2))
+        rows.append((i, t0 + dt.timedelta(minutes=7 * i), key, x, i % 2))
+    df = spark.createDataFrame(rows, "event_id long, event_timestamp timestamp, key string, x double, target int")
+    got = {r["event_id"]: r for r in expanding_history(df, "key", "h", mean_cols=["x"], std_cols=["x"]).collect()}
+    assert len(got) == len(rows)
+    for i, _, key, _, _ in rows:
+        before = [r[3] for r in rows[:i] if r[2] == key and r[3] is not None]
+        if key is None or len(before) < 2:
+            assert got[i]["h_std_x"] is None
+        else:
+            assert abs(got[i]["h_std_x"] - np.std(np.array(before) - before[0], ddof=1)) < 1e-6
+        assert got[i]["h_n"] == (0 if key is None else sum(r[2] == key for r in rows[:i]))
