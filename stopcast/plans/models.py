@@ -122,17 +122,19 @@ def build_pipeline(estimator, features: Sequence[str], scale: bool = False) -> P
     return Pipeline(stages=stages + [estimator])
 
 
-def prepare(df: DataFrame, label: str = "target", balanced: bool = True) -> DataFrame:
-    """label as double (+ balanced weights, FT10)."""
+def prepare(df: DataFrame, label: str = "target", balanced: bool = True, fit_on: str | None = None) -> DataFrame:
+    """label as double (+ balanced weights, FT10, fitted on the rows where the
+    condition ``fit_on`` holds: the training part, so that nothing leaks)."""
     d = df.withColumn("label", F.col(label).cast("double"))
-    return class_weight_balanced(d, label="label", out="weight") if balanced else d
+    return class_weight_balanced(d, label="label", out="weight", fit_on=fit_on) if balanced else d
 
 
 def score_col(model: PipelineModel) -> F.Column:
     last = model.stages[-1]
     if "probability" in [p.name for p in last.params] or hasattr(last, "getProbabilityCol"):
         return vector_to_array(F.col("probability"))[1]
-    return vector_to_array(F.col("rawPrediction"))[1]
+    # a margin (linear SVC) on the scale of a probability: its own cut, 0, becomes 0.5
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-vector_to_array(F.col("rawPrediction"))[1]))
 
 
 def fit_score(estimator, train: DataFrame, test: DataFrame, features: Sequence[str], *, scale: bool = False,

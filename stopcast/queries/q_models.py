@@ -27,19 +27,13 @@ from stopcast.sources import adapters as A
 from stopcast.sources import files as FS
 
 
-_TRAINING: dict[tuple, tuple] = {}
-
-
 def training(spark, sf, balanced=True):
     """Leak-free training table (history, formulas, cleaning, TimeSeriesSplit(3)),
-    materialised once per Spark application and input folder (a checkpointed
-    table reused by every model query); returns (all, train, test, features)."""
-    key = (spark.sparkContext.applicationId, sf, balanced)
-    if key not in _TRAINING:
-        t = materialize(MD.prepare(training_table(_me(spark, sf)), balanced=balanced))
-        feats = [c for c in feature_columns(t) if c not in ("label", "weight", "is_valid")]
-        _TRAINING[key] = (t, t.where("is_train = 1"), t.where("is_test = 1"), feats)
-    return _TRAINING[key]
+    written once for the query's fits; class weights come from its training
+    rows alone.  Returns (all, train, test, features)."""
+    t = materialize(MD.prepare(training_table(_me(spark, sf)), balanced=balanced, fit_on="is_train = 1"))
+    feats = [c for c in feature_columns(t) if c not in ("label", "weight", "is_valid")]
+    return t, t.where("is_train = 1"), t.where("is_test = 1"), feats
 
 
 @query("random_forest")
@@ -149,27 +143,20 @@ def q_feature_importance(spark, sf):
 @query("cross_val_auc")
 def q_cross_val_auc(spark, sf):
     """VS3: 5 expanding folds (train on every earlier row), AUC mean / std."""
-    t = materialize(MD.prepare(training_table(_me(spark, sf), k=5)))
-    feats = [c for c in feature_columns(t) if c not in ("label", "weight")]
+    from stopcast.operators.rowindex import time_series_split
+    _, tr, _, feats = training(spark, sf)       # the holdout rows take no part
+    t = materialize(time_series_split(tr.drop("row_idx", "fold", "is_train", "is_test"), 5))
     cv = MD.cross_val_auc(spark, t, MD.logreg_sgd, MD.SGD_CONFIGS["HIGH_REGULARIZATION"], feats, 5, scale=True)
     return spark.createDataFrame([("logreg_sgd", cv["cv_mean"], cv["cv_std"])], "model string, cv_mean double, cv_std double")
 
 
-_SWEEPS: dict[tuple, list] = {}
-
-
 def _sweep(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
-    if key in _SWEEPS:                       # metrics rows of this application's sweep
-        return spark.createDataFrame(_SWEEPS[key], MD.RESULT_SCHEMA)
     _, tr, te, feats = training(spark, sf)
     n = tr.count()
     a = MD.config_sweep(spark, tr, te, feats, "logreg_sgd", MD.SGD_CONFIGS, MD.logreg_sgd, scale=True)
     b = MD.config_sweep(spark, tr, te, feats, "linear_svm", {f"C={c}": dict(C=c, n=n) for c in MD.SVC_C},
                         MD.linear_svm, scale=True)
-    r = a.unionByName(b)
-    _SWEEPS[key] = [tuple(x) for x in r.collect()]      # a handful of metrics rows
-    return r
+    return a.unionByName(b)
 
 
 @query("config_sweep")
