@@ -8,6 +8,7 @@ local tests need.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -19,6 +20,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 # Only used when this process launches the JVM (local runs); a cluster
 # deployment sizes its own driver / executors.
@@ -43,14 +46,38 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    if not spark.sparkContext.master.startswith("local"):
+        ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors as a zip file, for clusters whose
+    workers have no copy of it (functions that Python workers run are imported
+    there by name)."""
+    import io
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    # the driver's own file server hands it out: a local file of the driver
+    with tempfile.NamedTemporaryFile(prefix="stopcast-", suffix=".zip", delete=False) as f:
+        f.write(raw.getvalue())
+    spark.sparkContext.addPyFile(f.name)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the deployment sets it to shared storage and we use it as
-    is.  Only when it is unset (local tests) we pick a scratch folder.
+    is.  Only a local session without one gets a scratch folder; on a cluster
+    that would be a different disk for every executor, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +85,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="stopcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

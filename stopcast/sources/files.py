@@ -45,6 +45,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", True).csv(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists; any other failure is an error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _all_strings(cols) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in cols])
 
@@ -52,18 +58,13 @@ def _all_strings(cols) -> StructType:
 def read_gtfs(spark: SparkSession, root: str, files: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
     """SRC4: GTFS text files read with every column as string (keeps leading
     zeros); a missing file gives a typed empty table instead of an error."""
-    from py4j.protocol import Py4JJavaError
-    from pyspark.errors import AnalysisException
     files = files or GTFS_FILES
     out = {}
     for name, cols in files.items():
         schema = _all_strings(cols)
         path = f"{root.rstrip('/')}/{name}.txt"
-        try:
-            df = spark.read.option("header", True).schema(schema).csv(path)   # path checked at load
-        except (AnalysisException, Py4JJavaError):
-            df = spark.createDataFrame([], schema)
-        out[name] = df
+        out[name] = (spark.read.option("header", True).schema(schema).csv(path) if exists(spark, path)
+                     else spark.createDataFrame([], schema))
     return out
 
 

@@ -27,7 +27,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from stopcast.operators.labels import time_floor
 from stopcast.semantics import MICROS_PER_DAY
-from stopcast.sources.files import shared_path
+from stopcast.sources.files import exists, shared_path
 
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -65,7 +65,8 @@ def run_to_table(stream: DataFrame, spark: SparkSession, name: str, mode: str =
     ckpt = shared_path(spark, name + "-ckpt")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+        # a folder per batch, overwritten when Spark repeats the batch
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     q = (stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt)
                .trigger(availableNow=True).start())
@@ -75,10 +76,9 @@ def run_to_table(stream: DataFrame, spark: SparkSession, name: str, mode: str =
 
 def latest(spark: SparkSession, path: str, keys: list[str], schema: str | None = None) -> DataFrame:
     """Final state of an update-mode output: last batch's row per key."""
-    try:
-        df = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing was emitted
+    if not exists(spark, path):        # nothing was emitted
         return spark.createDataFrame([], schema) if schema else spark.createDataFrame([], "batch_id long")
+    df = spark.read.parquet(path)
     w = Window.partitionBy(*keys).orderBy(F.desc("batch_id"))
     return df.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r", "batch_id")
 
