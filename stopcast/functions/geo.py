@@ -46,10 +46,13 @@ def haversine_m(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
 
-# Fixed iteration count: the solver converges to machine precision in a few
-# steps for any pair that is not nearly antipodal; a fixed count makes the
-# result independent of a tolerance test (and reproducible in SQL).
+# Steps that every pair takes (it makes the result reproducible in SQL: all but
+# nearly antipodal pairs are at machine precision long before), the change of
+# the longitude difference that counts as converged, and the steps after which
+# a pair that is not gets NaN.
 VINCENTY_ITERS = 20
+VINCENTY_TOLERANCE = 1e-11
+VINCENTY_MOST = 2000
 
 
 def _vincenty(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.ndarray,
@@ -58,7 +61,8 @@ def _vincenty(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.nda
 
     Each pass computes the auxiliary quantities from the current longitude
     difference on the auxiliary sphere and then updates it; the distance
-    uses the quantities of the last pass."""
+    uses the quantities of the last pass.  NaN where the passes do not
+    converge (nearly antipodal pairs)."""
     a, f = WGS84_A, WGS84_F
     b = a * (1 - f)
     L = np.radians(lon2 - lon1)
@@ -67,7 +71,8 @@ def _vincenty(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.nda
     sinU1, cosU1, sinU2, cosU2 = np.sin(U1), np.cos(U1), np.sin(U2), np.cos(U2)
     lam = L.copy()
     with np.errstate(invalid="ignore", divide="ignore"):
-        for _ in range(iters):
+        for step in range(max(iters, VINCENTY_MOST)):
+            last = lam
             sl, cl = np.sin(lam), np.cos(lam)
             sin_sigma = np.sqrt((cosU2 * sl) * (cosU2 * sl) + (cosU1 * sinU2 - sinU1 * cosU2 * cl) * (cosU1 * sinU2 - sinU1 * cosU2 * cl))
             cos_sigma = sinU1 * sinU2 + cosU1 * cosU2 * cl
@@ -77,12 +82,16 @@ def _vincenty(lat1: np.ndarray, lon1: np.ndarray, lat2: np.ndarray, lon2: np.nda
             cos2sm = np.where(cos2a == 0, 0.0, cos_sigma - 2 * sinU1 * sinU2 / cos2a)
             C = f / 16 * cos2a * (4 + f * (4 - 3 * cos2a))
             lam = L + (1 - C) * f * sin_a * (sigma + C * sin_sigma * (cos2sm + C * cos_sigma * (-1 + 2 * cos2sm * cos2sm)))
+            open_ = np.abs(lam - last) > VINCENTY_TOLERANCE
+            if step + 1 >= iters and not open_.any():
+                break
         u2 = cos2a * (a * a - b * b) / (b * b)
         A = 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2)))
         B = u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2)))
         ds = B * sin_sigma * (cos2sm + B / 4 * (cos_sigma * (-1 + 2 * cos2sm * cos2sm)
                                                 - B / 6 * cos2sm * (-3 + 4 * sin_sigma * sin_sigma) * (-3 + 4 * cos2sm * cos2sm)))
-        return b * A * (sigma - ds)
+        # farther than half around the auxiliary sphere: no solution of this iteration
+        return np.where(open_ | (np.abs(lam) > np.pi), np.nan, b * A * (sigma - ds))
 
 
 @F.pandas_udf(DoubleType())

@@ -20,7 +20,7 @@ from stopcast.semantics import nan_to_null
 # Fixed values of the reference.
 EVENT_KEEP = "bstop_open"
 ETL_DROP_COLUMNS = [
-    "event_date", "ga_session_id", "platform", "operating_system_version", "mobile_brand_name",
+    "event_date", "event_name", "ga_session_id", "platform", "operating_system_version", "mobile_brand_name",
     "mobile_model_name", "mobile_marketing_name", "traffic_source_source", "ctm_country", "ctm_state",
     "ctm_city", "ctm_district", "stop_address", "ctm_stop_fav", "ctm_service_fav", "headsign",
 ]

@@ -34,8 +34,16 @@ def dedupe(base: DataFrame) -> DataFrame:
 
 
 def headway_avg(stop_times: DataFrame, frequencies: DataFrame) -> DataFrame:
-    """AG5: mean headway per (stop_id, start_hour) -> headway_avg_stop_hour."""
-    d = dedupe(headway_base(stop_times, frequencies))
+    """AG5: mean headway per (stop_id, start_hour) -> headway_avg_stop_hour.
+
+    Both sides are de-duplicated before the join (which gives what ``dedupe``
+    of the joined rows would): one row per (trip, hour) of the frequencies,
+    one per (trip, stop) of the stop times."""
+    f = (frequencies.select("trip_id", "start_time", split_hour("start_time").alias("start_hour"),
+                            F.col("headway_secs").cast("double").alias("headway_secs"))
+         .groupBy("trip_id", "start_hour")
+         .agg(F.min_by("headway_secs", F.struct("start_time", "headway_secs")).alias("headway_secs")))
+    d = stop_times.select("trip_id", "stop_id").distinct().join(f, "trip_id")
     return d.groupBy("stop_id", "start_hour").agg(F.avg("headway_secs").alias("headway_avg_stop_hour"))
 
 

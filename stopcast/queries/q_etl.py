@@ -81,7 +81,7 @@ def q_filter_event(spark, sf):
     return C.filter_event(_raw(spark, sf)).select("event_id", "event_name")
 
 
-@query("drop_existing", with_(RAW_EVENTS) + "\nSELECT event_id, event_name, user_pseudo_id, device_point, ctm_stop_point "
+@query("drop_existing", with_(RAW_EVENTS) + "\nSELECT event_id, user_pseudo_id, device_point, ctm_stop_point "
        "FROM raw_events")
 def q_drop_existing(spark, sf):
     return C.drop_existing(_raw(spark, sf)).drop("event_timestamp")
@@ -540,7 +540,7 @@ sa AS (SELECT gtfs_stop_id, sum(CASE WHEN lotacao_proxy_binaria = 'Nao_Baixa' TH
 e6 AS (SELECT e5.*, sa.ser, sa.sec, sa.sts, sa.sdm, coalesce(sa.sds, 0.0) AS sds, sa.shm, coalesce(sa.shs, 0.0) AS shs
        FROM e5 LEFT JOIN sa ON e5.gtfs_stop_id = sa.gtfs_stop_id WHERE lotacao_proxy_binaria IS NOT NULL)
 SELECT CAST(dense_rank() OVER (ORDER BY coalesce(CAST(gtfs_stop_id AS VARCHAR), 'nan')) - 1 AS BIGINT) AS gtfs_stop_id,
-  event_id, event_name, user_pseudo_id, {snap('device_lat')} AS device_lat, {snap('device_lon')} AS device_lon,
+  event_id, user_pseudo_id, {snap('device_lat')} AS device_lat, {snap('device_lon')} AS device_lon,
   {snap('stop_lat_event')} AS stop_lat_event, {snap('stop_lon_event')} AS stop_lon_event,
   {snap('dist_device_stop')} AS dist_device_stop, lotacao_proxy_binaria,
   CAST(dense_rank() OVER (ORDER BY coalesce(CAST(th AS VARCHAR), 'nan')) - 1 AS BIGINT) AS time_hour,
