@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopcast.llm.common import stored
+from stopcast.llm.common import stored, worker_state
+from stopcast.llm.token_counts import text_groups
 
 ORDER = 5                   # symbols of an expression
 BITS = 12                   # bits of a symbol
@@ -180,6 +181,11 @@ class Model:
         ratio = np.log(np.maximum(p(t, total_t, kinds_t), 1e-12)) - np.log(np.maximum(p(o, total_o, kinds_o), 1e-12))
         return np.bincount(row, ratio, len(words))
 
+    def evaluate(self, column: pa.Array) -> np.ndarray:
+        """Features of a batch's texts, a bounded stretch of them at a time."""
+        texts = [t or "" for t in column.to_pylist()]
+        return np.concatenate([np.zeros((0, FEATURES)), *[self.features(texts[s]) for s in text_groups(texts, 2_000_000)]])
+
     def features(self, texts: list[str]) -> np.ndarray:
         """Evidence per word: of the whole text, of its best window of each
         size, of its most telling words; and the logarithm of its length."""
@@ -234,16 +240,10 @@ class Curve:
         return 1 / (1 + np.exp(-np.clip(z @ self.weights, -30, 30)))
 
 
-_MODELS: dict[str, Model] = {}
-
-
 def _model(sent) -> Model:
     """The broadcast tables as one dense model a worker."""
     name, tables = sent.value
-    if name not in _MODELS:
-        _MODELS.clear()
-        _MODELS[name] = Model(tables)
-    return _MODELS[name]
+    return worker_state(("toxicity", name), lambda: Model(tables))
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label_col: str) -> DataFrame:
@@ -276,7 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _model(first).features([t or "" for t in batch.column(0).to_pylist()])
+            x = _model(first).evaluate(batch.column(0))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(list(x), pa.list_(pa.float64()))],
                                              names=["toxic", "x"])
 
@@ -305,8 +305,7 @@ def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            p = curve(_model(model).features(texts))
+            p = curve(_model(model).evaluate(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p),
                                               pa.array((p >= 0.5).astype(np.int32))],
                                              names=["doc_id", "held_out", "score", "predicted"])
@@ -324,7 +323,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = curve(_model(model).features([t or "" for t in batch.column(at).to_pylist()]))
+            p = curve(_model(model).evaluate(batch.column(at)))
             yield batch.filter(pa.array(p < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
