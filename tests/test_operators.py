@@ -90,7 +90,7 @@ def test_knn_exact_vs_bruteforce(spark):
     Q = rng.normal(size=(20, 8))
     tr = spark.createDataFrame([(i, [float(v) for v in X[i]]) for i in range(len(X))], "id long, vec array<double>")
     te = spark.createDataFrame([(1000 + i, [float(v) for v in Q[i]]) for i in range(len(Q))], "id long, vec array<double>")
-    got = knn_join(te, tr, 5, n_pivots=8).toPandas()
+    got = knn_join(te, tr, 5).toPandas()
     for qi in range(len(Q)):
         d = np.sqrt(((X - Q[qi]) ** 2).sum(axis=1))
         exp = list(np.lexsort((np.arange(len(X)), d))[:5])
@@ -98,6 +98,20 @@ def test_knn_exact_vs_bruteforce(spark):
         assert list(g.tid) == exp
 
 
+def test_knn_in_many_blocks_with_ties_and_self(spark, monkeypatch):
+    import stopcast.operators.knn as K
+    monkeypatch.setattr(K, "BLOCK_ROWS", 30)
+    rng = np.random.default_rng(1)
+    X = rng.integers(0, 3, size=(120, 3)).astype(float)
+    df = spark.createDataFrame([(i, [float(v) for v in X[i]]) for i in range(120)] + [(500, None)], "id long, vec array<double>")
+    got = knn_join(df, df, 4, exclude_self=True).toPandas()
+    assert got.qid.nunique() == 120
+    for i in range(120):
+        d = np.sqrt(((X - X[i]) ** 2).sum(axis=1))
+        d[i] = np.inf
+        assert list(got[got.qid == i].sort_values("rank").tid) == list(np.lexsort((np.arange(120), d))[:4])
+
+
 def test_smote_counts(spark):
     rows = [(i, [float(i % 7), float(i % 5)], 1 if i % 10 == 0 else 0) for i in range(200)]
     df = spark.createDataFrame(rows, "id long, vec array<double>, label int")
