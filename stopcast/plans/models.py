@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from stopcast.operators import metrics as M
 from stopcast.operators.transforms import class_weight_balanced
 
-MAX_DEPTH = 30   # MLlib limit; the reference's "None" (unbounded) depth is clamped here
+MAX_DEPTH = 30   # MLlib's limit; it stands for the reference's "None" (unbounded)
 
 # Fixed values of the reference (configurations of the training scripts).
 RF_CONFIGS = {
@@ -49,8 +49,12 @@ GBT_CONFIGS = {   # boosted-tree sweep re-aimed on GBTClassifier (iterations, le
     "HIGH_ITERATIONS": dict(maxIter=150, stepSize=0.03, maxDepth=12, subsamplingRate=0.85, features=0.85),
     "DEEP_TREES": dict(maxIter=50, stepSize=0.05, maxDepth=16, subsamplingRate=0.85, features=0.85),
     "HIGH_LEARNING_RATE": dict(maxIter=50, stepSize=0.1, maxDepth=10, subsamplingRate=0.85, features=0.85),
+    "MORE_BORDERS": dict(maxIter=50, stepSize=0.05, maxDepth=12, subsamplingRate=0.85, features=0.85, maxBins=254),
     "LESS_REGULARIZATION": dict(maxIter=50, stepSize=0.05, maxDepth=12, subsamplingRate=0.9, features=0.9),
     "MORE_REGULARIZATION": dict(maxIter=50, stepSize=0.05, maxDepth=12, subsamplingRate=0.7, features=0.7),
+    # MLlib has no Bayesian bootstrap: every tree sees all rows and features
+    "BOOTSTRAP_BAYESIAN": dict(maxIter=50, stepSize=0.05, maxDepth=12, subsamplingRate=1.0, features=1.0),
+    "OPTIMAL_COMBO": dict(maxIter=100, stepSize=0.04, maxDepth=14, subsamplingRate=0.8, features=0.8, maxBins=200),
 }
 SGD_CONFIGS = {
     "BASELINE": dict(alpha=1e-4, l1_ratio=0.0),
@@ -64,7 +68,10 @@ COEF_THRESHOLDS = [0.01, 0.02, 0.03, 0.05, 0.07, 0.10]
 
 
 def _depth(d):
-    return MAX_DEPTH if d is None else min(int(d), MAX_DEPTH)
+    """MLlib's limit stands for an unbounded depth; a depth beyond it is an error."""
+    if d is not None and int(d) > MAX_DEPTH:
+        raise ValueError(f"maxDepth {d}: MLlib's trees go to {MAX_DEPTH}")
+    return MAX_DEPTH if d is None else int(d)
 
 
 def random_forest(numTrees=100, maxDepth=None, minInstancesPerNode=1, balanced=False, seed=42, **_):
@@ -87,10 +94,10 @@ def decision_tree(maxDepth=None, minInstancesPerNode=1, balanced=False, sqrt=Fal
 
 
 def gbt(maxIter=50, stepSize=0.05, maxDepth=6, subsamplingRate=1.0, features=1.0, balanced=True, seed=42,
-        validation: bool = False, **_):
+        validation: bool = False, maxBins: int = 128, **_):
     """MD3: boosted trees (early stopping via ``validationIndicatorCol``)."""
     g = GBTClassifier(maxIter=maxIter, stepSize=stepSize, maxDepth=_depth(maxDepth), subsamplingRate=subsamplingRate,
-                      featureSubsetStrategy=str(features), seed=seed, maxBins=64, maxMemoryInMB=1024, cacheNodeIds=True)
+                      featureSubsetStrategy=str(features), seed=seed, maxBins=maxBins, maxMemoryInMB=1024, cacheNodeIds=True)
     if validation:
         g = g.setValidationIndicatorCol("is_valid")
     return g.setWeightCol("weight") if balanced else g

@@ -315,6 +315,12 @@ def q_join_window_label(spark, sf):
     return L.join_window_label(_me(spark, sf), width=LABEL_WIDTH).select("event_id", "lotacao_proxy", "lotacao_proxy_binaria")
 
 
+@query("join_window_label_2min", _JWL_SQL.replace("21600", "120"))
+def q_join_window_label_2min(spark, sf):
+    """JN2 at the reference's own width of 2 minutes."""
+    return L.join_window_label(_me(spark, sf), width="2 minutes").select("event_id", "lotacao_proxy", "lotacao_proxy_binaria")
+
+
 @query("map_values", "SELECT lotacao_proxy_binaria, target, count(*) AS n FROM (SELECT lotacao_proxy_binaria, "
        "CASE WHEN lotacao_proxy_binaria = 'Baixa' THEN 0 WHEN lotacao_proxy_binaria = 'Nao_Baixa' THEN 1 END::BIGINT AS target "
        "FROM (" + _JWL_SQL + ")) GROUP BY ALL")
@@ -563,6 +569,13 @@ def q_build_features(spark, sf):
     return out(build_features(_raw(spark, sf), st, sti, fr, bin_width=LABEL_WIDTH).drop("event_timestamp"))
 
 
+@query("build_features_2min", _ETL_SQL.replace("21600", "120"))
+def q_build_features_2min(spark, sf):
+    """The whole ETL at the reference's own label width of 2 minutes."""
+    st, sti, fr = _gtfs(spark, sf)
+    return out(build_features(_raw(spark, sf), st, sti, fr, bin_width="2 minutes").drop("event_timestamp"))
+
+
 @query("etl_interactions", with_(MODEL_EVENTS, """
 hd AS (SELECT *, hour(event_timestamp) AS time_hour, CAST(isodow(event_timestamp) - 1 >= 5 AS INTEGER) AS is_weekend,
        CAST((hour(event_timestamp) >= 6 AND hour(event_timestamp) < 9) OR (hour(event_timestamp) >= 17 AND hour(event_timestamp) < 19) AS INTEGER) AS is_peak_hour
