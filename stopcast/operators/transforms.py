@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopcast.semantics import col
@@ -23,24 +23,28 @@ def fit_stats(src: DataFrame, aggs: dict[str, Column]) -> Column:
     return src.agg(F.struct(*[e.alias(n) for n, e in aggs.items()]).alias("s")).scalar()
 
 
-def label_codes(df: DataFrame, c: str) -> DataFrame:
-    """FT1 fit: (value, code) with code = rank of the *string* form in
+def label_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """FT1 fit: (name, __v, __code) with code = rank of the *string* form in
     lexicographic order (hours become '0','1','10',...); NULL -> 'nan'.
 
-    The distinct-value table is a dimension (one row per category); ranking
-    it needs one ordered pass over that table only."""
-    v = F.coalesce(F.col(c).cast("string"), F.lit(NULL_TOKEN))
-    d = df.select(v.alias("__v")).distinct()
-    return d.select("__v", (F.dense_rank().over(Window.orderBy("__v")) - 1).cast("int").alias("__code"))
+    The distinct (column, value) pairs of all columns are ranked together in
+    range order (``rowindex``), so a column of many values (users) is no
+    single task's sort; a column's first rank is subtracted."""
+    from stopcast.operators.rowindex import global_row_index
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.coalesce(F.col(c).cast("string"), F.lit(NULL_TOKEN)).alias("__v"))
+                      for c in cols])
+    ranked = global_row_index(df.select(F.explode(pairs).alias("p")).select("p.*").distinct(), order=("name", "__v"), idx_col="__i")
+    first = F.broadcast(ranked.groupBy("name").agg(F.min("__i").alias("__first")))      # a row a column
+    return ranked.join(first, "name").select("name", "__v", (F.col("__i") - F.col("__first")).cast("int").alias("__code"))
 
 
 def label_encode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """FT1: replace each column by its lexicographic code (unseen -> NULL)."""
     out = df
+    codes = label_codes(fit_on if fit_on is not None else df, cols)
     for c in cols:
-        codes = label_codes(fit_on if fit_on is not None else df, c)
         v = F.coalesce(F.col(c).cast("string"), F.lit(NULL_TOKEN))
-        out = (out.withColumn("__v", v).join(codes, on="__v", how="left")
+        out = (out.withColumn("__v", v).join(codes.where(F.col("name") == c).drop("name"), on="__v", how="left")
                   .withColumn(c, F.col("__code")).drop("__v", "__code"))
     return out
 
