@@ -4,18 +4,19 @@ Every feature of a row is computed from the rows of the same key that come
 strictly *before* it in the total order ``(event_timestamp, event_id)``:
 ``ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING``.
 
-Skew-safe plan (a key may hold a third of all rows): instead of one window
-partitioned by the key, the frame is split in two parts that add up exactly
+Skew-safe plan (a key may hold a third of all rows): the rows are range
+partitioned on (key, order columns) -- ``rowindex.ranged_rows``: cut by rows,
+so neither a hot key, nor a burst of equal timestamps, nor the rows without a
+key make a partition large -- and the frame is split in two parts that add up
 
-* rows of the same key in *earlier time buckets*: per ``(key, bucket)``
-  partial aggregates (map-side combined), then a prefix sum over the buckets
-  of each key — a table with at most one row per (key, bucket);
-* rows of the same key earlier in the *same bucket*: a window partitioned by
-  ``(key, bucket)``, so a hot key is spread over all of its buckets.
+* rows of the same key in *earlier ranges*: per ``(key, range)`` partial
+  aggregates, then a running sum over the ranges of each key (only keys that
+  span ranges have more than one);
+* rows of the same key earlier in the *same range*: a window partitioned by
+  ``(key, range)``.
 
-Keys that hold more than ``HOT_FRACTION`` of all rows (a list of at most
-1/HOT_FRACTION keys, broadcast) use ``HOT_BUCKET_SECONDS`` buckets instead of
-``DEFAULT_BUCKET_SECONDS``, so one (hot key, bucket) slice stays small.
+The ranged rows are written once in the shared folder; every later step reads
+them from there.
 
 Count, sum, non-null count and max(ts) add up; the sample std merges counts,
 means and sums of square deviations, so large values with a small spread keep
@@ -30,13 +31,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stopcast.operators.rowindex import ROW_BITS, ranged_rows
 from stopcast.semantics import ORDER_COLS, require, whole_days
 
-DEFAULT_BUCKET_SECONDS = 3600
-# Hot keys (more than HOT_FRACTION of all rows: at most 1/HOT_FRACTION keys)
-# get finer buckets so that one (key, bucket) slice stays small.
-HOT_FRACTION = 0.001
-HOT_BUCKET_SECONDS = 60
 # Fixed values of the reference: recency default and warm-up length.
 RECENCY_DEFAULT = 999
 WARMUP_ROWS = 100
@@ -66,17 +63,9 @@ def expanding_history(
     mean_cols: Sequence[str] = (),
     std_cols: Sequence[str] = (),
     recency: bool = True,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    totals_from: DataFrame | None = None,
-    hot_fraction: float | None = HOT_FRACTION,
-    hot_bucket_seconds: int = HOT_BUCKET_SECONDS,
 ) -> DataFrame:
     """Append raw history aggregates for ``key``.
 
-    ``totals_from``: the table the per-(key, bucket) totals are aggregated
-    from (default ``df``).  Chained calls pass the original input so that each
-    step reads its own input once (no re-execution of earlier windows).
-
     Adds ``{prefix}_n`` (rows before), and when ``target`` is given
     ``{prefix}_pos`` (sum of target, NULL if no labelled row) and
     ``{prefix}_lab`` (non-null targets); ``{prefix}_last_ts`` and
@@ -85,25 +74,9 @@ def expanding_history(
     """
     require(df, [key, *order, *([target] if target else []), *mean_cols, *std_cols], "expanding_history")
     ts = order[0]
-    k, b, hot = f"__{prefix}_k", f"__{prefix}_b", f"__{prefix}_hot"
-    source = df if totals_from is None else totals_from
-
-    hot_keys = None
-    if hot_fraction:
-        # keys above hot_fraction of all rows: a bounded list (<= 1/hot_fraction), broadcast
-        cnt = source.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(k)).agg(F.count(F.lit(1)).alias("__c"))
-        total = source.agg(F.count(F.lit(1))).scalar()
-        hot_keys = cnt.where(F.col("__c") > total * F.lit(hot_fraction)).select(k, F.lit(True).alias(hot))
-
-    def bucketed(d: DataFrame) -> DataFrame:
-        d = d.withColumn(k, F.col(key))
-        width = F.lit(bucket_seconds * 1_000_000)
-        if hot_keys is not None:
-            d = d.join(F.broadcast(hot_keys), k, "left")
-            width = F.when(F.col(hot), F.lit(hot_bucket_seconds * 1_000_000)).otherwise(width)
-        return d.withColumn(b, F.floor(F.unix_micros(F.col(ts)) / width))
-
-    base = bucketed(df)
+    k, b = f"__{prefix}_k", f"__{prefix}_b"
+    base = ranged_rows(df, [F.col(key), *[F.col(c) for c in order]]).withColumns(
+        {k: F.col(key), b: F.shiftright("__pos", ROW_BITS)}).drop("__pos")
 
     # (name, within-bucket frame expr builder, bucket total expr, combine kind)
     parts: list[tuple[str, Column, str]] = [("n", F.lit(1), "sum")]
@@ -123,14 +96,10 @@ def expanding_history(
     def agg_of(kind: str, e: Column) -> Column:
         return {"sum": F.sum, "max": F.max, "avg": F.avg, "var_pop": F.var_pop}[kind](e)
 
-    # rows without a key share no history: each is a window partition of its own
-    alone = F.when(F.col(k).isNull(), F.monotonically_increasing_id())
-    base = base.withColumn(f"__{prefix}_a", alone)
-    w_in = Window.partitionBy(k, b, f"__{prefix}_a").orderBy(*[F.col(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    w_in = Window.partitionBy(k, b).orderBy(*[F.col(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
     inner = base.withColumns({f"__i_{n}": agg_of(kind, e).over(w_in) for n, e, kind in parts})
 
-    src = base if totals_from is None else bucketed(totals_from)
-    totals = (src.where(F.col(k).isNotNull())
+    totals = (base.where(F.col(k).isNotNull())
               .groupBy(k, b)
               .agg(*[agg_of(kind, e).alias(f"__t_{n}") for n, e, kind in parts]))
     w_pre = Window.partitionBy(k).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
@@ -185,7 +154,7 @@ def expanding_history(
             var = (q_in + q_pre + gap * gap * F.try_divide(n_in * n_pre, cnt)) / (cnt - 1)
             out[f"{prefix}_std_{c}"] = F.when(has_key & (cnt > 1), F.sqrt(F.greatest(var, zero)))
     res = j.withColumns(out)
-    drop = [k, b, hot, f"__{prefix}_a"] + [f"__i_{n}" for n, _, _ in parts] + [f"__p_{n}" for n, _ in over] + [f"__p_r_{c}" for c in std_cols]
+    drop = [k, b] + [f"__i_{n}" for n, _, _ in parts] + [f"__p_{n}" for n, _ in over] + [f"__p_r_{c}" for c in std_cols]
     return res.drop(*drop)
 
 
@@ -211,7 +180,7 @@ def _rate(prefix: str) -> Column:
 
 
 def history_features(df: DataFrame, specs: Sequence[tuple[str, str, bool]], *, warmup: int = 0,
-                     target: str = "target", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                     target: str = "target") -> DataFrame:
     """Rate / count / recency history per key with the reference's names.
 
     ``specs``: (name, key column, with recency).  Adds
@@ -223,8 +192,7 @@ def history_features(df: DataFrame, specs: Sequence[tuple[str, str, bool]], *, w
     warm = warmup_flag(df, warmup)
     cur = df
     for p, key, rec in specs:
-        cur = expanding_history(cur, key, f"__h{p}", target=target, recency=rec, bucket_seconds=bucket_seconds,
-                                totals_from=df)
+        cur = expanding_history(cur, key, f"__h{p}", target=target, recency=rec)
     out: dict[str, Column] = {}
     for p, key, rec in specs:
         h = f"__h{p}"
@@ -239,7 +207,7 @@ def history_features(df: DataFrame, specs: Sequence[tuple[str, str, bool]], *, w
 
 def rf_history(df: DataFrame, *, warmup: int = WARMUP_ROWS, line_key: str | None = "gtfs_route_id",
                user_key: str = "user_pseudo_id", stop_key: str = "gtfs_stop_id",
-               target: str = "target", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+               target: str = "target") -> DataFrame:
     """WN1 + WN2 + WN3 + WN4 + WN5 with the random-forest script's names.
 
     ``user/stop/line_hist_conversion_rate``, ``user/stop/line_hist_count``,
@@ -249,20 +217,19 @@ def rf_history(df: DataFrame, *, warmup: int = WARMUP_ROWS, line_key: str | None
     specs = [("user", user_key, True), ("stop", stop_key, True)]
     if line_key and line_key in df.columns:
         specs.append(("line", line_key, False))
-    return history_features(df, specs, warmup=warmup, target=target, bucket_seconds=bucket_seconds)
+    return history_features(df, specs, warmup=warmup, target=target)
 
 
 def basic_rates(df: DataFrame, *, warmup: int = WARMUP_ROWS, user_key: str = "user_pseudo_id",
-                stop_key: str = "gtfs_stop_id", target: str = "target",
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                stop_key: str = "gtfs_stop_id", target: str = "target") -> DataFrame:
     """WN8: only the user / stop history rate and count, with warm-up."""
     return rf_history(df, warmup=warmup, line_key=None, user_key=user_key, stop_key=stop_key,
-                      target=target, bucket_seconds=bucket_seconds).drop("user_recency_days", "stop_recency_days")
+                      target=target).drop("user_recency_days", "stop_recency_days")
 
 
 def knn_history(df: DataFrame, *, user_key: str = "user_pseudo_id", stop_key: str = "gtfs_stop_id",
                 target: str = "target", hour_col: str = "hour", dist_col: str = "dist_device_stop",
-                freq_col: str = "user_frequency", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                freq_col: str = "user_frequency") -> DataFrame:
     """WN6 + WN7 with the k-NN script's names (warm-up = first row only).
 
     user: ``user_hist_events``, ``user_hist_conversions``,
@@ -277,9 +244,9 @@ def knn_history(df: DataFrame, *, user_key: str = "user_pseudo_id", stop_key: st
     has_freq = freq_col in df.columns
     u = expanding_history(df, user_key, "__ku", target=target, recency=False,
                           mean_cols=[hour_col] + ([dist_col] if has_dist else []),
-                          std_cols=[dist_col] if has_dist else [], bucket_seconds=bucket_seconds)
+                          std_cols=[dist_col] if has_dist else [])
     s = expanding_history(u, stop_key, "__ks", target=target, recency=False,
-                          mean_cols=[freq_col] if has_freq else [], bucket_seconds=bucket_seconds, totals_from=df)
+                          mean_cols=[freq_col] if has_freq else [])
     warm = warmup_flag(df, 1)
     zero = F.lit(0.0)
 

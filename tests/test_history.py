@@ -1,6 +1,7 @@
 """History operators against a brute-force O(n^2) loop (the reference's
 algorithm) on hand-written rows and on the sf0.001 events."""
 
+import contextlib
 import datetime as dt
 import math
 
@@ -44,11 +45,25 @@ def _rows(spark):
                                        "gtfs_stop_id int, target int")
 
 
-@pytest.mark.parametrize("bucket", [1, 3600, 86400 * 30])
-def test_history_matches_bruteforce_small(spark, bucket):
+@contextlib.contextmanager
+def many_ranges(spark, n=16):
+    """Keys then span several ranges even on a small table."""
+    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 16])
+def test_history_matches_bruteforce_small(spark, ranges):
     df = _rows(spark)
-    out = history_features(df, [("user", "user_pseudo_id", True), ("stop", "gtfs_stop_id", True)],
-                           bucket_seconds=bucket).toPandas().set_index("event_id")
+    with many_ranges(spark, ranges):
+        out = history_features(df, [("user", "user_pseudo_id", True), ("stop", "gtfs_stop_id", True)]).toPandas() \
+            .set_index("event_id")
     pdf = df.toPandas()
     for key, p in (("user_pseudo_id", "user"), ("gtfs_stop_id", "stop")):
         exp = brute(pdf, key)
@@ -98,19 +113,22 @@ def test_knn_std_semantics(spark):
     assert r.loc[4, "stop_hist_events"] == 0.0
 
 
-def test_hot_key_buckets_equal_plain(spark):
-    """A key holding 40 % of the rows takes the fine-bucket path; results
-    must equal the single-width path exactly."""
+def test_hot_key_over_many_ranges_equals_one(spark):
+    """A key holding 40 % of the rows, and rows without a key, over many
+    ranges give what one range gives."""
     t0 = dt.datetime(2024, 1, 1)
-    rows = [(i, t0 + dt.timedelta(minutes=7 * i), "hot" if i % 5 < 2 else f"u{i % 13}", i % 3, None if i % 11 == 0 else i % 2)
-            for i in range(600)]
+    rows = [(i, t0 + dt.timedelta(minutes=7 * (i // 3)), None if i % 7 == 0 else "hot" if i % 5 < 2 else f"u{i % 13}", i % 3,
+             None if i % 11 == 0 else i % 2) for i in range(600)]
     df = spark.createDataFrame(rows, "event_id long, event_timestamp timestamp, user_pseudo_id string, "
-                                     "gtfs_stop_id int, target int")
-    a = expanding_history(df, "user_pseudo_id", "h", hot_fraction=0.3, hot_bucket_seconds=60).toPandas()
-    b = expanding_history(df, "user_pseudo_id", "h", hot_fraction=None).toPandas()
+                                     "gtfs_stop_id int, target int").repartition(5)
+    with many_ranges(spark):
+        a = expanding_history(df, "user_pseudo_id", "h").toPandas()
+    with many_ranges(spark, 1):
+        b = expanding_history(df, "user_pseudo_id", "h").toPandas()
     cols = ["event_id", "h_n", "h_pos", "h_lab", "h_recency"]
     pd.testing.assert_frame_equal(a[cols].sort_values("event_id").reset_index(drop=True),
                                   b[cols].sort_values("event_id").reset_index(drop=True))
+    assert (a[a.user_pseudo_id.isna()].h_n == 0).all()
 
 
 def test_std_of_large_values_keeps_its_digits(spark):
@@ -125,7 +143,8 @@ def test_std_of_large_values_keeps_its_digits(spark):
         x = None if i % 11 == 10 else 1e9 * (i % 3) + float(rng.normal(0, 0.2))
         rows.append((i, t0 + dt.timedelta(minutes=7 * i), key, x, i % 2))
     df = spark.createDataFrame(rows, "event_id long, event_timestamp timestamp, key string, x double, target int")
-    got = {r["event_id"]: r for r in expanding_history(df, "key", "h", mean_cols=["x"], std_cols=["x"]).collect()}
+    with many_ranges(spark):
+        got = {r["event_id"]: r for r in expanding_history(df, "key", "h", mean_cols=["x"], std_cols=["x"]).collect()}
     assert len(got) == len(rows)
     for i, _, key, _, _ in rows:
         before = [r[3] for r in rows[:i] if r[2] == key and r[3] is not None]
