@@ -1,6 +1,12 @@
 """Nearest-neighbour spatial join (JN1) without a cross product.
 
-Grid plan: a point in cell ``(floor(lat/c), floor(lon/c))`` is compared only
+Where the stops are counted to be few enough (BROADCAST_STOPS, 24 bytes each
+and their ids), they are broadcast in order of latitude and the points stay
+where they are: in every Arrow batch the distinct coordinates walk up and down
+from their latitude until the gap in latitude alone exceeds the best distance.
+The walk is exact and takes all points of the batch a step at a time.
+
+Grid plan, for more stops: a point in cell ``(floor(lat/c), floor(lon/c))`` is compared only
 with the stops of the 3x3 block of cells around it.  Any stop outside that
 block is farther than ``c``, so a best distance ``<= c`` is exact.  Points
 whose best candidate is farther (or that found none) fall to coarser levels
@@ -16,11 +22,15 @@ shuffle of the point side by point id.  Ties go to the smallest stop id.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stopcast.semantics import require
 
+BROADCAST_STOPS = 2_000_000
 OFFSETS = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
 
 
@@ -43,20 +53,76 @@ def _best(lat: Column, lon: Column) -> Column:
         ((s["lat"] - lat) * (s["lat"] - lat) + (s["lon"] - lon) * (s["lon"] - lon)).alias("d2"), s["id"].alias("id"))))
 
 
+def nearest_rows(lat: np.ndarray, lon: np.ndarray, slat: np.ndarray, slon: np.ndarray,
+                 rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row of the nearest stop, squared distance) of every point; ``slat`` is
+    ascending, ties go to the smallest ``rank``, -1 without stops."""
+    best, row = np.full(len(lat), np.inf), np.full(len(lat), -1)
+    low = np.full(len(lat), len(slat))
+    start = np.searchsorted(slat, lat)
+    for step, first in ((1, start), (-1, start - 1)):
+        live, at = np.arange(len(lat)), first.copy()
+        while len(live):
+            inside = (at >= 0) & (at < len(slat))
+            live, at = live[inside], at[inside]
+            gap = slat[at] - lat[live]
+            near = gap * gap <= best[live]
+            live, at, gap = live[near], at[near], gap[near]
+            side = slon[at] - lon[live]
+            d2 = gap * gap + side * side
+            better = (d2 < best[live]) | ((d2 == best[live]) & (rank[at] < low[live]))
+            hit = live[better]
+            best[hit], row[hit], low[hit] = d2[better], at[better], rank[at[better]]
+            at = at + step
+    return row, best
+
+
+def _broadcast_nearest(left: DataFrame, s: DataFrame, lat: str, lon: str, out: str, out_dist: str | None) -> DataFrame:
+    """The nearest stop by broadcast of ``s(__sid, __slat, __slon)``."""
+    kind = s.schema["__sid"].dataType
+    got = s.orderBy("__sid").toArrow()
+    slat, slon = got["__slat"].to_numpy(), got["__slon"].to_numpy()
+    by = np.argsort(slat, kind="stable")
+    ids = got["__sid"].to_pandas().to_numpy()[by]
+    sent = left.sparkSession.sparkContext.broadcast((ids, slat[by], slon[by], by))
+
+    @F.pandas_udf(StructType([StructField("id", kind), StructField("d", DoubleType())]))
+    def find(la: pd.Series, lo: pd.Series) -> pd.DataFrame:
+        ids, slat, slon, rank = sent.value
+        la, lo = la.to_numpy("float64", na_value=np.nan), lo.to_numpy("float64", na_value=np.nan)
+        row, d2 = np.full(len(la), -1), np.full(len(la), np.nan)
+        ok = np.isfinite(la) & np.isfinite(lo)
+        point, back = np.unique(la[ok] + 1j * lo[ok], return_inverse=True)
+        r, d = nearest_rows(point.real, point.imag, slat, slon, rank)
+        row[ok], d2[ok] = r[back], d[back]
+        found = pd.Series([None] * len(la), dtype=object)
+        found[row >= 0] = ids[row[row >= 0]]
+        return pd.DataFrame({"id": found, "d": pd.Series(np.where(row >= 0, np.sqrt(d2), np.nan)).astype(object).where(row >= 0, None)})
+
+    j = left.withColumn("__near", find(F.col(lat).cast("double"), F.col(lon).cast("double")))
+    o = [*[F.col(c) for c in left.columns], F.col("__near.id").alias(out)]
+    if out_dist:
+        o.append(F.col("__near.d").alias(out_dist))
+    return j.select(*o)
+
+
 def nearest_join(left: DataFrame, stops: DataFrame, *, lat: str, lon: str, stop_id: str = "stop_id",
                  stop_lat: str = "stop_lat", stop_lon: str = "stop_lon", out: str = "nearest_stop_id",
                  out_dist: str | None = None, cell: float = 0.01, growth: float = 16.0,
-                 final_chunk: int = 100_000) -> DataFrame:
+                 final_chunk: int = 100_000, broadcast_stops: int = BROADCAST_STOPS) -> DataFrame:
     """Add ``out`` (and optionally ``out_dist``, Euclidean degrees) to every
     row of ``left``: the stop with the smallest Euclidean lat/lon distance.
     Rows with a NULL coordinate get NULL.  Stops with NULL coordinates are
-    ignored.  On the last (whole-globe) level the stops are split into
-    candidate arrays of at most ``final_chunk`` entries."""
+    ignored.  Up to ``broadcast_stops`` stops are broadcast; beyond, on the
+    last (whole-globe) grid level the stops are split into candidate arrays of
+    at most ``final_chunk`` entries."""
     require(left, [lat, lon], "nearest_join")
     require(stops, [stop_id, stop_lat, stop_lon], "nearest_join (stops)")
     s = (stops.select(F.col(stop_id).alias("__sid"), F.col(stop_lat).cast("double").alias("__slat"),
                       F.col(stop_lon).cast("double").alias("__slon"))
          .where(F.col("__slat").isNotNull() & F.col("__slon").isNotNull()))
+    if s.limit(broadcast_stops + 1).count() <= broadcast_stops:
+        return _broadcast_nearest(left, s, lat, lon, out, out_dist)
     levels = []
     c = cell
     while True:
