@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 import warnings
 from collections.abc import Iterator
 
@@ -24,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from stopcast.llm.common import worker_state
-from stopcast.llm.token_counts import text_groups
+from stopcast.llm.token_counts import batch_groups
 from stopcast.llm.units import Rows, UnitCoder
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-CACHE_UNITS = 800_000       # units kept by a worker; the cache is emptied beyond
-CHUNK_BYTES = 1_000_000     # bytes of distinct pre-tokens in one recursive query
+CACHE_UNITS = 300_000       # units kept by a worker; the cache is emptied beyond
+LONG_BYTES = 2_000          # pre-tokens beyond are merged one by one, not in rounds
+CHUNK_BYTES = 200_000       # bytes of distinct pre-tokens in one recursive query
 
 #: place = word << 24 | position; every word ends with a row of token -1, which
 #: pairs with nothing.  The inner ORDER BY gives the windows their order.
@@ -90,7 +92,7 @@ class SqlBPE:
                 if a is not None and b is not None:
                     both.append(a << 32 | b)
                     rank.append(r)
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         self._table("merges", both=pa.array(both, pa.int64()), rank=pa.array(rank, pa.int64()))
         self._table("tokens", id=pa.array(list(ranks.values()), pa.int64()),
                     hex=pa.array([t.hex() for t in ranks], pa.string()))
@@ -126,6 +128,37 @@ class SqlBPE:
             a = b
         return np.concatenate(ids), np.concatenate(sizes)
 
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """Ids of one long pre-token.  A round of the query costs the whole
+        word and contracts one pair, which a word of n bytes would pay n
+        times; here a heap holds the pairs by rank and place."""
+        n, ranks = len(word), self.ranks
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))     # of the token that starts at a place
+        alive = [True] * n
+
+        def rank(at: int) -> int | None:
+            nxt = end[at]
+            return ranks.get(word[at:end[nxt]]) if nxt < n else None
+
+        heap = [(r, i) for i in range(n - 1) if (r := rank(i)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            if not alive[i] or rank(i) != r:
+                continue
+            gone = end[i]
+            end[i], alive[gone] = end[gone], False
+            if end[i] < n:
+                before[end[i]] = i
+            for at in (before[i], i):
+                if at >= 0 and (new := rank(at)) is not None:
+                    heapq.heappush(heap, (new, at))
+        out, at = [], 0
+        while at < n:
+            out.append(ranks[word[at:end[at]]])
+            at = end[at]
+        return np.array(out, "<u4")
+
     def decode_ids(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         """Bytes of each (non-empty) run of ids, by the ordered aggregation."""
         out: list[bytes] = []
@@ -143,12 +176,16 @@ class SqlBPE:
         rank = np.fromiter((self.ranks.get(w, -1) for w in raw), np.int64, len(raw))
         one = np.flatnonzero(rank >= 0)         # a pre-token that is a token
         rest = np.flatnonzero(rank < 0)
-        ids, sizes = self.encode_words([raw[i] for i in rest.tolist()])
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        long, rest = rest[size[rest] > LONG_BYTES], rest[size[rest] <= LONG_BYTES]
         rows = Rows(np.dtype("<u4"))
         rows.add(rank[one].astype("<u4"), np.ones(len(one), np.int64))
-        rows.add(ids, sizes)
+        rows.add(*self.encode_words([raw[i] for i in rest.tolist()]))
+        for i in long.tolist():
+            ids = self.merge_long(raw[i])
+            rows.add(ids, np.array([len(ids)]))
         back = np.empty(len(raw), np.int64)
-        back[np.concatenate([one, rest])] = np.arange(len(raw))
+        back[np.concatenate([one, rest, long])] = np.arange(len(raw))
         ids, starts = rows.gather(back)
         sizes = np.diff(starts)
         decoded = self.decode_ids(ids, sizes)
@@ -170,15 +207,15 @@ def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str =
     ``keep_ids`` the ids come too, as array<int>.  Only the two named columns
     are read.  A null text counts as empty; repeated rows give repeated
     results; a null id stays null; an empty table gives an empty result.
-    A pre-token of n bytes takes up to n rounds over its rows.
+    Pre-tokens of over LONG_BYTES bytes are merged by a heap in place of the
+    query, whose rounds would take the square of their length.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = worker_state(("bpe_sql", rank_file, pattern), lambda: SqlBPE(read_ranks(rank_file), pattern))
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for s in text_groups(texts):
-                (ids, starts), (decoded, ends) = coder.coder(texts[s])
-                columns = [batch.column(0).slice(s.start, s.stop - s.start), pa.array(np.diff(starts)),
+            for part in batch_groups(batch, 1, 2_000_000):
+                (ids, starts), (decoded, ends) = coder.coder([t or "" for t in part.column(1).to_pylist()])
+                columns = [part.column(0), pa.array(np.diff(starts)),
                            pa.array(digests(ids, starts), pa.string()), pa.array(digests(decoded, ends), pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Hashable
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,7 +100,22 @@ def worker_state(key: Hashable, make: Callable[[], T]) -> T:
     a coder, a cache).  A worker keeps that of one operator only: Spark reuses
     workers, and a pipeline's stages would add up in their memory."""
     if key not in _STATE:
-        _STATE.clear()
-        gc.collect()
+        if _STATE:
+            _STATE.clear()
+            give_back()
         _STATE[key] = make()
     return _STATE[key]
+
+
+def give_back() -> None:
+    """Return freed memory to the system; Python and Arrow keep it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def no_state() -> None:
+    """For operators that keep nothing: what another one kept is dropped."""
+    worker_state("none", lambda: None)

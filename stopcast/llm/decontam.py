@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stopcast.llm.common import worker_state
 from stopcast.llm.token_counts import text_groups
 
 INDEX_BYTES = 32 << 20      # text of the items in one broadcast index
@@ -93,21 +95,19 @@ class Index:
         self.flat_block = np.array([b for t in self.block_most for b in t], np.int64)
         self.flat_most = np.array([v for t in self.block_most for v in t.values()])
         self.stride = max(SHINGLE, math.ceil(1.25 * self.longest))
-        self.cache: dict[str, int] = {}
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"cache": {}}
+        self.name = uuid.uuid4().hex
 
     def numbers(self, tokens: list[str]) -> np.ndarray:
         """Term of each raw token: -1 none, -2 no word at all."""
-        new = set(tokens).difference(self.cache)
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
+        cache = worker_state(("decontam", self.name), dict)
+        new = set(tokens).difference(cache)
+        if len(cache) + len(new) > CACHE_WORDS:
+            cache.clear()
             new = set(tokens)
         for t in new:
             w = normal(t)
-            self.cache[t] = self.terms.get(w, -1) if w else -2
-        return np.fromiter(map(self.cache.__getitem__, tokens), np.int64, len(tokens))
+            cache[t] = self.terms.get(w, -1) if w else -2
+        return np.fromiter(map(cache.__getitem__, tokens), np.int64, len(tokens))
 
     def search(self, terms: list[int], threshold: float, blocks: list[int] | None = None) -> list[tuple[int, float]]:
         """Items (of ``blocks``, if given) whose weights for ``terms`` add up

@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from stopcast.llm.common import no_state
+
 # The kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -343,6 +345,7 @@ def train(samples: list[list[Token]], entities: list[list[tuple[int, str]]], ste
 def fit(docs: DataFrame, text_col: str = "text") -> Field | None:
     """The field of a corpus (None where no document has a base span)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_state()
         kept: dict[int, str] = {}
         heap: list[int] = []
         for batch in batches:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from stopcast.llm.common import components, stored
+from stopcast.llm.common import components, no_state, stored
 
 EQUAL = 2       # blocks that a shard's fingerprints share
 HOT = 2000      # fingerprints of a shard above which it is cut again
@@ -62,6 +62,7 @@ def majority(hashes: np.ndarray) -> int:
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, print bigint): one row per document, in its own partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_state()
         for batch in batches:
             got = np.array([majority(shingle_hashes(t, words)) if t else 0 for t in batch.column(1).to_pylist()],
                            np.uint64)
@@ -205,4 +206,5 @@ def one_of_each(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str =
     order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row))
     kept = classes.join(rows.select(id_col, row), row).groupBy("component_id").agg(F.min(order).alias("first")) \
         .select(F.col("first").getField(row).alias(row))
-    return rows.join(stored(kept, "kept"), row, "left_semi").drop(row)
+    # one plan at every size: the kept rows grow with the corpus, so they are never broadcast
+    return rows.join(stored(kept, "kept").hint("merge"), row, "left_semi").drop(row)

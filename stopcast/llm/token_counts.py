@@ -21,9 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
+from stopcast.llm.common import worker_state
+
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 CACHE_UNITS = 400_000          # units kept by a worker; the cache is emptied beyond
 CHUNK_SYMBOLS = 2_000_000      # symbols merged at once
@@ -145,9 +148,6 @@ class Counter:
         return [sum(map(self.units.__getitem__, c)) for c in cut]
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def text_groups(texts: list[str], most: int = 8_000_000) -> Iterator[slice]:
     """Slices of a batch that hold about ``most`` characters, or one text."""
     a = size = 0
@@ -160,6 +160,16 @@ def text_groups(texts: list[str], most: int = 8_000_000) -> Iterator[slice]:
         yield slice(a, len(texts))
 
 
+def batch_groups(batch: pa.RecordBatch, text: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that hold about ``most`` bytes of text, or one row."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    a = 0
+    while a < len(size):
+        b = max(a + 1, int(np.searchsorted(size, (size[a - 1] if a else 0) + most, side="right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 2048,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for every row of ``docs``.
@@ -171,9 +181,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 2048,
     stays null; an empty table gives an empty result.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if vocabulary not in _COUNTERS:
-            _COUNTERS[vocabulary] = Counter(vocabulary)
-        counter = _COUNTERS[vocabulary]
+        counter = worker_state(("token_counts", vocabulary), lambda: Counter(vocabulary))
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             n: list[int] = []

@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopcast.llm.common import stored, worker_state
-from stopcast.llm.token_counts import text_groups
+from stopcast.llm.common import no_state, stored, worker_state
+from stopcast.llm.token_counts import batch_groups
 
 ORDER = 5                   # symbols of an expression
 BITS = 12                   # bits of a symbol
@@ -45,7 +45,7 @@ BEST = (1, 3, 8)            # words of most evidence, each counted once
 FEATURES = 2 + len(WINDOWS) + len(BEST)
 LABELS_SENT = 1_000_000     # labelled rows up to which they are broadcast for the join
 CURVE_ROWS = 200_000        # labelled rows, at most, that fit the logistic curve
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 COUNTS = ("n_all", "toxic_fit", "plain_fit", "toxic_cal", "plain_cal")
 PUNCTUATION = ".,;:!?\"'()[]{}<>|/\\*&%$#@=+~^`_-"
 
@@ -89,6 +89,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
     schema = pa.schema([("gram", pa.int64()), *((c, pa.int64()) for c in COUNTS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_state()
         counters = [Counter() for _ in COUNTS]
 
         def flush() -> pa.RecordBatch:
@@ -183,8 +184,8 @@ class Model:
 
     def evaluate(self, column: pa.Array) -> np.ndarray:
         """Features of a batch's texts, a bounded stretch of them at a time."""
-        texts = [t or "" for t in column.to_pylist()]
-        return np.concatenate([np.zeros((0, FEATURES)), *[self.features(texts[s]) for s in text_groups(texts, 2_000_000)]])
+        parts = batch_groups(pa.RecordBatch.from_arrays([column], names=["text"]), 0, 2_000_000)
+        return np.concatenate([np.zeros((0, FEATURES)), *[self.features([t or "" for t in p.column(0).to_pylist()]) for p in parts]])
 
     def features(self, texts: list[str]) -> np.ndarray:
         """Evidence per word: of the whole text, of its best window of each

@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stopcast.llm.common import shared_folder, stored, worker_state
-from stopcast.llm.token_counts import text_groups
+from stopcast.llm.token_counts import batch_groups
 from stopcast.llm.units import Rows, UnitCoder
 
-SHARD_TOKENS = 2_000_000    # ids after which a shard file is closed
-CACHE_UNITS = 1_000_000     # units whose ids a worker keeps; emptied beyond
-RUN_WORDS = 20_000          # pre-tokens that the library is given as one text
+SHARD_TOKENS = 500_000      # ids after which a shard file is closed
+CACHE_UNITS = 300_000       # units whose ids a worker keeps; emptied beyond
+RUN_WORDS = 5_000           # pre-tokens that the library is given as one text
 MAGIC = b"WVM1"
 BLOCK = 512                 # bits between stored counts
 
@@ -270,12 +270,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             return out
 
         for batch in batches:
-            doc_ids, texts, numbers = (batch.column(i).to_pylist() for i in range(3))
-            texts = [t or "" for t in texts]
-            for s in text_groups(texts):
-                for i, got in zip(range(s.start, s.stop), encode(texts[s]), strict=True):
-                    first = first or (doc_ids[i], numbers[i])
-                    ids.append(doc_ids[i])
+            for some in batch_groups(batch, 1, 2_000_000):
+                doc_ids, texts, numbers = (some.column(i).to_pylist() for i in range(3))
+                for doc_id, number, got in zip(doc_ids, numbers, encode([t or "" for t in texts]), strict=True):
+                    first = first or (doc_id, number)
+                    ids.append(doc_id)
                     parts.append(got)
                     size += len(got) + 1
                     if size >= SHARD_TOKENS:

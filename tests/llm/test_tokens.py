@@ -68,6 +68,19 @@ def test_caches_are_bounded(monkeypatch, libraries):
         check([t], libraries, made)
 
 
+def test_long_pre_tokens(libraries, coders):
+    """Words without a break, merged by the heap and (shorter ones) by the query."""
+    import random
+    r = random.Random(0)
+    texts = ["x" * 100_000, "".join(r.choice("abcdefgh") for _ in range(60_000)), "=" * 5_000, " " * 4_000 + "a",
+             "é" * 1_500, "".join(r.choice("aeinrst") for _ in range(1_900)), "ab" * 1_100]
+    ids, starts = coders[2].coder(texts)[0]
+    for i, t in enumerate(texts):
+        assert ids[starts[i]:starts[i + 1]].tolist() == libraries[2].encode_ordinary(t)
+    for w in ("thenation", "ababab", "ing" * 5, "é日本" * 4, "a"):
+        assert coders[2].merge_long(w.encode()).tolist() == libraries[2]._core_bpe.encode_single_piece(w.encode())
+
+
 def test_queries_on_edges(spark, libraries):
     df = documents(spark, EDGES)
     got = sorted(map(tuple, token_counts.token_counts(df, WORD, 100).collect()), key=str)
