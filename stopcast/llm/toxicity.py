@@ -12,41 +12,44 @@ A document's evidence is the difference of the two log-likelihoods per word,
 over the whole text and in its most toxic windows; a logistic curve, fitted on
 labelled rows that these counts have not seen, turns it into a probability.
 
-Counts are gathered by one pass over all documents, combined per task and then
-by Spark.  What scoring needs is folded into tables of a fixed number of slots, so
-that the broadcast has a bound whatever the corpus.
+All counts are exact and keyed by the whole expression, so the model grows with
+the corpus and nobody holds it whole.  Texts are read once: a chunk of documents
+becomes a file of word numbers, and its distinct words go to parts by hash.  A
+part counts the expressions of its words, Spark adds them up and computes every
+expression's evidence by joins, the parts fetch what their words need, and the
+chunks get the evidence of their words back.  No key of these shuffles is hot: a
+word is one entry a chunk, an expression one row a part and stretch of words.
 """
 
 from __future__ import annotations
 
+import posixpath
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from stopcast.llm.common import no_state, stored, worker_state
+from stopcast.llm.common import no_state, shared_folder, stored
+from stopcast.llm.suffix_dedup import pack, unpack
 from stopcast.llm.token_counts import batch_groups
 
 ORDER = 5                   # symbols of an expression
-BITS = 12                   # bits of a symbol
-#: Slots of the tables of class expressions, their contexts, and the shared
-#: expressions and contexts of each length: primes, a slot is the packed
-#: expression modulo them.
-TOP, AFTER = 2_097_143, 524_287
-LOW = {4: 1_048_573, 3: 262_139, 2: 65_521, 1: 4_093}
-LOW_AFTER = {4: 524_287, 3: 131_071, 2: 32_749, 1: 1_021}
+BITS = 21                   # bits of a symbol: any code point
 DISCOUNT = 0.75
 WINDOWS = (4, 16, 64)       # words
 BEST = (1, 3, 8)            # words of most evidence, each counted once
 FEATURES = 2 + len(WINDOWS) + len(BEST)
 LABELS_SENT = 1_000_000     # labelled rows up to which they are broadcast for the join
 CURVE_ROWS = 200_000        # labelled rows, at most, that fit the logistic curve
-CACHE_WORDS = 300_000
-COUNTS = ("n_all", "toxic_fit", "plain_fit", "toxic_cal", "plain_cal")
+CHUNK_BYTES = 6_000_000     # text of a chunk
+PART_BYTES = 24_000_000     # text a part of the words
+STRETCH = 200_000           # words whose expressions are worked on at once
+COUNTS = ("toxic_fit", "plain_fit", "toxic_cal", "plain_cal")
 PUNCTUATION = ".,;:!?\"'()[]{}<>|/\\*&%$#@=+~^`_-"
 
 
@@ -54,165 +57,253 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def packed(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expressions of every word (punctuation at its ends left out), one per
-    symbol and one for its end, as packed integers; and the word each belongs to.  Code points below 3,500
-    are symbols of their own, the others share what is left."""
+    symbol and one for its end: the first two symbols and the last three, each
+    as an integer; and the word each belongs to."""
     words = [w.strip(PUNCTUATION) for w in words]
     lens = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    raw = np.frombuffer("\x01".join(words).encode("utf-32-le") + "\x01".encode("utf-32-le"), "<u4").astype(np.int64)
-    raw = np.where(raw < 3500, raw, 3500 + raw % ((1 << BITS) - 3500))
+    raw = np.frombuffer("\x01".join(words).encode("utf-32-le") + "\x01".encode("utf-32-le"), "<u4").astype(np.int64) \
+        if words else np.zeros(0, np.int64)
     row = np.repeat(np.arange(len(words)), lens)
     place = np.arange(len(raw)) - np.repeat(np.cumsum(lens) - lens, lens)
-    key = raw.copy()
-    for back in range(1, ORDER):
-        before = np.r_[np.zeros(back, np.int64), raw[:-back]]
-        key |= np.where(place >= back, before, 2) << (BITS * back)      # 2: before the word
-    return key, row
-
-
-def gram_counts(counters: list[Counter]) -> dict[str, np.ndarray]:
-    """Packed expressions and their counts in each of several word counters."""
-    words = list(counters[0])
-    key, row = symbols(words) if words else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    gram, inverse = np.unique(key, return_inverse=True)
-    out = {"gram": gram}
-    for name, c in zip(COUNTS, counters, strict=True):
-        n = np.fromiter((c[w] for w in words), np.float64, len(words)) if c else np.zeros(len(words))
-        out[name] = np.bincount(inverse, n[row], len(gram)).astype(np.int64)
-    return out
+    back = [raw]
+    for n in range(1, ORDER):
+        before = np.r_[np.zeros(min(n, len(raw)), np.int64), raw[:-n]]
+        back.append(np.where(place >= n, before, 2))            # 2: before the word
+    return back[3] | back[4] << BITS, back[0] | back[1] << BITS | back[2] << 2 * BITS, row
 
 
-def count_grams(docs: DataFrame) -> DataFrame:
-    """(gram, counts) of ``docs(text, part)``; part: 0 no label, 1 toxic fit,
-    2 ordinary fit, 3 toxic for the curve, 4 ordinary for the curve."""
-    schema = pa.schema([("gram", pa.int64()), *((c, pa.int64()) for c in COUNTS)])
+def symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The expressions of ``packed`` as one (Python) integer each, and their words."""
+    hi, lo, row = packed(words)
+    return hi.astype(object) << 3 * BITS | lo.astype(object), row
+
+
+# ------------------------------------------------------------ chunks and parts
+
+WORDS_SQL = "part bigint, chunk string, blob binary"
+GRAMS_SQL = "part bigint, hi bigint, lo bigint, " + ", ".join(f"{c} bigint" for c in COUNTS)
+FEATURED_SQL = "chunk string, blob binary, h bigint, toxic int, x array<double>"
+HEAD = -1                   # part of the row that names a chunk
+
 
+def coded(rows: DataFrame, path: str, parts: int) -> DataFrame:
+    """(part, chunk, blob) of ``rows(row, text, part, h)``: the distinct words
+    of a chunk with their counts, by hash; part: 0 no label, 1 toxic fit, 2
+    ordinary fit, 3 toxic for the curve, 4 ordinary for the curve.  The
+    documents stay in the folder as word numbers, beside the struct ``row``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         no_state()
-        counters = [Counter() for _ in COUNTS]
+        system, root = pafs.FileSystem.from_uri(path)
+        system.create_dir(root, recursive=True)
+
+        def close(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            words, ends = [], []
+            for piece in held:
+                for text in piece.column(1).to_pylist():
+                    words += words_of(text or "")
+                    ends.append(len(words))
+            column = pa.array(words, pa.large_string()).dictionary_encode()
+            del words
+            distinct, codes = column.dictionary.to_pylist(), column.indices.to_numpy().astype("<u4")
+            ends = np.array(ends, "<i8")
+            kind = np.concatenate([p.column(2).to_numpy() for p in held]).astype("<i8")
+            h = np.concatenate([p.column(3).fill_null(0).to_numpy() for p in held]).astype("<i8")
+            of_word = np.repeat(kind, np.diff(np.r_[0, ends]))
+            counts = [np.bincount(codes[of_word == k + 1], minlength=len(distinct)).astype("<i8") for k in range(len(COUNTS))]
+            home = np.fromiter((xxh64_intdigest(w) % parts for w in distinct), "<u4", len(distinct))
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, pa.schema([held[0].schema.field(0)])) as out:
+                for piece in held:
+                    out.write_batch(piece.select([0]))
+            name = uuid.uuid4().hex
+            with system.open_output_stream(posixpath.join(root, name), compression=None) as f:
+                f.write(pack(codes, ends, home, kind, h, np.frombuffer(sink.getvalue(), np.uint8)))
+            found = [(HEAD, name, b"")]
+            for p in np.unique(home).tolist():
+                mine = np.flatnonzero(home == p)
+                text = "\n".join([distinct[i] for i in mine.tolist()]).encode()
+                found.append((p, name, pack(np.frombuffer(text, np.uint8), *[c[mine] for c in counts])))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                zip(*found, strict=True), (pa.int64(), pa.string(), pa.binary()), strict=True)], names=["part", "chunk", "blob"])
+
+        held, size = [], 0
+        for batch in batches:
+            for piece in batch_groups(batch, 1, CHUNK_BYTES):
+                held.append(piece)
+                size += piece.column(1).nbytes
+                if size >= CHUNK_BYTES:
+                    yield close(held)
+                    held, size = [], 0
+        if held:
+            yield close(held)
+
+    return rows.select("row", "text", F.col("part").cast("int").alias("part"), "h").mapInArrow(run, WORDS_SQL)
+
+
+def load(path: str, name: str) -> list[np.ndarray]:
+    system, root = pafs.FileSystem.from_uri(path)
+    with system.open_input_file(posixpath.join(root, name)) as f:
+        return unpack(f.read(), "<u4", "<i8", "<u4", "<i8", "<i8", np.uint8)
+
+
+def part_words(blobs: list[bytes]) -> tuple[list[str], list[np.ndarray], list[np.ndarray]]:
+    """The distinct words of a part, their counts, and each chunk's words as numbers."""
+    got = [unpack(b, np.uint8, *["<i8"] * len(COUNTS)) for b in blobs]
+    lists = [g[0].tobytes().decode().split("\n") for g in got]
+    column = pa.array([w for words in lists for w in words], pa.large_string()).dictionary_encode()
+    distinct, codes = column.dictionary.to_pylist(), column.indices.to_numpy()
+    counts = []
+    for k in range(len(COUNTS)):
+        sums = np.zeros(len(distinct), np.int64)
+        np.add.at(sums, codes, np.concatenate([g[1 + k] for g in got]))
+        counts.append(sums)
+    return distinct, counts, np.split(codes, np.cumsum(list(map(len, lists)))[:-1])
+
+
+def asked_grams(words: DataFrame, parts: int) -> DataFrame:
+    """(part, hi, lo, counts): the expressions of the words of each part."""
+    schema = pa.schema([("part", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), *((c, pa.int64()) for c in COUNTS)])
+
+    def ask(t: pa.Table) -> pa.Table:
+        part = t["part"][0].as_py()
+        distinct, counts, _ = part_words(t["blob"].to_pylist())
+        out = []
+        for a in range(0, len(distinct), STRETCH):
+            hi, lo, row = packed(distinct[a:a + STRETCH])
+            by = np.lexsort((lo, hi))
+            hi, lo, row = hi[by], lo[by], row[by]
+            new = np.flatnonzero(np.r_[True, (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])])
+            out.append(pa.table([np.full(len(new), part), hi[new], lo[new],
+                                 *[np.add.reduceat(c[a:a + STRETCH][row], new) for c in counts]], schema=schema))
+        return pa.concat_tables(out)
+
+    return words.where("part >= 0").repartition(parts, "part").groupBy("part").applyInArrow(ask, GRAMS_SQL)
 
-        def flush() -> pa.RecordBatch:
-            got = gram_counts(counters)
-            for c in counters:
-                c.clear()
-            return pa.RecordBatch.from_arrays([pa.array(got[n]) for n in schema.names], schema=schema)
 
-        for batch in batches:
-            for text, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = words_of(text or "")
-                counters[0].update(words)
-                if part:
-                    counters[part].update(words)
-                if len(counters[0]) > CACHE_WORDS // 2:
-                    yield flush()
-        yield flush()
-
-    return docs.select("text", "part").mapInArrow(run, "gram bigint, " + ", ".join(f"{c} bigint" for c in COUNTS)) \
-        .groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS])
-
-
-def slot(key: Column, size: int) -> Column:
-    return F.pmod(key, F.lit(size)).cast("int").alias("slot")
-
-
-def model_tables(grams: DataFrame, toxic: list[str], plain: list[str]) -> dict[str, tuple[int, pa.Table]]:
-    """The tables that scoring needs, each of at most as many rows as its slots;
-    the class counts are the sums of the named columns."""
-    low = (1 << BITS * (ORDER - 1)) - 1
-    t, o = sum((F.col(c) for c in toxic), F.lit(0)), sum((F.col(c) for c in plain), F.lit(0))
-    top = grams.select("gram", t.alias("t"), o.alias("o"))
-    seen = top.where("t + o > 0")
-    out = {"top": (TOP, seen.groupBy(slot(F.col("gram"), TOP)).agg(F.sum("t").alias("t"), F.sum("o").alias("o"))),
-           "after": (AFTER, seen.groupBy(slot(F.shiftright("gram", BITS), AFTER)).agg(
-               F.sum("t").alias("t"), F.sum("o").alias("o"),
-               F.sum((F.col("t") > 0).cast("int")).alias("kinds_t"), F.sum((F.col("o") > 0).cast("int")).alias("kinds_o")))}
-    below = grams.groupBy(F.col("gram").bitwiseAND(F.lit(low)).alias("gram")).agg(F.count("*").alias("n"))
+def count_grams(docs: DataFrame) -> DataFrame:
+    """(hi, lo, counts) of the expressions of ``docs(text, part)``."""
+    rows = docs.select(F.struct("text").alias("row"), "text", "part", F.lit(0).cast("bigint").alias("h"))
+    words = stored(coded(rows, shared_folder(docs.sparkSession, "chunks"), 1), "words")
+    return summed(asked_grams(words, 1))
+
+
+def summed(asked: DataFrame) -> DataFrame:
+    return asked.groupBy("hi", "lo").agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
+# ------------------------------------------------------------ the model
+
+def ratios(grams: DataFrame, classes: list[tuple[list[str], list[str]]]) -> DataFrame:
+    """(hi, lo, shared, r0, r1, ...) of every expression: the probability of its
+    last symbol by the shared model, and for each pair of (toxic, ordinary)
+    count columns the toxic less ordinary log-likelihood."""
+    def keep(n: int) -> tuple[Column, Column]:
+        """The last ``n`` symbols."""
+        return ((F.col("hi").bitwiseAND(F.lit((1 << BITS * (n - 3)) - 1)) if n > 3 else F.lit(0).cast("bigint")).alias("hi"),
+                F.col("lo").bitwiseAND(F.lit((1 << BITS * min(n, 3)) - 1)).alias("lo"))
+
+    def context() -> tuple[Column, Column]:
+        return F.col("hi").alias("c_hi"), F.shiftright("lo", BITS).alias("c_lo")
+
+    def smoothed(n: str, total: str, kinds: str, base: str) -> Column:
+        return (F.greatest(F.col(n) - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(kinds) * F.col(base)) / F.col(total)
+
+    below, lower = grams.select("hi", "lo"), {}
     for k in range(ORDER - 1, 0, -1):
-        out[f"low{k}"] = (LOW[k], below.groupBy(slot(F.col("gram"), LOW[k])).agg(F.sum("n").alias("n")))
-        out[f"after{k}"] = (LOW_AFTER[k], below.groupBy(slot(F.shiftright("gram", BITS), LOW_AFTER[k])).agg(
-            F.sum("n").alias("n"), F.count("*").alias("kinds")))
-        if k > 1:
-            below = below.groupBy(F.col("gram").bitwiseAND(F.lit((1 << BITS * (k - 1)) - 1)).alias("gram")) \
-                .agg(F.count("*").alias("n"))
-    return {k: (size, df.toArrow()) for k, (size, df) in out.items()}
+        below = lower[k] = below.groupBy(*keep(k)).agg(F.count("*").alias("n"))
+    total, kinds = lower[1].agg(F.sum("n"), F.count("*")).first()
+    p = lower[1].select("hi", "lo", ((F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) + DISCOUNT * kinds / (1 << BITS))
+                                     / F.lit(float(total or 1))).alias("p"))
+    for k in range(2, ORDER):
+        after = lower[k].groupBy(*context()).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+        less = p.select(F.col("hi").alias("s_hi"), F.col("lo").alias("s_lo"), F.col("p").alias("base"))
+        s_hi, s_lo = keep(k - 1)
+        p = lower[k].select("hi", "lo", "n", *context(), s_hi.alias("s_hi"), s_lo.alias("s_lo")) \
+            .join(after, ["c_hi", "c_lo"]).join(less, ["s_hi", "s_lo"]) \
+            .select("hi", "lo", smoothed("n", "total", "kinds", "base").alias("p"))
+    named = []
+    for i, (toxic, plain) in enumerate(classes):
+        named += [sum((F.col(c) for c in some), F.lit(0)).alias(f"{m}{i}") for m, some in (("t", toxic), ("o", plain))]
+    marks = [f"{m}{i}" for i in range(len(classes)) for m in "to"]
+    s_hi, s_lo = keep(ORDER - 1)
+    top = grams.select("hi", "lo", *context(), s_hi.alias("s_hi"), s_lo.alias("s_lo"), *named)
+    after = top.groupBy("c_hi", "c_lo").agg(*[F.sum(m).alias(f"total_{m}") for m in marks],
+                                            *[F.sum((F.col(m) > 0).cast("int")).alias(f"kinds_{m}") for m in marks])
+    less = p.select(F.col("hi").alias("s_hi"), F.col("lo").alias("s_lo"), F.greatest("p", F.lit(1e-12)).alias("shared"))
+
+    def likely(m: str) -> Column:
+        seen = F.when(F.col(f"total_{m}") > 0, smoothed(m, f"total_{m}", f"kinds_{m}", "shared")).otherwise(F.col("shared"))
+        return F.log(F.greatest(seen, F.lit(1e-12)))
+
+    return top.join(after, ["c_hi", "c_lo"]).join(less, ["s_hi", "s_lo"]) \
+        .select("hi", "lo", "shared", *[(likely(f"t{i}") - likely(f"o{i}")).alias(f"r{i}") for i in range(len(classes))])
+
+
+def model_tables(grams: DataFrame, toxic: list[str], plain: list[str]) -> pa.Table:
+    """The model of a small corpus as one table (``scores`` never gathers it)."""
+    return ratios(grams, [(toxic, plain)]).toArrow()
 
 
 class Model:
-    """Scores words by the folded tables."""
-
-    def __init__(self, tables: dict[str, tuple[int, pa.Table]]):
-        self.tables: dict[str, dict[str, np.ndarray]] = {}
-        self.sizes = {}
-        for name, (size, table) in tables.items():
-            at = table["slot"].to_numpy()
-            self.sizes[name] = size
-            self.tables[name] = {}
-            for c in table.column_names[1:]:
-                dense = np.zeros(size, np.float32)
-                dense[at] = table[c].to_numpy()
-                self.tables[name][c] = dense
-        self.cache: dict[str, float] = {}
-
-    def look(self, name: str, key: np.ndarray) -> list[np.ndarray]:
-        at = key % self.sizes[name]
-        return [c[at].astype(np.float64) for c in self.tables[name].values()]
+    """Scores words by a table (hi, lo, shared, r0, ...) of their expressions."""
+
+    def __init__(self, table: pa.Table):
+        hi, lo = table["hi"].to_numpy(), table["lo"].to_numpy()
+        self.his, self.los = np.unique(hi), np.unique(lo)
+        key = np.searchsorted(self.his, hi) * len(self.los) + np.searchsorted(self.los, lo)
+        self.keys, first = np.unique(key, return_index=True)
+        self.values = np.c_[*[table[c].to_numpy()[first] for c in table.column_names if c not in ("hi", "lo")]]
+
+    def look(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        """The values of expressions, zero where the table has none."""
+        out = np.zeros((len(hi), self.values.shape[1]))
+        if len(self.keys) and len(hi):
+            i = np.minimum(np.searchsorted(self.his, hi), len(self.his) - 1)
+            j = np.minimum(np.searchsorted(self.los, lo), len(self.los) - 1)
+            at = i * len(self.los) + j
+            k = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+            known = (self.his[i] == hi) & (self.los[j] == lo) & (self.keys[k] == at)
+            out[known] = self.values[k[known]]
+        return out
 
     def shared(self, key: np.ndarray) -> np.ndarray:
         """Probability of the last symbol by continuation counts of all documents."""
-        p = np.full(len(key), 1.0 / (1 << BITS))
-        for k in range(1, ORDER):
-            gram = key & ((1 << BITS * k) - 1)
-            n, = self.look(f"low{k}", gram)
-            total, kinds = self.look(f"after{k}", gram >> BITS)
-            safe = np.maximum(total, 1)
-            p = np.where(total > 0, (np.maximum(n - DISCOUNT, 0) + DISCOUNT * kinds * p) / safe, p)
-        return np.maximum(p, 1e-12)
+        low = (1 << 3 * BITS) - 1
+        return np.maximum(self.look((key >> 3 * BITS).astype(np.int64), (key & low).astype(np.int64))[:, 0], 1e-12)
 
     def evidence(self, words: list[str]) -> np.ndarray:
-        """Toxic less ordinary log-likelihood of every word."""
-        key, row = symbols(words)
-        base = self.shared(key)
-        t, o = self.look("top", key)
-        total_t, total_o, kinds_t, kinds_o = self.look("after", key >> BITS)
-
-        def p(n: np.ndarray, total: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-            return np.where(total > 0, (np.maximum(n - DISCOUNT, 0) + DISCOUNT * kinds * base) / np.maximum(total, 1), base)
-
-        ratio = np.log(np.maximum(p(t, total_t, kinds_t), 1e-12)) - np.log(np.maximum(p(o, total_o, kinds_o), 1e-12))
-        return np.bincount(row, ratio, len(words))
-
-    def evaluate(self, column: pa.Array) -> np.ndarray:
-        """Features of a batch's texts, a bounded stretch of them at a time."""
-        parts = batch_groups(pa.RecordBatch.from_arrays([column], names=["text"]), 0, 2_000_000)
-        return np.concatenate([np.zeros((0, FEATURES)), *[self.features([t or "" for t in p.column(0).to_pylist()]) for p in parts]])
-
-    def features(self, texts: list[str]) -> np.ndarray:
-        """Evidence per word: of the whole text, of its best window of each
-        size, of its most telling words; and the logarithm of its length."""
-        cut = [words_of(t) for t in texts]
-        new = list(set().union(*cut).difference(self.cache))
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = list(set().union(*cut))
-        for a in range(0, len(new), 100_000):
-            part = new[a:a + 100_000]
-            self.cache.update(zip(part, self.evidence(part).tolist(), strict=True))
-        out = np.zeros((len(texts), FEATURES))
-        for i, words in enumerate(cut):
-            if not words:
-                continue
-            x = np.fromiter(map(self.cache.__getitem__, words), np.float64, len(words))
-            total = np.r_[0.0, np.cumsum(x)]
-            out[i, 0] = total[-1] / len(x)
-            for j, w in enumerate(WINDOWS):
-                n = min(w, len(x))
-                out[i, 1 + j] = (total[n:] - total[:-n]).max() / w
-            some = sorted(map(self.cache.__getitem__, set(words)), reverse=True)[:BEST[-1]]
-            for j, k in enumerate(BEST):
-                out[i, 1 + len(WINDOWS) + j] = sum(some[:k]) / k
-            out[i, -1] = np.log1p(len(x))
-        return out
+        """Toxic less ordinary log-likelihood of every word, a column per class pair."""
+        out = [np.zeros((0, self.values.shape[1] - 1))]
+        for a in range(0, len(words), STRETCH):
+            some = words[a:a + STRETCH]
+            hi, lo, row = packed(some)
+            found = self.look(hi, lo)[:, 1:]
+            out.append(np.c_[*[np.bincount(row, x, len(some)) for x in found.T]])
+        return np.concatenate(out)
+
+
+def features(codes: np.ndarray, ends: np.ndarray, evidence: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Evidence per word of the chosen documents: of the whole text, of its best
+    window of each size, of its most telling words; and the logarithm of its length."""
+    out = np.zeros((len(chosen), FEATURES))
+    starts = np.r_[0, ends[:-1]]
+    for i, d in enumerate(chosen.tolist()):
+        some = codes[starts[d]:ends[d]]
+        if not len(some):
+            continue
+        x = evidence[some]
+        total = np.r_[0.0, np.cumsum(x)]
+        out[i, 0] = total[-1] / len(x)
+        for j, w in enumerate(WINDOWS):
+            n = min(w, len(x))
+            out[i, 1 + j] = (total[n:] - total[:-n]).max() / w
+        best = np.sort(evidence[np.unique(some)])[::-1][:BEST[-1]]
+        for j, k in enumerate(BEST):
+            out[i, 1 + len(WINDOWS) + j] = best[:k].sum() / k
+        out[i, -1] = np.log1p(len(x))
+    return out
 
 
 class Curve:
@@ -241,16 +332,11 @@ class Curve:
         return 1 / (1 + np.exp(-np.clip(z @ self.weights, -30, 30)))
 
 
-def _model(sent) -> Model:
-    """The broadcast tables as one dense model a worker."""
-    name, tables = sent.value
-    return worker_state(("toxicity", name), lambda: Model(tables))
-
-
-def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label_col: str) -> DataFrame:
-    """(doc_id, text, toxic, fold): the label joined on, by broadcast while
+def labelled(docs: DataFrame, labels: DataFrame, row: Column, id_col: str, text_col: str, label_id: str,
+             label_col: str) -> DataFrame:
+    """(doc_id, row, text, toxic, fold): the label joined on, by broadcast while
     there are few labels and by a shuffle beyond."""
-    rows = docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    rows = docs.select(docs[id_col].cast("bigint").alias("doc_id"), row.alias("row"), docs[text_col].cast("string").alias("text"))
     marks = labels.select(labels[label_id].cast("bigint").alias("doc_id"), labels[label_col].cast("int").alias("toxic")) \
         .where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marks = stored(marks, "marks")
@@ -259,36 +345,74 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     return rows.join(marks, "doc_id", "left").withColumn("fold", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id",
-        label_col: str = "toxic"):
-    """The broadcast model tables and the curve.
+def fit(docs: DataFrame, labels: DataFrame, row: Column, id_col: str = "doc_id", text_col: str = "text",
+        label_id: str = "doc_id", label_col: str = "toxic") -> tuple[str, DataFrame, Curve]:
+    """The folder of chunks (with ``row`` of every document), the features of
+    each chunk's documents as (chunk, blob), and the curve.
 
     Fold 0 is held out: its labels are never read into a count or the curve.
     Folds 1 to 3 count for a first model, whose features of fold 4 (at most
     CURVE_ROWS of its rows, by hash) fit the curve; folds 1 to 4 count for
-    the model that scores.
+    the model that scores.  Both models share the passes.
     """
-    sc = docs.sparkSession.sparkContext
-    rows = labelled(docs, labels, id_col, text_col, label_id, label_col)
+    spark = docs.sparkSession
+    path = shared_folder(spark, "chunks")
+    total = docs.agg(F.sum(F.octet_length(docs[text_col].cast("string")))).first()[0] or 0
+    parts = 1 + total // PART_BYTES
     part = F.when(F.col("toxic").isNull() | (F.col("fold") == 0), 0) \
         .otherwise(F.when(F.col("fold") == 4, 3).otherwise(1) + F.when(F.col("toxic") == 1, 0).otherwise(1))
-    grams = stored(count_grams(rows.select("text", part.alias("part"))), "grams")
-    first = sc.broadcast((uuid.uuid4().hex, model_tables(grams, ["toxic_fit"], ["plain_fit"])))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = _model(first).evaluate(batch.column(0))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(list(x), pa.list_(pa.float64()))],
-                                             names=["toxic", "x"])
-
-    got = rows.where("toxic is not null and fold = 4").withColumn("h", F.xxhash64("doc_id"))
-    chosen = got.select("h").orderBy("h").limit(CURVE_ROWS).agg(F.max("h")).first()[0]
-    seen = got.where(F.col("h") <= (chosen if chosen is not None else 0)).select("text", "toxic") \
-        .mapInArrow(run, "toxic int, x array<double>").toArrow()
-    x = np.array(seen["x"].to_pylist(), float).reshape(-1, FEATURES)
-    curve = Curve(x, seen["toxic"].to_numpy().astype(float))
-    tables = model_tables(grams, ["toxic_fit", "toxic_cal"], ["plain_fit", "plain_cal"])
-    return sc.broadcast((uuid.uuid4().hex, tables)), curve
+    rows = labelled(docs, labels, row, id_col, text_col, label_id, label_col)
+    words = stored(coded(rows.select("row", "text", part.alias("part"), F.xxhash64("doc_id").alias("h")), path, parts), "words")
+    asked = stored(asked_grams(words, parts), "asked")
+    model = ratios(stored(summed(asked), "grams"), [(["toxic_fit"], ["plain_fit"]),
+                                                    (["toxic_fit", "toxic_cal"], ["plain_fit", "plain_cal"])])
+
+    def answer(w: pa.Table, g: pa.Table) -> pa.Table:
+        """By part: the evidence of each chunk's words."""
+        distinct, _, chunks = part_words(w["blob"].to_pylist())
+        found = Model(g.drop_columns(["part"])).evidence(distinct).astype("<f4")
+        return pa.table([w["part"], w["chunk"], pa.array([pack(found[c]) for c in chunks], pa.binary())],
+                        names=["part", "chunk", "blob"])
+
+    def measure(t: pa.Table) -> pa.Table:
+        """By chunk: the features of its documents, and those that fit the curve."""
+        name = t["chunk"][0].as_py()
+        codes, ends, home, kind, h, _ = load(path, name)
+        evidence = np.zeros((len(home), 2))
+        for p, blob in zip(t["part"].to_pylist(), t["blob"].to_pylist(), strict=True):
+            if p >= 0:
+                evidence[home == p] = unpack(blob, "<f4")[0].reshape(-1, 2)
+        x = features(codes, ends, evidence[:, 1], np.arange(len(ends)))
+        fits = np.flatnonzero(kind > 2)
+        seen = features(codes, ends, evidence[:, 0], fits)
+        none = [None] * len(fits)
+        return pa.table([pa.array([name, *none], pa.string()), pa.array([pack(x), *none], pa.binary()),
+                         pa.array([None, *h[fits].tolist()], pa.int64()),
+                         pa.array([None, *(kind[fits] == 3).astype(int).tolist()], pa.int32()),
+                         pa.array([None, *seen.tolist()], pa.list_(pa.float64()))],
+                        names=["chunk", "blob", "h", "toxic", "x"])
+
+    needed = asked.select("part", "hi", "lo").join(model, ["hi", "lo"]).select("part", "hi", "lo", "shared", "r0", "r1")
+    back = words.where("part >= 0").groupBy("part").cogroup(needed.groupBy("part")).applyInArrow(answer, WORDS_SQL)
+    heads = words.where(F.col("part") == HEAD)
+    n = max(1, heads.count())
+    measured = stored(back.union(heads).repartition(n, "chunk").groupBy("chunk").applyInArrow(measure, FEATURED_SQL), "features")
+    chosen = measured.where("h is not null").select("h").orderBy("h").limit(CURVE_ROWS).agg(F.max("h")).first()[0]
+    seen = measured.where(F.col("h") <= (chosen if chosen is not None else 0)).select("h", "toxic", "x").toArrow()
+    x, y = np.array(seen["x"].to_pylist(), float).reshape(-1, FEATURES), seen["toxic"].to_numpy().astype(float)
+    by = np.lexsort((*x.T, y, seen["h"].to_numpy()))
+    return path, measured.where("chunk is not null").select("chunk", "blob"), Curve(x[by], y[by])
+
+
+def each_chunk(path: str, curve: Curve, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The rows of the chunks' documents, and their scores."""
+    for batch in batches:
+        for name, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            p = curve(unpack(blob, "<f8")[0].reshape(-1, FEATURES))
+            at = 0
+            for rows in pa.ipc.open_stream(load(path, name)[-1].tobytes()):
+                yield pa.RecordBatch.from_struct_array(rows.column(0)), p[at:at + rows.num_rows]
+                at += rows.num_rows
 
 
 def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **columns: str) -> DataFrame:
@@ -302,29 +426,25 @@ def scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     is the share of toxic ones (0 without any).  Empty tables give an empty
     result.
     """
-    model, curve = fit(docs, labels, id_col, text_col, **columns)
+    doc_id = docs[id_col].cast("bigint")
+    row = F.struct(doc_id.alias("doc_id"), (F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0).alias("held_out"))
+    path, chunks, curve = fit(docs, labels, row, id_col, text_col, **columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = curve(_model(model).evaluate(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(p),
-                                              pa.array((p >= 0.5).astype(np.int32))],
+        for rows, p in each_chunk(path, curve, batches):
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(p), pa.array((p >= 0.5).astype(np.int32))],
                                              names=["doc_id", "held_out", "score", "predicted"])
 
-    rows = docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    return rows.withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0) \
-        .mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
+    return chunks.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   **columns: str) -> DataFrame:
     """Rows of ``docs``, all columns, whose score is below a half."""
-    model, curve = fit(docs, labels, id_col, text_col, **columns)
-    at = docs.columns.index(text_col)
+    path, chunks, curve = fit(docs, labels, F.struct(*[docs[c] for c in docs.columns]), id_col, text_col, **columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = curve(_model(model).evaluate(batch.column(at)))
-            yield batch.filter(pa.array(p < 0.5))
+        for rows, p in each_chunk(path, curve, batches):
+            yield rows.filter(pa.array(p < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return chunks.mapInArrow(run, docs.schema)

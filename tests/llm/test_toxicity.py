@@ -78,3 +78,20 @@ def test_unseen_words_say_nothing(spark):
     assert np.allclose(model.evidence(["日本語", "中文"])[0:2], 0, atol=2)
     p = model.shared(toxicity.symbols(["river"])[0])
     assert ((p > 0) & (p <= 1)).all()
+
+
+def test_counts_are_exact_beyond_any_table_size(spark):
+    # symbols beyond the old 12 bits, and expressions that shared a slot of 2,097,143
+    a, b = chr(3600), chr(3600 + 596)
+    assert toxicity.symbols([a])[0][0] != toxicity.symbols([b])[0][0]
+    rows = [(i, chr(0x4E00 + i) + chr(0x5E00 + i)) for i in range(2000)]
+    got = toxicity.count_grams(plain(spark, rows).selectExpr("text", "cast(1 + doc_id % 2 as int) as part")).collect()
+    assert len(got) == 3 * len(rows) and all(x.toxic_fit + x.plain_fit == 1 for x in got)
+
+
+def test_evidence_is_that_of_one_table(spark, monkeypatch):
+    rows, labels = corpus(200)
+    want = {x.doc_id: x.score for x in toxicity.scores(plain(spark, rows), marks(spark, labels)).collect()}
+    monkeypatch.setattr(toxicity, "PART_BYTES", 20_000)     # some parts, and a chunk a partition
+    got = {x.doc_id: x.score for x in toxicity.scores(plain(spark, rows).repartition(5), marks(spark, labels)).collect()}
+    assert got.keys() == want.keys() and all(abs(got[d] - want[d]) < 1e-6 for d in want)
