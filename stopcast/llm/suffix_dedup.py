@@ -11,6 +11,10 @@ that share an anchor without being equal go to the anchor's shard, where a
 suffix array by induced sorting brings equal windows together and the permuted
 common prefixes tell where they end.
 
+An anchor of more than HOT segments (a common line between differing text) has
+no shard: its windows are segments of their own, dealt by the hash of all their
+bytes, so that no task gets more than the equal ones, once a file.
+
 Texts are written once, as compressed files of about FILE_BYTES in the shared
 folder, and are read from there by the tasks that need their bytes; shuffles
 carry hashes, places and the segments of shared anchors.  All stages are deal
@@ -40,6 +44,7 @@ WIDTH, ANCHOR = 100, 32
 FILE_BYTES = 12_000_000     # text of a file
 FLAT = 1 << 18              # bytes hashed at once
 SORTED = 4_000_000          # symbols of one suffix array
+HOT = 20_000                # segments of an anchor beyond which its windows are dealt singly
 PLACE = 24                  # bits of a position in the comparison of anchors
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -82,8 +87,8 @@ class TextFile:
             text, *rest = unpack(f.read(), np.uint8, "<i8", "?", "<i8", "<i8")
         return cls(text.tobytes(), *rest)
 
-    def segments(self) -> np.ndarray:
-        """All segments, in text order."""
+    def segments(self, hot: np.ndarray | None = None) -> np.ndarray:
+        """All segments, in text order; those of ``hot`` (sorted) anchors a window each."""
         flat = np.frombuffer(self.text, np.uint8)
         found = []
         doc, n = 0, len(self.ends)
@@ -94,11 +99,11 @@ class TextFile:
             a, b = int(self.starts[doc]), int(self.ends[last - 1])
             for at in range(a, max(a + 1, b - WIDTH + 1), FLAT):      # more than one only in a text longer than FLAT
                 to = min(b, at + FLAT + WIDTH - 1)
-                found.append(self._segments(flat[at:to], at, doc, last))
+                found.append(self._segments(flat[at:to], at, doc, last, hot))
             doc = last
         return np.concatenate(found) if found else np.zeros(0, SEGMENT)
 
-    def _segments(self, flat: np.ndarray, at: int, first: int, last: int) -> np.ndarray:
+    def _segments(self, flat: np.ndarray, at: int, first: int, last: int, hot: np.ndarray | None) -> np.ndarray:
         if len(flat) < WIDTH:
             return np.zeros(0, SEGMENT)
         grams = gram_hashes(flat)
@@ -117,7 +122,8 @@ class TextFile:
         if not len(place):
             return np.zeros(0, SEGMENT)
         anchor = anchor[place]
-        new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (place[1:] != place[:-1] + 1)])
+        turn = np.r_[True, (anchor[1:] != anchor[:-1]) | (place[1:] != place[:-1] + 1)]
+        new = np.flatnonzero(turn if hot is None else turn | among(anchors[anchor], hot))
         a = place[new]
         b = place[np.r_[new[1:], len(place)] - 1] + WIDTH
         out = np.zeros(len(a), SEGMENT)
@@ -136,6 +142,20 @@ def scramble(h: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(29)
 
 
+def among(value: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(known):
+        return np.zeros(len(value), bool)
+    return known[np.minimum(np.searchsorted(known, value), len(known) - 1)] == value
+
+
+def spread(s: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """Segments with the single windows of hot anchors keyed by all their bytes."""
+    mine = among(s["hash"], hot)
+    s["hash"][mine] = scramble(scramble(s["digest"][mine]) * STEP + s["hash"][mine])
+    return s
+
+
 def gram_hashes(flat: np.ndarray) -> dict[int, np.ndarray]:
     """Polynomial hashes of the runs of 32 and 64 bytes from every position,
     by doubling; runs over the end hold zeros there."""
@@ -181,18 +201,18 @@ def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
-def shared_hashes(blobs: list[bytes]) -> list[np.ndarray]:
-    """Per file, its anchors that occur again, in it or in another one."""
-    got = [unpack(b, "<u8", "?") for b in blobs]
+def shared_hashes(blobs: list[bytes], most: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per file, its anchors that occur again, in it or in another one, and
+    which of them have more than ``most`` segments."""
+    got = [unpack(b, "<u8", "<i8") for b in blobs]
     value = np.concatenate([h for h, _ in got])
-    many = np.concatenate([m for _, m in got])
+    n = np.concatenate([m for _, m in got])
     owner = np.repeat(np.arange(len(got)), [len(h) for h, _ in got])
     by = np.argsort(value, kind="stable")
-    value, many, owner = value[by], many[by], owner[by]
-    again = value[1:] == value[:-1]
-    twice = many | np.r_[again, False] | np.r_[False, again]
-    # a flag of one file holds for all that have the anchor
-    return [value[(owner == i) & twice] for i in range(len(got))]
+    value, n, owner = value[by], n[by], owner[by]
+    first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]][:len(value)])
+    total = np.repeat(np.add.reduceat(n, first), np.diff(np.r_[first, len(n)])) if len(n) else n
+    return [(value[mine], total[mine] > most) for i in range(len(got)) for mine in [(owner == i) & (total > 1)]]
 
 
 def firsts(s: np.ndarray) -> np.ndarray:
@@ -293,7 +313,7 @@ def duplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str
             out = [(SPANS, name, b"")]
             for p in np.unique(part).tolist():
                 mine = part == p
-                out.append((p, name, pack(value[mine], n[mine] > 1)))
+                out.append((p, name, pack(value[mine], n[mine].astype("<i8"))))
             return _rows(ROUTED, out).combine_chunks().to_batches()[0]
 
         for batch in batches:
@@ -314,21 +334,21 @@ def duplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str
         names = t["file"].to_pylist()
         if t["part"][0].as_py() < 0:
             return _rows(ROUTED, [(SPANS, n, b"") for n in names])
-        got = shared_hashes(t["blob"].to_pylist())
-        return _rows(ROUTED, [(0, n, pack(h)) for n, h in zip(names, got, strict=True) if len(h)])
+        got = shared_hashes(t["blob"].to_pylist(), HOT)
+        return _rows(ROUTED, [(0, n, pack(h, m)) for n, (h, m) in zip(names, got, strict=True) if len(h)])
 
     def find_segments(t: pa.Table) -> pa.Table:
         """By file: its segments of shared anchors, equal ones once, to the
         anchors' parts; the later copies inside the file as spans."""
         name = t["file"][0].as_py()
-        again = [unpack(b, "<u8")[0] for b in t["blob"].to_pylist() if b]
+        again = [unpack(b, "<u8", "?") for b in t["blob"].to_pylist() if b]
         out = []
         spans = np.zeros(0, SPAN)
         if again:
-            known = np.sort(np.concatenate(again))
-            s = open_file(name).segments()
-            at = np.minimum(np.searchsorted(known, s["hash"]), len(known) - 1)
-            s = s[known[at] == s["hash"]]
+            known = np.sort(np.concatenate([h for h, _ in again]))
+            hot = np.sort(np.concatenate([h[m] for h, m in again]))
+            s = open_file(name).segments(hot)
+            s = spread(s[among(s["hash"], known)], hot)
             s = s[by_key(s)]
             first = firsts(s)
             x = s[~first]

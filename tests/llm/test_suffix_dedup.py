@@ -99,3 +99,24 @@ def test_shards_split_by_anchor():
                 want.add((i, o))
             seen.add(t[o:o + 100])
     assert set(zip(segment.tolist(), start.tolist(), strict=True)) == want and (end - start == 100).all()
+
+
+def test_hot_anchor_is_split(spark, monkeypatch):
+    r = random.Random(9)
+    line = "We use cookies to make this site work, see our terms of use."
+    rows = [(i, "".join(r.choice("abcdefgh ") for _ in range(90)) + line + "".join(r.choice("abcdefgh ") for _ in range(90)))
+            for i in range(120)]
+    rows += [(500 + i, rows[i][1][10:] + "z") for i in range(30)]
+    raw = [t.encode() for _, t in rows]
+    file = suffix_dedup.TextFile(b"".join(raw), np.cumsum([len(t) for t in raw]), np.zeros(len(raw), bool),
+                                 np.arange(len(raw)), np.arange(len(raw)))
+    value, n = np.unique(file.segments()["hash"], return_counts=True)
+    (known, many), = suffix_dedup.shared_hashes([suffix_dedup.pack(value, n.astype("<i8"))], 20)
+    hot = np.sort(known[many])
+    assert n.max() >= 100 and len(hot)
+    s = suffix_dedup.spread(file.segments(hot), hot)
+    distinct = np.unique(s[["hash", "digest"]])
+    assert np.unique(distinct["hash"], return_counts=True)[1].max() <= 20       # was all of the line's segments
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    got = suffix_dedup.duplicate_substrings(plain(spark, rows).repartition(3)).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
