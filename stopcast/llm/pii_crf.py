@@ -1,7 +1,7 @@
 """Personal data by fixed patterns and a skip-chain conditional random field.
 
 The patterns give the base spans (email, ip, card, phone).  The field adds
-mentions that the patterns miss: a document's tokens that hold a digit or an @
+mentions that the patterns miss: a document's tokens that hold a digit, an @ or a masked one
 are nodes with a label each (the other tokens are O), neighbouring tokens
 share a transition potential, and every token shares a potential with the next
 one in the document that repeats it or is similar (same letters and digits,
@@ -45,6 +45,7 @@ MINIMUM = 0.7               # probability of a label that adds a span
 ROUNDS = 30
 MARK, SPACE, DIGIT = re.compile(r"[0-9@]+"), re.compile(r"\s"), re.compile(r"[0-9]")
 MASKED_AT = re.compile(r"[\[({]at[\])}]", re.IGNORECASE)
+NODE = re.compile(f"{MARK.pattern}|{MASKED_AT.pattern}", re.IGNORECASE)
 EDGE = ".,;:!?\"'<>[]{}|#$%&*=~^`_/\\-"
 
 Span = tuple[int, int, int]     # kind, start, end
@@ -106,7 +107,7 @@ def base_spans(text: str) -> list[Span]:
 # ------------------------------------------------------------ tokens
 
 class Token:
-    """A token with a digit or @, what stands beside it, and its base label."""
+    """A token with a digit, @ or masked @, what stands beside it, and its base label."""
 
     __slots__ = ("text", "before", "after", "joined", "label", "start", "end")
 
@@ -121,7 +122,7 @@ def tokens(text: str, spans: list[Span]) -> list[Token]:
     done = 0
     order = sorted(spans, key=lambda s: s[1])
     k = 0
-    for m in MARK.finditer(text):
+    for m in NODE.finditer(text):
         if m.start() < done:
             continue
         a = m.start()

@@ -94,3 +94,10 @@ def test_long_words_take_linear_time():
         pii_crf.find([text], None)
         pii_crf.tokens(text, pii_crf.base_spans(text))
     assert time.time() - began < 20
+
+
+def test_masked_address_without_a_digit(field):
+    text = "mail john.smith@example.com or john.smith[at]example.com please"
+    (base, all_), = pii_crf.find([text], field)
+    assert [text[a:b] for _, a, b in all_] == ["john.smith@example.com", "john.smith[at]example.com"] and len(base) == 1
+    assert pii_crf.find(["write to john.smith[at]example.com please"], field) == [([], [])]
