@@ -5,7 +5,8 @@ mentions that the patterns miss: a document's tokens that hold a digit, an @ or
 are nodes with a label each (the other tokens are O), neighbouring tokens
 share a transition potential, and every token shares a potential with the next
 one in the document that repeats it or is similar (same letters and digits,
-same last or first digits, same mailbox name).  Loopy message passing over all
+same last or first digits, same mailbox name) and with the first such one that
+the patterns match.  Loopy message passing over all
 links makes the labels of a document agree: a number that is no phone number
 by the pattern becomes one where the document gives it in full elsewhere.
 
@@ -42,7 +43,7 @@ MAILBOX = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456
 
 TRAIN_DOCS = 1200
 MINIMUM = 0.7               # probability of a label that adds a span
-ROUNDS = 30
+ROUNDS = 1000               # of messages, where a document does not settle before
 MARK, SPACE, DIGIT = re.compile(r"[0-9@]+"), re.compile(r"\s"), re.compile(r"[0-9]")
 MASKED_AT = re.compile(r"[\[({]at[\])}]", re.IGNORECASE)
 NODE = re.compile(f"{MARK.pattern}|{MASKED_AT.pattern}", re.IGNORECASE)
@@ -75,7 +76,7 @@ def quads(text: str) -> Iterator[tuple[int, int]]:
         for i in range(0, len(parts) - 3, 4):
             four = parts[i:i + 4]
             size = sum(map(len, four)) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four):
+            if all(len(p) <= 3 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in four)):
                 yield at, at + size
             at += size + 1
 
@@ -189,13 +190,22 @@ def likeness(t: Token) -> list[str]:
 
 
 def skip_links(ts: list[Token]) -> list[tuple[int, int]]:
-    """Each token and the next that shares a key with it."""
+    """Each token with the next that shares a key with it, and with the key's
+    first one that has a base label (the first one where none has)."""
+    keys = [likeness(t) for t in ts]
+    hub: dict[str, int] = {}
+    for i, t in enumerate(ts):
+        for k in keys[i]:
+            if k not in hub or t.label and not ts[hub[k]].label:
+                hub[k] = i
     last: dict[str, int] = {}
     out = set()
-    for i, t in enumerate(ts):
-        for k in likeness(t):
+    for i, some in enumerate(keys):
+        for k in some:
             if k in last:
                 out.add((last[k], i))
+            if hub[k] != i:
+                out.add((min(i, hub[k]), max(i, hub[k])))
             last[k] = i
     return sorted(out)
 
@@ -211,10 +221,10 @@ class Field:
 
     def probabilities(self, docs: list[list[Token]]) -> list[np.ndarray]:
         """Label probabilities of every token, by loopy message passing over
-        all links of all documents at once."""
-        own, one, two, kind = [], [], [], []
+        all links of all documents at once, each until it has converged."""
+        own, one, two, kind, of = [], [], [], [], []
         base = 0
-        for ts in docs:
+        for d, ts in enumerate(docs):
             for i, t in enumerate(ts):
                 x = self.weights[features(t)].sum(axis=0)
                 if not t.joined:
@@ -230,6 +240,7 @@ class Field:
                 one.append(base + i)
                 two.append(base + j)
                 kind.append(1)
+            of += [d] * (len(one) - len(of))
             base += len(ts)
         if not base:
             return [np.zeros((0, LABELS)) for _ in docs]
@@ -239,15 +250,20 @@ class Field:
             one, two = np.array(one), np.array(two)
             pair = np.stack([self.chain, np.diag(self.agree)])[np.array(kind)]
             there, back = np.zeros((len(one), LABELS)), np.zeros((len(one), LABELS))
+            of = np.array(of)
+            open_ = np.arange(len(of))          # links of documents that have not converged
             for _ in range(ROUNDS):
+                i, j, t, b = one[open_], two[open_], there[open_], back[open_]
                 belief = own.copy()
-                np.add.at(belief, two, there)
-                np.add.at(belief, one, back)
-                new = _message(belief[one] - back, pair)
-                new_back = _message(belief[two] - there, pair.transpose(0, 2, 1))
-                moved = max(np.abs(new - there).max(), np.abs(new_back - back).max())
-                there, back = 0.5 * (there + new), 0.5 * (back + new_back)
-                if moved < 1e-4:
+                np.add.at(belief, j, t)
+                np.add.at(belief, i, b)
+                new = _message(belief[i] - b, pair[open_])
+                new_back = _message(belief[j] - t, pair[open_].transpose(0, 2, 1))
+                moved = np.zeros(len(docs))
+                np.maximum.at(moved, of[open_], np.maximum(np.abs(new - t).max(axis=1), np.abs(new_back - b).max(axis=1)))
+                there[open_], back[open_] = 0.5 * (t + new), 0.5 * (b + new_back)
+                open_ = open_[moved[of[open_]] >= 1e-4]
+                if not len(open_):
                     break
             belief = own.copy()
             np.add.at(belief, two, there)

@@ -101,3 +101,25 @@ def test_masked_address_without_a_digit(field):
     (base, all_), = pii_crf.find([text], field)
     assert [text[a:b] for _, a, b in all_] == ["john.smith@example.com", "john.smith[at]example.com"] and len(base) == 1
     assert pii_crf.find(["write to john.smith[at]example.com please"], field) == [([], [])]
+
+
+def test_far_repeats_are_reached(field):
+    again = " ".join(f"{w} then (743) 555-3824 came" for w in words(3, 150).split())
+    text = "call +1 (743) 555-3824 now, " + again
+    (base, all_), = pii_crf.find([text], field)
+    assert len(base) == 1 and len(all_) == 151
+    ts = pii_crf.tokens(text, base)
+    first = next(i for i, t in enumerate(ts) if t.label)
+    assert len({j for i, j in pii_crf.skip_links(ts) if i <= first + 2}) >= 150
+
+
+def test_documents_do_not_share_their_rounds(field):
+    texts = [t for _, t in corpus(20)] + ["call +1 (743) 555-3824 now" + " or (743) 555-3824 then" * 60]
+    together = field.probabilities([pii_crf.tokens(t, pii_crf.base_spans(t)) for t in texts])
+    for t, p in zip(texts, together, strict=True):
+        alone, = field.probabilities([pii_crf.tokens(t, pii_crf.base_spans(t))])
+        assert (alone == p).all()
+
+
+def test_numbers_of_many_zeros():
+    assert pii_crf.base_spans("0" * 5000 + "1.2.3.4") == [(1, 0, 5007)]
