@@ -38,13 +38,9 @@ def training(spark, sf, balanced=True):
 
 @query("random_forest")
 def q_random_forest(spark, sf):
-    """MD1 + VS4: the depth-bounded random-forest configurations of the
-    reference (DEPTH_CONTROL, OPTIMIZED).  The three unbounded-depth ones
-    (trees grown to purity, depth clamped to MLlib's 30) are in
-    ``RF_CONFIGS`` but take minutes even at sf0.01, so the check skips them."""
+    """MD1 + VS4: the five random-forest configurations of the reference."""
     _, tr, te, feats = training(spark, sf)
-    cfg = {k: MD.RF_CONFIGS[k] for k in ("DEPTH_CONTROL", "OPTIMIZED")}
-    return MD.config_sweep(spark, tr, te, feats, "random_forest", cfg, MD.random_forest)
+    return MD.config_sweep(spark, tr, te, feats, "random_forest", MD.RF_CONFIGS, MD.random_forest)
 
 
 @query("decision_tree")
@@ -64,13 +60,11 @@ def q_decision_tree(spark, sf):
 @query("gbt")
 def q_gbt(spark, sf):
     """MD3: boosted trees with early stopping on the last 10 % of the train
-    part; runs 2 of the 9 reference configurations (BASELINE,
-    HIGH_LEARNING_RATE) to keep the check short -- the full sweep is
-    ``config_sweep(..., GBT_CONFIGS, gbt)``."""
+    part; the nine configurations of the reference."""
     t, tr, te, feats = training(spark, sf)
     n_tr = tr.agg(F.max("row_idx")).first()[0]
     trv = tr.withColumn("is_valid", F.col("row_idx") >= F.lit(int(n_tr * 0.9)))
-    cfg = {k: dict(MD.GBT_CONFIGS[k], validation=True) for k in ("BASELINE", "HIGH_LEARNING_RATE")}
+    cfg = {k: dict(c, validation=True) for k, c in MD.GBT_CONFIGS.items()}
     return MD.config_sweep(spark, trv, te, feats, "gbt", cfg, MD.gbt)
 
 

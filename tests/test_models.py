@@ -40,3 +40,17 @@ def test_models_separate_what_is_separable(spark):
 def test_leaderboard_ranks_a_fixed_table(spark):
     df = spark.createDataFrame([("x", "m", 0.7), ("y", "m", 0.9), ("a", "m", 0.7)], "config string, model string, roc_auc double")
     assert [(r["config"], r["rank"]) for r in MD.leaderboard(df).orderBy("rank").collect()] == [("y", 1), ("a", 2), ("x", 3)]
+
+
+def test_sweeps_run_every_configuration(spark, monkeypatch):
+    from unittest.mock import MagicMock
+
+    from stopcast.plans import models as MD
+    from stopcast.queries import q_models as Q
+    tr, ran = MagicMock(), {}
+    tr.agg.return_value.first.return_value = (100,)
+    monkeypatch.setattr(Q, "training", lambda *_, **__: (tr, tr, tr, []))
+    monkeypatch.setattr(MD, "config_sweep", lambda s, a, b, f, name, cfg, *_, **__: ran.update({name: cfg}))
+    Q.q_random_forest(spark, "")
+    Q.q_gbt(spark, "")
+    assert list(ran["random_forest"]) == list(MD.RF_CONFIGS) and list(ran["gbt"]) == list(MD.GBT_CONFIGS)
