@@ -11,7 +11,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopcast.llm import bpe_sql, decontam, pii_crf, simhash_bk, suffix_dedup, token_counts, topk, toxicity, warc, wavelet
+from stopcast.llm import (
+    bpe_sql,
+    conversation_repair,
+    decontam,
+    pii_crf,
+    simhash_bk,
+    suffix_dedup,
+    token_counts,
+    topk,
+    toxicity,
+    warc,
+    wavelet,
+)
 from stopcast.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +129,85 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items that stand in each document."""
     return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations repaired by their cheapest edits."""
+    rows = read(spark, sf_dir, "conversations")
+    return conversation_repair.reports(conversation_repair.damaged(rows), rows, "copies")
+
+
+#: The DP as a fold over each conversation's rows; three steps a row: the row, then insertions to u and to a.
+ORACLES["op11_conversation_repair"] = """
+WITH keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+  FROM conversations),
+coded AS (
+  SELECT *, xor(list_reduce(list_transform(range(length(k)), lambda i: CAST(ascii(substr(k, 1 + CAST(i AS INTEGER), 1)) AS BIGINT)),
+      lambda crc, b: list_reduce(range(8), lambda x, n: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, b)),
+      4294967295::BIGINT), 4294967295) % 20 AS code FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN code = 1 THEN '' WHEN code = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN code = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM coded WHERE code <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM damaged),
+faulty AS (
+  SELECT *, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS duplicate,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before, left(role, 1) AS kind FROM placed),
+flagged AS (
+  SELECT *, NOT blank AND NOT duplicate AND right(bare, 1) NOT IN ('.', '!', '?') AS truncated FROM faulty),
+steps AS (
+  SELECT conv_id, list({'step': step, 'kind': kind, 'gone': blank OR duplicate,
+                        'more': CASE WHEN truncated THEN 5::BIGINT ELSE 0::BIGINT END} ORDER BY i, step) AS steps
+  FROM flagged, (SELECT unnest([0, 1, 2]) AS step) GROUP BY conv_id),
+folded AS (
+  SELECT conv_id, list_reduce(steps, lambda z, x: CASE x.step
+    WHEN 0 THEN {
+      'e': {'c': z.e.c + 2, 't': z.e.t || 'D'},
+      's': least({'c': z.s.c + 2, 't': z.s.t || 'D'},
+                 {'c': z.e.c + x.more + CASE WHEN x.gone OR x.kind <> 's' THEN 1000000000000 ELSE 0 END, 't': z.e.t || 'K'}),
+      'u': least({'c': z.u.c + 2, 't': z.u.t || 'D'},
+                 {'c': least(z.e, z.s, z.a).c + x.more + CASE WHEN x.gone THEN 1000000000000 WHEN x.kind = 'u' THEN 0 ELSE 1 END,
+                  't': least(z.e, z.s, z.a).t || CASE WHEN x.kind = 'u' THEN 'K' ELSE 'R' END}),
+      'a': least({'c': z.a.c + 2, 't': z.a.t || 'D'},
+                 {'c': z.u.c + x.more + CASE WHEN x.gone THEN 1000000000000 WHEN x.kind = 'a' THEN 0 ELSE 1 END,
+                  't': z.u.t || CASE WHEN x.kind = 'a' THEN 'K' ELSE 'R' END})}
+    WHEN 1 THEN {'e': z.e, 's': z.s,
+      'u': least(z.u, {'c': least(z.e, z.s, z.a).c + 5, 't': least(z.e, z.s, z.a).t || 'I'}), 'a': z.a}
+    ELSE {'e': z.e, 's': z.s, 'u': z.u, 'a': least(z.a, {'c': z.u.c + 5, 't': z.u.t || 'I'})} END,
+    {'e': {'c': 0::BIGINT, 't': ''}, 's': {'c': 1000000000000::BIGINT, 't': ''},
+     'u': {'c': 5::BIGINT, 't': 'I'}, 'a': {'c': 10::BIGINT, 't': 'II'}}) AS z
+  FROM steps),
+audits AS (SELECT conv_id, least(z.e, z.a).c AS cost, least(z.e, z.a).t AS audit FROM folded),
+edits AS (SELECT conv_id, unnest(range(1, 1 + length(audit))) AS j, audit FROM audits),
+named AS (SELECT conv_id, j, substr(audit, CAST(j AS INTEGER), 1) AS edit FROM edits),
+used AS (SELECT *, sum(CASE WHEN edit <> 'I' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY j) AS i FROM named),
+held AS (
+  SELECT n.conv_id, n.j, n.edit, r.role, r.text, row_number() OVER (PARTITION BY n.conv_id ORDER BY n.j) AS p,
+         n.edit = 'K' AND r.kind = 's' AS opens
+  FROM used n LEFT JOIN flagged r ON r.conv_id IS NOT DISTINCT FROM n.conv_id AND r.i = n.i WHERE n.edit <> 'D'),
+due AS (SELECT *, p - max(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS q FROM held),
+hashed AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN q % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' ||
+                             CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS whole
+  FROM due GROUP BY conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate,
+         count(*) FILTER (WHERE truncated) AS truncated,
+         count(*) FILTER (WHERE i > 1 AND before || kind NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM flagged GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(n.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(n.blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(n.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(n.truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(n.illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(a.cost, 0) AS BIGINT) AS cost,
+       coalesce(a.audit, '') AS audit, sha256(coalesce(h.whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted n ON n.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN hashed h ON h.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
