@@ -15,6 +15,7 @@ from stopcast.llm import (
     bpe_sql,
     conversation_repair,
     decontam,
+    hard_negatives,
     pii_crf,
     simhash_bk,
     suffix_dedup,
@@ -211,3 +212,32 @@ LEFT JOIN counted n ON n.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN hashed h ON h.conv_id IS NOT DISTINCT FROM o.conv_id
 """
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the positives of every 50th embedding; every 7th row's label is shifted first."""
+    id_ = F.col("vec_id")
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), id_ % 50 == 0,
+                               label=F.when(id_ % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.x, c.x) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id
+         ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
