@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopcast.llm import (
@@ -16,6 +16,7 @@ from stopcast.llm import (
     conversation_repair,
     decontam,
     hard_negatives,
+    lang_cnn,
     pii_crf,
     simhash_bk,
     suffix_dedup,
@@ -241,3 +242,15 @@ FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
   AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
 QUALIFY rank <= 3
 """
+
+
+@query
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from four of five folds."""
+    docs = read(spark, sf_dir, "documents")
+
+    def fold(doc_id: Column) -> Column:
+        return F.crc32(doc_id.cast("string").cast("binary")) % 5
+
+    got = lang_cnn.predictions(docs, fold(F.col("doc_id")) != 0)
+    return got.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")

@@ -16,7 +16,7 @@ SF001 = "/root/testdata/sf0.001"
 def test_registered():
     import __spark_entry__
     names = set(__spark_entry__.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {x.split("_")[0] for x in queries.QUERIES} and set(queries.QUERIES) | {"pipeline"} <= names
+    assert {f"op{n}" for n in range(1, 14)} == {x.split("_")[0] for x in queries.QUERIES} and set(queries.QUERIES) | {"pipeline"} <= names
 
 
 def tables(spark, tmp_path):
