@@ -32,7 +32,9 @@ from stopcast.llm.common import no_state, stored
 
 SHARD_ROWS = 8192       # rows of a block
 ANCHOR_ROWS = 4096      # anchors of a block
-CELLS = 500_000         # intervals held at once
+CELLS = 200_000         # intervals held at once
+DENSE = 0.15            # share of living pairs down to which a layer takes all pairs of a block
+FIRST_CUT = 3           # layers before which the intervals are too wide to drop a row
 LEVELS = 6              # layers of a code
 PLANES = 8              # bits of an anchor's component
 SEED = 12
@@ -99,42 +101,76 @@ class Anchors:
             planes = np.stack([_words((grade >> b & 1).astype(bool)) for b in range(PLANES)])
             self.layers.append((low, step, held.sum(axis=1), off, planes))
 
-    def product(self, level: int, rows: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Products of anchors ``rows`` with the unit code vectors ``bits`` of a layer,
-        pair by pair, by popcounts; and how far each may be off."""
-        low, step, total, off, planes = self.layers[level]
+    def grid(self, level: int, bits: np.ndarray) -> np.ndarray:
+        """Products of all anchors with the unit code vectors ``bits`` of a layer, by popcounts."""
+        low, step, total, _, planes = self.layers[level]
+        weight = np.zeros((len(low), len(bits)), np.int32)
+        both = np.empty(weight.shape, np.uint64)
+        for plane in planes[::-1]:
+            weight <<= 1
+            for w in range(bits.shape[1]):
+                weight += np.bitwise_count(np.bitwise_and(plane[:, w, None], bits[None, :, w], out=both))
         ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-        weight = np.zeros(len(rows), np.int64)
-        for b in range(PLANES):
-            weight += np.bitwise_count(bits & planes[b][rows]).sum(axis=1, dtype=np.int64) << b
-        positive = low[rows] * ones + step[rows] * weight
-        return (2 * positive - total[rows]) / self.root, off[rows]
+        got = weight * (2.0 * step / self.root)[:, None]
+        got += np.multiply.outer(2.0 * low / self.root, ones.astype(float))
+        got -= (total / self.root)[:, None]
+        return got
+
+    def pairs(self, level: int, rows: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        """The same for single pairs: anchor ``rows[i]`` with ``bits[i]``."""
+        low, step, total, _, planes = self.layers[level]
+        weight, ones = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+        for w in range(bits.shape[1]):
+            mine = np.ascontiguousarray(bits[:, w])
+            ones += np.bitwise_count(mine)
+            for b in range(PLANES):
+                weight += np.bitwise_count(mine & planes[b, :, w][rows]).astype(np.int64) << b
+        return (2 * (low[rows] * ones + step[rows] * weight) - total[rows]) / self.root
 
 
 def surviving(anchors: Anchors, codes: Codes, allowed: np.ndarray,
               cut: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(anchor, row) of the pairs that may matter.  ``allowed[anchor, row]`` are
     the pairs to look at; ``cut(low, high)`` says which still may matter, given
-    the bounds of all scores (dead pairs: -inf, -inf)."""
-    alive = allowed.copy()
-    size = codes.align[0] ** 2 + codes.rest[0] ** 2 if len(codes.align) else np.zeros(alive.shape[1])
-    slack = SLACK * (anchors.length[:, None] * np.sqrt(size)[None, :]) + SLACK
-    estimate, missed = np.zeros(alive.shape), np.zeros(alive.shape)
-    low, high = np.full(alive.shape, -np.inf), np.full(alive.shape, -np.inf)
-    for level in range(len(codes.align)):
-        a, r = np.nonzero(alive)
-        if not len(a):
-            break
-        got, off = anchors.product(level, a, codes.bits[level][r])
-        estimate[a, r] += codes.align[level][r] * got
-        missed[a, r] += codes.align[level][r] * off
-        along = np.maximum(0, np.abs(got) - off)
-        across = np.sqrt(np.maximum(0, anchors.length[a] ** 2 - along ** 2))
-        wide = codes.rest[level][r] * across + missed[a, r] + slack[a, r]
-        low[a, r], high[a, r] = estimate[a, r] - wide, estimate[a, r] + wide
-        alive &= cut(low, high)
-        low[~alive] = high[~alive] = -np.inf
-    return np.nonzero(alive)
+    the bounds of all scores (dead pairs: -inf, -inf).  All pairs of the block go
+    through a layer together while many are alive, then the living ones alone."""
+    size = np.sqrt(codes.align[0] ** 2 + codes.rest[0] ** 2)
+    length = anchors.length
+    missed = SLACK * np.multiply.outer(length, size) + SLACK
+    estimate = np.zeros(allowed.shape)
+    level, alive = 0, allowed.copy()
+    while level < LEVELS and alive.mean() > DENSE:
+        off, align = anchors.layers[level][3], codes.align[level]
+        got = anchors.grid(level, codes.bits[level])
+        estimate += got * align
+        missed += np.multiply.outer(off, align)
+        wide = _across(np.abs(got, out=got), off[:, None], length[:, None]) * codes.rest[level]
+        wide += missed
+        level += 1
+        if level >= FIRST_CUT:
+            low, high = np.where(alive, estimate - wide, -np.inf), np.where(alive, estimate + wide, -np.inf)
+            alive &= cut(low, high)
+    a, r = np.nonzero(alive)
+    if level < LEVELS and len(a):
+        estimate, missed = estimate[a, r], missed[a, r]
+        while level < LEVELS:
+            off, align = anchors.layers[level][3][a], codes.align[level][r]
+            got = anchors.pairs(level, a, codes.bits[level][r])
+            estimate += got * align
+            missed += off * align
+            wide = _across(np.abs(got), off, length[a]) * codes.rest[level][r] + missed
+            level += 1
+        low, high = np.full(alive.shape, -np.inf), np.full(alive.shape, -np.inf)
+        low[a, r], high[a, r] = estimate - wide, estimate + wide
+        a, r = np.nonzero(alive & cut(low, high))
+    return a, r
+
+
+def _across(got: np.ndarray, off: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """At most the length of the anchors' parts perpendicular to the code vectors."""
+    along = np.maximum(0.0, got - off)
+    along *= along
+    return np.sqrt(np.maximum(0.0, length * length - along))
 
 
 def kth(low: np.ndarray, k: int) -> np.ndarray:
@@ -226,14 +262,22 @@ def best_below(left: Rows, positives: list[np.ndarray], right: Rows, k: int, lea
                     exact.append((i, lo, hi))
                     a, b = 1 + SLACK * abs(lo), 1 + SLACK * abs(hi)
                     outer[:, i, j], inner[:, i, j] = (lo - a, hi + b), (lo + a, hi - b)
+        there = np.isfinite(inner[0])
 
         def cut(low: np.ndarray, high: np.ndarray, outer: np.ndarray = outer, inner: np.ndarray = inner) -> np.ndarray:
-            keep = np.zeros(low.shape, bool)
+            # what surely lies in the bands of all positives bounds them all; the bands one by one only for the few
+            sure = (low >= inner[0].max(axis=1, where=there, initial=-np.inf)[:, None]) & (
+                high <= inner[1].min(axis=1, where=there, initial=np.inf)[:, None])
+            least_kept = np.maximum(kth(np.where(sure, low, -np.inf), k), outer[0].min(axis=1))
+            keep = (high >= least_kept[:, None]) & (low <= outer[1].max(axis=1)[:, None]) & (high > -np.inf)
+            if keep.mean() > DENSE:
+                return keep
+            some = np.zeros(low.shape, bool)
             for j in range(depth):
-                sure = (low >= inner[0][:, j, None]) & (high <= inner[1][:, j, None])
+                sure = (low >= inner[0][:, j, None]) & (high <= inner[1][:, j, None]) & keep
                 third = kth(np.where(sure, low, -np.inf), k)[:, None]
-                keep |= (high >= np.maximum(outer[0][:, j, None], third)) & (low <= outer[1][:, j, None]) & (high > -np.inf)
-            return keep
+                some |= (high >= np.maximum(outer[0][:, j, None], third)) & (low <= outer[1][:, j, None])
+            return some & keep
 
         other = left.label[s][:, None] != right.label[None, :]
         a, r = surviving(anchors, codes, other, cut)

@@ -64,9 +64,10 @@ def test_large_values(spark):
     assert run(spark, rows) == brute(rows)
 
 
-def test_intervals_hold_and_shrink():
+def test_intervals_hold_and_shrink(monkeypatch):
+    """Bounds enclose the scores after every layer, for all pairs together and pair by pair."""
     r = np.random.default_rng(5)
-    v, q = r.integers(-90, 90, (400, 48)), r.integers(-90, 90, (30, 48))
+    v, q = r.integers(-90, 90, (400, 70)), r.integers(-90, 90, (30, 70))
     true, widths = (q @ v.T).astype(float), []
 
     def look(low, high):
@@ -74,8 +75,13 @@ def test_intervals_hold_and_shrink():
         widths.append(float((high - low).mean()))
         return np.ones(low.shape, bool)
 
-    hn.surviving(hn.Anchors(q), hn.Codes.of(v), np.ones(true.shape, bool), look)
-    assert len(widths) == hn.LEVELS and all(b < 0.75 * a for a, b in zip(widths, widths[1:]))
+    anchors, codes = hn.Anchors(q), hn.Codes.of(v)
+    monkeypatch.setattr(hn, "FIRST_CUT", 1)
+    a, _ = hn.surviving(anchors, codes, np.ones(true.shape, bool), look)
+    assert len(a) == true.size and len(widths) == hn.LEVELS and all(b < 0.75 * a for a, b in zip(widths, widths[1:]))
+    monkeypatch.setattr(hn, "DENSE", 2.0)
+    hn.surviving(anchors, codes, np.ones(true.shape, bool), look)
+    assert np.isclose(widths[-1], widths[-2]) and len(widths) == hn.LEVELS + 1
 
 
 def test_few_rows_survive():
