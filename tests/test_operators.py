@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from stopcast.functions import calendar as cal
 from stopcast.functions.holidays import is_holiday
 from stopcast.operators import metrics as M
 from stopcast.operators.knn import knn_join
-from stopcast.operators.nearest import nearest_join
+from stopcast.operators.nearest import StopIndex, nearest_join
 from stopcast.operators.resample import smote, undersample_ratio
 from stopcast.operators.rowindex import global_row_index, prefix_before, time_series_split
 from stopcast.operators.transforms import label_encode, stop_tier
@@ -34,12 +35,61 @@ def test_nearest_join_matches_bruteforce_incl_far_points(spark):
         best = min(stops, key=lambda s: ((s[1] - la) * (s[1] - la) + (s[2] - lo) * (s[2] - lo), s[0]))
         assert got[i] == best[0], i
     assert len(got) == len(pts)
-    # many small candidate chunks on the whole-globe level give the same answer
+    # shards by space, visited by the coordinates, give the same answer
     small = {r["id"]: r["nearest_stop_id"] for r in
-             nearest_join(pdf, sdf, lat="lat", lon="lon", final_chunk=7, broadcast_stops=0).select("id", "nearest_stop_id").collect()}
+             nearest_join(pdf, sdf, lat="lat", lon="lon", shard_stops=7, broadcast_stops=0).select("id", "nearest_stop_id").collect()}
     assert small == got
 
 
+@pytest.mark.parametrize("n", [1, 15, 16, 17, 300, 5000])
+def test_stop_index_against_all_stops(n):
+    r = np.random.default_rng(n)
+    lat, lon, rank = r.normal(size=n).round(1) - 23, r.normal(size=n).round(1) - 46, r.permutation(n)
+    points = np.concatenate([np.column_stack([lat, lon])[:200] + 0.05, r.normal(size=(100, 2)) * 3 - [23, 46],
+                             [[0, 0], [90, 180], [-90, -180], [90, 0], [1e300, 1e300], [-23, 1e9]]])
+    row, d2 = StopIndex(lat, lon, rank).search(points[:, 0], points[:, 1])
+    for i, (a, b) in enumerate(points):
+        with np.errstate(over="ignore"):
+            d = (lat - a) * (lat - a) + (lon - b) * (lon - b)
+        assert d2[i] == d.min() and rank[row[i]] == rank[d == d.min()].min()
+
+
+def test_stop_index_far_points_are_cheap():
+    """(0, 0) and the poles against two million stops: as few steps as for any other point."""
+    r = np.random.default_rng(0)
+    lat, lon = -23.5 + r.random(2_000_000) * 0.5, -46.7 + r.random(2_000_000) * 0.5
+    index = StopIndex(lat, lon, np.arange(len(lat)))
+    far = np.array([[0.0, 0.0], [90.0, 0.0], [-90.0, 180.0], [0.0, 180.0]])
+    start = time.process_time()
+    row, d2 = index.search(far[:, 0], far[:, 1])
+    assert time.process_time() - start < 1.0
+    for (a, b), i, d in zip(far, row, d2, strict=True):
+        every = (lat - a) * (lat - a) + (lon - b) * (lon - b)
+        assert d == every.min() and i == every.argmin()
+
+
+def test_nearest_join_routed_over_shards_with_ties_and_hot_points(spark):
+    r = np.random.default_rng(4)
+    stops = [(int(i), float(a), float(b)) for i, (a, b) in enumerate(r.integers(0, 40, (1500, 2)) / 10.0)]
+    stops += [(9000, None, 1.0), (9001, float("nan"), 1.0), (None, 0.0, 0.0)]
+    pts = [(i, float(a), float(b)) for i, (a, b) in enumerate(r.integers(-20, 60, (400, 2)) / 10.0)]
+    pts += [(1000 + i, 0.0, 0.0) for i in range(300)] + [(5000, float("nan"), 0.0), (5001, None, None), (5002, -90.0, 1e12)]
+    sdf = spark.createDataFrame(stops, "stop_id long, stop_lat double, stop_lon double").repartition(3)
+    pdf = spark.createDataFrame(pts, "id long, lat double, lon double").repartition(3)
+    plans = [{r["id"]: (r["nearest_stop_id"], r["d"]) for r in nearest_join(pdf, sdf, lat="lat", lon="lon", out_dist="d", **kw).collect()}
+             for kw in ({}, {"broadcast_stops": 0, "shard_stops": 60}, {"broadcast_stops": 0})]
+    good = [s for s in stops if s[0] is not None and s[1] is not None and s[1] == s[1]]
+    for i, a, b in pts:
+        if a is None or a != a:
+            assert all(p[i] == (None, None) for p in plans)
+            continue
+        d2, k = min(((s[1] - a) * (s[1] - a) + (s[2] - b) * (s[2] - b), s[0]) for s in good)
+        assert all(p[i] == (k, math.sqrt(d2)) for p in plans), i
+    assert all(len(p) == len(pts) for p in plans)
+    none = nearest_join(pdf, sdf.limit(0), lat="lat", lon="lon").select("nearest_stop_id").distinct().collect()
+    assert [x[0] for x in none] == [None]
+
+
 def test_global_row_index_and_split(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [(i, t0 + dt.timedelta(seconds=(i * 7919) % 1000)) for i in range(1000)]
@@ -112,6 +162,56 @@ def test_knn_in_many_blocks_with_ties_and_self(spark, monkeypatch):
         assert list(got[got.qid == i].sort_values("rank").tid) == list(np.lexsort((np.arange(120), d))[:4])
 
 
+@pytest.mark.parametrize("width, spread", [(2, 1.0), (10, 1.0), (3, 1e5)])
+def test_knn_over_many_cells(spark, monkeypatch, width, spread):
+    """Clusters, copies, far points and ties over many cells, against all pairs."""
+    import stopcast.operators.knn as K
+    monkeypatch.setattr(K, "CELL_ROWS", 20)
+    monkeypatch.setattr(K, "BLOCK_ROWS", 25)
+    rng = np.random.default_rng(width)
+    X = spread * (rng.normal(size=(12, width))[rng.integers(0, 12, 900)] * 3 + rng.normal(size=(900, width)) * 0.2)
+    X[:200] = X[0]                      # a hot vector
+    X[200:230] = np.round(X[200:230])   # ties
+    X[230] *= 1000
+    Q = np.concatenate([X[::9], spread * rng.normal(size=(30, width)), 1e4 * spread * np.ones((1, width))])
+    tr = spark.createDataFrame([(i, X[i].tolist(), i % 2) for i in range(900)], "id long, vec array<double>, y int")
+    te = spark.createDataFrame([(i % 100, Q[i].tolist()) for i in range(len(Q))], "id long, vec array<double>")
+    got = sorted(map(tuple, knn_join(te.repartition(3), tr.repartition(3), 7, carry=["y"]).collect()))
+    want = []
+    for i, q in enumerate(Q):
+        d = np.zeros(900)
+        for j in range(width):
+            d += (q[j] - X[:, j]) * (q[j] - X[:, j])
+        d = np.sqrt(d)
+        want += [(i % 100, int(t), float(d[t]), r + 1, int(t) % 2) for r, t in enumerate(np.lexsort((np.arange(900), d))[:7])]
+    assert got == sorted(want)
+    own = knn_join(tr, tr, 3, exclude_self=True).toPandas()
+    assert len(own) == 2700 and (own.qid != own.tid).all()
+    hot = own[own.qid < 200]
+    assert (hot.dist == 0).all() and (hot[hot.qid > 2].sort_values("rank").groupby("qid").tid.apply(list).map(tuple) == (0, 1, 2)).all()
+
+
+def test_knn_empty_and_odd_rows(spark):
+    schema = "id string, vec array<double>"
+    few = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("n", None), ("x", [float("nan"), 1.0]), ("i", [float("inf"), 0.0]),
+                                 ("u", [None, 1.0])], schema)
+    assert sorted(map(tuple, knn_join(few, few, 5).collect())) == [("a", "a", 0.0, 1), ("a", "b", 0.0, 2), ("b", "a", 0.0, 1), ("b", "b", 0.0, 2)]
+    assert knn_join(few, few.limit(0), 5).collect() == [] and knn_join(few.limit(0), few, 5).collect() == []
+
+
+def test_knn_looks_at_few_pairs(spark):
+    """10 features: pairs computed grow clearly slower than queries x rows."""
+    share = []
+    for n in (2000, 16000):
+        rng = np.random.default_rng(n)
+        X = rng.normal(size=(n, 3)) @ np.random.default_rng(5).normal(size=(3, 10)) + rng.normal(size=(n, 10)) * 0.05
+        df = spark.createDataFrame([(i, X[i].tolist()) for i in range(n)], "id long, vec array<double>")
+        pairs = spark.sparkContext.accumulator(0)
+        knn_join(df.where("id % 10 = 0"), df, 5, pairs=pairs).count()
+        share.append(pairs.value / (n * n / 10))
+    assert 0 < share[1] < 0.5 * share[0] < 0.5
+
+
 def test_smote_counts(spark):
     rows = [(i, [float(i % 7), float(i % 5)], 1 if i % 10 == 0 else 0) for i in range(200)]
     df = spark.createDataFrame(rows, "id long, vec array<double>, label int")
@@ -267,3 +367,52 @@ def test_headway_is_the_mean_of_deduplicated_rows(spark):
             .avg("headway_secs").collect()}
     got = {(r[0], r[1]): r[2] for r in H.headway_avg(st_, fr).collect()}
     assert got == want and got["a", 8] == 600.0
+
+
+def test_group_quantiles_with_a_hot_group(spark):
+    """Medians and quartiles of groups against numpy; a hot group's values lie in many ranges."""
+    from stopcast.operators import quantiles as Q
+    from stopcast.operators.rowindex import ranged_rows
+    r = np.random.default_rng(2)
+    rows = [("hot", float(x)) for x in r.normal(size=3000)] + [("same", 1.5)] * 500 + [(f"g{i % 40}", float(i % 7)) for i in range(300)]
+    rows += [("one", 4.0), ("none", None), (None, 1.0), ("same", 2.5)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(5)
+    got = {x["k"]: x["q"] for x in Q.group_quantiles(df, "k", "x", [0.5, 0.25, 1.0]).collect()}
+    want = {}
+    for k, x in rows:
+        if k is not None and x is not None:
+            want.setdefault(k, []).append(x)
+    assert set(got) == set(want)
+    for k, v in want.items():
+        assert np.allclose(got[k], np.quantile(v, [0.5, 0.25, 1.0]), rtol=1e-12), k
+    counts = df.groupBy("k", "x").count()
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = ranged_rows(counts, [F.col("k"), F.col("x")]).groupBy(F.shiftright("__pos", 33)).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(parts) == 4 and max(p[1] for p in parts) < 0.4 * counts.count()      # the hot group holds 0.97 of the pairs
+
+
+def test_correlations_of_200_columns_in_one_pass(spark, monkeypatch):
+    """Pairwise complete Pearson matrix against numpy: nulls, large values, constants, one pass."""
+    from stopcast.operators import eda as E
+    r = np.random.default_rng(0)
+    k, n = 200, 400
+    x = r.normal(size=(n, k)) + r.normal(size=(n, 1)) * r.normal(size=k) + 1e6 * (np.arange(k) % 3 == 0)
+    x[r.random((n, k)) < 0.1] = np.nan
+    x[:, 7], x[1:, 8] = 4.5, np.nan
+    names = [f"c{i}" for i in range(k)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) for row in x], ", ".join(f"{c} double" for c in names))
+    scans, real = [], E.added
+    monkeypatch.setattr(E, "added", lambda *a: (scans.append(1), real(*a))[1])
+    got = E.correlations(df.repartition(3), names, names)
+    assert len(scans) == 1 and np.isnan(got[7]).all() and np.isnan(got[8]).all()
+    import pandas as pd
+    want = pd.DataFrame(x).corr(min_periods=2).to_numpy()
+    want[7], want[:, 7], want[8], want[:, 8] = (np.nan,) * 4
+    assert np.allclose(got, want, atol=1e-9, equal_nan=True)
+    one = {r["feature"]: r["corr"] for r in E.corr_target(df, names[:20], "c30").collect()}
+    assert all(one[c] is None if np.isnan(want[i, 30]) else abs(one[c] - want[i, 30]) < 1e-9 for i, c in enumerate(names[:20]))
+    assert all(v is None for v in (r["corr"] for r in E.corr_pairs(df.limit(0), names[:3]).collect()))
