@@ -4,40 +4,46 @@ Every feature of a row is computed from the rows of the same key that come
 strictly *before* it in the total order ``(event_timestamp, event_id)``:
 ``ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING``.
 
-Skew-safe plan (a key may hold a third of all rows): the rows are range
-partitioned on (key, order columns) -- ``rowindex.ranged_rows``: cut by rows,
-so neither a hot key, nor a burst of equal timestamps, nor the rows without a
-key make a partition large -- and the frame is split in two parts that add up
+Skew-safe plan (a key may hold a third of all rows): the rows of a hot key are
+cut into ranges of its order, by bounds that are fixed once (``key_ranges``: from
+a bounded sample, for all keys of a feature set together), and the frame is split
+in two parts that add up
 
-* rows of the same key in *earlier ranges*: per ``(key, range)`` partial
-  aggregates, then a running sum over the ranges of each key (only keys that
-  span ranges have more than one);
 * rows of the same key earlier in the *same range*: a window partitioned by
-  ``(key, range)``.
+  ``(key, range)``;
+* rows of the same key in *earlier ranges*: per ``(key, range)`` partial
+  aggregates of the hot keys, then a running sum over the ranges of each key.
 
-The ranged rows are written once in the shared folder; every later step reads
-them from there.
+A key that is not hot is one range, and needs the window alone.  Ranges are a
+function of a row's own values and the bounds, so counts and windows see the same
+ranges without the frame being written: it is shuffled once a key.  A missing
+bound makes a range larger and changes no result.
 
 Count, sum, non-null count and max(ts) add up; the sample std merges counts,
 means and sums of square deviations, so large values with a small spread keep
-their digits.  Null keys get no history (pandas ``==`` never matches NaN) and
-take part in no window.
+their digits.  Null keys get no history (pandas ``==`` never matches NaN); their
+rows are spread by a hash.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stopcast.operators.rowindex import ROW_BITS, ranged_rows
 from stopcast.semantics import ORDER_COLS, require, whole_days
+from stopcast.session import materialize
 
 # Fixed values of the reference: recency default and warm-up length.
 RECENCY_DEFAULT = 999
 WARMUP_ROWS = 100
 
+RANGE_ROWS = 200_000        # rows of a key from which it is cut into ranges, at least
+SAMPLE_ROWS = 65_536        # rows that are sampled for the bounds
+RANGE_SAMPLE = 8            # sampled rows of a range, at least
+NULL_PARTS = 1024           # groups over which rows without a key are spread
+
 
 def warmup_flag(df: DataFrame, n: int, order: Sequence[str] = ORDER_COLS) -> Column:
     """True for the first ``n`` rows of the whole table in ``order``.
@@ -53,6 +59,39 @@ def warmup_flag(df: DataFrame, n: int, order: Sequence[str] = ORDER_COLS) -> Col
     return o <= cut.scalar()
 
 
+def key_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER_COLS) -> dict[str, DataFrame | None]:
+    """For every key column the bounds of its hot keys' ranges, (key, ``__bounds``
+    ascending order tuples), or None where no key is hot.
+
+    One count and one sample for all of ``keys``.  The tables are bounded by the
+    sample (SAMPLE_ROWS / RANGE_SAMPLE bounds together)."""
+    n = df.count()
+    per = max(RANGE_ROWS, RANGE_SAMPLE * n // SAMPLE_ROWS)
+    if n <= per:
+        return dict.fromkeys(keys)
+    step = max(1, n // SAMPLE_ROWS)
+    pick = F.pmod(F.xxhash64(*order, F.lit(step)), F.lit(step)) == 0
+    sample = materialize(df.where(pick).select(*dict.fromkeys([*order, *keys])))
+    every, out = max(1, per // step), {}
+    for key in dict.fromkeys(keys):
+        place = Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
+        hot = (sample.where(F.col(key).isNotNull())
+               .withColumns({"__i": F.row_number().over(place), "__o": F.struct(*[F.col(c) for c in order])})
+               .where(F.col("__i") % every == 0)
+               .groupBy(F.col(key).alias("__key")).agg(F.sort_array(F.collect_list("__o")).alias("__bounds")))
+        hot = materialize(hot)
+        out[key] = hot if hot.limit(1).count() else None
+    return out
+
+
+def _range_of(bounds: Column, order: Sequence[str]) -> Column:
+    """How many of the ascending ``bounds`` a row has reached, by bisection."""
+    steps = [1 << i for i in reversed(range((SAMPLE_ROWS // RANGE_SAMPLE).bit_length()))]
+    me = F.struct(*[F.col(c) for c in order])
+    return F.aggregate(F.array(*[F.lit(x) for x in steps]), F.lit(0), lambda at, x: F.when(
+        (at + x <= F.size(bounds)) & (F.try_element_at(bounds, at + x) <= me), at + x).otherwise(at))
+
+
 def expanding_history(
     df: DataFrame,
     key: str,
@@ -63,6 +102,7 @@ def expanding_history(
     mean_cols: Sequence[str] = (),
     std_cols: Sequence[str] = (),
     recency: bool = True,
+    ranges: dict[str, DataFrame | None] | None = None,
 ) -> DataFrame:
     """Append raw history aggregates for ``key``.
 
@@ -71,12 +111,21 @@ def expanding_history(
     ``{prefix}_lab`` (non-null targets); ``{prefix}_last_ts`` and
     ``{prefix}_recency`` (whole days, NULL when no history) if ``recency``;
     ``{prefix}_mean_{c}`` / ``{prefix}_std_{c}`` (NULL when undefined).
+    ``ranges``: what ``key_ranges`` found for ``key`` on these rows; found here if
+    not given.
     """
     require(df, [key, *order, *([target] if target else []), *mean_cols, *std_cols], "expanding_history")
     ts = order[0]
     k, b = f"__{prefix}_k", f"__{prefix}_b"
-    base = ranged_rows(df, [F.col(key), *[F.col(c) for c in order]]).withColumns(
-        {k: F.col(key), b: F.shiftright("__pos", ROW_BITS)}).drop("__pos")
+    bounds = (key_ranges(df, [key], order) if ranges is None else ranges)[key]
+    spread = F.pmod(F.xxhash64(*order), F.lit(NULL_PARTS)).cast("int")
+    if bounds is None:
+        base = df.withColumns({k: F.col(key), b: F.when(F.col(key).isNull(), spread).otherwise(0)})
+    else:
+        base = (df.join(F.broadcast(bounds), F.col(key) == F.col("__key"), "left")      # bounded by the sample
+                .withColumns({k: F.col(key), "__hot": F.col("__bounds").isNotNull(),
+                              b: F.when(F.col(key).isNull(), spread).when(F.col("__bounds").isNull(), 0)
+                              .otherwise(_range_of(F.col("__bounds"), order))}).drop("__key", "__bounds"))
 
     # (name, within-bucket frame expr builder, bucket total expr, combine kind)
     parts: list[tuple[str, Column, str]] = [("n", F.lit(1), "sum")]
@@ -97,27 +146,19 @@ def expanding_history(
         return {"sum": F.sum, "max": F.max, "avg": F.avg, "var_pop": F.var_pop}[kind](e)
 
     w_in = Window.partitionBy(k, b).orderBy(*[F.col(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
-    inner = base.withColumns({f"__i_{n}": agg_of(kind, e).over(w_in) for n, e, kind in parts})
-
-    totals = (base.where(F.col(k).isNotNull())
-              .groupBy(k, b)
-              .agg(*[agg_of(kind, e).alias(f"__t_{n}") for n, e, kind in parts]))
-    w_pre = Window.partitionBy(k).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    # Deviations of earlier buckets are taken about the mean of the key's first
-    # bucket with a value, so that large values with a small spread lose nothing.
-    w_key = Window.partitionBy(k).orderBy(b).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    for c in std_cols:
-        shift = F.col(f"__t_m_{c}") - F.first(f"__t_m_{c}", ignorenulls=True).over(w_key)
-        totals = totals.withColumns({
-            f"__t_r_{c}": F.first(f"__t_m_{c}", ignorenulls=True).over(w_key),
-            f"__t_d1_{c}": F.col(f"__t_c_{c}") * shift,
-            f"__t_d2_{c}": F.col(f"__t_c_{c}") * (F.col(f"__t_v_{c}") + shift * shift)})
     over = [(n, kind) for n, _, kind in parts if kind in ("sum", "max")] + \
         [(f"{d}_{c}", "sum") for c in std_cols for d in ("d1", "d2")]
-    prefix_tbl = totals.select(k, b, *[agg_of(kind, F.col(f"__t_{n}")).over(w_pre).alias(f"__p_{n}") for n, kind in over],
-                               *[F.col(f"__t_r_{c}").alias(f"__p_r_{c}") for c in std_cols])
+    inner = base.withColumns({f"__i_{n}": agg_of(kind, e).over(w_in) for n, e, kind in parts})
+
+    if bounds is None:      # every key is one range
+        def none(n: str, kind: str) -> Column:
+            return F.lit(None).cast(df.schema[ts].dataType if kind == "max" else
+                                    "bigint" if n in ("n", "lab") or n.startswith("c_") else "double")
 
-    j = inner.join(prefix_tbl, on=[k, b], how="left")
+        j = inner.withColumns({f"__p_{n}": none(n, kind) for n, kind in over}
+                              | {f"__p_r_{c}": F.lit(None).cast("double") for c in std_cols})
+    else:
+        j = inner.drop("__hot").join(_earlier_ranges(base, k, b, parts, std_cols, over, agg_of), on=[k, b], how="left")
 
     def comb(n: str, kind: str) -> Column:
         i, p = F.col(f"__i_{n}"), F.col(f"__p_{n}")
@@ -158,6 +199,26 @@ def expanding_history(
     return res.drop(*drop)
 
 
+def _earlier_ranges(base: DataFrame, k: str, b: str, parts: list[tuple[str, Column, str]], std_cols: Sequence[str],
+                    over: list[tuple[str, str]], agg_of: Callable[[str, Column], Column]) -> DataFrame:
+    """Sums over the earlier ranges of every (hot key, range)."""
+    totals = (base.where("__hot")
+              .groupBy(k, b)
+              .agg(*[agg_of(kind, e).alias(f"__t_{n}") for n, e, kind in parts]))
+    w_pre = Window.partitionBy(k).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    # Deviations of earlier buckets are taken about the mean of the key's first
+    # bucket with a value, so that large values with a small spread lose nothing.
+    w_key = Window.partitionBy(k).orderBy(b).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    for c in std_cols:
+        shift = F.col(f"__t_m_{c}") - F.first(f"__t_m_{c}", ignorenulls=True).over(w_key)
+        totals = totals.withColumns({
+            f"__t_r_{c}": F.first(f"__t_m_{c}", ignorenulls=True).over(w_key),
+            f"__t_d1_{c}": F.col(f"__t_c_{c}") * shift,
+            f"__t_d2_{c}": F.col(f"__t_c_{c}") * (F.col(f"__t_v_{c}") + shift * shift)})
+    return totals.select(k, b, *[agg_of(kind, F.col(f"__t_{n}")).over(w_pre).alias(f"__p_{n}") for n, kind in over],
+                               *[F.col(f"__t_r_{c}").alias(f"__p_r_{c}") for c in std_cols])
+
+
 def key_frequency(df: DataFrame, key: str, out: str) -> DataFrame:
     """Rows per key over the whole table (WN9 ``user_frequency``).
 
@@ -190,9 +251,10 @@ def history_features(df: DataFrame, specs: Sequence[tuple[str, str, bool]], *, w
     history for later rows (WN5).
     """
     warm = warmup_flag(df, warmup)
+    ranges = key_ranges(df, [key for _, key, _ in specs])
     cur = df
     for p, key, rec in specs:
-        cur = expanding_history(cur, key, f"__h{p}", target=target, recency=rec)
+        cur = expanding_history(cur, key, f"__h{p}", target=target, recency=rec, ranges=ranges)
     out: dict[str, Column] = {}
     for p, key, rec in specs:
         h = f"__h{p}"
@@ -242,10 +304,11 @@ def knn_history(df: DataFrame, *, user_key: str = "user_pseudo_id", stop_key: st
     """
     has_dist = dist_col in df.columns
     has_freq = freq_col in df.columns
-    u = expanding_history(df, user_key, "__ku", target=target, recency=False,
+    ranges = key_ranges(df, [user_key, stop_key])
+    u = expanding_history(df, user_key, "__ku", target=target, recency=False, ranges=ranges,
                           mean_cols=[hour_col] + ([dist_col] if has_dist else []),
                           std_cols=[dist_col] if has_dist else [])
-    s = expanding_history(u, stop_key, "__ks", target=target, recency=False,
+    s = expanding_history(u, stop_key, "__ks", target=target, recency=False, ranges=ranges,
                           mean_cols=[freq_col] if has_freq else [])
     warm = warmup_flag(df, 1)
     zero = F.lit(0.0)

@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from stopcast.operators import history as H
 from stopcast.operators.history import expanding_history, history_features, knn_history, rf_history
 from stopcast.sources.adapters import model_events
 from tests.conftest import SF001
@@ -47,15 +48,13 @@ def _rows(spark):
 
 @contextlib.contextmanager
 def many_ranges(spark, n=16):
-    """Keys then span several ranges even on a small table."""
-    old = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    """Keys are then cut into ranges even on a small table (n = 1: no key is)."""
+    old = H.RANGE_ROWS, H.SAMPLE_ROWS
+    H.RANGE_ROWS, H.SAMPLE_ROWS = (old[0], old[1]) if n == 1 else (max(1, 48 // n), 8 << 16)
     try:
         yield
     finally:
-        for c, v in old.items():
-            spark.conf.set(c, v)
+        H.RANGE_ROWS, H.SAMPLE_ROWS = old
 
 
 @pytest.mark.parametrize("ranges", [1, 3, 16])
