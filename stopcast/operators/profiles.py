@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopcast.operators.labels import BINARY_NOT_LOW
+from stopcast.operators.quantiles import group_quantiles
 
 
 def _join_back(df: DataFrame, agg: DataFrame, key: str) -> DataFrame:
@@ -76,14 +77,19 @@ def user_profile_agg(df: DataFrame, *, user: str = "user_pseudo_id", target: str
 def stop_profile_agg(df: DataFrame, *, stop: str = "gtfs_stop_id", target: str | None = "target",
                      freq: str = "user_frequency", exact_median: bool = True) -> DataFrame:
     """AG8: per-stop target mean / non-null count (leaky form), and mean and
-    median of ``user_frequency`` (median interpolated; ``percentile_approx``
-    when ``exact_median`` is False)."""
+    median of ``user_frequency`` (median interpolated, by ranks within the stop:
+    ``quantiles.group_quantiles``; ``percentile_approx`` when ``exact_median`` is
+    False)."""
     aggs: list[Column] = []
     if target:
         aggs += [F.avg(target).alias("stop_conversion_rate"), F.count(target).alias("stop_event_count_agg")]
-    med = F.percentile(F.col(freq), F.lit(0.5)) if exact_median else F.percentile_approx(F.col(freq), F.lit(0.5), F.lit(10000))
-    aggs += [F.avg(freq).alias("stop_user_freq_mean"), med.cast("double").alias("stop_user_freq_median")]
-    return df.where(F.col(stop).isNotNull()).groupBy(stop).agg(*aggs)
+    aggs += [F.avg(freq).alias("stop_user_freq_mean")]
+    known = df.where(F.col(stop).isNotNull())
+    if not exact_median:
+        med = F.percentile_approx(F.col(freq), F.lit(0.5), F.lit(10000)).cast("double")
+        return known.groupBy(stop).agg(*aggs, med.alias("stop_user_freq_median"))
+    med = group_quantiles(known, stop, freq, [0.5]).select(stop, F.col("q")[0].alias("stop_user_freq_median"))
+    return known.groupBy(stop).agg(*aggs).join(med, stop, "left")
 
 
 def join_user_aggs(df: DataFrame, *, leaky: bool = False, fit_on: DataFrame | None = None,

@@ -32,9 +32,31 @@ def quantile_table(df: DataFrame, columns: dict[str, str | Column], probs: Seque
     counts = (df.select(F.explode(pairs).alias("p")).select("p.name", "p.x").where(F.col("x").isNotNull())
               .groupBy("name", "x").agg(F.count(F.lit(1)).alias("n")))
     ranks = prefix_before(counts, ["name", "x"], ["n"])
-    # where each column's values begin in the common order, and how many there are
-    span = F.broadcast(ranks.groupBy("name").agg(F.min("n_before").alias("__first"), F.sum("n").alias("__n")))   # a row a column
-    j = ranks.join(span, "name").withColumn("__at", F.col("n_before") - F.col("__first"))
+    return _at_positions(ranks, "name", F.broadcast(_spans(ranks, "name")), probs)      # a row a column
+
+
+def group_quantiles(df: DataFrame, key: str, c: str, probs: Sequence[float]) -> DataFrame:
+    """(key, q array<double>): the quantiles of ``c`` within every group (NULL
+    keys and values ignored; a group without values has no row).
+
+    The (key, value) pairs are counted, and a value's positions in its group are
+    its running sum over all pairs in range order less that of the group's first
+    value: a hot group's values lie in as many ranges as they need, and a value
+    that it repeats is one row."""
+    counts = (df.select(F.col(key), F.col(c).cast("double").alias("x")).where(F.col(key).isNotNull() & F.col("x").isNotNull())
+              .groupBy(key, "x").agg(F.count(F.lit(1)).alias("n")))
+    ranks = prefix_before(counts, [key, "x"], ["n"])
+    return _at_positions(ranks, key, _spans(ranks, key), probs)
+
+
+def _spans(ranks: DataFrame, by: str) -> DataFrame:
+    """Where each group's values begin in the common order, and how many there are."""
+    return ranks.groupBy(by).agg(F.min("n_before").alias("__first"), F.sum("n").alias("__n"))
+
+
+def _at_positions(ranks: DataFrame, by: str, spans: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(by, q): each group's values at the positions of ``probs``, interpolated."""
+    j = ranks.join(spans, by).withColumn("__at", F.col("n_before") - F.col("__first"))
     aggs, vals = [], []
     for i, p in enumerate(probs):
         h = (F.col("__n") - 1).cast("double") * F.lit(float(p))
@@ -44,7 +66,7 @@ def quantile_table(df: DataFrame, columns: dict[str, str | Column], probs: Seque
         vals.append(F.col(f"__lo{i}") + ((F.col("__n") - 1).cast("double") * F.lit(float(p))
                                          - F.floor((F.col("__n") - 1).cast("double") * F.lit(float(p))))
                     * (F.col(f"__hi{i}") - F.col(f"__lo{i}")))
-    return j.groupBy("name", "__n").agg(*aggs).select("name", F.array(*vals).alias("q"))
+    return j.groupBy(by, "__n").agg(*aggs).select(by, F.array(*vals).alias("q"))
 
 
 def many_quantiles(df: DataFrame, columns: dict[str, str | Column], probs: Sequence[float],
