@@ -3,20 +3,23 @@
 
 Statistics are distributed aggregates; wide results are unpivoted with
 ``stack`` into tidy long tables.  Quantiles are exact and interpolated
-(pandas ``quantile``) via ``stopcast.operators.quantiles`` (size-checked
-aggregate or ranked positions), with the ``percentile_approx`` sketch as an
-option.  Top-k uses a total order (value desc, then key) so ties are
+(pandas ``quantile``) via ``stopcast.operators.quantiles`` (ranked positions),
+with the ``percentile_approx`` sketch as an option.  Correlations of any number of
+columns come from one pass of block products (``comoments``).  Top-k uses a total order (value desc, then key) so ties are
 deterministic.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stopcast.functions.calendar import DAY_NAMES
+from stopcast.operators.sums import added, centre, matrix
 
 # Fixed values of the reference: imbalance thresholds, histogram and hexbin sizes.
 IMBALANCE_SEVERE = 3.0
@@ -139,19 +142,56 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                        (F.lit(100.0) * F.col("o.n_outliers") / F.col("__n")).alias("outlier_pct"))
 
 
+def comoments(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> np.ndarray:
+    """Pairwise complete moments of ``left`` x ``right`` columns from one pass:
+    (rows, sum of l, sum of r, sum of l^2, sum of r^2, sum of l r), all over the rows
+    where both have a value and about a point amid the values.  A block of rows gives
+    six products of matrices, which add up over all rows."""
+    names = list(dict.fromkeys([*left, *right]))
+    d = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    about = centre(d, names)
+    li, ri = ([names.index(c) for c in some] for some in (left, right))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> dict[int, np.ndarray]:
+        got = np.zeros((len(left), 6, len(right)))
+        for b in batches:
+            x = matrix(b, names) - about
+            ok = np.isfinite(x)
+            x, v = np.where(ok, x, 0.0), ok.astype(float)
+            lx, lv, rx, rv = x[:, li].T, v[:, li].T, x[:, ri], v[:, ri]
+            for i, (p, q) in enumerate(((lv, rv), (lx, rv), (lv, rx), (lx * lx, rv), (lv, rx * rx), (lx, rx))):
+                got[:, i] += p @ q
+        return {i: got[i].ravel() for i in range(len(left))}
+
+    found = added(d, scan)
+    return np.stack([found[i].reshape(6, len(right)) if i in found else np.zeros((6, len(right))) for i in range(len(left))], axis=1)
+
+
+def correlations(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> np.ndarray:
+    """Pearson r of every pair; NaN with fewer than two rows or without spread."""
+    n, sl, sr, ll, rr, lr = comoments(df, left, right)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        vl, vr = ll - sl * sl / n, rr - sr * sr / n
+        spread = (n > 1) & (vl > 1e-14 * ll) & (vr > 1e-14 * rr)
+        return np.where(spread, np.clip((lr - sl * sr / n) / np.sqrt(vl * vr), -1.0, 1.0), np.nan)
+
+
+def _or_null(x: float) -> float | None:
+    return None if np.isnan(x) else float(x)
+
+
 def corr_target(df: DataFrame, cols: Sequence[str], target: str = "target") -> DataFrame:
     """AG19: Pearson r of each feature with the target (pairwise complete)."""
-    row = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
-    return _stack(row, cols, "c", "feature", "corr")
+    r = correlations(df, cols, [target])[:, 0]
+    return df.sparkSession.createDataFrame([(c, _or_null(x)) for c, x in zip(cols, r, strict=True)], "feature string, corr double")
 
 
 def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """AG20: pairwise Pearson matrix in long form (f1, f2, corr), i < j and
-    the diagonal omitted; one aggregate with k(k-1)/2 ``corr`` columns."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    spec = ", ".join(f"'{a}', '{b}', `p{i}`" for i, (a, b) in enumerate(pairs))
-    return row.selectExpr(f"stack({len(pairs)}, {spec}) as (f1, f2, corr)")
+    the diagonal omitted; one pass whatever the number of columns."""
+    r = correlations(df, cols, cols)
+    return df.sparkSession.createDataFrame([(a, b, _or_null(r[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j],
+                                           "f1 string, f2 string, corr double")
 
 
 def top_abs(corr: DataFrame, n: int, col: str = "corr", key: str = "feature") -> DataFrame:

@@ -152,26 +152,26 @@ def q_corr_target(spark, sf):
 
 
 @query("nlargest_abs", f"SELECT feature, {snap('corr')} AS corr FROM ({_CORR_SQL}) WHERE corr IS NOT NULL "
-       "ORDER BY abs(corr) DESC, feature LIMIT 5")
+       "ORDER BY abs(corr) DESC, feature LIMIT 15")
 def q_nlargest_abs(spark, sf):
-    """SRT6: largest |r| (5 of the 10 features here; 15 in the reference)."""
-    return out(E.top_abs(_corr(spark, sf), 5))
+    """SRT6: the 15 largest |r|."""
+    return out(E.top_abs(_corr(spark, sf), 15))
 
 
 @query("top_bottom_corr", f"SELECT feature, {snap('corr')} AS corr, side FROM ("
-       f"(SELECT *, 'top' AS side FROM ({_CORR_SQL}) WHERE corr IS NOT NULL ORDER BY corr DESC, feature LIMIT 3) UNION ALL "
-       f"(SELECT *, 'bottom' AS side FROM ({_CORR_SQL}) WHERE corr IS NOT NULL ORDER BY corr ASC, feature LIMIT 3))")
+       f"(SELECT *, 'top' AS side FROM ({_CORR_SQL}) WHERE corr IS NOT NULL ORDER BY corr DESC, feature LIMIT 15) UNION ALL "
+       f"(SELECT *, 'bottom' AS side FROM ({_CORR_SQL}) WHERE corr IS NOT NULL ORDER BY corr ASC, feature LIMIT 15))")
 def q_top_bottom_corr(spark, sf):
     """SRT3: highest and lowest correlations, concatenated."""
-    return out(E.top_bottom(_corr(spark, sf), 3))
+    return out(E.top_bottom(_corr(spark, sf), 15))
 
 
 @query("topk_features", f"SELECT feature, {snap('abs(corr)')} AS score FROM ({_CORR_SQL}) WHERE corr IS NOT NULL "
-       "ORDER BY abs(corr) DESC, feature LIMIT 4")
+       "ORDER BY abs(corr) DESC, feature LIMIT 20")
 def q_topk_features(spark, sf):
     """SRT2: top-n features by score (here |r|; model importances in q_models)."""
     c = _corr(spark, sf).where(F.col("corr").isNotNull()).select("feature", F.abs("corr").alias("score"))
-    return out(E.topk(c, "score", 4, "feature"))
+    return out(E.topk(c, "score", 20, "feature"))
 
 
 MATRIX = ["user_frequency", "dist_device_stop", "device_lat", "device_lon", "stop_lat_event", "hour", "target"]
@@ -192,21 +192,18 @@ def q_collinear_pairs(spark, sf):
     return out(E.collinear_pairs(E.corr_pairs(_base(spark, sf), MATRIX)))
 
 
-PROFILE_COLS = ["event_id", "user_pseudo_id", "gtfs_stop_id", "target", "dist_device_stop"]
-_TYPES = {"event_id": "bigint", "user_pseudo_id": "bigint", "gtfs_stop_id": "int", "target": "int", "dist_device_stop": "double"}
-
-
-def _cast_str(c):
-    return f"CAST({c} AS VARCHAR)" if _TYPES[c] != "double" else f"CAST({c} AS VARCHAR)"
+PROFILE = {"event_id": "bigint", "event_timestamp": "timestamp", "user_pseudo_id": "bigint", "gtfs_stop_id": "int", "gtfs_route_id": "int",
+           "target": "int", "dist_device_stop": "double", "device_lat": "double", "device_lon": "double", "stop_lat_event": "double",
+           "stop_lon_event": "double", "user_frequency": "bigint"}
 
 
 @query("column_profile", W + "\n" + _union([
-    f"SELECT '{c}' AS \"column\", '{_TYPES[c]}' AS dtype, (SELECT count(DISTINCT {c}) FROM base) AS n_distinct, "
+    f"SELECT '{c}' AS \"column\", '{kind}' AS dtype, (SELECT count(DISTINCT {c}) FROM base) AS n_distinct, "
     f"(SELECT string_agg(v, ', ' ORDER BY v) FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM base WHERE {c} IS NOT NULL "
-    f"ORDER BY v LIMIT 5)) AS examples" for c in ["event_id", "user_pseudo_id", "gtfs_stop_id", "target"]]))
+    f"ORDER BY v LIMIT 5)) AS examples" for c, kind in PROFILE.items()]))
 def q_column_profile(spark, sf):
-    """AG22: type, distinct count and 5 example values per column."""
-    return out(E.column_profile(_me(spark, sf), ["event_id", "user_pseudo_id", "gtfs_stop_id", "target"]))
+    """AG22: type, distinct count and 5 example values of every column."""
+    return out(E.column_profile(_me(spark, sf), list(PROFILE)))
 
 
 VAR_FEATS = ["user_frequency", "dist_device_stop", "device_lat", "device_lon", "hour", "day_of_week"]
@@ -214,10 +211,10 @@ VAR_FEATS = ["user_frequency", "dist_device_stop", "device_lat", "device_lon", "
 
 @query("feature_variance", W + f"\nSELECT feature, {snap('variance')} AS variance FROM (" + _union(
     [f"SELECT '{c}' AS feature, var_pop(CAST({c} AS DOUBLE)) AS variance FROM base" for c in VAR_FEATS])
-       + ") ORDER BY variance DESC, feature LIMIT 3")
+       + ") ORDER BY variance DESC, feature LIMIT 20")
 def q_feature_variance(spark, sf):
     """AG23: population variance per feature, top n."""
-    return out(E.feature_variance(_base(spark, sf), VAR_FEATS, 3))
+    return out(E.feature_variance(_base(spark, sf), VAR_FEATS, 20))
 
 
 @query("histogram", W + f"""
