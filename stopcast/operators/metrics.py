@@ -75,6 +75,38 @@ def grid_table(scores: DataFrame, grid: Sequence[int] = GRID_SGD, label: str = "
     return metrics_from_confusion(long)
 
 
+def grid_by(scores: DataFrame, by: str, grid: Sequence[int] = GRID_SGD, label: str = "label", score: str = "score") -> DataFrame:
+    """EV11 for every value of ``by``: metrics at each grid threshold, in one pass."""
+    y = F.col(label) == 1
+
+    def at(g: int) -> Column:
+        pred = F.col(score) >= F.lit(g / 100.0)
+        return F.struct(F.lit(g / 100.0).alias("threshold"),
+                        F.sum((~y & ~pred).cast("long")).alias("tn"), F.sum((~y & pred).cast("long")).alias("fp"),
+                        F.sum((y & ~pred).cast("long")).alias("fn"), F.sum((y & pred).cast("long")).alias("tp"))
+
+    rows = scores.groupBy(by).agg(F.array(*[at(g) for g in grid]).alias("g"))
+    return metrics_from_confusion(rows.select(by, F.explode("g").alias("g")).select(by, "g.*"))
+
+
+def metrics_by(scores: DataFrame, by: str, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    """ROC-AUC, accuracy, precision, recall, F1 and F1-macro for every value of ``by``
+    in one plan: equal scores are one row, and their positions are running sums over
+    all values of ``by`` in range order, less those of the values before."""
+    counts = scores.where(F.col("score").isNotNull()).groupBy(by, "score").agg(
+        F.sum((F.col("label") == 1).cast("long")).alias("pos"), F.sum((F.col("label") != 1).cast("long")).alias("neg"))
+    ranks = prefix_before(counts, [by, "score"], ["neg"])
+    hit = F.col("score") >= F.lit(float(threshold))
+    per = ranks.groupBy(by).agg(
+        F.sum(F.col("pos").cast("double") * (F.col("neg_before") * 2 + F.col("neg"))).alias("__num"),
+        F.min("neg_before").alias("__first"), F.sum("pos").alias("__p"), F.sum("neg").alias("__n"),
+        F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"), F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
+        F.sum(F.when(hit, 0).otherwise(F.col("pos"))).alias("fn"), F.sum(F.when(hit, 0).otherwise(F.col("neg"))).alias("tn"))
+    auc = F.try_divide(F.col("__num") - F.lit(2.0) * F.col("__first") * F.col("__p"), F.lit(2.0) * F.col("__p") * F.col("__n"))
+    return (metrics_from_confusion(per.withColumn("roc_auc", auc))
+            .select(by, "roc_auc", "accuracy", "precision", "recall", "f1", "f1_macro"))
+
+
 def threshold_grid(scores: DataFrame, grid: Sequence[int] = GRID_SGD, **kw) -> DataFrame:
     """EV7: best F1-macro over the grid; the first (smallest) best wins, and
     the answer stays 0.5 when no threshold has F1-macro > 0."""

@@ -34,6 +34,7 @@ def load_all() -> None:
         q_eda,
         q_eval,
         q_ml,
+        q_knn,
         q_features,
         q_models,
         q_stream,
