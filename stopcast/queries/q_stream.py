@@ -32,7 +32,7 @@ _ST2 = ("SELECT event_id, user_pseudo_id AS key, user_hist_count AS hist_count,
 @query("stream_hist", _ST2)
 def q_stream_hist(spark, sf):
     """ST2: per-user history carried in streaming state."""
-    s = L.history_stream(L.read_events_stream(spark, sf))
-    path = L.run_to_table(s, spark, "st2", mode="append")
+    events, end = L.with_end(L.read_events_stream(spark, sf))
+    path = L.run_to_table(L.history_stream(events), spark, "st2", mode="append", end=end)
     r = spark.read.parquet(path).drop("batch_id")
     return rounded(r)

@@ -4,26 +4,33 @@ The reference is batch-only; these are the streaming re-aims of AG1 and
 WN1-WN4 named in SURVEY §2.13.
 
 * ST1 ``users_per_bin_stream``: distinct users per (stop, tumbling bin) with
-  an event-time watermark; distinct counts are exact (``collect_set`` per
-  group; ``countDistinct`` is not allowed in streaming aggregations).  Runs in
-  update mode; every micro-batch's updated groups are appended to a table
-  with the batch id, and ``latest`` keeps the last update per group.
-* ST2 ``history_stream``: per-key state (rows, positives, labelled rows, last
-  timestamp) carried across micro-batches by ``applyInPandasWithState``;
-  each new event gets the history of the events before it.  Events of one
-  key must arrive in time order across micro-batches (within a micro-batch
-  they are sorted).
-
-Sinks and checkpoints live under the shared folder (``spark.checkpoint.dir``).
+  an event-time watermark.  Each (stop, bin, user) is a key of its own in the
+  de-duplication state, dropped when the watermark has passed its bin, and a
+  (stop, bin) holds one number: no list of users anywhere.  Runs in update mode;
+  every micro-batch's updated groups are written with the batch id, and
+  ``latest`` keeps the last update per group.
+* ST2 ``history_stream``: per-key state carried across micro-batches by
+  ``transformWithState``.  Events wait in pieces of event time until the
+  watermark has passed a piece; a timer then emits the pieces in time order, each
+  event with the history of the events before it.  Events may arrive in any order
+  within the watermark.  One piece of one key is held at a time.
+
+Rows later than the watermark are left out; ``run_to_table`` writes how many, by
+batch, beside the output (``late_rows``).  Sinks, checkpoints and state live under
+the shared folder (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from stopcast.operators.labels import time_floor
 from stopcast.semantics import MICROS_PER_DAY
@@ -50,17 +57,51 @@ def read_events_stream(spark: SparkSession, sf_dir: str, max_files: int | None =
 
 def users_per_bin_stream(events: DataFrame, *, width: str = "2 minutes", watermark: str = "10 minutes",
                          stop: str = "gtfs_stop_id", user: str = "user_pseudo_id", ts: str = "event_timestamp") -> DataFrame:
-    """ST1: streaming AG1 (exact distinct users per (stop, bin))."""
+    """ST1: streaming AG1 (exact distinct users per (stop, bin); a bin whose rows have no user counts 0)."""
     return (events.withWatermark(ts, watermark)
                   .where(F.col(stop).isNotNull())
-                  .groupBy(F.col(stop).alias(stop), F.window(ts, width).alias("w"))
-                  .agg(F.size(F.collect_set(user)).cast("long").alias("user_count"))
+                  .select(stop, F.window(ts, width).alias("w"), user)
+                  .dropDuplicates([stop, "w", user])
+                  .groupBy(stop, "w").agg(F.count(user).alias("user_count"))
                   .select(stop, F.col("w.start").alias("time_bin"), "user_count"))
 
 
-def run_to_table(stream: DataFrame, spark: SparkSession, name: str, mode: str = "update") -> str:
-    """Run a streaming query until the available input is consumed, appending
-    every micro-batch (with its batch id) to a parquet table; returns its path."""
+class _Late(StreamingQueryListener):
+    """Rows that stateful operators left out as later than the watermark, by batch."""
+
+    def __init__(self) -> None:
+        self.rows: dict[tuple[str, int], int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        # the first operator sees the rows themselves; what it drops, later ones never see
+        n = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+        self.rows[str(p.id), p.batchId] = max(n, self.rows.get((str(p.id), p.batchId), 0))
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+@contextlib.contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """State in RocksDB: larger than memory, and what ``transformWithState`` asks for."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
+def run_to_table(stream: DataFrame, spark: SparkSession, name: str, mode: str = "update", end: str | None = None) -> str:
+    """Run a streaming query until the available input is consumed, writing
+    every micro-batch (with its batch id) to a parquet table; returns its path.
+    ``end``: the folder of ``with_end``; the stream is then closed: what waits for
+    the watermark is emitted.  The late rows of each batch are in ``<path>-late``."""
     out = shared_path(spark, name)
     ckpt = shared_path(spark, name + "-ckpt")
 
@@ -68,12 +109,30 @@ def run_to_table(stream: DataFrame, spark: SparkSession, name: str, mode: str =
         # a folder per batch, overwritten when Spark repeats the batch
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    q = (stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt)
-               .trigger(availableNow=True).start())
-    q.awaitTermination()
+    late = _Late()
+    spark.streams.addListener(late)
+    try:
+        with _state_on_disk(spark):
+            for last in ([False, True] if end else [False]):
+                if last:
+                    _end_row(spark).write.mode("append").parquet(end)
+                q = (stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt)
+                           .trigger(availableNow=True).start())
+                q.awaitTermination()
+                for p in q.recentProgress:      # the listener may lag behind
+                    late.onQueryProgress(type("Event", (), {"progress": p}))
+    finally:
+        spark.streams.removeListener(late)
+    rows = sorted((b, n) for (_, b), n in late.rows.items())
+    spark.createDataFrame(rows, "batch_id long, late_rows long").write.parquet(out + "-late")
     return out
 
 
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(batch_id, late_rows) of a table that ``run_to_table`` wrote."""
+    return spark.read.parquet(path + "-late")
+
+
 def latest(spark: SparkSession, path: str, keys: list[str], schema: str | None = None) -> DataFrame:
     """Final state of an update-mode output: last batch's row per key."""
     if not exists(spark, path):        # nothing was emitted
@@ -84,42 +143,99 @@ def latest(spark: SparkSession, path: str, keys: list[str], schema: str | None =
 
 
 HIST_OUT = ("event_id long, key long, hist_count long, hist_conversion_rate double, recency_days long")
-HIST_STATE = "n long, pos double, lab long, last_us long"
-
-
-def _hist_fn(key, pdfs, state):
-    n, pos, lab, last = (0, 0.0, 0, None)
-    if state.exists:
-        n, pos, lab, last = state.get
-    pdf = pd.concat(list(pdfs), ignore_index=True)
-    if pdf.empty:
-        yield pd.DataFrame(columns=["event_id", "key", "hist_count", "hist_conversion_rate", "recency_days"])
-        return
-    pdf = pdf.sort_values(["event_timestamp", "event_id"], kind="mergesort").reset_index(drop=True)
-    ts_us = pdf["event_timestamp"].astype("datetime64[us]").astype("int64").to_numpy()
-    y = pdf["target"].astype("float64").to_numpy()
-    labelled = ~np.isnan(y)
-    yv = np.where(labelled, y, 0.0)
-    cnt_before = n + np.arange(len(pdf))
-    pos_before = pos + np.concatenate([[0.0], np.cumsum(yv)[:-1]])
-    lab_before = lab + np.concatenate([[0], np.cumsum(labelled)[:-1]])
-    prev = np.concatenate([[last if last is not None else -1], ts_us[:-1]])
-    has_prev = np.concatenate([[last is not None], np.ones(len(pdf) - 1, dtype=bool)])
-    rate = np.where(lab_before > 0, pos_before / np.maximum(lab_before, 1), 0.0)
-    rec = np.where(has_prev, np.floor_divide(ts_us - prev, MICROS_PER_DAY), 999)
-    state.update((int(n + len(pdf)), float(pos + yv.sum()), int(lab + labelled.sum()), int(ts_us[-1])))
-    yield pd.DataFrame({"event_id": pdf["event_id"].astype("int64"), "key": np.full(len(pdf), key[0], dtype="int64"),
-                        "hist_count": cnt_before.astype("int64"), "hist_conversion_rate": rate,
-                        "recency_days": rec.astype("int64")})
-
-
-def history_stream(events: DataFrame, key: str = "user_pseudo_id") -> DataFrame:
-    """ST2: streaming WN1/WN4 for one key (count, rate, recency of the
-    events before each event); null keys get no history."""
-    ev = events.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("__key"), "event_id",
-                                                     "event_timestamp", "target")
-    return ev.groupBy("__key").applyInPandasWithState(_hist_fn, HIST_OUT, HIST_STATE, "append",
-                                                      GroupStateTimeout.NoTimeout)
-
-
-__all__ = ["read_events_stream", "users_per_bin_stream", "history_stream", "run_to_table", "latest", "time_floor"]
+EVENT = np.dtype([("ts", "<i8"), ("id", "<i8"), ("target", "<f8")])
+END_KEY = -(1 << 63)        # the key of the row that ends a stream
+END_SCHEMA = "event_id long, event_timestamp timestamp, __key long, target int"
+
+
+def _end_row(spark: SparkSession) -> DataFrame:
+    return spark.sql(f"SELECT CAST(NULL AS BIGINT) AS event_id, TIMESTAMP '2250-01-01' AS event_timestamp, "
+                     f"{END_KEY + 1}L - 1L AS __key, CAST(NULL AS INT) AS target")
+
+
+class OrderedHistory(StatefulProcessor):
+    """Pieces of waiting events by time, and the history of those already emitted."""
+
+    def __init__(self, width_ms: int):
+        self.width = width_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.past = handle.getValueState("past", "n long, pos double, lab long, last_us long")
+        self.pieces = handle.getMapState("pieces", "piece long", "events binary")
+        self.due = handle.getValueState("due", "piece long")
+
+    def _wake(self, piece: int) -> None:
+        self.handle.registerTimer((piece + 1) * self.width)
+        self.due.update((piece,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for pdf in rows:
+            pdf = pdf[pdf["event_id"].notna()]
+            if not len(pdf):
+                continue
+            new = np.empty(len(pdf), EVENT)
+            new["ts"] = pdf["event_timestamp"].astype("datetime64[us]").astype("int64")
+            new["id"], new["target"] = pdf["event_id"].astype("int64"), pdf["target"].astype("float64")
+            piece = new["ts"] // (self.width * 1000)
+            for p in np.unique(piece).tolist():
+                held = bytes(self.pieces.getValue((p,))[0]) if self.pieces.containsKey((p,)) else b""
+                self.pieces.updateValue((p,), (held + new[piece == p].tobytes(),))
+                first = p if first is None else min(first, p)
+        if first is not None and (not self.due.exists() or first < self.due.get()[0]):
+            self._wake(first)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        n, pos, lab, last = self.past.get() if self.past.exists() else (0, 0.0, 0, None)
+        waiting = sorted(p for p, in self.pieces.keys())
+        for p in waiting:
+            if (p + 1) * self.width > passed:
+                self._wake(p)
+                break
+            events = np.sort(np.frombuffer(bytes(self.pieces.getValue((p,))[0]), EVENT), order=["ts", "id"])
+            self.pieces.removeKey((p,))
+            ts, known = events["ts"], ~np.isnan(events["target"])
+            y = np.where(known, events["target"], 0.0)
+            y_before, known_before = pos + np.cumsum(y) - y, lab + np.cumsum(known) - known
+            rate = np.where(known_before > 0, y_before / np.maximum(known_before, 1), 0.0)
+            before = np.concatenate([[ts[0] if last is None else last], ts[:-1]])
+            recency = np.floor_divide(ts - before, MICROS_PER_DAY)
+            if last is None:
+                recency[0] = 999
+            yield pd.DataFrame({"event_id": events["id"], "key": np.full(len(ts), key[0]), "hist_count": n + np.arange(len(ts)),
+                                "hist_conversion_rate": rate, "recency_days": recency})
+            n, pos, lab, last = n + len(ts), pos + float(y.sum()), lab + int(known.sum()), int(ts[-1])
+        else:
+            self.due.clear()
+        if n:
+            self.past.update((n, pos, lab, last))
+
+    def close(self) -> None:
+        pass
+
+
+def with_end(events: DataFrame, key: str = "user_pseudo_id") -> tuple[DataFrame, str]:
+    """``events`` as (event_id, event_timestamp, ``__key``, target), together with an
+    empty folder that is watched: the row that ends the stream goes there."""
+    spark = events.sparkSession
+    folder = shared_path(spark, "end")
+    spark.createDataFrame([], END_SCHEMA).write.parquet(folder)
+    ev = (events.where(F.col(key).isNotNull() & F.col("event_id").isNotNull() & F.col("event_timestamp").isNotNull())
+          .select("event_id", "event_timestamp", F.col(key).cast("long").alias("__key"), F.col("target").cast("int").alias("target")))
+    return ev.unionByName(spark.readStream.schema(END_SCHEMA).parquet(folder)), folder
+
+
+def history_stream(events: DataFrame, *, watermark: str = "1 day", piece: str = "1 day") -> DataFrame:
+    """ST2: streaming WN1/WN4 for one key (count, rate, recency of the events
+    before each event) over what ``with_end`` gives; null keys get no history.
+    An event is emitted when the watermark has passed its ``piece`` of time."""
+    count, unit = piece.split()
+    width = int(pd.Timedelta(int(count), unit.rstrip("s")) / pd.Timedelta(1, "ms"))
+    return (events.withWatermark("event_timestamp", watermark).groupBy("__key")
+            .transformWithStateInPandas(OrderedHistory(width), HIST_OUT, "append", "EventTime"))
+
+
+__all__ = ["read_events_stream", "users_per_bin_stream", "history_stream", "with_end", "run_to_table", "late_rows", "latest", "time_floor"]

@@ -86,8 +86,8 @@ def test_build_features_etl(spark):
 def test_streaming_history_matches_batch(spark):
     from stopcast.operators.history import history_features
     from stopcast.streaming import live as L
-    s = L.history_stream(L.read_events_stream(spark, SF001))
-    path = L.run_to_table(s, spark, "test-st2", mode="append")
+    events, end = L.with_end(L.read_events_stream(spark, SF001))
+    path = L.run_to_table(L.history_stream(events), spark, "test-st2", mode="append", end=end)
     got = {r["event_id"]: (r["hist_count"], r["recency_days"]) for r in spark.read.parquet(path).collect()}
     exp = history_features(A.model_events(spark, SF001), [("user", "user_pseudo_id", True)]).collect()
     for r in exp:
