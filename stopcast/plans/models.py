@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from stopcast.operators import metrics as M
 from stopcast.operators.transforms import class_weight_balanced
+from stopcast.plans import linear as LN
 
 MAX_DEPTH = 30   # MLlib's limit; it stands for the reference's "None" (unbounded)
 
@@ -181,6 +182,102 @@ def config_sweep(spark: SparkSession, train: DataFrame, test: DataFrame, feature
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
+def linear_problem(name: str, subset: str, model: str, params: dict) -> LN.Problem:
+    """A configuration of MD4 / MD5 as a problem of the shared-scan trainer."""
+    if model == "logreg_sgd":
+        alpha, ratio = params["alpha"], params.get("l1_ratio", 0.0)
+        return LN.Problem(name, subset, "log", l2=alpha * (1 - ratio), l1=alpha * ratio)
+    return LN.Problem(name, subset, params.get("loss", "hinge"), l2=1.0 / (params["n"] * params["C"]))
+
+
+def linear_sweep(spark: SparkSession, df: DataFrame, features: Sequence[str], configs: dict[tuple[str, str], dict],
+                 train: str = "is_train = 1", test: str = "is_test = 1") -> DataFrame:
+    """VS4 for linear families: all ``configs`` ((model, config) -> parameters) from
+    shared scans of ``df``, one metrics row each.  ``train_time`` is the time of all
+    fits together, which run at once."""
+    d = df.withColumns({"__train": F.expr(train), "__test": F.expr(test)})
+    t0 = time.time()
+    models = LN.fit_all(d, features, [linear_problem(f"{m}|{c}", "__train", m, p) for (m, c), p in configs.items()])
+    secs = time.time() - t0
+    scores = LN.score_all(d, list(models.values()), ["__test"] * len(models))
+    part = F.split("problem", r"\|", 2)
+    return M.metrics_by(scores, "problem").select(part[1].alias("config"), part[0].alias("model"), "roc_auc", "accuracy", "precision", "recall",
+                                          "f1", "f1_macro", F.lit(secs).alias("train_time"))
+
+
+def linear_cross_val(df: DataFrame, features: Sequence[str], configs: dict[tuple[str, str], dict], k: int = 5) -> DataFrame:
+    """VS3 for linear families: every fold of every configuration from shared scans:
+    (model, config, cv_mean, cv_std) of the ROC-AUC.  Fold i tests block i and trains
+    on every earlier row, with class weights and scaling of those rows alone."""
+    d = df.withColumns({f"__before{i}": F.col("fold") < i for i in range(k)} | {f"__block{i}": F.col("fold") == i for i in range(k)})
+    problems = [linear_problem(f"{m}|{c}|{i}", f"__before{i}", m, p) for (m, c), p in configs.items() for i in range(k)]
+    models = LN.fit_all(d, features, problems)
+    scores = LN.score_all(d, [models[p.name] for p in problems], [f"__block{p.name.rsplit('|', 1)[1]}" for p in problems])
+    part = F.split("problem", r"\|")
+    return (M.metrics_by(scores, "problem").groupBy(part[0].alias("model"), part[1].alias("config"))
+            .agg(F.avg("roc_auc").alias("cv_mean"), F.stddev_pop("roc_auc").alias("cv_std")))
+
+
+def platt_all(scores: DataFrame, by: str = "problem", rounds: int = 50) -> dict[str, tuple[float, float]]:
+    """Platt's sigmoid 1 / (1 + exp(-(a x + b))) of ``margin`` for every ``by``, all at
+    once: a Newton round is one aggregate with one row a ``by``."""
+    spark = scores.sparkSession
+    at = {r[by]: (0.0, 0.0) for r in scores.select(by).distinct().collect()}
+    live = set(at)
+    y, x = (F.col("label") == 1).cast("double"), F.col("margin")
+    for _ in range(rounds):
+        if not live:
+            break
+        now = F.broadcast(spark.createDataFrame([(k, *at[k]) for k in sorted(live)], f"{by} string, __a double, __b double"))
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("__a") * x + F.col("__b"))))
+        got = (scores.join(now, by).withColumn("__p", p).withColumn("__h", F.col("__p") * (F.lit(1.0) - F.col("__p")))
+               .groupBy(by).agg(F.sum((F.col("__p") - y) * x).alias("ga"), F.sum(F.col("__p") - y).alias("gb"),
+                                F.sum(F.col("__h") * x * x).alias("haa"), F.sum(F.col("__h") * x).alias("hab"),
+                                F.sum("__h").alias("hbb"), F.count("*").alias("n")).collect())
+        for r in got:
+            # a small ridge keeps separable margins finite
+            haa, hab, hbb = r["haa"] + 1e-6 * r["n"], r["hab"], r["hbb"] + 1e-6 * r["n"]
+            ga, gb = r["ga"] + 1e-6 * r["n"] * at[r[by]][0], r["gb"] + 1e-6 * r["n"] * at[r[by]][1]
+            det = haa * hbb - hab * hab
+            da, db = (hbb * ga - hab * gb) / det, (haa * gb - hab * ga) / det
+            size = max(abs(da), abs(db))
+            shrink = min(1.0, 4.0 / size) if size else 1.0
+            at[r[by]] = (at[r[by]][0] - shrink * da, at[r[by]][1] - shrink * db)
+            if size < 1e-9:
+                live.discard(r[by])
+    return at
+
+
+def calibrated_sweep(spark: SparkSession, df: DataFrame, features: Sequence[str], configs: dict[tuple[str, str], dict], k: int = 3,
+                     train: str = "is_train = 1", test: str = "is_test = 1", id_col: str = "event_id", seed: int = 42) -> DataFrame:
+    """MD9 in the sweep: every linear configuration with Platt scaling over ``k`` hash
+    folds, the mean of the calibrated pairs.  All fits of all folds share the scans."""
+    from stopcast.operators.resample import hash_key
+    fold = F.pmod(hash_key(seed, id_col), F.lit(k))
+    d = df.withColumns({"__train": F.expr(train), "__test": F.expr(test)})
+    d = d.withColumns({f"__fit{i}": F.col("__train") & (fold != i) for i in range(k)}
+                      | {f"__held{i}": F.col("__train") & (fold == i) for i in range(k)})
+    t0 = time.time()
+    problems = [linear_problem(f"{m}|{c}|{i}", f"__fit{i}", m, p) for (m, c), p in configs.items() for i in range(k)]
+    models = LN.fit_all(d, features, problems)
+    order = [models[p.name] for p in problems]
+    margin = F.log(F.col("score") / (F.lit(1.0) - F.col("score")))
+    held = LN.score_all(d, order, [f"__held{p.name.rsplit('|', 1)[1]}" for p in problems], id_col=id_col).where("score > 0 and score < 1")
+    sigmoids = platt_all(held.withColumn("margin", margin))
+    secs = time.time() - t0
+    curve = F.broadcast(spark.createDataFrame([(n, a, b) for n, (a, b) in sigmoids.items()], "problem string, __a double, __b double"))
+    tested = LN.score_all(d, order, ["__test"] * len(order), id_col=id_col).join(curve, "problem")
+    x = margin      # a score of 0 or 1 is a margin beyond any other
+    p = F.when(F.col("score") <= 0, 0.0).when(F.col("score") >= 1, 1.0).otherwise(
+        F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("__a") * x + F.col("__b")))))
+    part = F.split("problem", r"\|")
+    mean = (tested.groupBy(F.concat_ws("|", part[0], part[1]).alias("problem"), "id")
+            .agg(F.max("label").alias("label"), F.avg(p).alias("score")))
+    part = F.split("problem", r"\|", 2)
+    return M.metrics_by(mean, "problem").select(part[1].alias("config"), part[0].alias("model"), "roc_auc", "accuracy", "precision",
+                                                "recall", "f1", "f1_macro", F.lit(secs).alias("train_time"))
+
+
 def leaderboard(results: DataFrame, by: str = "roc_auc") -> DataFrame:
     """SRT5: rank result rows (1 = best)."""
     from pyspark.sql import Window

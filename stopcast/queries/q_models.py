@@ -68,20 +68,30 @@ def q_gbt(spark, sf):
     return MD.config_sweep(spark, trv, te, feats, "gbt", cfg, MD.gbt)
 
 
+def _linear(*models, n=None):
+    """(model, configuration) -> parameters of the linear families."""
+    every = {("logreg_sgd", c): p for c, p in MD.SGD_CONFIGS.items()}
+    every |= {("linear_svm", f"C={c}{'' if loss == 'squared_hinge' else ' ' + loss}"): dict(C=c, n=n, loss=loss)
+              for c in MD.SVC_C for loss in ("squared_hinge", "hinge")}
+    return {k: p for k, p in every.items() if k[0] in models}
+
+
 @query("logreg_sgd")
 def q_logreg_sgd(spark, sf):
-    """MD4: log-loss linear models (alpha, L2 / elastic / L1), scaled, balanced."""
-    _, tr, te, feats = training(spark, sf)
-    return MD.config_sweep(spark, tr, te, feats, "logreg_sgd", MD.SGD_CONFIGS, MD.logreg_sgd, scale=True)
+    """MD4: log-loss linear models (alpha, L2 / elastic / L1), scaled, balanced; all
+    configurations from shared scans."""
+    t, _, _, feats = training(spark, sf)
+    return MD.linear_sweep(spark, t, feats, _linear("logreg_sgd"))
 
 
 @query("linear_svm")
 def q_linear_svm(spark, sf):
-    """MD5: hinge linear SVM, C in {0.1, 1, 10}, regParam = 1/(n C)."""
-    _, tr, te, feats = training(spark, sf)
-    n = tr.count()
-    cfg = {f"C={c}": dict(C=c, n=n) for c in MD.SVC_C}
-    return MD.config_sweep(spark, tr, te, feats, "linear_svm", cfg, MD.linear_svm, scale=True)
+    """MD5: linear SVM, C in {0.1, 1, 10}, squared hinge (LinearSVC's loss) and hinge,
+    L2 penalty 1/(n C); uncalibrated, cut at the margin 0, and calibrated (MD9)."""
+    t, tr, _, feats = training(spark, sf)
+    cfg = _linear("linear_svm", n=tr.count())
+    plain = MD.linear_sweep(spark, t, feats, cfg)
+    return plain.unionByName(MD.calibrated_sweep(spark, t, feats, cfg).withColumn("model", F.lit("linear_svm_calibrated")))
 
 
 @query("naive_bayes")
@@ -136,32 +146,39 @@ def q_feature_importance(spark, sf):
 
 @query("cross_val_auc")
 def q_cross_val_auc(spark, sf):
-    """VS3: 5 expanding folds (train on every earlier row), AUC mean / std."""
+    """VS3: 5 expanding folds (train on every earlier row), AUC mean / std of every
+    configuration of the linear families; class weights and scaling are each fold's own."""
     from stopcast.operators.rowindex import time_series_split
     _, tr, _, feats = training(spark, sf)       # the holdout rows take no part
     t = materialize(time_series_split(tr.drop("row_idx", "fold", "is_train", "is_test"), 5))
-    cv = MD.cross_val_auc(spark, t, MD.logreg_sgd, MD.SGD_CONFIGS["HIGH_REGULARIZATION"], feats, 5, scale=True)
-    return spark.createDataFrame([("logreg_sgd", cv["cv_mean"], cv["cv_std"])], "model string, cv_mean double, cv_std double")
+    return MD.linear_cross_val(t, feats, _linear("logreg_sgd", "linear_svm", n=tr.count()))
 
 
 def _sweep(spark, sf):
-    _, tr, te, feats = training(spark, sf)
-    n = tr.count()
-    a = MD.config_sweep(spark, tr, te, feats, "logreg_sgd", MD.SGD_CONFIGS, MD.logreg_sgd, scale=True)
-    b = MD.config_sweep(spark, tr, te, feats, "linear_svm", {f"C={c}": dict(C=c, n=n) for c in MD.SVC_C},
-                        MD.linear_svm, scale=True)
-    return a.unionByName(b)
+    """All configurations of all families: linear ones from shared scans, trees and
+    boosted trees one by one."""
+    t, tr, te, feats = training(spark, sf)
+    cfg = _linear("logreg_sgd", "linear_svm", n=tr.count())
+    out_ = MD.linear_sweep(spark, t, feats, {k: p for k, p in cfg.items() if k[0] == "logreg_sgd"})
+    out_ = out_.unionByName(MD.calibrated_sweep(spark, t, feats, {k: p for k, p in cfg.items() if k[0] == "linear_svm"}))
+    n_tr = tr.agg(F.max("row_idx")).first()[0]
+    trv = tr.withColumn("is_valid", F.col("row_idx") >= F.lit(int(n_tr * 0.9)))
+    boosted = {k: dict(c, validation=True) for k, c in MD.GBT_CONFIGS.items()}
+    for rows, name, configs, builder in ((tr, "random_forest", MD.RF_CONFIGS, MD.random_forest),
+                                         (tr, "decision_tree", MD.DT_CONFIGS, MD.decision_tree), (trv, "gbt", boosted, MD.gbt)):
+        out_ = out_.unionByName(MD.config_sweep(spark, rows, te, feats, name, configs, builder))
+    return out_
 
 
 @query("config_sweep")
 def q_config_sweep(spark, sf):
-    """VS4: named configurations of two model families, one metrics row each."""
+    """VS4: every named configuration of the five model families, one metrics row each."""
     return _sweep(spark, sf)
 
 
 @query("leaderboard")
 def q_leaderboard(spark, sf):
-    """SRT5: results ranked by ROC-AUC."""
+    """SRT5: all configurations ranked by ROC-AUC."""
     return MD.leaderboard(_sweep(spark, sf))
 
 
@@ -169,8 +186,8 @@ def q_leaderboard(spark, sf):
 def q_impact(spark, sf):
     """VS9: AUC difference and % change of every configuration against the
     BASELINE row (scalar subquery, no cross join)."""
-    _, tr, te, feats = training(spark, sf)
-    r = MD.config_sweep(spark, tr, te, feats, "logreg_sgd", MD.SGD_CONFIGS, MD.logreg_sgd, scale=True)
+    t, _, _, feats = training(spark, sf)
+    r = MD.linear_sweep(spark, t, feats, _linear("logreg_sgd"))
     base = r.where(F.col("config") == "BASELINE").select("roc_auc").scalar()
     return r.select("config", "roc_auc", (F.col("roc_auc") - base).alias("delta_auc"),
                     (F.lit(100.0) * (F.col("roc_auc") - base) / base).alias("delta_pct"))
