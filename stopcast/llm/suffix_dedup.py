@@ -212,7 +212,17 @@ def shared_hashes(blobs: list[bytes], most: int) -> list[tuple[np.ndarray, np.nd
     value, n, owner = value[by], n[by], owner[by]
     first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]][:len(value)])
     total = np.repeat(np.add.reduceat(n, first), np.diff(np.r_[first, len(n)])) if len(n) else n
-    return [(value[mine], total[mine] > most) for i in range(len(got)) for mine in [(owner == i) & (total > 1)]]
+    again = np.flatnonzero(total > 1)
+    of_file = dict(dealt(owner[again]))
+    none = np.zeros(0, np.int64)
+    return [(value[mine], total[mine] > most) for i in range(len(got)) for mine in [again[of_file.get(i, none)]]]
+
+
+def dealt(key: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """(key, its rows in order) for every key: one sort, however many keys there are."""
+    by = np.argsort(key, kind="stable")
+    cut = np.flatnonzero(key[by][1:] != key[by][:-1]) + 1
+    return [(int(key[rows[0]]), rows) for rows in np.split(by, cut)] if len(by) else []
 
 
 def firsts(s: np.ndarray) -> np.ndarray:
@@ -311,8 +321,7 @@ def duplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str
             value, n = np.unique(file.segments()["hash"], return_counts=True)
             part = value % np.uint64(parts)
             out = [(SPANS, name, b"")]
-            for p in np.unique(part).tolist():
-                mine = part == p
+            for p, mine in dealt(part):
                 out.append((p, name, pack(value[mine], n[mine].astype("<i8"))))
             return _rows(ROUTED, out).combine_chunks().to_batches()[0]
 
@@ -355,8 +364,8 @@ def duplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str
             spans = merged(x["doc"], x["start"], x["start"] + x["size"])
             s = s[first]
             part = s["hash"] % np.uint64(parts)
-            for p in np.unique(part).tolist():
-                out.append((p, name, pack(s[part == p])))
+            for p, mine in dealt(part):
+                out.append((p, name, pack(s[mine])))
         out.append((SPANS - int(name[:6], 16) % parts, name, pack(spans)))
         return _rows(ROUTED, out)
 
@@ -378,13 +387,11 @@ def duplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str
         other = np.r_[y["hash"][1:] == y["hash"][:-1], False] if len(y) else np.zeros(0, bool)
         asked = other | np.r_[False, other[:-1]] if len(y) else other
         y, p = y[asked], p[asked]
-        for i in range(len(names)):
-            mine = x[o == i]
-            if len(mine):
-                out.append((SPANS, names[i], pack(merged(mine["doc"], mine["start"], mine["start"] + mine["size"]))))
-            mine = y[p == i]
-            if len(mine):
-                out.append((0, names[i], pack(mine)))
+        for i, rows in dealt(o):
+            mine = x[rows]
+            out.append((SPANS, names[i], pack(merged(mine["doc"], mine["start"], mine["start"] + mine["size"]))))
+        for i, rows in dealt(p):
+            out.append((0, names[i], pack(y[rows])))
         return _rows(ROUTED, out)
 
     def cut_bytes(t: pa.Table) -> pa.Table:
@@ -395,8 +402,7 @@ def duplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str
         a = file.starts[s["doc"]] + s["start"]
         shard = (s["hash"] >> np.uint64(20)) % np.uint64(shards)
         out = []
-        for k in np.unique(shard).tolist():
-            mine = np.flatnonzero(shard == k)
+        for k, mine in dealt(shard):
             text = b"".join(file.text[i:i + n] for i, n in zip(a[mine].tolist(), s["size"][mine].tolist(), strict=True))
             out.append((k, name, pack(s[mine], np.frombuffer(text, np.uint8))))
         return _rows(ROUTED, out)
@@ -414,8 +420,7 @@ def duplicate_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str
         s, owner = np.concatenate(got), np.repeat(np.arange(len(got)), list(map(len, got)))
         segment, start, end = shard_spans(s, texts)
         out = []
-        for i in np.unique(owner[segment]).tolist():
-            mine = owner[segment] == i
+        for i, mine in dealt(owner[segment]):
             out.append((SPANS, names[i], pack(merged(s["doc"][segment[mine]], start[mine], end[mine]))))
         return _rows(ROUTED, out)
 

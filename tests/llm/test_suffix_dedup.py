@@ -120,3 +120,33 @@ def test_hot_anchor_is_split(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HOT", 20)
     got = suffix_dedup.duplicate_substrings(plain(spark, rows).repartition(3)).collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
+def test_dealing_does_not_grow_with_the_files():
+    """The same anchors from 2,000 files cost little more than from 50."""
+    import time
+    r = np.random.default_rng(0)
+    anchors = r.integers(0, 200_000, 400_000).astype("<u8")
+
+    def run(files):
+        blobs = [suffix_dedup.pack(a, np.ones(len(a), "<i8")) for a in np.array_split(anchors, files)]
+        best = 9.0
+        for _ in range(3):
+            start = time.process_time()
+            got = suffix_dedup.shared_hashes(blobs, 3)
+            best = min(best, time.process_time() - start)
+        return best, got
+
+    (few, a), (many, b) = run(50), run(2000)
+    assert many < 1.5 * few + 0.05
+    assert np.array_equal(np.sort(np.concatenate([h for h, _ in a])), np.sort(np.concatenate([h for h, _ in b])))
+    value, n = np.unique(anchors, return_counts=True)
+    shared = dict(zip(value.tolist(), n.tolist(), strict=True))
+    for h, hot in b[:20]:
+        assert all(shared[v] > 1 and (shared[v] > 3) == x for v, x in zip(h.tolist(), hot.tolist(), strict=True))
+
+
+def test_dealt_keeps_the_order():
+    key = np.array([3, 1, 3, 2, 1], np.uint64)
+    assert [(k, rows.tolist()) for k, rows in suffix_dedup.dealt(key)] == [(1, [1, 4]), (2, [3]), (3, [0, 2])]
+    assert suffix_dedup.dealt(np.zeros(0, np.int64)) == []
