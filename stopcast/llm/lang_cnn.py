@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stopcast.llm.common import worker_state
+from stopcast.llm.common import stored, worker_state
 
 WINDOW = 256                # bytes of a window
 WIDTHS = (2, 3, 4, 5)       # filter widths
@@ -220,13 +220,23 @@ def learned(documents: DataFrame, train: Column) -> tuple[list[str], dict[str, n
     docs = (documents.where(train).where("lang IS NOT NULL AND length(text) > 0")
             .select("lang", F.xxhash64("text").alias("h"), "text"))
     # hashes alone choose; the texts of those chosen are read in a second pass
-    keys = docs.select("lang", "h").distinct()
-    langs = docs.select("lang").distinct().count()
+    keys = stored(docs.select("lang", "h").distinct(), "keys")
+    counts = stored(keys.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    langs = counts.count()
     if not langs:
         return [], {}
+    quota = min(LANG_DOCS, max(1, TRAIN_DOCS // langs))
+
+    def bounded(df: DataFrame) -> DataFrame:
+        """Tables of a row a language or a sampled document."""
+        return F.broadcast(df) if langs <= TRAIN_DOCS else df
+
+    # of a language with many documents only the low hashes are ranked: some eight times those wanted
+    low = (F.col("h") / float(1 << 64) + 0.5) * F.col("n") <= 8.0 * quota + 64.0
     first = Window.partitionBy("lang").orderBy("h")
-    chosen = (keys.withColumn("n", F.row_number().over(first)).where(F.col("n") <= min(LANG_DOCS, max(1, TRAIN_DOCS // langs)))
+    chosen = (keys.join(bounded(counts), "lang").where(low).withColumn("n", F.row_number().over(first)).where(F.col("n") <= quota)
               .select(F.col("lang").alias("l"), F.col("h").alias("k")))
+    chosen = bounded(stored(chosen, "sample"))
     sample = (docs.join(chosen, (F.col("lang") == F.col("l")) & (F.col("h") == F.col("k")))
               .groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
               .mapInPandas(_train_windows, "lang string, piece binary").distinct().toArrow())
