@@ -40,6 +40,13 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what finished jobs left behind: Spark deletes shuffle files once the
+    driver's JVM has collected what referred to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)`` (longs): (node, root) for every
     node of an edge, root = the smallest node of its component.

@@ -54,9 +54,9 @@ SEGMENT = np.dtype([("hash", "<u8"), ("digest", "<u8"), ("id_null", "?"), ("doc_
 SPAN = np.dtype([("doc", "<u4"), ("start", "<u4"), ("end", "<u4")])
 
 
-def pack(*arrays: np.ndarray) -> bytes:
+def pack(*arrays: np.ndarray, level: int = 1) -> bytes:
     raw = b"".join(len(a.tobytes()).to_bytes(8, "little") + a.tobytes() for a in arrays)
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    return zstandard.ZstdCompressor(level=level).compress(raw)
 
 
 def unpack(blob: bytes, *kinds) -> list[np.ndarray]:

@@ -34,8 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from stopcast.llm.common import no_state, shared_folder, stored
-from stopcast.llm.suffix_dedup import pack, unpack
+from stopcast.llm.common import no_state, release, shared_folder, stored
+from stopcast.llm.suffix_dedup import dealt, pack, unpack
 from stopcast.llm.token_counts import batch_groups
 
 ORDER = 5                   # symbols of an expression
@@ -48,6 +48,7 @@ LABELS_SENT = 1_000_000     # labelled rows up to which they are broadcast for t
 CURVE_ROWS = 200_000        # labelled rows, at most, that fit the logistic curve
 CHUNK_BYTES = 6_000_000     # text of a chunk
 PART_BYTES = 24_000_000     # text a part of the words
+WORDS_LEVEL = 9             # of compression of the words that are dealt to the parts
 STRETCH = 200_000           # words whose expressions are worked on at once
 COUNTS = ("toxic_fit", "plain_fit", "toxic_cal", "plain_cal")
 PUNCTUATION = ".,;:!?\"'()[]{}<>|/\\*&%$#@=+~^`_-"
@@ -106,7 +107,12 @@ def coded(rows: DataFrame, path: str, parts: int) -> DataFrame:
                     ends.append(len(words))
             column = pa.array(words, pa.large_string()).dictionary_encode()
             del words
-            distinct, codes = column.dictionary.to_pylist(), column.indices.to_numpy().astype("<u4")
+            distinct, codes = column.dictionary.to_pylist(), column.indices.to_numpy()
+            # numbered in order: neighbours share their beginnings, so lists of words take half the bytes
+            order = sorted(range(len(distinct)), key=distinct.__getitem__)
+            number = np.empty(len(order), "<u4")
+            number[order] = np.arange(len(order))
+            distinct, codes = [distinct[i] for i in order], number[codes] if len(codes) else np.zeros(0, "<u4")
             ends = np.array(ends, "<i8")
             kind = np.concatenate([p.column(2).to_numpy() for p in held]).astype("<i8")
             h = np.concatenate([p.column(3).fill_null(0).to_numpy() for p in held]).astype("<i8")
@@ -121,10 +127,9 @@ def coded(rows: DataFrame, path: str, parts: int) -> DataFrame:
             with system.open_output_stream(posixpath.join(root, name), compression=None) as f:
                 f.write(pack(codes, ends, home, kind, h, np.frombuffer(sink.getvalue(), np.uint8)))
             found = [(HEAD, name, b"")]
-            for p in np.unique(home).tolist():
-                mine = np.flatnonzero(home == p)
+            for p, mine in dealt(home):
                 text = "\n".join([distinct[i] for i in mine.tolist()]).encode()
-                found.append((p, name, pack(np.frombuffer(text, np.uint8), *[c[mine] for c in counts])))
+                found.append((p, name, pack(np.frombuffer(text, np.uint8), *[c[mine] for c in counts], level=WORDS_LEVEL)))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*found, strict=True), (pa.int64(), pa.string(), pa.binary()), strict=True)], names=["part", "chunk", "blob"])
 
@@ -364,24 +369,34 @@ def fit(docs: DataFrame, labels: DataFrame, row: Column, id_col: str = "doc_id",
     rows = labelled(docs, labels, row, id_col, text_col, label_id, label_col)
     words = stored(coded(rows.select("row", "text", part.alias("part"), F.xxhash64("doc_id").alias("h")), path, parts), "words")
     asked = stored(asked_grams(words, parts), "asked")
-    model = ratios(stored(summed(asked), "grams"), [(["toxic_fit"], ["plain_fit"]),
-                                                    (["toxic_fit", "toxic_cal"], ["plain_fit", "plain_cal"])])
+    release(spark)
+    grams = stored(summed(asked), "grams")
+    release(spark)
+    model = ratios(grams, [(["toxic_fit"], ["plain_fit"]), (["toxic_fit", "toxic_cal"], ["plain_fit", "plain_cal"])])
 
     def answer(w: pa.Table, g: pa.Table) -> pa.Table:
-        """By part: the evidence of each chunk's words."""
-        distinct, _, chunks = part_words(w["blob"].to_pylist())
+        """By part: the evidence of each chunk's words; by the first model only that of
+        words in documents that fit the curve."""
+        blobs = w["blob"].to_pylist()
+        distinct, _, chunks = part_words(blobs)
         found = Model(g.drop_columns(["part"])).evidence(distinct).astype("<f4")
-        return pa.table([w["part"], w["chunk"], pa.array([pack(found[c]) for c in chunks], pa.binary())],
-                        names=["part", "chunk", "blob"])
+        back = []
+        for blob, c in zip(blobs, chunks, strict=True):
+            _, *counts = unpack(blob, np.uint8, *["<i8"] * len(COUNTS))
+            back.append(pack(found[c, 1], found[c[counts[2] + counts[3] > 0], 0]))
+        return pa.table([w["part"], w["chunk"], pa.array(back, pa.binary())], names=["part", "chunk", "blob"])
 
     def measure(t: pa.Table) -> pa.Table:
         """By chunk: the features of its documents, and those that fit the curve."""
         name = t["chunk"][0].as_py()
         codes, ends, home, kind, h, _ = load(path, name)
-        evidence = np.zeros((len(home), 2))
+        evidence, of_part = np.zeros((len(home), 2)), dict(dealt(home))
+        fitting = np.zeros(len(home), bool)
+        fitting[codes[np.repeat(kind > 2, np.diff(np.r_[0, ends]))]] = True
         for p, blob in zip(t["part"].to_pylist(), t["blob"].to_pylist(), strict=True):
             if p >= 0:
-                evidence[home == p] = unpack(blob, "<f4")[0].reshape(-1, 2)
+                at = of_part[p]
+                evidence[at, 1], evidence[at[fitting[at]], 0] = unpack(blob, "<f4", "<f4")
         x = features(codes, ends, evidence[:, 1], np.arange(len(ends)))
         fits = np.flatnonzero(kind > 2)
         seen = features(codes, ends, evidence[:, 0], fits)
