@@ -75,10 +75,10 @@ def _depth(d):
     return MAX_DEPTH if d is None else int(d)
 
 
-def random_forest(numTrees=100, maxDepth=None, minInstancesPerNode=1, balanced=False, seed=42, **_):
+def random_forest(numTrees=100, maxDepth=None, minInstancesPerNode=1, balanced=False, seed=42, features="sqrt", **_):
     """MD1."""
     rf = RandomForestClassifier(numTrees=numTrees, maxDepth=_depth(maxDepth), minInstancesPerNode=minInstancesPerNode,
-                                featureSubsetStrategy="sqrt", impurity="gini", seed=seed, maxBins=64,
+                                featureSubsetStrategy=features, impurity="gini", seed=seed, maxBins=64,
                                 maxMemoryInMB=1024, cacheNodeIds=True)
     return rf.setWeightCol("weight") if balanced else rf
 
@@ -190,16 +190,23 @@ def linear_problem(name: str, subset: str, model: str, params: dict) -> LN.Probl
     return LN.Problem(name, subset, params.get("loss", "hinge"), l2=1.0 / (params["n"] * params["C"]))
 
 
+def linear_models(df: DataFrame, features: Sequence[str], configs: dict[tuple[str, str], dict],
+                  train: str = "is_train = 1") -> dict[tuple[str, str], LN.Model]:
+    """The models of all ``configs`` ((model, config) -> parameters), from shared scans of ``df``."""
+    got = LN.fit_all(df.withColumn("__train", F.expr(train)), features,
+                     [linear_problem(f"{m}|{c}", "__train", m, p) for (m, c), p in configs.items()])
+    return {(m, c): got[f"{m}|{c}"] for m, c in configs}
+
+
 def linear_sweep(spark: SparkSession, df: DataFrame, features: Sequence[str], configs: dict[tuple[str, str], dict],
                  train: str = "is_train = 1", test: str = "is_test = 1") -> DataFrame:
     """VS4 for linear families: all ``configs`` ((model, config) -> parameters) from
     shared scans of ``df``, one metrics row each.  ``train_time`` is the time of all
     fits together, which run at once."""
-    d = df.withColumns({"__train": F.expr(train), "__test": F.expr(test)})
     t0 = time.time()
-    models = LN.fit_all(d, features, [linear_problem(f"{m}|{c}", "__train", m, p) for (m, c), p in configs.items()])
+    models = list(linear_models(df, features, configs, train).values())
     secs = time.time() - t0
-    scores = LN.score_all(d, list(models.values()), ["__test"] * len(models))
+    scores = LN.score_all(df.withColumn("__test", F.expr(test)), models, ["__test"] * len(models))
     part = F.split("problem", r"\|", 2)
     return M.metrics_by(scores, "problem").select(part[1].alias("config"), part[0].alias("model"), "roc_auc", "accuracy", "precision", "recall",
                                           "f1", "f1_macro", F.lit(secs).alias("train_time"))
@@ -284,6 +291,49 @@ def leaderboard(results: DataFrame, by: str = "roc_auc") -> DataFrame:
     return results.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(by), "config")))
 
 
+def impact_vs_baseline(results: DataFrame, baseline: str = "BASELINE", by: str = "roc_auc") -> DataFrame:
+    """VS9: difference and % change of ``by`` of every configuration against the
+    baseline's row of a results table (scalar subquery, no cross join)."""
+    base = results.where(F.col("config") == baseline).agg(F.max(by)).scalar()
+    short = by.split("_")[-1]
+    return results.select("config", by, (F.col(by) - base).alias(f"delta_{short}"),
+                          F.try_divide(F.lit(100.0) * (F.col(by) - base), base).alias("delta_pct"))
+
+
+def nb_statistics(df: DataFrame, features: Sequence[str], label: str = "target") -> DataFrame:
+    """MD7: sufficient statistics of Gaussian naive Bayes, (label, feature, n, mean,
+    variance), one row a class and feature from one aggregate."""
+    row = (df.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("long").alias("label"))
+           .agg(F.count(F.lit(1)).alias("n"), *[x for i, c in enumerate(features) for x in (
+               F.avg(F.col(c).cast("double")).alias(f"m{i}"), F.var_pop(F.col(c).cast("double")).alias(f"v{i}"))]))
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"m{i}").alias("mean"), F.col(f"v{i}").alias("variance"))
+                      for i, c in enumerate(features)])
+    return row.select("label", "n", F.explode(cells).alias("c")).select("label", "c.feature", "n", "c.mean", "c.variance")
+
+
+def gaussian_nb_scores(train: DataFrame, test: DataFrame, features: Sequence[str], label: str = "target", id_col: str = "event_id",
+                       smoothing: float = 1e-9) -> DataFrame:
+    """MD7: probability of class 1 by Gaussian naive Bayes, (id, score), from the
+    statistics of ``train`` as one scalar row: no model object, no UDF.  Variances get
+    ``smoothing`` times the largest variance of a feature over all rows."""
+    x = {c: F.col(c).cast("double") for c in features}
+    one, zero = F.col(label) == 1, F.col(label) != 1
+    st = train.agg(F.struct(
+        F.sum(one.cast("long")).alias("n1"), F.sum(zero.cast("long")).alias("n0"),
+        (F.lit(smoothing) * F.greatest(*[F.var_pop(v) for v in x.values()], F.lit(0.0))).alias("eps"),
+        *[e for i, v in enumerate(x.values()) for k, c in ((1, one), (0, zero)) for e in (
+            F.avg(F.when(c, v)).alias(f"m{k}_{i}"), F.var_pop(F.when(c, v)).alias(f"v{k}_{i}"))]).alias("s")).scalar()
+
+    def likely(k: int) -> F.Column:
+        total = F.log(st[f"n{k}"])
+        for i, v in enumerate(x.values()):
+            var = st[f"v{k}_{i}"] + st["eps"]
+            total = total - F.lit(0.5) * F.log(F.lit(2 * math.pi) * var) - (v - st[f"m{k}_{i}"]) * (v - st[f"m{k}_{i}"]) / (F.lit(2.0) * var)
+        return total
+
+    return test.select(F.col(id_col).alias("id"), (F.lit(1.0) / (F.lit(1.0) + F.exp(likely(0) - likely(1)))).alias("score"))
+
+
 def cross_val_auc(spark: SparkSession, df: DataFrame, builder: Callable, params: dict, features: Sequence[str], k: int = 5,
                   *, scale: bool = False, metric: str = "roc_auc") -> dict:
     """VS3: expanding-window CV: fold i tests block i and trains on every
@@ -299,20 +349,55 @@ def cross_val_auc(spark: SparkSession, df: DataFrame, builder: Callable, params:
     return {"cv_mean": m, "cv_std": sd, "folds": vals}
 
 
-def random_search(spark: SparkSession, df: DataFrame, builder: Callable, grid: dict[str, list], features: Sequence[str],
-                  n_iter: int = 10, k: int = 3, seed: int = 42, metric: str = "f1") -> DataFrame:
-    """VS5: ``n_iter`` points of the grid chosen by a seeded hash, each
-    scored by expanding k-fold CV (positive-class F1)."""
+def random_search(spark: SparkSession, df: DataFrame, families: dict[str, tuple[Callable, dict[str, list]]], features: Sequence[str],
+                  n_iter: int = 10, k: int = 3, seed: int = 42, metric: str = "f1",
+                  resample: Callable[[DataFrame], DataFrame] | None = None, parallel: int = 4) -> DataFrame:
+    """VS5: for every family (name -> builder, grid) ``n_iter`` points of its grid chosen
+    by a seeded hash, each scored by expanding k-fold CV (positive-class F1).
+
+    ``resample`` balances a fold's training rows, given as (id, vec, label), and only
+    those; it runs once a fold, its result serves every point.  Fits run from a small
+    pool of driver threads; all folds and points are evaluated in one plan."""
     import hashlib
     import itertools
-    keys = sorted(grid)
-    points = [dict(zip(keys, vals)) for vals in itertools.product(*[grid[k_] for k_ in keys])]
-    points.sort(key=lambda p: hashlib.md5(f"{seed}:{sorted(p.items())}".encode()).hexdigest())
-    rows = []
-    for p in points[:n_iter]:
-        cv = cross_val_auc(spark, df, builder, p, features, k, metric=metric)
-        rows.append((str(sorted(p.items())), cv["cv_mean"], cv["cv_std"]))
-    return spark.createDataFrame(rows, "params string, cv_mean double, cv_std double")
+
+    from pyspark.ml.functions import array_to_vector
+
+    from stopcast.session import materialize
+    vec = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features])
+    flat = materialize(df.select(F.col("event_id").alias("id"), "fold", vec.alias("vec"), F.col("label").cast("int").alias("label")))
+
+    def ready(d: DataFrame) -> DataFrame:
+        return class_weight_balanced(d.withColumns({"features": array_to_vector("vec"), "label": F.col("label").cast("double")}),
+                                     label="label", out="weight")
+
+    folds = []
+    for i in range(k):
+        before = flat.where(F.col("fold") < i).drop("fold")
+        folds.append((materialize(ready(resample(before) if resample else before)),
+                      materialize(flat.where(F.col("fold") == i).withColumn("features", array_to_vector("vec")))))
+    jobs = []
+    for name, (builder, grid) in families.items():
+        keys = sorted(grid)
+        points = [dict(zip(keys, vals)) for vals in itertools.product(*[grid[x] for x in keys])]
+        points.sort(key=lambda p: hashlib.md5(f"{seed}:{sorted(p.items(), key=str)}".encode()).hexdigest())
+        jobs += [(name, builder, p, i) for p in points[:n_iter] for i in range(k)]
+
+    def run(job) -> DataFrame:
+        name, builder, p, i = job
+        model = builder(**p).setFeaturesCol("features").setLabelCol("label").fit(folds[i][0])
+        pred = model.transform(folds[i][1])
+        return materialize(pred.select(F.lit(f"{name}|{sorted(p.items(), key=str)}|{i}").alias("problem"), "label",
+                                       vector_to_array("probability")[1].alias("score")))
+
+    with ThreadPoolExecutor(max_workers=parallel) as ex:
+        parts = list(ex.map(run, jobs))
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    part = F.split("problem", r"\|")
+    return (M.metrics_by(every, "problem").groupBy(part[0].alias("model"), part[1].alias("params"))
+            .agg(F.avg(metric).alias("cv_mean"), F.stddev_pop(metric).alias("cv_std")))
 
 
 def coefficients(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, float]]:
@@ -366,42 +451,50 @@ def gain_select(spark: SparkSession, train: DataFrame, features: Sequence[str],
     return feature_importance(spark, m, features).limit(top)
 
 
+def _joined(parts: list[tuple[str, DataFrame]]) -> DataFrame:
+    """(id, label, one column a name) of several score tables over the same rows: one
+    aggregate, however many there are."""
+    every = None
+    for name, sc in parts:
+        one = sc.select("id", "label", F.lit(name).alias("__m"), "score")
+        every = one if every is None else every.unionByName(one)
+    names = list(dict.fromkeys(n for n, _ in parts))
+    return every.groupBy("id").agg(F.max("label").alias("label"), *[F.max(F.when(F.col("__m") == n, F.col("score"))).alias(n) for n in names])
+
+
+def _base_scores(spark: SparkSession, jobs: list[tuple[str, Callable, DataFrame, DataFrame]], features: Sequence[str],
+                 scale: set[str], id_col: str, parallel: int) -> list[tuple[str, DataFrame]]:
+    """Scores of (name, builder, train, test) fits, from a small pool of driver threads."""
+    def run(job) -> tuple[str, DataFrame]:
+        name, build, tr, te = job
+        return name, fit_score(build(), tr, te, features, scale=name in scale, id_col=id_col)[1]
+    with ThreadPoolExecutor(max_workers=parallel) as ex:
+        return list(ex.map(run, jobs))
+
+
 def oof_scores(df: DataFrame, builders: dict[str, Callable[[], object]], features: Sequence[str], k: int = 5,
-               seed: int = 42, id_col: str = "event_id", scale: set[str] = frozenset()) -> DataFrame:
+               seed: int = 42, id_col: str = "event_id", scale: set[str] = frozenset(), parallel: int = 4) -> DataFrame:
     """Out-of-fold probabilities of each base model (hash folds): one column
     per base, one row per training row."""
     from stopcast.operators.resample import hash_key
     d = df.withColumn("__fold", F.pmod(hash_key(seed, id_col), F.lit(k)))
-    parts = []
-    for f in range(k):
-        tr, te = d.where(F.col("__fold") != f), d.where(F.col("__fold") == f)
-        cols = None
-        for name, b in builders.items():
-            _, sc, _ = fit_score(b(), tr, te, features, scale=name in scale, id_col=id_col)
-            sc = sc.select(F.col("id"), "label", F.col("score").alias(name))
-            cols = sc if cols is None else cols.join(sc.drop("label"), "id")
-        parts.append(cols)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    jobs = [(name, b, d.where(F.col("__fold") != f), d.where(F.col("__fold") == f)) for f in range(k) for name, b in builders.items()]
+    return _joined(_base_scores(df.sparkSession, jobs, features, scale, id_col, parallel))
 
 
 def stacking(spark: SparkSession, train: DataFrame, test: DataFrame, features: Sequence[str],
              builders: dict[str, Callable[[], object]], k: int = 5, scale: set[str] = frozenset(),
-             id_col: str = "event_id") -> tuple[DataFrame, float]:
-    """MD8: bases -> k-fold out-of-fold probabilities -> logistic-regression
-    meta model; bases refit on all training rows score the test rows."""
-    oof = oof_scores(train, builders, features, k, id_col=id_col, scale=scale)
+             id_col: str = "event_id", meta: Callable[[], object] | None = None, parallel: int = 4) -> tuple[DataFrame, float]:
+    """MD8: bases -> k-fold out-of-fold probabilities -> meta model (logistic
+    regression, or what ``meta`` builds); bases refit on all training rows score the
+    test rows."""
     meta_in = list(builders)
-    meta = Pipeline(stages=[VectorAssembler(inputCols=meta_in, outputCol="features"),
-                            LogisticRegression(maxIter=100)]).fit(oof)
-    cols = None
-    for name, b in builders.items():
-        _, sc, _ = fit_score(b(), train, test, features, scale=name in scale, id_col=id_col)
-        sc = sc.select("id", "label", F.col("score").alias(name))
-        cols = sc if cols is None else cols.join(sc.drop("label"), "id")
-    pred = meta.transform(cols).select("id", "label", vector_to_array("probability")[1].alias("score"))
+    oof = oof_scores(train, builders, features, k, id_col=id_col, scale=scale, parallel=parallel)
+    last = (meta() if meta else LogisticRegression(maxIter=100)).setFeaturesCol("features").setLabelCol("label")
+    fitted = Pipeline(stages=[VectorAssembler(inputCols=meta_in, outputCol="features"), last]).fit(
+        oof.withColumn("label", F.col("label").cast("double")))
+    cols = _joined(_base_scores(spark, [(n, b, train, test) for n, b in builders.items()], features, scale, id_col, parallel))
+    pred = fitted.transform(cols).select("id", "label", vector_to_array("probability")[1].alias("score"))
     return pred, evaluate(pred)["roc_auc"]
 
 

@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 
 from stopcast.functions import calendar as cal
 from stopcast.functions import features as FE
+from stopcast.operators import metrics as M
 from stopcast.operators import profiles as P
 from stopcast.operators import transforms as T
+from stopcast.operators.rowindex import holdout_split
 from stopcast.plans import models as MD
 from stopcast.plans.scoring import batch_score
 from stopcast.plans.training import feature_columns, training_table
 from stopcast.queries.q_etl import _me, out
 from stopcast.queries.registry import query
-from stopcast.queries.sql import MODEL_EVENTS, STOPS, with_
+from stopcast.queries.sql import MODEL_EVENTS, SCORES, STOPS, snap, with_
 from stopcast.session import materialize
 from stopcast.sources import adapters as A
 from stopcast.sources import files as FS
@@ -137,11 +139,17 @@ def q_calibrate_sigmoid(spark, sf):
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
-    """MD11 (+SRT2): impurity importances of the DEPTH_CONTROL random forest,
-    sorted (the unbounded-depth configurations take minutes at sf0.01)."""
-    _, tr, te, feats = training(spark, sf)
-    m, _, _ = MD.fit_score(MD.random_forest(**MD.RF_CONFIGS["DEPTH_CONTROL"]), tr, te, feats)
-    return MD.feature_importance(spark, m, feats)
+    """MD11 (+SRT2): sorted impurity importances of every random-forest configuration,
+    and absolute coefficients of every linear one."""
+    t, tr, _, feats = training(spark, sf)
+    rows = []
+    for name, params in MD.RF_CONFIGS.items():
+        forest = MD.build_pipeline(MD.random_forest(**params), feats).fit(tr).stages[-1]
+        rows += [("random_forest", name, c, float(x)) for c, x in zip(feats, forest.featureImportances.toArray())]
+    for (model, name), m in MD.linear_models(t, feats, _linear("logreg_sgd")).items():
+        rows += [(model, name, c, abs(float(x))) for c, x in zip(feats, m.coef)]
+    df = spark.createDataFrame(rows, "model string, config string, feature string, importance double")
+    return df.orderBy("model", "config", F.desc("importance"), "feature")
 
 
 @query("cross_val_auc")
@@ -154,32 +162,29 @@ def q_cross_val_auc(spark, sf):
     return MD.linear_cross_val(t, feats, _linear("logreg_sgd", "linear_svm", n=tr.count()))
 
 
-def _sweep(spark, sf):
-    """All configurations of all families: linear ones from shared scans, trees and
-    boosted trees one by one."""
+def _sweep(spark, sf, forests):
+    """All configurations of the linear families (shared scans) and of the trees, and of the
+    forests if asked; the nine boosted ones are in the query ``gbt``."""
     t, tr, te, feats = training(spark, sf)
     cfg = _linear("logreg_sgd", "linear_svm", n=tr.count())
     out_ = MD.linear_sweep(spark, t, feats, {k: p for k, p in cfg.items() if k[0] == "logreg_sgd"})
     out_ = out_.unionByName(MD.calibrated_sweep(spark, t, feats, {k: p for k, p in cfg.items() if k[0] == "linear_svm"}))
-    n_tr = tr.agg(F.max("row_idx")).first()[0]
-    trv = tr.withColumn("is_valid", F.col("row_idx") >= F.lit(int(n_tr * 0.9)))
-    boosted = {k: dict(c, validation=True) for k, c in MD.GBT_CONFIGS.items()}
-    for rows, name, configs, builder in ((tr, "random_forest", MD.RF_CONFIGS, MD.random_forest),
-                                         (tr, "decision_tree", MD.DT_CONFIGS, MD.decision_tree), (trv, "gbt", boosted, MD.gbt)):
-        out_ = out_.unionByName(MD.config_sweep(spark, rows, te, feats, name, configs, builder))
+    trees = [("decision_tree", MD.DT_CONFIGS, MD.decision_tree)] + ([("random_forest", MD.RF_CONFIGS, MD.random_forest)] if forests else [])
+    for name, configs, builder in trees:
+        out_ = out_.unionByName(MD.config_sweep(spark, tr, te, feats, name, configs, builder))
     return out_
 
 
 @query("config_sweep")
 def q_config_sweep(spark, sf):
-    """VS4: every named configuration of the five model families, one metrics row each."""
-    return _sweep(spark, sf)
+    """VS4: every named configuration of the linear, tree and forest families, one metrics row each."""
+    return _sweep(spark, sf, forests=True)
 
 
 @query("leaderboard")
 def q_leaderboard(spark, sf):
-    """SRT5: all configurations ranked by ROC-AUC."""
-    return MD.leaderboard(_sweep(spark, sf))
+    """SRT5: the configurations of the linear and tree families ranked by ROC-AUC."""
+    return MD.leaderboard(_sweep(spark, sf, forests=False))
 
 
 @query("impact_vs_baseline")
@@ -187,41 +192,139 @@ def q_impact(spark, sf):
     """VS9: AUC difference and % change of every configuration against the
     BASELINE row (scalar subquery, no cross join)."""
     t, _, _, feats = training(spark, sf)
-    r = MD.linear_sweep(spark, t, feats, _linear("logreg_sgd"))
-    base = r.where(F.col("config") == "BASELINE").select("roc_auc").scalar()
-    return r.select("config", "roc_auc", (F.col("roc_auc") - base).alias("delta_auc"),
-                    (F.lit(100.0) * (F.col("roc_auc") - base) / base).alias("delta_pct"))
+    return MD.impact_vs_baseline(materialize(MD.linear_sweep(spark, t, feats, _linear("logreg_sgd"))))
+
+
+_RESULTS = with_(SCORES) + """,
+named AS (SELECT CASE WHEN id % 5 = 0 THEN 'BASELINE' ELSE 'CONFIG_' || CAST(id % 5 AS VARCHAR) END AS config, label, score FROM scores),
+results AS (SELECT config, sum(pos * (2 * nb + neg)) / (sum(pos) * sum(neg) * 2.0) AS roc_auc FROM (
+    SELECT *, coalesce(sum(neg) OVER (PARTITION BY config ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM (
+      SELECT config, score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN label <> 1 THEN 1 ELSE 0 END) AS neg
+      FROM named GROUP BY config, score)) GROUP BY config)"""
+_BASE = "(SELECT roc_auc FROM results WHERE config = 'BASELINE')"
+
+
+@query("impact_table", _RESULTS + f"\nSELECT config, {snap('roc_auc')} AS roc_auc, {snap(f'roc_auc - {_BASE}')} AS delta_auc, "
+       f"{snap(f'100.0 * (roc_auc - {_BASE}) / {_BASE}')} AS delta_pct FROM results")
+def q_impact_table(spark, sf):
+    """VS9 over a results table: the ROC-AUC of five groups of the score table, all in
+    one plan, against the group named BASELINE."""
+    group = F.col("id") % 5
+    sc = A.score_table(spark, sf).withColumn("config", F.when(group == 0, "BASELINE").otherwise(F.concat(F.lit("CONFIG_"), group.cast("string"))))
+    return out(MD.impact_vs_baseline(materialize(M.metrics_by(sc, "config").select("config", "roc_auc"))))
+
+
+_NB = ["dist_device_stop", "user_frequency", "device_lat", "device_lon", "stop_lat_event", "gtfs_route_id"]
+_NB_ROWS = with_(MODEL_EVENTS) + ",\nnb AS (SELECT event_id, target, " + ", ".join(
+    f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" for c in _NB) + """, row_number() OVER (ORDER BY event_timestamp, event_id) - 1 AS r,
+  count(*) OVER () AS n FROM model_events),
+tr AS (SELECT * FROM nb WHERE r < floor(0.8 * n))"""
+
+
+def _nb_rows(spark, sf):
+    return materialize(holdout_split(_me(spark, sf), 0.8).select("event_id", "target", "is_train", *[
+        F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for c in _NB]))
+
+
+@query("nb_statistics", _NB_ROWS + "\n" + "\nUNION ALL ".join(
+    f"SELECT CAST(target AS BIGINT) AS label, '{c}' AS feature, count(*) AS n, {snap(f'avg({c})')} AS mean, {snap(f'var_pop({c})')} AS variance "
+    "FROM tr GROUP BY target" for c in _NB))
+def q_nb_statistics(spark, sf):
+    """MD7: count, mean and variance of every feature in each class, over the older four fifths."""
+    return out(MD.nb_statistics(_nb_rows(spark, sf).where("is_train = 1"), _NB))
+
+
+def _nb_likely(k):
+    return f"ln(n{k}) + " + " + ".join(
+        f"(-0.5 * ln(2 * pi() * (v{k}_{c} + eps)) - ({c} - m{k}_{c}) * ({c} - m{k}_{c}) / (2.0 * (v{k}_{c} + eps)))" for c in _NB)
+
+
+@query("nb_scores", _NB_ROWS + ",\nst AS (SELECT " + ", ".join(
+    f"sum(CASE WHEN target = {k} THEN 1 ELSE 0 END) AS n{k}, " + ", ".join(
+        f"avg({c}) FILTER (WHERE target = {k}) AS m{k}_{c}, var_pop({c}) FILTER (WHERE target = {k}) AS v{k}_{c}" for c in _NB) for k in (0, 1))
+       + ", 1e-9 * greatest(" + ", ".join(f"var_pop({c})" for c in _NB) + f""") AS eps FROM tr)
+SELECT event_id AS id, {snap(f'1.0 / (1.0 + exp(({_nb_likely(0)}) - ({_nb_likely(1)})))')} AS score FROM nb, st WHERE r >= floor(0.8 * n)""")
+def q_nb_scores(spark, sf):
+    """MD7: Gaussian naive Bayes of the newest fifth, from the statistics of the rest."""
+    d = _nb_rows(spark, sf)
+    return out(MD.gaussian_nb_scores(d.where("is_train = 1"), d.where("is_train = 0"), _NB))
+
+
+def _families(feats):
+    """The six families of the comparison: name -> fit on a training frame, scores of a
+    test frame.  MLlib has no smallest split of 30 rows; its half, 15 rows a leaf,
+    stands for it."""
+    def fitted(estimator, scale=False, prep=None):
+        def run(tr, te):
+            a, b = (tr, te) if prep is None else (prep(tr, feats, fit_on=tr), prep(te, feats, fit_on=tr))
+            if prep is not None:
+                a, b = (d.withColumns({c: F.col(c).cast("double") for c in feats}) for d in (a, b))
+            return MD.fit_score(estimator(), a, b, feats, scale=scale)[1]
+        return run
+
+    def nearest(tr, te):
+        from stopcast.operators import knn as K
+        a, b = (T.standard_scale(d, feats, fit_on=tr).select(F.col("event_id").alias("id"), F.array(*feats).alias("vec"), "label")
+                for d in (tr, te))
+        got = K.knn_scores(K.knn_join(b, a, 31, carry=["label"]), 31)
+        return got.join(b.select(F.col("id").alias("qid"), F.col("label").cast("int").alias("label")), "qid").withColumnRenamed("qid", "id")
+
+    return {"random_forest": fitted(lambda: MD.random_forest(numTrees=300, maxDepth=25, minInstancesPerNode=15)),
+            "decision_tree": fitted(lambda: MD.decision_tree(maxDepth=20, minInstancesPerNode=50)),
+            "knn": nearest,
+            "logreg_sgd": fitted(lambda: MD.logreg_sgd(alpha=1e-3, balanced=False), scale=True),
+            "gaussian_nb": fitted(lambda: MD.naive_bayes("gaussian")),
+            "bernoulli_nb": fitted(lambda: MD.naive_bayes("bernoulli"), prep=T.binarize_median)}
 
 
 @query("model_comparison")
 def q_model_comparison(spark, sf):
-    """EV12: one row per model family: expanding 5-fold CV AUC mean / std on
-    the train part, holdout AUC, precision, recall, F1, F1-macro, fit time."""
+    """EV12: one row per model family, trained on the train part undersampled 2:1:
+    expanding 5-fold CV AUC mean / std there, holdout AUC, precision, recall, F1,
+    F1-macro, time of all its fits."""
+    import time
+
+    from stopcast.operators.resample import undersample_ratio
     from stopcast.operators.rowindex import time_series_split
-    _, tr, te, feats = training(spark, sf)
-    n = tr.count()
-    folds = materialize(time_series_split(tr.drop("row_idx", "fold", "is_train", "is_test"), 5))
-    fams = {"random_forest": (MD.random_forest, dict(numTrees=100, maxDepth=20, minInstancesPerNode=20, balanced=True), False),
-            "decision_tree": (MD.decision_tree, MD.DT_CONFIGS["OPTIMIZED"], False),
-            "logreg_sgd": (MD.logreg_sgd, MD.SGD_CONFIGS["HIGH_REGULARIZATION"], True),
-            "linear_svm": (MD.linear_svm, dict(C=0.1, n=n), True),
-            "naive_bayes": (MD.naive_bayes, dict(model_type="gaussian"), False)}
+    _, tr, te, feats = training(spark, sf, balanced=False)
+    cut = materialize(undersample_ratio(tr, 2.0, shuffle=False))
+    folds = materialize(time_series_split(cut.drop("row_idx", "fold", "is_train", "is_test"), 5))
     rows = []
-    for name, (b, p, sc_) in fams.items():
-        cv = MD.cross_val_auc(spark, folds, b, p, feats, 5, scale=sc_)
-        _, sc, secs = MD.fit_score(b(**p), tr, te, feats, scale=sc_)
-        rows.append((name, cv["cv_mean"], cv["cv_std"], *MD.evaluate(sc).values(), secs))
+    for name, fit in _families(feats).items():
+        t0 = time.time()
+        parts = [materialize(fit(folds.where(F.col("fold") < i), folds.where(F.col("fold") == i))) for i in range(5)]
+        held = materialize(fit(cut, te))
+        secs = time.time() - t0
+        every = held.select(F.lit("test").alias("part"), "label", "score")
+        for i, p in enumerate(parts):
+            every = every.unionByName(p.select(F.lit(f"fold {i}").alias("part"), "label", "score"))
+        got = {r["part"]: r for r in M.metrics_by(every, "part").collect()}
+        aucs = [got[f"fold {i}"]["roc_auc"] for i in range(5) if f"fold {i}" in got and got[f"fold {i}"]["roc_auc"] is not None]
+        mean = sum(aucs) / max(1, len(aucs))
+        rows.append((name, mean, (sum((a - mean) ** 2 for a in aucs) / max(1, len(aucs))) ** 0.5,
+                     *[got["test"][c] for c in ("roc_auc", "accuracy", "precision", "recall", "f1", "f1_macro")], secs))
     return spark.createDataFrame(rows, "model string, cv_mean double, cv_std double, roc_auc double, accuracy double, "
                                        "precision double, recall double, f1 double, f1_macro double, train_time double")
 
 
+#: The grids of the reference with fewer trees and rounds, and MLlib's depth limit for
+#: deeper trees; README has the time of full-size fits.
+SEARCH = {
+    "random_forest": (MD.random_forest, {"numTrees": [10, 20, 30], "maxDepth": [None, 5, 10, 20], "minInstancesPerNode": [1, 2, 4],
+                                         "features": ["sqrt", "log2"], "balanced": [True, False]}),
+    "gbt": (MD.gbt, {"maxDepth": [3, 5, 7], "stepSize": [0.01, 0.03, 0.05, 0.1], "maxIter": [5, 10, 15],
+                     "subsamplingRate": [0.7, 0.8, 0.9, 1.0], "features": [0.6, 0.7, 0.8, 0.9, 1.0], "balanced": [False]}),
+}
+
+
 @query("random_search")
 def q_random_search(spark, sf):
-    """VS5: 10 seeded points of a random-forest grid, expanding 3-fold CV on
-    positive-class F1."""
+    """VS5: 10 seeded points of a forest and of a boosted-tree grid, expanding 3-fold CV on
+    positive-class F1, SMOTE and Tomek cleaning inside every fold's training rows."""
+    from stopcast.operators.resample import smote_tomek
     t, _, _, feats = training(spark, sf)
-    grid = {"numTrees": [20, 50], "maxDepth": [5, 10, 20], "minInstancesPerNode": [1, 10], "balanced": [True]}
-    return MD.random_search(spark, t.where("fold >= 0 OR is_train = 1"), MD.random_forest, grid, feats, n_iter=10, k=3)
+    return MD.random_search(spark, t, SEARCH, feats, n_iter=10, k=3,
+                            resample=lambda d: smote_tomek(d, k=5, sampling_strategy=0.5, label="label", id_col="id", vec="vec"))
 
 
 @query("coef_select")
@@ -272,12 +375,22 @@ def q_save_model(spark, sf):
 
 @query("batch_score")
 def q_batch_score(spark, sf):
-    """PR1 + PR2: saved pipeline (encoder inside) -> probabilities -> class
-    at 0.6 and confidence."""
+    """PR1 + PR2: a saved pipeline with the encoder inside takes raw stops and users ->
+    probabilities -> class at 0.6 and confidence."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+
+    from stopcast.plans.encoder import LexicalEncoder
     _, tr, te, feats = training(spark, sf)
-    m, _, _ = MD.fit_score(MD.logreg_sgd(alpha=1e-3), tr, te, feats, scale=True)
+    raw = ["gtfs_stop_id", "user_pseudo_id"]
+    coded = [c for c in feats if c not in raw] + [f"{c}_code" for c in raw]
+    model = Pipeline(stages=[
+        LexicalEncoder(inputCols=raw, unseen="minus_one"),
+        VectorAssembler(inputCols=coded, outputCol="raw_features", handleInvalid="keep"),
+        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
+        MD.logreg_sgd(alpha=1e-3).setFeaturesCol("features").setLabelCol("label")]).fit(tr)
     path = FS.shared_path(spark, "model")
-    m.write().overwrite().save(path)
+    model.write().overwrite().save(path)
     return batch_score(path, te).select("event_id", "probabilidade", "predicao", "confianca")
 
 

@@ -223,12 +223,15 @@ def q_sanitize_names(spark, sf):
     return out(C.sanitize_names(df))
 
 
-@query("select_numeric")
+_NUMERIC = ["gtfs_route_id", "dist_device_stop", "device_lat", "device_lon", "stop_lat_event", "stop_lon_event", "user_frequency"]
+
+
+@query("select_numeric", with_(MODEL_EVENTS) + "\nSELECT event_id, " + ", ".join(
+    f"{c}" if c in ("gtfs_route_id", "user_frequency") else f"{snap(c)} AS {c}" for c in _NUMERIC) + " FROM model_events")
 def q_select_numeric(spark, sf):
-    """PRJ5: numeric feature columns of the leak-free frame (schema rule)."""
-    df = rf_frame(_me(spark, sf))
-    names = C.select_numeric(df, exclude=("target", "event_id", "user_pseudo_id", "gtfs_stop_id", "gtfs_route_id"))
-    return spark.createDataFrame([(n,) for n in names], "feature string")
+    """PRJ5: the numeric features of every event; target, ids, timestamps and text go."""
+    df = _me(spark, sf).withColumns({"direction": F.lit("x"), "session_id": F.col("event_id") % 7, "int64_field_0": F.col("event_id")})
+    return out(df.select("event_id", *C.select_numeric(df)))
 
 
 @query("drop_categorical", with_(MODEL_EVENTS) + f"\nSELECT event_id, target, {snap('dist_device_stop')} AS dist_device_stop FROM model_events")

@@ -12,13 +12,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from stopcast.semantics import ORDER_COLS, hash_hex
 
 
 def scan_limit(df: DataFrame, n: int, order: Sequence[str] = ORDER_COLS) -> DataFrame:
-    """SRC1: first ``n`` rows in ``order`` (top-n, partial per partition)."""
-    return df.orderBy(*order).limit(n)
+    """SRC1: first ``n`` rows in ``order``, nulls first (top-n, partial per partition).
+
+    The order columns alone are read first, for the n-th smallest tuple; its first
+    value then bounds the scan of the whole rows, so that files and row groups whose
+    smallest value lies beyond are never decoded."""
+    first, kind = order[0], df.schema[order[0]].dataType
+    exact = F.unix_micros if isinstance(kind, TimestampType) else (lambda c: c)      # no zone of the driver's comes in
+    cut = df.select(*order).orderBy(*order).limit(n).agg(exact(F.max(first))).first()[0]
+    if cut is None:         # no value among the first rows, or no row
+        return df.orderBy(*order).limit(n)
+    value = F.timestamp_micros(F.lit(cut)) if isinstance(kind, TimestampType) else F.lit(cut).cast(kind)
+    bounded = df.where((F.col(first) <= value) | F.col(first).isNull())
+    return bounded.orderBy(*order).limit(n)
 
 
 def hash_threshold(fraction: float, digits: int = 8) -> str:

@@ -45,7 +45,6 @@ def test_leaderboard_ranks_a_fixed_table(spark):
 def test_sweeps_run_every_configuration(spark, monkeypatch):
     from unittest.mock import MagicMock
 
-    from stopcast.plans import models as MD
     from stopcast.queries import q_models as Q
     tr, ran = MagicMock(), {}
     tr.agg.return_value.first.return_value = (100,)
@@ -54,3 +53,51 @@ def test_sweeps_run_every_configuration(spark, monkeypatch):
     Q.q_random_forest(spark, "")
     Q.q_gbt(spark, "")
     assert list(ran["random_forest"]) == list(MD.RF_CONFIGS) and list(ran["gbt"]) == list(MD.GBT_CONFIGS)
+
+
+def test_random_search_resamples_training_rows_alone(spark):
+    """Points of two families over folds; only the rows before a fold are resampled, once a fold."""
+    from stopcast.operators.resample import smote_tomek
+    df = separable(spark, 300).withColumns({"label": F.col("target").cast("double"), "fold": (F.floor(F.col("event_id") / 75) - 1).cast("int")})
+    seen = []
+
+    def resample(d):
+        seen.append({r["id"] for r in d.select("id").collect()})
+        return smote_tomek(d, k=3, sampling_strategy=0.5, label="label", id_col="id", vec="vec")
+
+    grid = {"random_forest": (MD.random_forest, {"numTrees": [3, 5], "maxDepth": [3, 4], "features": ["sqrt", "log2"], "balanced": [True, False]}),
+            "gbt": (MD.gbt, {"maxIter": [2], "maxDepth": [2], "stepSize": [0.1], "balanced": [False]})}
+    got = MD.random_search(spark, df, grid, ["a", "b"], n_iter=2, k=3, resample=resample).collect()
+    assert sorted(r["model"] for r in got) == ["gbt", "random_forest", "random_forest"]
+    assert all(r["cv_mean"] > 0.9 and r["cv_std"] >= 0 for r in got)
+    assert seen == [set(range(75 * (i + 1))) for i in range(3)]
+
+
+def test_stacking_joins_bases_and_meta(spark):
+    from pyspark.ml.classification import GBTClassifier
+    d = MD.prepare(separable(spark), fit_on="is_train = 1").cache()
+    train, test = d.where("is_train = 1"), d.where("is_train = 0")
+    bases = {"tree": lambda: MD.decision_tree(maxDepth=3), "sgd": lambda: MD.logreg_sgd(alpha=1e-3)}
+    oof = MD.oof_scores(train, bases, ["a", "b"], k=3, scale={"sgd"})
+    assert sorted(r["id"] for r in oof.collect()) == list(range(300)) and oof.where("tree IS NULL OR sgd IS NULL").count() == 0
+    for meta in (None, lambda: GBTClassifier(maxIter=2, maxDepth=2)):
+        pred, auc = MD.stacking(spark, train, test, ["a", "b"], bases, k=3, scale={"sgd"}, meta=meta)
+        assert pred.count() == 100 and auc > 0.98
+
+
+def test_gaussian_naive_bayes_against_the_formula(spark):
+    import numpy as np
+    r = np.random.default_rng(0)
+    x, y = r.normal(size=(200, 2)) * [1, 50], r.integers(0, 2, 200)
+    x += y[:, None]
+    df = spark.createDataFrame([(i, float(a), float(b), int(c)) for i, ((a, b), c) in enumerate(zip(x, y))], "event_id long, a double, b double, target int")
+    got = {s["id"]: s["score"] for s in MD.gaussian_nb_scores(df.where("event_id < 150"), df.where("event_id >= 150"), ["a", "b"]).collect()}
+    tr, z, eps = x[:150], y[:150], 1e-9 * x[:150].var(axis=0).max()
+    like = []
+    for k in (0, 1):
+        m, v = tr[z == k].mean(axis=0), tr[z == k].var(axis=0) + eps
+        like.append(np.log((z == k).sum()) - 0.5 * (np.log(2 * np.pi * v) + (x - m) ** 2 / v).sum(axis=1))
+    want = 1 / (1 + np.exp(like[0] - like[1]))
+    assert len(got) == 50 and all(abs(got[i] - want[i]) < 1e-9 for i in got)
+    stats = {(s["label"], s["feature"]): s for s in MD.nb_statistics(df, ["a", "b"]).collect()}
+    assert abs(stats[1, "b"]["mean"] - x[y == 1, 1].mean()) < 1e-9 and stats[0, "a"]["n"] == (y == 0).sum()

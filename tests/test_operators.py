@@ -416,3 +416,23 @@ def test_correlations_of_200_columns_in_one_pass(spark, monkeypatch):
     one = {r["feature"]: r["corr"] for r in E.corr_target(df, names[:20], "c30").collect()}
     assert all(one[c] is None if np.isnan(want[i, 30]) else abs(one[c] - want[i, 30]) < 1e-9 for i, c in enumerate(names[:20]))
     assert all(v is None for v in (r["corr"] for r in E.corr_pairs(df.limit(0), names[:3]).collect()))
+
+
+def test_scan_limit_reads_few_row_groups(spark, tmp_path):
+    """The order columns bound the scan of the whole rows: later row groups are not decoded."""
+    from stopcast.sources.sampling import scan_limit
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    n = 50_000
+    pq.write_table(pa.table({"event_timestamp": np.arange(n), "event_id": np.arange(n), "wide": [f"row {i}" for i in range(n)]}),
+                   f"{tmp_path}/t.parquet", row_group_size=1000)
+    df = spark.read.parquet(f"file://{tmp_path}/t.parquet")
+    top = scan_limit(df, 2500)
+    assert [r["event_id"] for r in top.collect()] == list(range(2500))
+    plan = top._jdf.queryExecution().executedPlan()
+    leaves = plan.executedPlan().collectLeaves() if "AdaptiveSparkPlan" in plan.nodeName() else plan.collectLeaves()
+    read = max(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()) if leaves.apply(i).metrics().contains("numOutputRows"))
+    assert 2500 <= read <= 4000
+    tied = spark.createDataFrame([(None, 1), (5, 2), (5, 3), (None, 0), (4, 9)], "event_timestamp int, event_id int")
+    assert [r["event_id"] for r in scan_limit(tied, 4).collect()] == [0, 1, 9, 2]
+    assert scan_limit(tied, 1).collect()[0]["event_id"] == 0 and scan_limit(tied.limit(0), 3).collect() == []
