@@ -23,6 +23,10 @@ ALIASES = {
     "rate_by_hour": ["rate_by_hour", "best_rate_hour"],
     "histogram": ["histogram", "histogram_below_q99", "histogram_marks"],
     "events_by_hour": ["events_by_hour", "peak_hour"],
+    "knn_classify": ["knn_classify", "knn_events"],
+    "k_sweep": ["k_sweep", "knn_events_sweep"],
+    "impact_vs_baseline": ["impact_vs_baseline", "impact_table"],
+    "multinomial_nb": ["multinomial_nb", "nb_statistics", "nb_scores"],
 }
 
 
