@@ -3,7 +3,7 @@
 All randomness is a hash of (seed, id) (G6), so every result is repeatable
 and independent of partitioning.  "Draw m rows" is an exact cut on a global
 position in hash order (``global_row_index``), never a one-task top-m.
-SMOTE and Tomek links use the exact pivot k-NN join.
+SMOTE and Tomek links use the exact k-NN join (``knn``).
 """
 
 from __future__ import annotations

@@ -1,7 +1,7 @@
 """Scoring and monitoring (PR1-PR4, MD10).
 
-Batch scoring loads a fitted ``PipelineModel`` (encoders are fitted once and
-saved with it) and applies it to new rows; monitoring compares score or
+Batch scoring loads a fitted ``PipelineModel`` (its encoder, ``plans.encoder``, is
+a stage of it and saved with it) and applies it to raw rows; monitoring compares score or
 feature distributions on shared histogram edges.
 """
 

@@ -55,7 +55,7 @@ _PAIRS = with_(EMB, SPLIT, f"""pairs AS (SELECT te.id AS qid, tr.id AS tid, {_d(
 
 @query("knn_join", _PAIRS + f"\nSELECT qid, tid, {snap('dist')} AS dist, rank FROM rk WHERE rank <= {KNN_K}")
 def q_knn_join(spark, sf):
-    """JN10: 5 nearest training rows of every test row (exact, pivot-pruned)."""
+    """JN10: 5 nearest training rows of every test row (exact, by a metric partition)."""
     tr, te = emb_split(spark, sf)
     r = K.knn_join(te, tr, KNN_K)
     return out(r.select("qid", "tid", "dist", F.col("rank").cast("long").alias("rank")))

@@ -2,10 +2,11 @@
 SRC3/SRC4/SNK1-3, §2.9 FT6/FT9, §2.11 VS3-VS10, §2.12 MD1-MD9, MD11, EV12,
 SRT5, PR1, §2.4 AG24, §2.8 SC26).
 
-Model results depend on MLlib's solvers and seeds, so these are rows-only
-checks here; metric bands and invariants are tested in tests/test_models.py.
-Sweeps use the reference configurations; where a registered query runs a
-smaller configuration than the reference script, its docstring says so.
+Model results depend on solvers and seeds, so these are rows-only checks here;
+metric bands and invariants are tested in tests/test_models.py and
+tests/test_linear.py.  Linear configurations are fitted together from shared scans,
+trees one by one.  Sweeps use the reference configurations; where a registered query
+runs a smaller configuration than the reference script, its docstring says so.
 """
 
 from __future__ import annotations
