@@ -12,7 +12,9 @@ is retrieved is verified by word shingles of the question and words of the
 answer.
 
 Documents are map-only work.  The index is broadcast behind a check of the
-items' size; beyond it, the items are cut into parts that are scanned in turn.
+items' size; beyond it, the items are cut into parts that are scanned in turn,
+with document frequencies, mean and largest length of all items, so that scores
+do not depend on the number of parts.
 """
 
 from __future__ import annotations
@@ -22,16 +24,17 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopcast.llm.common import worker_state
+from stopcast.llm.common import stored, worker_state
 from stopcast.llm.token_counts import text_groups
 
-INDEX_BYTES = 32 << 20      # text of the items in one broadcast index
+INDEX_BYTES = 4 << 20       # text of the items in one broadcast index, which takes some 25 bytes a byte in a worker
 BLOCK = 4                   # items of a block
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5             # share of an item's own BM25 total
@@ -54,22 +57,38 @@ def shingles(words: list[str]) -> set[tuple[str, ...]]:
     return {tuple(words[i:i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))} if words else set()
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """What weights and passages of all items depend on: items, words an item, words of
+    the longest, and in how many items each word (of a part) stands."""
+    items: int
+    mean: float
+    longest: int
+    df: dict[str, int]
+
+    @classmethod
+    def of(cls, items: list[tuple[int, list[str], list[str]]]) -> Statistics:
+        lens = [len(q) + len(a) for _, q, a in items]
+        return cls(len(items), sum(lens) / len(lens) if lens else 1.0, max(lens, default=1),
+                   Counter(w for _, q, a in items for w in {*q, *a}))
+
+
 class Index:
-    """Inverted index of (item id, question words, answer words)."""
+    """Inverted index of (item id, question words, answer words); ``known``: the
+    statistics of all items, where these are a part of them."""
 
-    def __init__(self, items: list[tuple[int, list[str], list[str]]]):
+    def __init__(self, items: list[tuple[int, list[str], list[str]]], known: Statistics | None = None):
         items = [x for x in items if x[1] or x[2]]
         self.ids = [i for i, _, _ in items]
         self.questions, self.answers = [q for _, q, _ in items], [a for _, _, a in items]
         both = [q + a for _, q, a in items]
         lens = [len(w) for w in both]
-        mean = sum(lens) / len(lens) if lens else 1.0
-        self.longest = max(lens, default=1)
-        df = Counter(w for ws in both for w in set(ws))
-        self.terms = {w: i for i, w in enumerate(sorted(df))}
+        known = known or Statistics.of(items)
+        df, mean, self.longest = known.df, known.mean, known.longest
+        self.terms = {w: i for i, w in enumerate(sorted({w for ws in both for w in ws}))}
         weights = []
         for ws, n in zip(both, lens, strict=True):
-            w = {t: math.log(1 + (len(both) - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * n / mean))
+            w = {t: math.log(1 + (known.items - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + K1 * (1 - B + B * n / mean))
                  for t, c in Counter(ws).items()}
             total = sum(w.values())
             weights.append({self.terms[t]: x / total for t, x in w.items()})
@@ -249,12 +268,43 @@ def indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text", q
         size = size + F.octet_length(f"t{i}")
     total = rows.agg(F.sum(size)).first()[0] or 0
     parts = max(1, math.ceil(total / INDEX_BYTES))
+
+    def split(r) -> tuple[int, list[str], list[str]]:
+        if not question_col and not answer_col:
+            return (r[0], *split_item(r[1]))
+        return r[0], words_of(r[1]), words_of(r[2]) if len(r) > 2 else []
+
+    if parts == 1:
+        index = Index([split(r) for r in sorted(tuple(r) for r in rows.collect())])
+        return [index] if index.ids else []
+
+    # the statistics of all items, once, in Spark: weights and passages are then alike in every number of parts
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, word, longest = [], [], []
+            for p, *r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                _, q, a = split(r)
+                for w in {*q, *a}:
+                    part.append(p)
+                    word.append(w)
+                    longest.append(0)
+                if q or a:          # one row an item without a word: its length
+                    part.append(p)
+                    word.append(None)
+                    longest.append(len(q) + len(a))
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(word, pa.string()), pa.array(longest, pa.int64())],
+                                             names=["part", "word", "words"])
+
+    rows = stored(rows.select(F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), "*"), "items")
+    words = stored(rows.mapInArrow(cut, "part int, word string, words bigint"), "item-words")
+    n, mean, longest = words.where("word is null").agg(F.count("*"), F.avg("words"), F.max("words")).first()
+    df = stored(words.where("word is not null").groupBy("word").agg(F.count("*").alias("df")), "item-df")
     out = []
     for p in range(parts):
-        some = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == p)
-        got = sorted(tuple(r) for r in some.toLocalIterator())
-        out.append(Index([(r[0], *(split_item(r[1]) if not question_col and not answer_col else
-                                   (words_of(r[1]), words_of(r[2]) if len(r) > 2 else []))) for r in got]))
+        own = words.where((F.col("part") == p) & F.col("word").isNotNull()).select("word").distinct()
+        known = Statistics(n, mean or 1.0, longest or 1, {r["word"]: r["df"] for r in own.join(df, "word").collect()})
+        some = sorted(tuple(r)[1:] for r in rows.where(F.col("part") == p).collect())
+        out.append(Index([split(r) for r in some], known))
     return [x for x in out if x.ids]
 
 
@@ -297,7 +347,9 @@ def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = T
                          **columns: str) -> DataFrame:
     """Rows of ``docs``, all columns, in which no test item stands."""
     at = docs.columns.index(text_col)
-    for index in indexes(items, **columns):
+    for i, index in enumerate(indexes(items, **columns)):
+        if i:       # one index at a time: a chain of them would share the workers' memory
+            docs = stored(docs, "kept")
         sent = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:

@@ -55,10 +55,41 @@ def test_half_an_item_is_not_enough(spark):
 
 def test_index_in_parts_finds_the_same(spark, monkeypatch):
     rows = [(i, t + " " + words(i, 30)) for i, t in ITEMS]
-    whole = {(x.doc_id, x.item_id) for x in decontam.contaminated(plain(spark, rows), items(spark)).collect()}
+
+    def run():
+        return {(x.doc_id, x.item_id): (round(x.score, 12), x.question_overlap, x.answer_overlap, x.at_word)
+                for x in decontam.contaminated(plain(spark, rows), items(spark)).collect()}
+
+    whole = run()
     monkeypatch.setattr(decontam, "INDEX_BYTES", 1500)
-    parts = {(x.doc_id, x.item_id) for x in decontam.contaminated(plain(spark, rows), items(spark)).collect()}
-    assert parts == whole == {(i, i) for i, _ in ITEMS}
+    assert len(decontam.indexes(items(spark))) > 2
+    assert run() == whole and set(whole) == {(i, i) for i, _ in ITEMS}
+    clean = [(100 + i, words(2000 + i, 60)) for i in range(20)]
+    kept = decontam.without_contaminated(documents(spark, rows + clean), items(spark)).collect()
+    assert {x.doc_id for x in kept} == {i for i, _ in clean}
+
+
+def test_candidates_hold_every_item_that_scoring_all_finds():
+    """Passages and blocks against the weights of every item for every passage."""
+    index = decontam.Index([(i, *decontam.split_item(t)) for i, t in ITEMS])
+    r = random.Random(4)
+    texts = [(words(50 + d, r.randrange(120)) + " " + r.choice(ITEMS)[1] + " " + words(90 + d, r.randrange(90))).lower().split() for d in range(12)]
+    for least in (0.3, 0.5, 0.8):
+        found = {}
+        for text, at, terms, blocks in index.candidates(texts, least):
+            for item, score in index.search(terms, least, blocks):
+                found[text, at, item] = score
+        for d, raw in enumerate(texts):
+            kept = [w for w in map(decontam.normal, raw) if w]
+            for at in range(0, max(1, len(kept)), index.stride):
+                some = {index.terms[w] for w in kept[at:at + 2 * index.stride] if w in index.terms}
+                score = Counter()
+                for t in some:
+                    for i, x in zip(*index.postings[t], strict=True):
+                        score[i] += x
+                for i, x in score.items():
+                    assert x < least + 1e-9 or abs(found[d, at, i] - x) < 1e-9
+                    assert x > least - 1e-9 or (d, at, i) not in found
 
 
 def test_edges(spark):
