@@ -41,7 +41,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 MAILBOX = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
-TRAIN_DOCS = 1200
+TRAIN_DOCS = 1200           # documents, at most, that the weights are fitted on ...
+TRAIN_TOKENS, TRAIN_SPANS, TRAIN_CHARS = 500, 100, 200     # ... and of each, tokens, spans and characters of a token
 MINIMUM = 0.7               # probability of a label that adds a span
 ROUNDS = 1000               # of messages, where a document does not settle before
 MARK, SPACE, DIGIT = re.compile(r"[0-9@]+"), re.compile(r"\s"), re.compile(r"[0-9]")
@@ -151,7 +152,7 @@ def bucket(n: int, *edges: int) -> int:
 
 def features(t: Token) -> list[int]:
     """Binary features, as numbers below FEATURES."""
-    core = t.text.strip(EDGE)[:200]
+    core = t.text.strip(EDGE)
     digits = DIGIT.findall(core)
     letters = sum(c.isalpha() for c in core)
     parts = re.split(r"[.-]", core)
@@ -360,7 +361,11 @@ def train(samples: list[list[Token]], entities: list[list[tuple[int, str]]], ste
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> Field | None:
-    """The field of a corpus (None where no document has a base span)."""
+    """The field of a corpus (None where no document has a base span).
+
+    Weights come from a bounded sample: the TRAIN_DOCS documents with base spans that
+    are first by hash, of each at most TRAIN_TOKENS nodes and TRAIN_SPANS spans, tokens
+    cut to TRAIN_CHARS characters.  What the field is applied to is never cut."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         no_state()
         kept: dict[int, str] = {}
@@ -372,9 +377,9 @@ def fit(docs: DataFrame, text_col: str = "text") -> Field | None:
                 h = xxh64_intdigest(text) >> 1
                 if h in kept or len(heap) >= TRAIN_DOCS and h >= -heap[0]:
                     continue
-                ts = tokens(text, spans)[:500]
-                kept[h] = json.dumps([[[t.text[:200], t.before, t.after, t.joined, t.label] for t in ts],
-                                      [[k, text[a:b][:200]] for k, a, b in spans[:100]]])
+                ts = tokens(text, spans)[:TRAIN_TOKENS]
+                kept[h] = json.dumps([[[t.text[:TRAIN_CHARS], t.before, t.after, t.joined, t.label] for t in ts],
+                                      [[k, text[a:b][:TRAIN_CHARS]] for k, a, b in spans[:TRAIN_SPANS]]])
                 heapq.heappush(heap, -h)
                 if len(heap) > TRAIN_DOCS:
                     del kept[-heapq.heappop(heap)]
