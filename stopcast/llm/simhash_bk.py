@@ -196,12 +196,12 @@ def one_of_each(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str =
     """Rows of ``docs``, all columns, one of each class: that with the smallest
     id (rows without an id last, equal ids as they are read).
 
-    ``docs`` must be a table, so that its rows come in the same order when it
-    is read again.  Every row takes part, with or without an id, and repeated
-    rows are copies like others.
+    Every row takes part, with or without an id, and repeated rows are copies
+    like others.  Rows are numbered and written once: how a scan is cut depends on
+    the cores at hand, so numbers given anew in every job could differ.
     """
     row = "row of the table"
-    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     classes = near_duplicates(rows, words, radius, row, text_col).select(F.col("doc_id").alias(row), "component_id")
     order = F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row))
     kept = classes.join(rows.select(id_col, row), row).groupBy("component_id").agg(F.min(order).alias("first")) \
