@@ -17,6 +17,7 @@ import base64
 import hashlib
 import heapq
 import warnings
+from array import array
 from collections.abc import Iterator
 
 import duckdb
@@ -30,7 +31,9 @@ from stopcast.llm.units import Rows, UnitCoder
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 CACHE_UNITS = 300_000       # units kept by a worker; the cache is emptied beyond
+LONG_UNIT = 50_000          # characters between two spaces beyond which a text is encoded by itself
 LONG_BYTES = 2_000          # pre-tokens beyond are merged one by one, not in rounds
+DECODE_IDS = 100_000        # ids of one ordered aggregation
 CHUNK_BYTES = 200_000       # bytes of distinct pre-tokens in one recursive query
 
 #: place = word << 24 | position; every word ends with a row of token -1, which
@@ -72,9 +75,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def positions(lens: np.ndarray) -> np.ndarray:
-    """row << 24 | position for rows of the given lengths."""
-    if len(lens) and int(lens.max()) > 1 << 24:
-        raise ValueError("a pre-token of 16 MB or more")
+    """row << 24 | position for rows of the given lengths (below 2**24)."""
     row = np.repeat(np.arange(len(lens)), lens)
     return row << 24 | (np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens))
 
@@ -85,6 +86,8 @@ class SqlBPE:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        #: rank of every pair of bytes, -1 without one
+        self.pair_rank = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int32)
         both, rank = [], []
         for token, r in ranks.items():
             for i in range(1, len(token)):
@@ -131,43 +134,72 @@ class SqlBPE:
     def merge_long(self, word: bytes) -> np.ndarray:
         """Ids of one long pre-token.  A round of the query costs the whole
         word and contracts one pair, which a word of n bytes would pay n
-        times; here a heap holds the pairs by rank and place."""
+        times; here pairs wait by rank and place: those of the word's bytes in
+        one sorted array, those that merges bring about in a heap.  Some 40
+        bytes of memory a byte."""
         n, ranks = len(word), self.ranks
-        end, before = list(range(1, n + 1)), list(range(-1, n - 1))     # of the token that starts at a place
-        alive = [True] * n
+        end, before = array("i", range(1, n + 1)), array("i", range(-1, n - 1))     # of the token that starts at a place
+        alive = bytearray(b"\x01") * n
 
         def rank(at: int) -> int | None:
             nxt = end[at]
             return ranks.get(word[at:end[nxt]]) if nxt < n else None
 
-        heap = [(r, i) for i in range(n - 1) if (r := rank(i)) is not None]
-        heapq.heapify(heap)
-        while heap:
-            r, i = heapq.heappop(heap)
+        raw = np.frombuffer(word, np.uint8).astype(np.uint16)
+        first = self.pair_rank[raw[:-1] << 8 | raw[1:]]
+        place = np.flatnonzero(first >= 0)
+        first = first[place].astype(np.int64) << 32 | place
+        first.sort()
+        del raw, place
+        heap: list[int] = []
+        at_first, mask = 0, (1 << 32) - 1
+        waiting = int(first[0]) if len(first) else None
+        while heap or waiting is not None:
+            if waiting is not None and (not heap or waiting < heap[0]):
+                pair = waiting
+                at_first += 1
+                waiting = int(first[at_first]) if at_first < len(first) else None
+            else:
+                pair = heapq.heappop(heap)
+            r, i = pair >> 32, pair & mask
             if not alive[i] or rank(i) != r:
                 continue
             gone = end[i]
-            end[i], alive[gone] = end[gone], False
+            end[i], alive[gone] = end[gone], 0
             if end[i] < n:
                 before[end[i]] = i
             for at in (before[i], i):
                 if at >= 0 and (new := rank(at)) is not None:
-                    heapq.heappush(heap, (new, at))
-        out, at = [], 0
+                    heapq.heappush(heap, new << 32 | at)
+        out, at = array("I"), 0
         while at < n:
             out.append(ranks[word[at:end[at]]])
             at = end[at]
         return np.array(out, "<u4")
 
     def decode_ids(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
-        """Bytes of each (non-empty) run of ids, by the ordered aggregation."""
-        out: list[bytes] = []
+        """Bytes of each (non-empty) run of ids, by the ordered aggregation.  Long
+        runs are cut into pieces, whose bytes are joined, and a query gets
+        DECODE_IDS ids at most."""
+        pieces = -(-sizes // DECODE_IDS)
+        if len(sizes) and int(pieces.max()) > 1:
+            owner = np.repeat(np.arange(len(sizes)), pieces)
+            nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            out: list[list[bytes]] = [[] for _ in range(len(sizes))]
+            for i, x in zip(owner.tolist(), self._decoded(ids, np.minimum(DECODE_IDS, sizes[owner] - nth * DECODE_IDS)), strict=True):
+                out[i].append(x)
+            return [b"".join(x) for x in out]
+        return self._decoded(ids, sizes)
+
+    def _decoded(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
         ends = np.cumsum(sizes)
-        for a in range(0, len(sizes), 100_000):
-            some = sizes[a:a + 100_000]
-            got = self._run(DECODE, "id_rows", place=positions(some),
-                            tok=ids[ends[a] - sizes[a]:ends[a + len(some) - 1]].astype(np.int64))
+        out: list[bytes] = []
+        a = 0
+        while a < len(sizes):
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] - sizes[a] + 4 * DECODE_IDS, "right")))
+            got = self._run(DECODE, "id_rows", place=positions(sizes[a:b]), tok=ids[ends[a] - sizes[a]:ends[b - 1]].astype(np.int64))
             out += map(bytes.fromhex, got["hex"].to_pylist())
+            a = b
         return out
 
     def words(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -192,6 +224,36 @@ class SqlBPE:
         return [(ids, sizes), (np.frombuffer(b"".join(decoded), np.uint8), np.fromiter(map(len, decoded), np.int64, len(decoded)))]
 
 
+    def whole(self, text: str) -> tuple[np.ndarray, str]:
+        """Ids of one text, and the digest of the bytes that they decode to, without
+        the caches; a few pre-tokens at a time."""
+        ids, digest, some, size = [np.zeros(0, "<u4")], hashlib.sha256(), [], 0
+        for match in self.coder.split(text):
+            if some and size + len(match) > CHUNK_BYTES:
+                self._some(some, ids, digest)
+                some, size = [], 0
+            some.append(match)
+            size += len(match)
+        if some:
+            self._some(some, ids, digest)
+        return np.concatenate(ids), digest.hexdigest()
+
+    def _some(self, words: list[str], ids: list[np.ndarray], digest: "hashlib._Hash") -> None:
+        distinct = list(dict.fromkeys(words))
+        (got, sizes), (decoded, lens) = self.words(distinct)
+        number = {w: i for i, w in enumerate(distinct)}
+        a, b = np.cumsum(sizes) - sizes, np.cumsum(lens) - lens
+        for w in words:
+            i = number[w]
+            ids.append(got[a[i]:a[i] + sizes[i]])
+            digest.update(decoded[b[i]:b[i] + lens[i]])
+
+
+def unbroken(text: str) -> bool:
+    """Whether a text has a run between spaces that is too long for the caches."""
+    return len(text) > LONG_UNIT and max(map(len, text.split(" "))) > LONG_UNIT
+
+
 def digests(values: np.ndarray, starts: np.ndarray) -> list[str]:
     cut = starts.tolist()
     return [hashlib.sha256(values[a:b]).hexdigest() for a, b in zip(cut, cut[1:], strict=False)]
@@ -208,15 +270,24 @@ def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str =
     are read.  A null text counts as empty; repeated rows give repeated
     results; a null id stays null; an empty table gives an empty result.
     Pre-tokens of over LONG_BYTES bytes are merged by a heap in place of the
-    query, whose rounds would take the square of their length.
+    query, whose rounds would take the square of their length; texts without a
+    space for LONG_UNIT characters bypass the caches.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = worker_state(("bpe_sql", rank_file, pattern), lambda: SqlBPE(read_ranks(rank_file), pattern))
         for batch in batches:
             for part in batch_groups(batch, 1, 2_000_000):
-                (ids, starts), (decoded, ends) = coder.coder([t or "" for t in part.column(1).to_pylist()])
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                alone = {i: coder.whole(t) for i, t in enumerate(texts) if unbroken(t)}
+                (ids, starts), (decoded, ends) = coder.coder(["" if i in alone else t for i, t in enumerate(texts)])
+                decoded_sha = digests(decoded, ends)
+                if alone:
+                    runs = [alone[i][0] if i in alone else ids[starts[i]:starts[i + 1]] for i in range(len(texts))]
+                    ids, starts = np.concatenate(runs), np.r_[0, np.cumsum([len(r) for r in runs])]
+                    for i, (_, sha) in alone.items():
+                        decoded_sha[i] = sha
                 columns = [part.column(0), pa.array(np.diff(starts)),
-                           pa.array(digests(ids, starts), pa.string()), pa.array(digests(decoded, ends), pa.string())]
+                           pa.array(digests(ids, starts), pa.string()), pa.array(decoded_sha, pa.string())]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:
                     columns.append(pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int32))))

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from stopcast.llm import bpe_sql, token_counts, wavelet
 
-from llm_helpers import EDGES, documents, words
+from llm_helpers import EDGES, documents, plain, words
 
 WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -81,6 +81,39 @@ def test_long_pre_tokens(libraries, coders):
         assert coders[2].merge_long(w.encode()).tolist() == libraries[2]._core_bpe.encode_single_piece(w.encode())
 
 
+@pytest.mark.parametrize("kind", ["letters", "one", "mixed"])
+def test_unbroken_texts(libraries, kind):
+    """Texts of 1 MB and more without a space: the library's ids and bytes, in bounded memory."""
+    import random
+    import resource
+    r = random.Random(1)
+    text = {"letters": lambda: "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000)), "one": lambda: "x" * 3_000_000,
+            "mixed": lambda: "".join(r.choices("etaoin é1.,", k=400_000)) + "a b " + "\u00e9" * 700_000}[kind]()
+    assert bpe_sql.unbroken(text) or kind == "mixed"
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    ids, sha = bpe_sql.SqlBPE(bpe_sql.read_ranks(RANKS), public_tokenizers.PATTERN).whole(text)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 900_000
+    assert sha == hashlib.sha256(text.encode()).hexdigest()
+    if kind == "letters":
+        half = libraries[2].encode_ordinary(text[:300_000])
+        assert ids[:len(half) - 20].tolist() == half[:-20]
+    else:
+        assert ids.tolist() == libraries[2].encode_ordinary(text)
+
+
+def test_unbroken_texts_among_others(spark, libraries, monkeypatch):
+    monkeypatch.setattr(bpe_sql, "DECODE_IDS", 7)
+    rows = [(1, "ab cd"), (2, "z" * 60_000), (3, ""), (4, "é" * 55_000 + " tail"), (5, "end")]
+    coder = bpe_sql.SqlBPE(bpe_sql.read_ranks(RANKS), public_tokenizers.PATTERN)
+    for _, t in rows:
+        ids, sha = coder.whole(t)
+        assert ids.tolist() == libraries[2].encode_ordinary(t) and sha == hashlib.sha256(t.encode()).hexdigest()
+    got = {r.doc_id: r for r in bpe_sql.bpe_round_trip(plain(spark, rows), RANKS, public_tokenizers.PATTERN, keep_ids=True).collect()}
+    for i, t in rows:
+        assert got[i].ids == libraries[2].encode_ordinary(t) and got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
+        assert got[i].n_tokens == len(got[i].ids) and got[i].ids_sha256 == hashlib.sha256(np.array(got[i].ids, "<u4").tobytes()).hexdigest()
+
+
 def test_queries_on_edges(spark, libraries):
     df = documents(spark, EDGES)
     got = sorted(map(tuple, token_counts.token_counts(df, WORD, 100).collect()), key=str)
