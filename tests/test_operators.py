@@ -191,6 +191,41 @@ def test_knn_over_many_cells(spark, monkeypatch, width, spread):
     assert (hot.dist == 0).all() and (hot[hot.qid > 2].sort_values("rank").groupby("qid").tid.apply(list).map(tuple) == (0, 1, 2)).all()
 
 
+def test_knn_holds_few_distances_and_sends_a_query_once(monkeypatch):
+    """Tables of distances to all pivots are bounded however long a batch is, and a query
+    that reaches many cells is one row with the groups and masks of exactly these cells."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    import stopcast.operators.knn as K
+    monkeypatch.setattr(K, "CELLS", 2000)
+    monkeypatch.setattr(K, "BLOCK_ROWS", 60)
+    rng = np.random.default_rng(3)
+    p = K.Pivots(rng.normal(size=(100, 4)))
+    p.count[:] = rng.integers(0, 30, 100)
+    p.low[:], p.high[:] = 0.0, 5.0
+    p.form_groups()
+    assert sorted(np.concatenate(p.members).tolist()) == np.flatnonzero(p.count).tolist()
+    assert all(len(m) == 1 or p.count[m].sum() <= 60 for m in p.members)
+    sizes, real = [], K._gaps
+    monkeypatch.setattr(K, "_gaps", lambda q, t: sizes.append(len(q) * len(t)) or real(q, t))
+    X = rng.normal(size=(500, 4))
+    batch = pa.RecordBatch.from_pydict({"__tv": X.tolist(), "__qv": X.tolist(), "__bound": np.full(500, 3.0)})
+    got = list(K._with_cell(SimpleNamespace(value=p))(iter([batch])))
+    assert sum(b.num_rows for b in got) == 500 and max(sizes) <= 2000
+    assert np.concatenate([b.column("__cell").to_numpy() for b in got]).tolist() == real(X, p.points).argmin(axis=1).tolist()
+    for resolve in (False, True):
+        rows = pa.Table.from_batches(list(K._visits(SimpleNamespace(value=p), 5, resolve)(iter([batch])))).to_pylist()
+        assert len(rows) == 500 and max(sizes) <= 2000
+        d = real(X, p.points)
+        seeds, reached = p.seeds(d, 5), p.reached(X, d, np.full(500, 3.0))
+        for i, r in enumerate(rows):
+            cells = [int(c) for g, m in zip(r["__groups"], r["__masks"]) for c in p.members[g] if m >> int(p.bit[c]) & 1]
+            want = set(np.flatnonzero(reached[i]).tolist()) - set(seeds[i].tolist()) if resolve else set(seeds[i].tolist())
+            assert len(set(r["__groups"])) == len(r["__groups"]) and sorted(cells) == sorted(want)
+
+
 def test_knn_empty_and_odd_rows(spark):
     schema = "id string, vec array<double>"
     few = spark.createDataFrame([("b", [1.0, 0.0]), ("a", [1.0, 0.0]), ("n", None), ("x", [float("nan"), 1.0]), ("i", [float("inf"), 0.0]),
