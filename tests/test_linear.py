@@ -144,3 +144,35 @@ def test_calibrated_probabilities(spark):
     plain = {r["config"]: r for r in MD.linear_sweep(spark, d, NAMES, configs).collect()}
     assert set(got) == {"C=0.1", "C=1.0"} == set(plain)
     assert all(abs(got[c]["roc_auc"] - plain[c]["roc_auc"]) < 0.03 and got[c]["accuracy"] > 0.7 for c in got)
+
+
+def test_platt_scans_equal_curves_of_a_score_table(spark):
+    """Sigmoids and calibrated scores from scans against those of the written scores."""
+    df, _, _ = frame(spark)
+    problems = [L.Problem(f"{c}|{i}", "train", "squared_hinge", l2=c) for c in (0.01, 1.0) for i in range(2)]
+    models = list(L.fit_all(df, NAMES, problems).values())
+    held = ["fold", "train", "fold", "none"]
+    got = L.platt_models(df, models, held)
+    assert got[3] is None
+    scores = L.score_all(df, models, held).withColumn("margin", F.log(F.col("score") / (1 - F.col("score"))))
+    want = MD.platt_all(scores)
+    assert all(np.allclose(got[i], want[problems[i].name], atol=1e-6) for i in range(3))
+    mine = {(r["problem"], r["id"]): r["score"] for r in L.score_calibrated(df, models, got, ["a", "a", "b", "b"], "test").collect()}
+    table = L.score_all(df, models[:3], ["test"] * 3).collect()
+    means = {}
+    for r in table:
+        a, b = want[r["problem"]]
+        x = np.log(r["score"] / (1 - r["score"]))
+        means.setdefault(("a" if r["problem"].startswith("0.01") else "b", r["id"]), []).append(1 / (1 + np.exp(-(a * x + b))))
+    assert set(mine) == set(means) and all(abs(mine[k] - np.mean(v)) < 1e-6 for k, v in means.items())
+
+
+def test_hinge_of_labels_that_nothing_explains_converges(spark):
+    """No row lies within a narrow rounding at the start: the fit ends by itself, well before the cap."""
+    r = np.random.default_rng(4)
+    x, y = r.normal(size=(2000, 3)) * [1.0, 30.0, 0.01] + [0.0, 1000.0, 5.0], (r.random(2000) < 0.2).astype(int)
+    df = spark.createDataFrame([(i, *map(float, x[i]), 7.0, int(y[i]), True) for i in range(2000)],
+                               "event_id long, a double, b double, c double, flat double, label int, train boolean").repartition(3).cache()
+    m = L.fit_all(df, NAMES, [L.Problem("svm", "train", "hinge", l2=1.0 / 2000)])["svm"]
+    assert m.scans < 70 < L.MAX_SCANS
+    assert np.isfinite(m.objective) and m.objective <= 1.0

@@ -216,6 +216,7 @@ def test_knn_holds_few_distances_and_sends_a_query_once(monkeypatch):
     assert sum(b.num_rows for b in got) == 500 and max(sizes) <= 2000
     assert np.concatenate([b.column("__cell").to_numpy() for b in got]).tolist() == real(X, p.points).argmin(axis=1).tolist()
     for resolve in (False, True):
+        sizes.clear()
         rows = pa.Table.from_batches(list(K._visits(SimpleNamespace(value=p), 5, resolve)(iter([batch])))).to_pylist()
         assert len(rows) == 500 and max(sizes) <= 2000
         d = real(X, p.points)
