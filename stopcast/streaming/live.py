@@ -13,7 +13,9 @@ WN1-WN4 named in SURVEY §2.13.
   ``transformWithState``.  Events wait in pieces of event time until the
   watermark has passed a piece; a timer then emits the pieces in time order, each
   event with the history of the events before it.  Events may arrive in any order
-  within the watermark.  One piece of one key is held at a time.
+  within the watermark.  A key's few waiting events are one state value, so that a key
+  costs some five state calls a batch, not some of each piece; of a key with more, one
+  piece is held at a time.
 
 Rows later than the watermark are left out; ``run_to_table`` writes how many, by
 batch, beside the output (``late_rows``).  Sinks, checkpoints and state live under
@@ -153,24 +155,38 @@ def _end_row(spark: SparkSession) -> DataFrame:
                      f"{END_KEY + 1}L - 1L AS __key, CAST(NULL AS INT) AS target")
 
 
+FEW = 1 << 16               # bytes of a key's waiting events that are kept together
+
+
 class OrderedHistory(StatefulProcessor):
-    """Pieces of waiting events by time, and the history of those already emitted."""
+    """Waiting events by time, and the history of those already emitted.  What a key
+    holds is one value, read and written once a batch; the events of a key of which more
+    than ``few`` bytes wait are in pieces of time of their own."""
 
-    def __init__(self, width_ms: int):
-        self.width = width_ms
+    def __init__(self, width_ms: int, few: int = FEW):
+        self.width, self.few = width_ms, few
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.past = handle.getValueState("past", "n long, pos double, lab long, last_us long")
+        self.held = handle.getValueState("held", "n long, pos double, lab long, last_us long, due long, events binary, split boolean")
         self.pieces = handle.getMapState("pieces", "piece long", "events binary")
-        self.due = handle.getValueState("due", "piece long")
 
-    def _wake(self, piece: int) -> None:
+    def _state(self) -> tuple:
+        return self.held.get() or (0, 0.0, 0, None, None, b"", False)
+
+    def _wake(self, piece: int) -> int:
         self.handle.registerTimer((piece + 1) * self.width)
-        self.due.update((piece,))
+        return piece
+
+    def _put(self, new: np.ndarray) -> None:
+        piece = new["ts"] // (self.width * 1000)
+        for p in np.unique(piece).tolist():
+            held = bytes(self.pieces.getValue((p,))[0]) if self.pieces.containsKey((p,)) else b""
+            self.pieces.updateValue((p,), (held + new[piece == p].tobytes(),))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = None
+        *past, due, events, split = self._state()
+        events, first = bytes(events), None
         for pdf in rows:
             pdf = pdf[pdf["event_id"].notna()]
             if not len(pdf):
@@ -178,40 +194,61 @@ class OrderedHistory(StatefulProcessor):
             new = np.empty(len(pdf), EVENT)
             new["ts"] = pdf["event_timestamp"].astype("datetime64[us]").astype("int64")
             new["id"], new["target"] = pdf["event_id"].astype("int64"), pdf["target"].astype("float64")
-            piece = new["ts"] // (self.width * 1000)
-            for p in np.unique(piece).tolist():
-                held = bytes(self.pieces.getValue((p,))[0]) if self.pieces.containsKey((p,)) else b""
-                self.pieces.updateValue((p,), (held + new[piece == p].tobytes(),))
-                first = p if first is None else min(first, p)
-        if first is not None and (not self.due.exists() or first < self.due.get()[0]):
-            self._wake(first)
+            p = int(new["ts"].min()) // (self.width * 1000)
+            first = p if first is None else min(first, p)
+            if not split and len(events) + new.nbytes <= self.few:
+                events += new.tobytes()
+                continue
+            self._put(np.concatenate([np.frombuffer(events, EVENT), new]))
+            events, split = b"", True
+        if first is not None:
+            if due is None or first < due:
+                due = self._wake(first)
+            self.held.update((*past, due, events, split))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        n, pos, lab, last = self.past.get() if self.past.exists() else (0, 0.0, 0, None)
-        waiting = sorted(p for p, in self.pieces.keys())
-        for p in waiting:
-            if (p + 1) * self.width > passed:
-                self._wake(p)
-                break
-            events = np.sort(np.frombuffer(bytes(self.pieces.getValue((p,))[0]), EVENT), order=["ts", "id"])
-            self.pieces.removeKey((p,))
-            ts, known = events["ts"], ~np.isnan(events["target"])
-            y = np.where(known, events["target"], 0.0)
-            y_before, known_before = pos + np.cumsum(y) - y, lab + np.cumsum(known) - known
-            rate = np.where(known_before > 0, y_before / np.maximum(known_before, 1), 0.0)
-            before = np.concatenate([[ts[0] if last is None else last], ts[:-1]])
-            recency = np.floor_divide(ts - before, MICROS_PER_DAY)
-            if last is None:
-                recency[0] = 999
-            yield pd.DataFrame({"event_id": events["id"], "key": np.full(len(ts), key[0]), "hist_count": n + np.arange(len(ts)),
-                                "hist_conversion_rate": rate, "recency_days": recency})
-            n, pos, lab, last = n + len(ts), pos + float(y.sum()), lab + int(known.sum()), int(ts[-1])
+        *past, due, events, split = self._state()
+        due = None
+        if split:
+            for p in sorted(p for p, in self.pieces.keys()):
+                if (p + 1) * self.width > passed:
+                    due = self._wake(p)
+                    break
+                ready = np.frombuffer(bytes(self.pieces.getValue((p,))[0]), EVENT)
+                self.pieces.removeKey((p,))
+                out, past = self._history(key, ready, past)
+                yield out
+            split = due is not None
         else:
-            self.due.clear()
-        if n:
-            self.past.update((n, pos, lab, last))
+            waiting = np.frombuffer(bytes(events), EVENT)
+            piece = waiting["ts"] // (self.width * 1000)
+            ready = (piece + 1) * self.width <= passed
+            if ready.any():
+                out, past = self._history(key, waiting[ready], past)
+                yield out
+            if not ready.all():
+                due = self._wake(int(piece[~ready].min()))
+            events = waiting[~ready].tobytes()
+        self.held.update((*past, due, bytes(events), split))
+
+    @staticmethod
+    def _history(key, events: np.ndarray, past: list) -> tuple[pd.DataFrame, list]:
+        """The rows of ``events`` with the history before each, and the history after them."""
+        n, pos, lab, last = past
+        events = events[np.lexsort((events["target"], events["id"], events["ts"]))]
+        ts, known = events["ts"], ~np.isnan(events["target"])
+        y = np.where(known, events["target"], 0.0)
+        y_before, known_before = pos + np.cumsum(y) - y, lab + np.cumsum(known) - known
+        rate = np.where(known_before > 0, y_before / np.maximum(known_before, 1), 0.0)
+        before = np.concatenate([[ts[0] if last is None else last], ts[:-1]])
+        recency = np.floor_divide(ts - before, MICROS_PER_DAY)
+        if last is None:
+            recency[0] = 999
+        out = pd.DataFrame({"event_id": events["id"], "key": np.full(len(ts), key[0]), "hist_count": n + np.arange(len(ts)),
+                            "hist_conversion_rate": rate, "recency_days": recency})
+        return out, [n + len(ts), pos + float(y.sum()), lab + int(known.sum()), int(ts[-1])]
 
     def close(self) -> None:
         pass

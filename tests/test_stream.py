@@ -89,3 +89,79 @@ def test_users_per_bin_over_shuffled_batches(spark, tmp_path):
     want = {(r["gtfs_stop_id"], r["time_bin"]): r["user_count"]
             for r in users_per_bin(spark.createDataFrame(rows, SCHEMA), width="30 minutes").collect()}
     assert {k: v for k, v in got.items() if v} == {k: v for k, v in want.items() if v}
+
+
+class Handle:
+    """State in memory that counts its calls."""
+
+    def __init__(self):
+        self.calls, self.value, self.map, self.timers = 0, None, {}, set()
+
+    def getValueState(self, *_):
+        return self
+
+    def getMapState(self, *_):
+        return self
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def getValue(self, key):
+        self.calls += 1
+        return (self.map[key],)
+
+    def containsKey(self, key):
+        self.calls += 1
+        return key in self.map
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.map[key] = value[0]
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.map[key]
+
+    def keys(self):
+        self.calls += 1
+        return list(self.map)
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+@pytest.mark.parametrize("few", [1 << 16, 0, 500])
+def test_history_needs_few_state_calls_a_key(few):
+    """A key with events on thirty days, in two batches: a handful of calls; pieces of time only for more than ``few`` bytes."""
+    import pandas as pd
+    r, day = random.Random(3), 86_400_000
+    rows = [(i, pd.Timestamp(T0) + pd.Timedelta(minutes=r.randrange(30 * 1440)), r.choice([0.0, 1.0, None])) for i in range(60)]
+    handle, history = Handle(), L.OrderedHistory(day, few)
+    history.init(handle)
+    frame = pd.DataFrame(rows, columns=["event_id", "event_timestamp", "target"])
+    frame["target"] = frame["target"].astype("float64")
+    got = []
+    early = frame["event_timestamp"] < pd.Timestamp(T0) + pd.Timedelta(days=15)
+    for part, upto in ((frame[early], 10), (frame[~early], 400)):
+        list(history.handleInputRows((7,), iter([part[:9], part[9:]]), handle))
+        handle.watermark = int(pd.Timestamp(T0).timestamp() * 1000) + upto * day
+        assert min(handle.timers) <= handle.watermark
+        got += list(history.handleExpiredTimer((7,), handle, None))
+    got = pd.concat(got)
+    want = frame.sort_values(["event_timestamp", "event_id"])
+    assert got["event_id"].tolist() == want["event_id"].tolist() and got["hist_count"].tolist() == list(range(60))
+    known, y = want["target"].notna(), want["target"].fillna(0.0)
+    before = (known.cumsum() - known).clip(lower=1)
+    assert got["hist_conversion_rate"].tolist() == ((y.cumsum() - y) / before).tolist()
+    assert got["recency_days"].tolist()[0] == 999 and got["recency_days"].tolist()[1:] == want["event_timestamp"].diff().dt.days.tolist()[1:]
+    assert not handle.map and handle.value[4:] == (None, b"", False)
+    assert few < 1 << 16 or handle.calls <= 12
