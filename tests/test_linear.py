@@ -177,3 +177,18 @@ def test_hinge_of_labels_that_nothing_explains_converges(spark):
     m = L.fit_all(df, NAMES, [L.Problem("svm", "train", "hinge", l2=1.0 / 2000)])["svm"]
     assert m.scans < 55 < L.MAX_SCANS
     assert np.isfinite(m.objective) and m.objective <= 1.0
+
+
+def test_the_table_is_read_once_however_many_scans(spark):
+    """Rounds scan the blocks: the rows themselves are read for the blocks, and a few for the point amid them."""
+    df, _, _ = frame(spark)
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    seen = df.select("a", "b", "c", "label", "train", "fold").mapInArrow(count, "a double, b double, c double, label int, train boolean, fold boolean")
+    got = L.fit_all(seen, NAMES[:3], [L.Problem("h", "train", "hinge", l2=1e-3), L.Problem("l", "fold", l2=1e-3)])
+    assert got["h"].scans > 5 and read.value <= 2 * 600
