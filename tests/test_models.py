@@ -101,3 +101,12 @@ def test_gaussian_naive_bayes_against_the_formula(spark):
     assert len(got) == 50 and all(abs(got[i] - want[i]) < 1e-9 for i in got)
     stats = {(s["label"], s["feature"]): s for s in MD.nb_statistics(df, ["a", "b"]).collect()}
     assert abs(stats[1, "b"]["mean"] - x[y == 1, 1].mean()) < 1e-9 and stats[0, "a"]["n"] == (y == 0).sum()
+
+
+def test_boosted_trees_do_without_cached_nodes(spark):
+    """The same trees, without a table of nodes a level."""
+    d = MD.prepare(separable(spark), fit_on="is_train = 1").cache()
+    g = MD.gbt(maxIter=3, maxDepth=3)
+    assert not g.getCacheNodeIds() and not MD.gbt(maxDepth=16).getCacheNodeIds()
+    a, b = (MD.build_pipeline(e, ["a", "b"]).fit(d.where("is_train = 1")).stages[-1] for e in (g, MD.gbt(maxIter=3, maxDepth=3).setCacheNodeIds(True)))
+    assert a.toDebugString.split("\n")[1:] == b.toDebugString.split("\n")[1:]
