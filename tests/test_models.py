@@ -103,6 +103,26 @@ def test_gaussian_naive_bayes_against_the_formula(spark):
     assert abs(stats[1, "b"]["mean"] - x[y == 1, 1].mean()) < 1e-9 and stats[0, "a"]["n"] == (y == 0).sum()
 
 
+def test_a_large_forest_is_fitted_in_groups_of_trees(spark, monkeypatch):
+    """No fit has more nodes than the bound; the groups' scores and importances are those of one
+    forest; rows with a repeated or no id stay rows."""
+    d = MD.prepare(separable(spark), fit_on="is_train = 1").cache()
+    train, test = d.where("is_train = 1"), d.where("is_train = 0")
+    test = test.withColumn("event_id", F.when(F.col("event_id") < 390, F.lit(7)))
+    fitted, plain = [], MD.build_pipeline
+    monkeypatch.setattr(MD, "build_pipeline", lambda e, *a, **k: fitted.append((e.getNumTrees(), e.getSeed())) or plain(e, *a, **k))
+    monkeypatch.setattr(MD, "FOREST_NODES", 3 * 600)
+    got = MD.config_sweep(spark, train, test, ["a", "b"], "random_forest", {"X": dict(numTrees=8)}, MD.random_forest).first()
+    assert sorted(n for n, _ in fitted) == [2, 3, 3] and len({s for _, s in fitted}) == 3 and got["roc_auc"] > 0.98
+    scores, _ = MD.scored(MD.random_forest(numTrees=8), train, test, ["a", "b"])
+    assert scores.count() == 100 and scores.where("id = 7").count() == 90
+    assert scores.where("score < 0 OR score > 1").count() == 0
+    many = MD.forest_importances(MD.random_forest(numTrees=8), train, ["a", "b"])
+    monkeypatch.setattr(MD, "FOREST_NODES", 10 ** 9)
+    one = MD.forest_importances(MD.random_forest(numTrees=8), train, ["a", "b"])
+    assert abs(sum(many) - 1) < 1e-9 and many[0] > 0.8 and abs(many[0] - one[0]) < 0.15
+
+
 def test_boosted_trees_do_without_cached_nodes(spark):
     """The same trees, without a table of nodes a level."""
     d = MD.prepare(separable(spark), fit_on="is_train = 1").cache()
