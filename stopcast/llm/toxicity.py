@@ -15,9 +15,9 @@ labelled rows that these counts have not seen, turns it into a probability.
 All counts are exact and keyed by the whole expression, so the model grows with
 the corpus and nobody holds it whole.  Texts are read once: a chunk of documents
 becomes a file of word numbers, and its distinct words go to parts by hash.  A
-part counts the expressions of its words, Spark adds them up and computes every
-expression's evidence by joins, the parts fetch what their words need, and the
-chunks get the evidence of their words back.  No key of these shuffles is hot: a
+part counts the expressions of its words and keeps the words in a file, Spark adds
+the counts up and computes every expression's evidence by joins, the parts fetch
+what their words need, and the chunks get the evidence of their words back.  No key of these shuffles is hot: a
 word is one entry a chunk, an expression one row a part and stretch of words.
 """
 
@@ -29,12 +29,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from stopcast.llm.common import no_state, release, shared_folder, stored
+from stopcast.llm.common import drop_folder, no_state, release, shared_folder, stored
 from stopcast.llm.suffix_dedup import dealt, pack, unpack
 from stopcast.llm.token_counts import batch_groups
 
@@ -85,10 +86,42 @@ def symbols(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 WORDS_SQL = "part bigint, chunk string, blob binary"
 GRAMS_SQL = "part bigint, hi bigint, lo bigint, " + ", ".join(f"{c} bigint" for c in COUNTS)
+ASKED_SQL = GRAMS_SQL + ", file string"
 FEATURED_SQL = "chunk string, blob binary, h bigint, toxic int, x array<double>"
 HEAD = -1                   # part of the row that names a chunk
 
 
+def planes(numbers: np.ndarray) -> np.ndarray:
+    """32-bit numbers as all their low bytes, then all their next ones: small numbers pack well."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).ravel()
+
+
+def from_planes(raw: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel()
+
+
+def steps(numbers: np.ndarray) -> np.ndarray:
+    """``planes`` of the differences, which are small where the numbers rise."""
+    return planes(np.diff(numbers.astype(np.int64), prepend=0))
+
+
+def from_steps(raw: np.ndarray) -> np.ndarray:
+    return np.cumsum(from_planes(raw), dtype="<u4")
+
+
+def write(path: str, name: str, blob: bytes) -> None:
+    system, root = pafs.FileSystem.from_uri(path)
+    system.create_dir(root, recursive=True)
+    with system.open_output_stream(posixpath.join(root, name), compression=None) as f:
+        f.write(blob)
+
+
+def read(path: str, name: str) -> bytes:
+    system, root = pafs.FileSystem.from_uri(path)
+    with system.open_input_file(posixpath.join(root, name)) as f:
+        return f.read()
+
+
 def coded(rows: DataFrame, path: str, parts: int) -> DataFrame:
     """(part, chunk, blob) of ``rows(row, text, part, h)``: the distinct words
     of a chunk with their counts, by hash; part: 0 no label, 1 toxic fit, 2
@@ -96,8 +129,6 @@ def coded(rows: DataFrame, path: str, parts: int) -> DataFrame:
     documents stay in the folder as word numbers, beside the struct ``row``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         no_state()
-        system, root = pafs.FileSystem.from_uri(path)
-        system.create_dir(root, recursive=True)
 
         def close(held: list[pa.RecordBatch]) -> pa.RecordBatch:
             words, ends = [], []
@@ -124,8 +155,11 @@ def coded(rows: DataFrame, path: str, parts: int) -> DataFrame:
                 for piece in held:
                     out.write_batch(piece.select([0]))
             name = uuid.uuid4().hex
-            with system.open_output_stream(posixpath.join(root, name), compression=None) as f:
-                f.write(pack(codes, ends, home, kind, h, np.frombuffer(sink.getvalue(), np.uint8)))
+            # the file numbers them anew, frequent ones first
+            by = np.argsort(-np.bincount(codes, minlength=len(distinct)), kind="stable")
+            rank = np.empty(len(by), "<u4")
+            rank[by] = np.arange(len(by))
+            write(path, name, pack(planes(rank[codes]), steps(by), ends, home, kind, h, np.frombuffer(sink.getvalue(), np.uint8)))
             found = [(HEAD, name, b"")]
             for p, mine in dealt(home):
                 text = "\n".join([distinct[i] for i in mine.tolist()]).encode()
@@ -148,17 +182,19 @@ def coded(rows: DataFrame, path: str, parts: int) -> DataFrame:
 
 
 def load(path: str, name: str) -> list[np.ndarray]:
-    system, root = pafs.FileSystem.from_uri(path)
-    with system.open_input_file(posixpath.join(root, name)) as f:
-        return unpack(f.read(), "<u4", "<i8", "<u4", "<i8", "<i8", np.uint8)
+    ranks, by, *others = unpack(read(path, name), np.uint8, np.uint8, "<i8", "<u4", "<i8", "<i8", np.uint8)
+    return [from_steps(by)[from_planes(ranks)], *others]
 
 
 def part_words(blobs: list[bytes]) -> tuple[list[str], list[np.ndarray], list[np.ndarray]]:
-    """The distinct words of a part, their counts, and each chunk's words as numbers."""
+    """The distinct words of a part in order, their counts, and each chunk's words as numbers."""
     got = [unpack(b, np.uint8, *["<i8"] * len(COUNTS)) for b in blobs]
     lists = [g[0].tobytes().decode().split("\n") for g in got]
     column = pa.array([w for words in lists for w in words], pa.large_string()).dictionary_encode()
-    distinct, codes = column.dictionary.to_pylist(), column.indices.to_numpy()
+    order = pc.sort_indices(column.dictionary)
+    number = np.empty(len(order), np.int64)
+    number[order.to_numpy()] = np.arange(len(order))
+    distinct, codes = column.dictionary.take(order).to_pylist(), number[column.indices.to_numpy()]
     counts = []
     for k in range(len(COUNTS)):
         sums = np.zeros(len(distinct), np.int64)
@@ -167,35 +203,53 @@ def part_words(blobs: list[bytes]) -> tuple[list[str], list[np.ndarray], list[np
     return distinct, counts, np.split(codes, np.cumsum(list(map(len, lists)))[:-1])
 
 
-def asked_grams(words: DataFrame, parts: int) -> DataFrame:
-    """(part, hi, lo, counts): the expressions of the words of each part."""
-    schema = pa.schema([("part", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), *((c, pa.int64()) for c in COUNTS)])
+def asked_grams(words: DataFrame, path: str, parts: int) -> DataFrame:
+    """(part, hi, lo, counts): the expressions of the words of each part.  Its words stay in
+    the folder, so that they are shuffled once: a row with nothing else names the file."""
+    schema = pa.schema([("part", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), *((c, pa.int64()) for c in COUNTS), ("file", pa.string())])
 
     def ask(t: pa.Table) -> pa.Table:
         part = t["part"][0].as_py()
-        distinct, counts, _ = part_words(t["blob"].to_pylist())
-        out = []
+        blobs = t["blob"].to_pylist()
+        distinct, counts, chunks = part_words(blobs)
+        fits = [np.add(*unpack(b, np.uint8, *["<i8"] * len(COUNTS))[3:]) > 0 for b in blobs]
+        name = uuid.uuid4().hex
+        write(path, name, pack(np.frombuffer("\n".join(distinct).encode(), np.uint8), np.frombuffer("\n".join(t["chunk"].to_pylist()).encode(), np.uint8),
+                               np.array(list(map(len, chunks)), "<i8"), steps(np.concatenate(chunks)), np.packbits(np.concatenate(fits)),
+                               level=WORDS_LEVEL))
+        nothing = [None] * (len(schema) - 2)
+        out = [pa.table([pa.array([x], k) for x, k in zip((part, *nothing, name), schema.types, strict=True)], schema=schema)]
         for a in range(0, len(distinct), STRETCH):
             hi, lo, row = packed(distinct[a:a + STRETCH])
             by = np.lexsort((lo, hi))
             hi, lo, row = hi[by], lo[by], row[by]
             new = np.flatnonzero(np.r_[True, (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])])
             out.append(pa.table([np.full(len(new), part), hi[new], lo[new],
-                                 *[np.add.reduceat(c[a:a + STRETCH][row], new) for c in counts]], schema=schema))
+                                 *[np.add.reduceat(c[a:a + STRETCH][row], new) for c in counts], pa.nulls(len(new), pa.string())],
+                                schema=schema))
         return pa.concat_tables(out)
 
-    return words.where("part >= 0").repartition(parts, "part").groupBy("part").applyInArrow(ask, GRAMS_SQL)
+    return words.where("part >= 0").repartition(parts, "part").groupBy("part").applyInArrow(ask, ASKED_SQL)
+
+
+def load_part(path: str, name: str) -> tuple[list[str], list[str], list[np.ndarray], list[np.ndarray]]:
+    """The words of a part; its chunks, and each one's words as numbers and which of them fit the curve."""
+    text, names, lens, codes, fits = unpack(read(path, name), np.uint8, np.uint8, "<i8", np.uint8, np.uint8)
+    cut = np.cumsum(lens)[:-1]
+    return (text.tobytes().decode().split("\n"), names.tobytes().decode().split("\n"), np.split(from_steps(codes), cut),
+            np.split(np.unpackbits(fits, count=int(lens.sum())).astype(bool), cut))
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
     """(hi, lo, counts) of the expressions of ``docs(text, part)``."""
     rows = docs.select(F.struct("text").alias("row"), "text", "part", F.lit(0).cast("bigint").alias("h"))
-    words = stored(coded(rows, shared_folder(docs.sparkSession, "chunks"), 1), "words")
-    return summed(asked_grams(words, 1))
+    path = shared_folder(docs.sparkSession, "chunks")
+    words = stored(coded(rows, path, 1), "words")
+    return summed(asked_grams(words, path, 1))
 
 
 def summed(asked: DataFrame) -> DataFrame:
-    return asked.groupBy("hi", "lo").agg(*[F.sum(c).alias(c) for c in COUNTS])
+    return asked.where("file is null").groupBy("hi", "lo").agg(*[F.sum(c).alias(c) for c in COUNTS])
 
 
 # ------------------------------------------------------------ the model
@@ -367,8 +421,12 @@ def fit(docs: DataFrame, labels: DataFrame, row: Column, id_col: str = "doc_id",
     part = F.when(F.col("toxic").isNull() | (F.col("fold") == 0), 0) \
         .otherwise(F.when(F.col("fold") == 4, 3).otherwise(1) + F.when(F.col("toxic") == 1, 0).otherwise(1))
     rows = labelled(docs, labels, row, id_col, text_col, label_id, label_col)
-    words = stored(coded(rows.select("row", "text", part.alias("part"), F.xxhash64("doc_id").alias("h")), path, parts), "words")
-    asked = stored(asked_grams(words, parts), "asked")
+    at = shared_folder(spark, "words")
+    coded(rows.select("row", "text", part.alias("part"), F.xxhash64("doc_id").alias("h")), path, parts).write.parquet(at)
+    words = spark.read.schema(WORDS_SQL).parquet(at)
+    heads = stored(words.where(F.col("part") == HEAD), "heads")
+    asked = stored(asked_grams(words, path, parts), "asked")
+    drop_folder(spark, at)          # the parts have them
     release(spark)
     grams = stored(summed(asked), "grams")
     release(spark)
@@ -377,14 +435,11 @@ def fit(docs: DataFrame, labels: DataFrame, row: Column, id_col: str = "doc_id",
     def answer(w: pa.Table, g: pa.Table) -> pa.Table:
         """By part: the evidence of each chunk's words; by the first model only that of
         words in documents that fit the curve."""
-        blobs = w["blob"].to_pylist()
-        distinct, _, chunks = part_words(blobs)
+        distinct, names, chunks, fits = load_part(path, w["file"][0].as_py())
         found = Model(g.drop_columns(["part"])).evidence(distinct).astype("<f4")
-        back = []
-        for blob, c in zip(blobs, chunks, strict=True):
-            _, *counts = unpack(blob, np.uint8, *["<i8"] * len(COUNTS))
-            back.append(pack(found[c, 1], found[c[counts[2] + counts[3] > 0], 0]))
-        return pa.table([w["part"], w["chunk"], pa.array(back, pa.binary())], names=["part", "chunk", "blob"])
+        back = [pack(found[c, 1], found[c[fit], 0]) for c, fit in zip(chunks, fits, strict=True)]
+        return pa.table([pa.array([w["own"][0].as_py()] * len(names), pa.int64()), pa.array(names, pa.string()), pa.array(back, pa.binary())],
+                        names=["part", "chunk", "blob"])
 
     def measure(t: pa.Table) -> pa.Table:
         """By chunk: the features of its documents, and those that fit the curve."""
@@ -407,9 +462,9 @@ def fit(docs: DataFrame, labels: DataFrame, row: Column, id_col: str = "doc_id",
                          pa.array([None, *seen.tolist()], pa.list_(pa.float64()))],
                         names=["chunk", "blob", "h", "toxic", "x"])
 
-    needed = asked.select("part", "hi", "lo").join(model, ["hi", "lo"]).select("part", "hi", "lo", "shared", "r0", "r1")
-    back = words.where("part >= 0").groupBy("part").cogroup(needed.groupBy("part")).applyInArrow(answer, WORDS_SQL)
-    heads = words.where(F.col("part") == HEAD)
+    needed = asked.where("file is null").select("part", "hi", "lo").join(model, ["hi", "lo"]).select("part", "hi", "lo", "shared", "r0", "r1")
+    files = asked.where("file is not null").select(F.col("part").alias("own"), "file")
+    back = files.groupBy("own").cogroup(needed.groupBy("part")).applyInArrow(answer, WORDS_SQL)
     n = max(1, heads.count())
     measured = stored(back.union(heads).repartition(n, "chunk").groupBy("chunk").applyInArrow(measure, FEATURED_SQL), "features")
     chosen = measured.where("h is not null").select("h").orderBy("h").limit(CURVE_ROWS).agg(F.max("h")).first()[0]

@@ -95,3 +95,29 @@ def test_evidence_is_that_of_one_table(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "PART_BYTES", 20_000)     # some parts, and a chunk a partition
     got = {x.doc_id: x.score for x in toxicity.scores(plain(spark, rows).repartition(5), marks(spark, labels)).collect()}
     assert got.keys() == want.keys() and all(abs(got[d] - want[d]) < 1e-6 for d in want)
+
+
+def test_words_stay_with_their_parts(spark, tmp_path, monkeypatch):
+    """The words are shuffled once, and what was written for that is gone when the parts have them."""
+    rows, labels = corpus(200)
+    monkeypatch.setattr(toxicity, "shared_folder", lambda s, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(toxicity, "PART_BYTES", 20_000)
+    docs = plain(spark, rows).repartition(3)
+    path, chunks, _ = toxicity.fit(docs, marks(spark, labels), docs.doc_id)
+    names = [r.chunk for r in chunks.select("chunk").collect()]
+    assert len(names) == 3 and not (tmp_path / "words").exists()
+    for name in names:
+        codes, ends, home, *_ = toxicity.load(path, name)
+        assert len(codes) == ends[-1] and set(codes.tolist()) == set(range(len(home)))
+    of_parts = [f.name for f in (tmp_path / "chunks").iterdir() if f.name not in names]
+    found = [toxicity.load_part(path, f) for f in of_parts]
+    assert len(found) > 1 and all(sorted(f[1]) == sorted(set(f[1])) and set(f[1]) <= set(names) for f in found)
+    every = [w for f in found for w in f[0]]
+    assert sorted(every) == sorted({w for _, t in rows for w in toxicity.words_of(t)})
+
+
+def test_numbers_survive_packing():
+    for x in ([], [0], [5, 3, 2**32 - 1, 0, 70_000]):
+        x = np.array(x, "<u4")
+        assert (toxicity.from_planes(toxicity.planes(x)) == x).all() and (toxicity.from_steps(toxicity.steps(x)) == x).all()
+        assert len(toxicity.from_steps(toxicity.steps(x))) == len(x)
