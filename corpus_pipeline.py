@@ -41,7 +41,7 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe_sql.bpe_round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
-                                  keep_ids=True)
+                                  keep_ids=True, sparing=True)
 
 
 STAGES = [("toxicity", toxicity_stage), ("near_duplicates", near_duplicate_stage),

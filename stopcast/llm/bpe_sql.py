@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from stopcast.llm.common import worker_state
+from stopcast.llm.common import give_back, worker_state
 from stopcast.llm.token_counts import batch_groups
 from stopcast.llm.units import Rows, UnitCoder
 
@@ -35,6 +35,8 @@ LONG_UNIT = 50_000          # characters between two spaces beyond which a text
 LONG_BYTES = 2_000          # pre-tokens beyond are merged one by one, not in rounds
 DECODE_IDS = 100_000        # ids of one ordered aggregation
 CHUNK_BYTES = 200_000       # bytes of distinct pre-tokens in one recursive query
+GROUP_BYTES = 2_000_000     # bytes of texts that are encoded together
+SPARE = 2                   # a sparing worker has caches and queries smaller by this, groups by twice this
 
 #: place = word << 24 | position; every word ends with a row of token -1, which
 #: pairs with nothing.  The inner ORDER BY gives the windows their order.
@@ -81,10 +83,11 @@ def positions(lens: np.ndarray) -> np.ndarray:
 
 
 class SqlBPE:
-    """Encoder and decoder of one rank file."""
+    """Encoder and decoder of one rank file; ``sparing``: with less memory."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, sparing: bool = False):
         self.ranks = ranks
+        self.chunk_bytes = CHUNK_BYTES // SPARE if sparing else CHUNK_BYTES
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         #: rank of every pair of bytes, -1 without one
         self.pair_rank = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int32)
@@ -99,7 +102,8 @@ class SqlBPE:
         self._table("merges", both=pa.array(both, pa.int64()), rank=pa.array(rank, pa.int64()))
         self._table("tokens", id=pa.array(list(ranks.values()), pa.int64()),
                     hex=pa.array([t.hex() for t in ranks], pa.string()))
-        self.coder = UnitCoder(pattern, self.words, [np.dtype("<u4"), np.uint8], CACHE_UNITS)
+        self.coder = UnitCoder(pattern, self.words, [np.dtype("<u4"), np.uint8],
+                               CACHE_UNITS // SPARE if sparing else CACHE_UNITS)
 
     def _table(self, name: str, **columns: pa.Array) -> None:
         self.con.register("given", pa.table(columns))
@@ -120,7 +124,7 @@ class SqlBPE:
         a = 0
         while a < len(words):
             b, size = a + 1, len(words[a])
-            while b < len(words) and size + len(words[b]) <= CHUNK_BYTES:
+            while b < len(words) and size + len(words[b]) <= self.chunk_bytes:
                 size += len(words[b])
                 b += 1
             lens = np.fromiter(map(len, words[a:b]), np.int64, b - a)
@@ -260,7 +264,7 @@ def digests(values: np.ndarray, starts: np.ndarray) -> list[str]:
 
 
 def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-                   keep_ids: bool = False) -> DataFrame:
+                   keep_ids: bool = False, sparing: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]) for every row.
 
     Encodes each match of ``pattern`` by the ranks of ``rank_file`` (a path
@@ -269,14 +273,17 @@ def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str =
     ``keep_ids`` the ids come too, as array<int>.  Only the two named columns
     are read.  A null text counts as empty; repeated rows give repeated
     results; a null id stays null; an empty table gives an empty result.
+    ``sparing`` is for executors whose heap earlier stages have filled: workers
+    keep smaller caches, encode fewer texts at once and return what they free,
+    for more CPU time and the same rows.
     Pre-tokens of over LONG_BYTES bytes are merged by a heap in place of the
     query, whose rounds would take the square of their length; texts without a
     space for LONG_UNIT characters bypass the caches.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = worker_state(("bpe_sql", rank_file, pattern), lambda: SqlBPE(read_ranks(rank_file), pattern))
+        coder = worker_state(("bpe_sql", rank_file, pattern, sparing), lambda: SqlBPE(read_ranks(rank_file), pattern, sparing))
         for batch in batches:
-            for part in batch_groups(batch, 1, 2_000_000):
+            for part in batch_groups(batch, 1, GROUP_BYTES // (2 * SPARE) if sparing else GROUP_BYTES):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 alone = {i: coder.whole(t) for i, t in enumerate(texts) if unbroken(t)}
                 (ids, starts), (decoded, ends) = coder.coder(["" if i in alone else t for i, t in enumerate(texts)])
@@ -293,6 +300,8 @@ def bpe_round_trip(docs: DataFrame, rank_file: str, pattern: str, id_col: str =
                     columns.append(pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids.astype(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+                if sparing:
+                    give_back()
 
     return docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].cast("string").alias("text")) \
         .mapInArrow(run, SCHEMA + (", ids array<int>" if keep_ids else ""))

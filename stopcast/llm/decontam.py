@@ -31,14 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopcast.llm.common import stored, worker_state
-from stopcast.llm.token_counts import text_groups
+from stopcast.llm.common import give_back, stored, worker_state
+from stopcast.llm.token_counts import batch_groups, text_groups
 
 INDEX_BYTES = 4 << 20       # text of the items in one broadcast index, which takes some 25 bytes a byte in a worker
 BLOCK = 4                   # items of a block
 K1, B = 1.2, 0.75
 THRESHOLD = 0.5             # share of an item's own BM25 total
 SHINGLE, SIMILARITY = 5, 0.8
+GROUP_BYTES = 1_000_000     # bytes of texts that a filtering task looks at together
 CACHE_WORDS = 500_000
 EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -354,9 +355,11 @@ def without_contaminated(docs: DataFrame, items: DataFrame, threshold: float = T
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = [t or "" for t in batch.column(at).to_pylist()]
-                keep = [not h for s in text_groups(texts, 4_000_000) for h in sent.value.hits(texts[s], threshold)]
+                keep: list[bool] = []
+                for part in batch_groups(batch.select([at]), 0, GROUP_BYTES):
+                    keep += [not h for h in sent.value.hits([t or "" for t in part.column(0).to_pylist()], threshold)]
                 yield batch.filter(pa.array(keep, pa.bool_()))
+                give_back()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -68,6 +68,36 @@ def test_caches_are_bounded(monkeypatch, libraries):
         check([t], libraries, made)
 
 
+def test_sparing_workers_hold_less(libraries, monkeypatch):
+    """Half the cached units and smaller queries, after any number of texts; the same ids and bytes."""
+    monkeypatch.setattr(bpe_sql, "CACHE_UNITS", 60)
+    monkeypatch.setattr(bpe_sql, "CHUNK_BYTES", 40)
+    ranks = bpe_sql.read_ranks(RANKS)
+    usual, sparing = bpe_sql.SqlBPE(ranks, public_tokenizers.PATTERN), bpe_sql.SqlBPE(ranks, public_tokenizers.PATTERN, sparing=True)
+    held = []
+    for t in [" ".join(f"q{i}z{j}" for j in range(20)) for i in range(6)]:
+        (ids, _), (decoded, _) = sparing.coder([t])
+        assert ids.tolist() == usual.coder([t])[0][0].tolist() == libraries[2].encode_ordinary(t) and decoded.tobytes() == t.encode()
+        held.append((len(usual.coder.units.number), len(sparing.coder.units.number)))
+    assert max(b for _, b in held) <= 30 < max(a for a, _ in held) <= 60 and sparing.chunk_bytes == 20
+
+
+def test_sparing_round_trip(spark, monkeypatch):
+    """The pipeline's stage asks for it; the rows are the same in any size of groups."""
+    import corpus_pipeline
+    asked = []
+    monkeypatch.setattr(corpus_pipeline.bpe_sql, "bpe_round_trip", lambda *a, **k: asked.append(k))
+    corpus_pipeline.token_stage(spark, None, "")
+    assert asked == [dict(keep_ids=True, sparing=True)]
+    monkeypatch.undo()
+    rows = [(i, words(i, 30)) for i in range(40)] + [(None, None), (50, "z" * 60_000), (51, "")]
+    df = plain(spark, rows).coalesce(1)
+    usual = bpe_sql.bpe_round_trip(df, RANKS, public_tokenizers.PATTERN, keep_ids=True).collect()
+    monkeypatch.setattr(bpe_sql, "GROUP_BYTES", 1_000)
+    spare = bpe_sql.bpe_round_trip(df, RANKS, public_tokenizers.PATTERN, keep_ids=True, sparing=True).collect()
+    assert sorted(map(str, usual)) == sorted(map(str, spare)) and len(spare) == len(rows)
+
+
 def test_long_pre_tokens(libraries, coders):
     """Words without a break, merged by the heap and (shorter ones) by the query."""
     import random
