@@ -73,6 +73,23 @@ def test_random_search_resamples_training_rows_alone(spark):
     assert seen == [set(range(75 * (i + 1))) for i in range(3)]
 
 
+def test_random_search_fits_large_forests_in_groups(spark, monkeypatch):
+    """Where rows and nodes are many, no fit grows more than a fourth of a forest's trees; all trees are grown."""
+    from pyspark.ml import Pipeline
+    df = separable(spark, 300).withColumns({"label": F.col("target").cast("double"), "fold": (F.floor(F.col("event_id") / 75) - 1).cast("int")})
+    grid = {"random_forest": (MD.random_forest, {"numTrees": [6], "maxDepth": [4], "balanced": [True]}),
+            "gbt": (MD.gbt, {"maxIter": [2], "maxDepth": [2], "balanced": [False]})}
+    whole = MD.random_search(spark, df, grid, ["a", "b"], n_iter=1, k=3).collect()
+    monkeypatch.setattr(MD, "MANY_ROWS", 100)      # folds train on 75, 150 and 225 rows
+    monkeypatch.setattr(MD, "DEEP_NODES", 10)
+    fits, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, d: fits.append(self.getStages()[-1]) or fit(self, d))
+    got = MD.random_search(spark, df, grid, ["a", "b"], n_iter=1, k=3).collect()
+    assert sorted(f.getNumTrees() for f in fits if hasattr(f, "getNumTrees")) == [2] * 6 + [6]
+    assert sorted((r["model"], r["params"]) for r in got) == sorted((r["model"], r["params"]) for r in whole)
+    assert all(r["cv_mean"] > 0.9 for r in whole + got)
+
+
 def test_stacking_joins_bases_and_meta(spark):
     from pyspark.ml.classification import GBTClassifier
     d = MD.prepare(separable(spark), fit_on="is_train = 1").cache()
