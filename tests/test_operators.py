@@ -472,3 +472,43 @@ def test_scan_limit_reads_few_row_groups(spark, tmp_path):
     tied = spark.createDataFrame([(None, 1), (5, 2), (5, 3), (None, 0), (4, 9)], "event_timestamp int, event_id int")
     assert [r["event_id"] for r in scan_limit(tied, 4).collect()] == [0, 1, 9, 2]
     assert scan_limit(tied, 1).collect()[0]["event_id"] == 0 and scan_limit(tied.limit(0), 3).collect() == []
+
+
+def test_boxes_hold_a_point_against_few_nodes(monkeypatch):
+    """Every row lies in its leaf's box, every leaf with a row within the bound is reached, and a
+    point is held against a small part of the leaves."""
+    from stopcast.operators.boxes import Tree
+    rng = np.random.default_rng(9)
+    X = np.column_stack([rng.integers(0, 24, 20000), rng.integers(0, 7, 20000), rng.normal(size=(20000, 3))]).astype(float)
+    X[:500] = X[0]
+    t = Tree(X, 40, 10)
+    own = t.place(X)
+    assert sorted(np.concatenate(t.members).tolist()) == list(range(20000)) and all((own[m] == i).all() for i, m in enumerate(t.members))
+    assert min(map(len, t.members)) >= 10 and len(t.members) > 500
+    Q, bound, looked, real = X[::100] + 0.1, np.full(200, 1.5), [], t.away
+    monkeypatch.setattr(t, "away", lambda p, nodes: looked.append(len(nodes)) or real(p, nodes))
+    i, leaf, d = t.reached(Q, bound)
+    assert sum(looked) < 0.4 * len(Q) * len(t.members) and (d <= 1.5).all()
+    got = set(zip(i.tolist(), leaf.tolist(), strict=True))
+    near = np.sqrt(((Q[:, None] - X[None]) ** 2).sum(axis=2)) <= 1.5
+    assert {(a, int(own[b])) for a, b in zip(*np.nonzero(near), strict=True)} <= got and len(got) == len(i)
+
+
+def test_knn_of_narrow_vectors_by_boxes(spark, monkeypatch):
+    """Groups and leaves of few rows, rows of one id, hot values, a group with fewer rows than k; no
+    row is held against all pivots."""
+    import stopcast.operators.knn as K
+    monkeypatch.setattr(K, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(K, "Pivots", None)
+    rng = np.random.default_rng(8)
+    X = np.column_stack([rng.integers(0, 5, 700), rng.integers(0, 3, 700), rng.normal(size=700).round(1), rng.normal(size=700)]).astype(float)
+    X[:120, 3], X[120:130] = 0.0, X[120]
+    ids = [i // 3 for i in range(700)]
+    df = spark.createDataFrame([(ids[i], X[i].tolist(), i) for i in range(700)], "id long, vec array<double>, row int").repartition(3)
+    got = knn_join(df.where("row % 4 = 0"), df.where("row % 7 <> 0"), 9, exclude_self=True).toPandas()
+    want = []
+    old = [j for j in range(700) if j % 7]
+    for i in range(0, 700, 4):
+        d = sorted((float(np.sqrt(((X[i] - X[j]) ** 2).sum())), ids[j]) for j in old if ids[j] != ids[i])[:9]
+        want += [(ids[i], t, round(x, 9), r + 1) for r, (x, t) in enumerate(d)]
+    assert sorted((r.qid, r.tid, round(r.dist, 9), r["rank"]) for _, r in got.iterrows()) == sorted(want)
