@@ -147,3 +147,63 @@ def test_boosted_trees_do_without_cached_nodes(spark):
     assert not g.getCacheNodeIds() and not MD.gbt(maxDepth=16).getCacheNodeIds()
     a, b = (MD.build_pipeline(e, ["a", "b"]).fit(d.where("is_train = 1")).stages[-1] for e in (g, MD.gbt(maxIter=3, maxDepth=3).setCacheNodeIds(True)))
     assert a.toDebugString.split("\n")[1:] == b.toDebugString.split("\n")[1:]
+
+
+def noisy(spark, n=3000):
+    """Integer features of few values, so that bins are the values."""
+    df = spark.range(n).select(F.col("id").alias("event_id"), *[(F.pmod(F.xxhash64(F.col("id"), F.lit(i)), F.lit(m))).cast("double").alias(c)
+                                                                for i, (c, m) in enumerate((("a", 40), ("b", 7), ("c", 60), ("d", 2), ("e", 13)))])
+    noise = F.pmod(F.xxhash64(F.col("event_id"), F.lit(99)), F.lit(10)) < 2
+    return df.withColumns({"target": ((F.col("a") + 3 * F.col("b") > 30) != noise).cast("int"), "is_train": (F.col("event_id") < n * 3 // 4).cast("int")})
+
+
+def test_a_tree_by_task_is_mllibs_tree(spark, monkeypatch):
+    """Nodes, depth, scores and importances are those of MLlib where nothing is drawn, weighted or not."""
+    d = MD.prepare(noisy(spark), fit_on="is_train = 1").cache()
+    train, test, names = d.where("is_train = 1").repartition(3), d.where("is_train = 0"), ["a", "b", "c", "d", "e"]
+    for params in (dict(maxDepth=4), dict(), dict(minInstancesPerNode=20, balanced=True)):
+        monkeypatch.setattr(MD, "OWN_ROWS", 10 ** 9)
+        scores, _, nodes, depth = MD.tree_scored(MD.decision_tree(**params), train, test, names)
+        want = {r["id"]: (r["label"], r["score"]) for r in scores.collect()}
+        model = MD.build_pipeline(MD.decision_tree(**params), names).fit(train).stages[-1]
+        monkeypatch.setattr(MD, "OWN_ROWS", 100)
+        monkeypatch.setattr(MD.FT, "BLOCK", 170)
+        monkeypatch.setattr(MD, "build_pipeline", None)
+        scores, _, own_nodes, own_depth = MD.tree_scored(MD.decision_tree(**params), train, test, names)
+        got = {r["id"]: (r["label"], r["score"]) for r in scores.collect()}
+        importances = MD.FT.fit(MD.decision_tree(**params), train, names)[0]["importances"]
+        monkeypatch.undo()
+        if params.get("maxDepth"):
+            assert (own_nodes, own_depth) == (nodes, depth)
+        assert abs(own_nodes - nodes) <= 0.03 * nodes and abs(own_depth - depth) <= 2 and got.keys() == want.keys()
+        same = [got[i][0] == want[i][0] and abs(got[i][1] - want[i][1]) < 1e-9 for i in got]
+        assert sum(same) >= (1.0 if params.get("maxDepth") else 0.9) * len(same)       # equal gains may be cut in another order
+        assert all(abs(a - b) < 0.02 for a, b in zip(importances, model.featureImportances.toArray(), strict=True))
+
+
+def test_forests_by_task_grow_every_tree(spark, monkeypatch):
+    """All trees, over rows with repeated and null ids; one fit serves sweeps, importances and vectors."""
+    from pyspark.ml.functions import array_to_vector
+    d = MD.prepare(noisy(spark), fit_on="is_train = 1").cache()
+    train, test, names = d.where("is_train = 1"), d.where("is_train = 0"), ["a", "b", "c", "d", "e"]
+    forest = lambda **k: MD.random_forest(numTrees=14, minInstancesPerNode=5, **k)     # noqa: E731
+    want = MD.evaluate(MD.fit_score(forest(), train, test, names)[1])["roc_auc"]
+    plain = MD.forest_importances(forest(), train, names)
+    monkeypatch.setattr(MD, "OWN_ROWS", 100)
+    monkeypatch.setattr(MD, "build_pipeline", None)
+    row = MD.config_sweep(spark, train, test, names, "random_forest", {"X": dict(numTrees=14, minInstancesPerNode=5)}, MD.random_forest).first()
+    assert abs(row["roc_auc"] - want) < 0.03
+    assert max(abs(a - b) for a, b in zip(MD.forest_importances(forest(), train, names), plain, strict=True)) < 0.05
+    odd = test.withColumn("event_id", F.when(F.col("event_id") % 3 == 0, F.lit(7)).when(F.col("event_id") % 3 == 1, F.col("event_id")))
+    vec = [x.withColumn("features", array_to_vector(F.array(*names))).drop(*names) for x in (train, odd)]
+    grown, real = [], MD.FT.grow
+    x = MD.FT.np.random.default_rng(0).integers(0, 9, (500, 4)).astype("uint8")
+    rule, trees = MD.FT.rule_of(forest(), 4)
+    assert (trees, rule.some, rule.bootstrap) == (14, 2, True)
+    for i in range(2):
+        grown.append(real(x, x[:, 0] > 4, None, rule, i))
+    assert grown[0].nodes > 1 and list(grown[0].cut) != list(grown[1].cut)
+    scores, _ = MD.scored(forest(balanced=True), vec[0], vec[1], None)
+    got = scores.collect()
+    assert len(got) == 750 and sum(r["id"] == 7 for r in got) >= 250 and sum(r["id"] is None for r in got) == 250
+    assert all(0 <= r["score"] <= 1 for r in got)
